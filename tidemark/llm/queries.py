@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import mixing, quality_rules
+from tidemark.llm.html_extract import html_extract
 from tidemark.llm.ngram_join import ngram_join
 from tidemark.llm.toxicity import toxicity
 
@@ -23,6 +24,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract(_table(spark, sf_dir, "pages"))
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(_table(spark, sf_dir, "documents"), k=4, percent=85)
 
@@ -32,7 +37,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_quality_rules, op2_mixing, op4_ngram_join, op10_toxicity]
+    found = [op1_quality_rules, op2_mixing, op3_html_extraction, op4_ngram_join, op10_toxicity]
     return {f.__name__: f for f in found}
 
 
