@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm import mixing, quality_rules
 from tidemark.llm.html_extract import html_extract
 from tidemark.llm.ngram_join import ngram_join
+from tidemark.llm.token_store import token_store
 from tidemark.llm.toxicity import toxicity
 
 
@@ -32,12 +33,23 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(_table(spark, sf_dir, "documents"), k=4, percent=85)
 
 
+def tokenizer_path() -> str:
+    """Where the public tokenizers' files are on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store(_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_quality_rules, op2_mixing, op3_html_extraction, op4_ngram_join, op10_toxicity]
+    found = [op1_quality_rules, op2_mixing, op3_html_extraction, op4_ngram_join, op9_token_output, op10_toxicity]
     return {f.__name__: f for f in found}
 
 
