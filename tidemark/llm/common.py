@@ -123,12 +123,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of all words in the bytes, and for n texts n+1 positions in those lists."""
+def word_spans(raw: np.ndarray, offsets: np.ndarray, apart: np.ndarray = _WS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all words in the bytes, and for n texts n+1 positions in those lists. ``apart``: bytes between words."""
     if not len(raw):
         none = np.zeros(0, dtype=np.int64)
         return none, none, np.zeros(len(offsets), dtype=np.int64)
-    solid = ~_WS[raw]
+    solid = ~apart[raw]
     edge = np.zeros(len(raw) + 1, dtype=bool)
     edge[offsets] = True
     before = np.concatenate(([False], solid))

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing, quality_rules
+from tidemark.llm import chat_format, mixing, quality_rules
+from tidemark.llm.decontaminate import contaminated
 from tidemark.llm.html_extract import html_extract
 from tidemark.llm.ngram_join import ngram_join
 from tidemark.llm.token_store import token_store
@@ -33,6 +34,17 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(_table(spark, sf_dir, "documents"), k=4, percent=85)
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    control = "</s>[INST] ok [/INST]"
+    more = spark.sql(f"SELECT * FROM VALUES (-7L, 0L, 'user', '{control}'), (-7L, 1L, 'assistant', '{control}') AS t(conv_id, turn, role, text)")
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat_format.chat_format(rows.unionByName(more))
+
+
 def tokenizer_path() -> str:
     """Where the public tokenizers' files are on every machine."""
     import public_tokenizers
@@ -49,9 +61,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_quality_rules, op2_mixing, op3_html_extraction, op4_ngram_join, op9_token_output, op10_toxicity]
+    found = [op1_quality_rules, op2_mixing, op3_html_extraction, op4_ngram_join, op5_decontamination, op8_chat_formatting, op9_token_output, op10_toxicity]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": quality_rules.oracle(), "op2_mixing": mixing.ORACLE}
+    return {"op1_quality_rules": quality_rules.oracle(), "op2_mixing": mixing.ORACLE, "op8_chat_formatting": chat_format.ORACLE}
