@@ -12,10 +12,11 @@ its partners in its own band or the next one.
 * Blocks beyond the bound are slack: a set whose empty or very common blocks
   don't use up its slack need not be compared through those blocks.
 * Keys are aggregated to (least class, greatest class, count), which combines
-  before the shuffle.  A key's classes are compared with its least class first
-  (a star), not with each other; later rounds take further centres only where a
-  key still spans several components.  So copies in one component cost one
-  comparison each, and no link between different texts is lost.
+  before the shuffle.  A class is compared with the least class of its keys
+  first (a star), so copies cost one comparison each.
+* Where a key still spans several components, its classes' dense sketches are
+  compared, and a spanning forest of the near ones goes on; no pair within a
+  component is looked at again, and no link between different texts is lost.
 * Candidates are verified on whole texts with exact integer arithmetic.
 
 Texts with equal shingle sets form one class (128 bits of hash and the size).
@@ -27,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import common
@@ -35,6 +36,10 @@ from tidemark.llm.components import components
 
 #: Keys met by more classes than this are common; sets with slack left skip them after the first star.
 COMMON_KEY = 64
+#: Rows of one key that a task compares with each other; a larger key is dealt to pairs of such parts.
+BUCKET = 4096
+#: Pairs near by sketch but not by text that are remembered from round to round; beyond, all near pairs are verified.
+FAILED_PAIRS = 500_000
 
 
 def size_bands(limit: int, percent: int) -> list[int]:
@@ -142,12 +147,97 @@ def _links(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFram
     return common.written(rows.mapInArrow(lambda it: _verify(it, k, percent), "a long, b long"), "verified")
 
 
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs whose ends are not yet in one component."""
-    la = labels.select(F.col("id").alias("a"), F.col("component").alias("ca"))
-    lb = labels.select(F.col("id").alias("b"), F.col("component").alias("cb"))
-    both = pairs.join(la, "a", "left").join(lb, "b", "left")
-    return both.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select(*pairs.columns)
+def _bits(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """The dense parity sketch of each text: a power of two bits, at least four a shingle and 64 in all."""
+    for batch in batches:
+        c, texts = batch.column(0), batch.column(1)
+        for lo, hi in common.text_slices(texts):
+            raw, offsets = common.string_bytes(texts.slice(lo, hi - lo))
+            starts, ends, at = common.word_spans(raw, offsets)
+            words = common.word_hashes(raw, starts, ends)
+            sizes, made = [], []
+            for i in range(hi - lo):
+                h = shingle_set(words[at[i] : at[i + 1]], k)
+                width = max(64, 1 << (4 * max(1, len(h)) - 1).bit_length())
+                odd = np.bincount((h & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+                sizes.append(len(h))
+                made.append(np.packbits(odd.astype(np.uint8)).tobytes())
+            yield pa.RecordBatch.from_arrays([c.slice(lo, hi - lo), pa.array(sizes, pa.int64()), pa.array(made, pa.binary())], names=["c", "n", "bits"])
+
+
+def _fold(sketch: bytes, size: int) -> np.ndarray:
+    """A sketch of ``size`` bytes from a longer one: halves are XORed, so parities add."""
+    x = np.frombuffer(sketch, dtype=np.uint8)
+    while len(x) > size:
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return x
+
+
+def _key_pairs(rows: list[tuple], percent: int, skip: set | None) -> list[tuple[int, int]]:
+    """Pairs of one key's classes (own, c, component, n, sketch) whose sketches are near enough.
+
+    With ``skip``, pairs in it are left out and so are pairs that others
+    connect: a spanning forest of the components.  Without, all near pairs.
+    Rows are compared block by block; parts p and q only with each other.
+    """
+    size = min(len(r[4]) for r in rows)
+    own, c, comp, n = (np.array([r[i] for r in rows], dtype=np.int64) for i in range(4))
+    sk = np.stack([_fold(r[4], size) for r in rows]).view(np.uint64)
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.get(x, x) != x:
+            root[x] = root.get(root[x], root[x])
+            x = root[x]
+        return x
+
+    found = []
+    two = own[0] != own[-1]
+    for i in range(len(rows) - 1):
+        js = np.flatnonzero(comp[i + 1 :] != comp[i]) + i + 1
+        if two:
+            js = js[own[js] != own[i]]
+        if not len(js):
+            continue
+        lo, hi = np.minimum(n[js], n[i]), np.maximum(n[js], n[i])
+        most = (100 - percent) * (lo + hi) // (100 + percent)
+        js, most = js[lo * 100 >= percent * hi], most[lo * 100 >= percent * hi]
+        if not len(js):
+            continue
+        near = np.bitwise_count(sk[js] ^ sk[i]).sum(axis=1, dtype=np.int64) <= most
+        for j in js[near].tolist():
+            pair = (int(min(c[i], c[j])), int(max(c[i], c[j])))
+            if skip is None:
+                found.append(pair)
+            elif pair not in skip:
+                x, y = find(int(comp[i])), find(int(comp[j]))
+                if x != y:
+                    root[x] = y
+                    found.append(pair)
+    return found
+
+
+def _near(batches: Iterator[pa.RecordBatch], percent: int, failed: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+    skip = None if failed is None else {(min(a, b), max(a, b)) for a, b in failed.tolist()}
+    held: list[tuple] = []
+    at: tuple | None = None
+
+    def out(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x for x, _ in pairs], pa.int64()), pa.array([y for _, y in pairs], pa.int64())], names=["a", "b"])
+
+    for batch in batches:
+        found = []
+        cols = [batch.column(i).to_pylist() for i in range(8)]
+        for row in zip(*cols, strict=True):
+            if row[:3] != at:
+                if len(held) > 1:
+                    found += _key_pairs(held, percent, skip)
+                held, at = [], row[:3]
+            held.append(row[3:])
+        if found:
+            yield out(found)
+    if len(held) > 1:
+        yield out(_key_pairs(held, percent, skip))
 
 
 def ngram_join(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -168,42 +258,51 @@ def ngram_join(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "do
     met = rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("m")).filter("lo < hi")
     met = common.written(met, "met")
     wide = met.filter("m > 2").select("key", "lo", "m")
-    members = common.written(rows.join(common.checked_broadcast(wide, 24), "key").select("key", "lo", "m", "c", "j", "r").distinct(), "members")
-    star = met.filter("m = 2").select(F.col("lo").alias("a"), F.col("hi").alias("b")).union(members.filter("c != lo").select(F.col("lo").alias("a"), F.col("c").alias("b")))
-    star = common.written(star.groupBy("a", "b").agg(F.count("*").alias("w")), "star")
+    several = rows.join(common.checked_broadcast(wide, 24), "key").select("key", "lo", "m", "c", "j", "r").distinct()
+    two = met.filter("m = 2").select("key", "lo", "m", F.explode(F.array("lo", "hi")).alias("c"), F.lit(0).alias("j"), F.lit(0).alias("r"))
+    members = common.written(several.unionByName(two), "members")
 
     classes = slim.filter("n > 0").groupBy("c", "s2", "n").agg(F.min("doc_id").alias("rep"))
-    needed = star.select(F.col("a").alias("c")).union(star.select("b")).distinct()
-    needed = common.written(needed.join(classes, "c").groupBy("c").agg(F.min("rep").alias("rep")), "needed")
+    needed = common.written(members.select("c").distinct().join(classes, "c").groupBy("c").agg(F.min("rep").alias("rep")), "needed")
     texts = common.written(docs.join(common.checked_broadcast(needed, 24), docs.doc_id == needed.rep).dropDuplicates(["c"]).select("c", "text"), "texts")
+    bits = common.written(texts.mapInArrow(lambda it: _bits(it, k), "c long, n long, bits binary"), "bits")
 
+    # Each class is first compared with the least class of most of its keys.
+    star = members.filter("c != lo").groupBy(F.col("lo").alias("a"), F.col("c").alias("b")).agg(F.count("*").alias("w"))
     best = star.groupBy("b").agg(F.max_by("a", F.struct("w", "a")).alias("a")).select("a", "b")
     links = _links(best, texts, k, percent)
     labels = components(links)
-    rest = _apart(star.join(best, ["a", "b"], "left_anti").select("a", "b"), labels)
-    links = links.union(_links(rest, texts, k, percent))
-    labels = components(links)
 
-    # The least class of a key has met all others.  Where a set's common and empty
-    # blocks leave slack, it also meets each partner in another block.
+    # Where a set's common and empty blocks leave slack, it meets each partner in another block.
     used = members.filter(F.col("m") > COMMON_KEY).groupBy("c", "j").agg(F.count("*").alias("used"))
-    open_ = members.join(used, ["c", "j"], "left").filter((F.col("c") != F.col("lo")) & ((F.col("m") <= COMMON_KEY) | (F.col("used") > F.col("r")))).select("key", "c")
-    centres = 1
+    open_ = members.join(used, ["c", "j"], "left").filter((F.col("m") <= COMMON_KEY) | (F.col("used") > F.col("r"))).select("key", "c").distinct()
+    failed = np.zeros((0, 2), dtype=np.int64)
     while True:
         named = open_.join(labels.select(F.col("id").alias("c"), "component"), "c", "left").select("key", "c", F.coalesce("component", "c").alias("component"))
-        spans = named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("key")
-        rank = F.row_number().over(Window.partitionBy("key").orderBy("c"))
-        ranked = common.written(named.join(spans, "key").withColumn("rank", rank), "open")
-        if ranked.isEmpty():
+        spans = named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size")).filter("x < y").select("key", F.ceil(F.col("size") / BUCKET).cast("int").alias("parts"))
+        kept = common.written(named.join(spans, "key"), "open")
+        # A large key's rows are dealt to pairs of parts, so no task holds them all.
+        own = F.pmod(F.xxhash64("c"), F.col("parts")).cast("int")
+        dealt = kept.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        dealt = dealt.select("key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "c", "component").join(bits, "c")
+        sorted_ = dealt.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q", "own", "c").select("key", "p", "q", "own", "c", "component", "n", "bits")
+        skip = failed
+        pairs = common.written(sorted_.mapInArrow(lambda it, x=skip: _near(it, percent, x), "a long, b long").distinct(), "pairs")
+        if pairs.isEmpty():
             break
-        mid = ranked.filter(F.col("rank") <= centres).select("key", F.col("c").alias("a"), F.col("component").alias("ca"), F.col("rank").alias("ra"))
-        pairs = mid.join(ranked, "key").filter("rank > ra and component != ca").select("a", F.col("c").alias("b")).distinct()
         more = _links(pairs, texts, k, percent)
-        if not more.isEmpty():
-            links = links.union(more)
-            labels = components(links)
-        open_ = ranked.filter(F.col("rank") > centres).select("key", "c")
-        centres *= 2
+        links = links.union(more)
+        labels = components(links)
+        # Pairs that only looked near are left out of the next round; each round has a spanning forest of the others.
+        lost = pairs.join(more, ["a", "b"], "left_anti")
+        n_lost = lost.count()
+        if not n_lost:
+            break
+        if n_lost + len(failed) > FAILED_PAIRS:
+            every = sorted_.mapInArrow(lambda it: _near(it, percent, None), "a long, b long").distinct()
+            labels = components(links.union(_links(every, texts, k, percent)))
+            break
+        failed = np.concatenate((failed, np.array([tuple(r) for r in lost.collect()], dtype=np.int64).reshape(-1, 2)))
 
     least = slim.filter("n > 0").join(labels.select(F.col("id").alias("c"), "component"), "c", "left").groupBy(F.coalesce("component", "c").alias("component")).agg(F.min("doc_id").alias("component_id"))
     named = slim.join(labels.select(F.col("id").alias("c"), "component"), "c", "left").withColumn("component", F.when(F.col("n") > 0, F.coalesce("component", "c")))
