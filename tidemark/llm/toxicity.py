@@ -54,6 +54,8 @@ def _letter_table() -> np.ndarray:
 
 
 _TABLE = _letter_table()
+#: Each code as a Latin-1 letter.
+_SHOWN = (LETTERS + "~~~").encode("latin-1").ljust(256, b"~")
 
 
 @dataclass
@@ -193,16 +195,16 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
 
 def _vocabulary(texts: list[str]) -> list[set[str]]:
     w = words_of(texts)
-    letters = np.array([*LETTERS, "~", "~", "~"])
-    flat = "".join(letters[w.codes])
+    flat = w.codes.tobytes().translate(_SHOWN).decode("latin-1")
     ends = np.append(w.edge[1:], len(w.codes) - SPAN)
     return [{flat[w.edge[j] + 1 : ends[j]].strip() for j in range(w.at[i], w.at[i + 1])} for i in range(len(texts))]
 
 
-def _telling_words(vocab: list[set[str]], toxic: np.ndarray, most: int) -> tuple[list[tuple[str, int]], set[str]]:
+def _telling_words(texts: list[str], toxic: np.ndarray, most: int) -> tuple[list[tuple[str, int]], set[str]]:
     """Words of toxic texts that clean ones lack, with their counts: expected less than once by chance (binomial, times all words). Texts with the same least word hash count once: copies tell nothing new."""
     counts, seen = (Counter(), Counter()), (set(), set())
-    for words, label in zip(vocab, toxic, strict=True):
+    vocab = (words for lo in range(0, len(texts), 50) for words in _vocabulary(texts[lo : lo + 50]))
+    for words, label in zip(vocab, toxic.tolist(), strict=True):
         long = [w for w in words if len(w) > 3]
         sign = min((zlib.crc32(w.encode()) for w in long), default=None)
         if sign in seen[label]:
@@ -231,8 +233,7 @@ def fit(texts: list[str], toxic: list[int], clean_weight: float = 1.0, landmarks
     y = np.asarray(toxic, dtype=int)
     if not len(y) or y.min() == y.max():
         return None
-    vocab = _vocabulary(texts)
-    telling, clean = _telling_words(vocab, y, 600)
+    telling, clean = _telling_words(texts, y, 600)
     if not telling:
         return None
     good, seen = [w for w, _ in telling], np.sqrt([k for _, k in telling])
@@ -263,22 +264,21 @@ def fit(texts: list[str], toxic: list[int], clean_weight: float = 1.0, landmarks
         return x
 
     pos, neg = nystrom(good), nystrom(picked)
-    all_clean = words_of([" ".join(clean_words)])
-    flat_words = [w for w in clean_words]
+    clean_words = [w for w in clean_words if len(w) > 1]
     model = None
     for turn in range(3):
         x, label = np.vstack((pos, neg)), np.concatenate((np.ones(len(pos)), -np.ones(len(neg))))
         w = _svm(x, label, np.concatenate((200.0 * seen / seen.mean(), np.full(len(neg), 20.0))))
         model = Model(numbers, fold @ w[:-1], float(w[-1]), (0.0, 1.0, 0.0))
         if turn < 2:
-            scores = word_scores(all_clean, *model.tables())
-            if len(scores) == len(flat_words):
-                hard = [flat_words[i] for i in np.argsort(-scores, kind="stable")[:1500]]
-                neg = np.vstack((neg, nystrom(hard)))
+            tables = model.tables()
+            scores = np.concatenate([word_scores(words_of([" ".join(clean_words[i : i + 20_000])]), *tables) for i in range(0, len(clean_words), 20_000)]) if clean_words else np.zeros(0)
+            if len(scores) == len(clean_words):
+                neg = np.vstack((neg, nystrom([clean_words[i] for i in np.argsort(-scores, kind="stable")[:1500]])))
     tables = model.tables()
     feats = []
-    for lo in range(0, len(texts), 200):
-        words = words_of(texts[lo : lo + 200])
+    for lo in range(0, len(texts), 50):
+        words = words_of(texts[lo : lo + 50])
         feats.append(model.text_features(words, word_scores(words, *tables)))
     w = _logistic(np.vstack(feats), y, np.where(y == 1, 1.0, clean_weight))
     model.text = tuple(map(float, w))
@@ -298,7 +298,7 @@ def _score(batches: Iterator[pa.RecordBatch], model: Model | None) -> Iterator[p
             yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo).cast(pa.int64()), pa.array(score, pa.float64())], names=["doc_id", "score"])
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_toxic: int = 2000, sample_clean: int = 4000) -> Model | None:
+def train(docs: DataFrame, labels: DataFrame, sample_toxic: int = 1200, sample_clean: int = 2400) -> Model | None:
     """Fits on labelled documents outside the held-out quarter; at most the two bounds of rows reach the driver.
 
     A document labelled twice counts as toxic if any label says so; rows with a
