@@ -15,8 +15,9 @@ its partners in its own band or the next one.
   before the shuffle.  A class is compared with the least class of its keys
   first (a star), so copies cost one comparison each.
 * Where a key still spans several components, its classes' dense sketches are
-  compared, and a spanning forest of the near ones goes on; no pair within a
-  component is looked at again, and no link between different texts is lost.
+  compared, and a spanning forest of the near ones is verified; then, between
+  the components that are left, every near pair.  No pair within a component is
+  looked at again, and no link between different texts is lost.
 * Candidates are verified on whole texts with exact integer arithmetic.
 
 Texts with equal shingle sets form one class (128 bits of hash and the size).
@@ -38,8 +39,6 @@ from tidemark.llm.components import components
 COMMON_KEY = 64
 #: Rows of one key that a task compares with each other; a larger key is dealt to pairs of such parts.
 BUCKET = 4096
-#: Pairs near by sketch but not by text that are remembered from round to round; beyond, all near pairs are verified.
-FAILED_PAIRS = 500_000
 
 
 def size_bands(limit: int, percent: int) -> list[int]:
@@ -148,7 +147,7 @@ def _links(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFram
 
 
 def _bits(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    """The dense parity sketch of each text: a power of two bits, at least four a shingle and 64 in all."""
+    """The dense parity sketch of each text: a power of two bits, at least eight a shingle and 64 in all."""
     for batch in batches:
         c, texts = batch.column(0), batch.column(1)
         for lo, hi in common.text_slices(texts):
@@ -158,7 +157,7 @@ def _bits(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]
             sizes, made = [], []
             for i in range(hi - lo):
                 h = shingle_set(words[at[i] : at[i + 1]], k)
-                width = max(64, 1 << (4 * max(1, len(h)) - 1).bit_length())
+                width = max(64, 1 << (8 * max(1, len(h)) - 1).bit_length())
                 odd = np.bincount((h & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
                 sizes.append(len(h))
                 made.append(np.packbits(odd.astype(np.uint8)).tobytes())
@@ -173,12 +172,11 @@ def _fold(sketch: bytes, size: int) -> np.ndarray:
     return x
 
 
-def _key_pairs(rows: list[tuple], percent: int, skip: set | None) -> list[tuple[int, int]]:
-    """Pairs of one key's classes (own, c, component, n, sketch) whose sketches are near enough.
+def _key_pairs(rows: list[tuple], percent: int, forest: bool) -> list[tuple[int, int]]:
+    """Pairs of one key's classes (own, c, component, n, sketch) in different components whose sketches are near enough.
 
-    With ``skip``, pairs in it are left out and so are pairs that others
-    connect: a spanning forest of the components.  Without, all near pairs.
-    Rows are compared block by block; parts p and q only with each other.
+    With ``forest``, pairs that others connect are left out.  Rows of two parts
+    are compared across, those of one part with each other.
     """
     size = min(len(r[4]) for r in rows)
     own, c, comp, n = (np.array([r[i] for r in rows], dtype=np.int64) for i in range(4))
@@ -207,18 +205,14 @@ def _key_pairs(rows: list[tuple], percent: int, skip: set | None) -> list[tuple[
         near = np.bitwise_count(sk[js] ^ sk[i]).sum(axis=1, dtype=np.int64) <= most
         for j in js[near].tolist():
             pair = (int(min(c[i], c[j])), int(max(c[i], c[j])))
-            if skip is None:
+            x, y = find(int(comp[i])), find(int(comp[j]))
+            if x != y or not forest:
+                root[x] = y
                 found.append(pair)
-            elif pair not in skip:
-                x, y = find(int(comp[i])), find(int(comp[j]))
-                if x != y:
-                    root[x] = y
-                    found.append(pair)
     return found
 
 
-def _near(batches: Iterator[pa.RecordBatch], percent: int, failed: np.ndarray | None) -> Iterator[pa.RecordBatch]:
-    skip = None if failed is None else {(min(a, b), max(a, b)) for a, b in failed.tolist()}
+def _near(batches: Iterator[pa.RecordBatch], percent: int, forest: bool) -> Iterator[pa.RecordBatch]:
     held: list[tuple] = []
     at: tuple | None = None
 
@@ -231,13 +225,13 @@ def _near(batches: Iterator[pa.RecordBatch], percent: int, failed: np.ndarray |
         for row in zip(*cols, strict=True):
             if row[:3] != at:
                 if len(held) > 1:
-                    found += _key_pairs(held, percent, skip)
+                    found += _key_pairs(held, percent, forest)
                 held, at = [], row[:3]
             held.append(row[3:])
         if found:
             yield out(found)
     if len(held) > 1:
-        yield out(_key_pairs(held, percent, skip))
+        yield out(_key_pairs(held, percent, forest))
 
 
 def ngram_join(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -258,7 +252,7 @@ def ngram_join(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "do
     met = rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("m")).filter("lo < hi")
     met = common.written(met, "met")
     wide = met.filter("m > 2").select("key", "lo", "m")
-    several = rows.join(common.checked_broadcast(wide, 24), "key").select("key", "lo", "m", "c", "j", "r").distinct()
+    several = rows.join(wide, "key").select("key", "lo", "m", "c", "j", "r").distinct()
     two = met.filter("m = 2").select("key", "lo", "m", F.explode(F.array("lo", "hi")).alias("c"), F.lit(0).alias("j"), F.lit(0).alias("r"))
     members = common.written(several.unionByName(two), "members")
 
@@ -276,33 +270,24 @@ def ngram_join(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "do
     # Where a set's common and empty blocks leave slack, it meets each partner in another block.
     used = members.filter(F.col("m") > COMMON_KEY).groupBy("c", "j").agg(F.count("*").alias("used"))
     open_ = members.join(used, ["c", "j"], "left").filter((F.col("m") <= COMMON_KEY) | (F.col("used") > F.col("r"))).select("key", "c").distinct()
-    failed = np.zeros((0, 2), dtype=np.int64)
-    while True:
+    for forest in (True, False):
+        # First a spanning forest of the near sketches of each key; then, of the
+        # components that are left, every near pair: few, for their texts just miss.
         named = open_.join(labels.select(F.col("id").alias("c"), "component"), "c", "left").select("key", "c", F.coalesce("component", "c").alias("component"))
         spans = named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size")).filter("x < y").select("key", F.ceil(F.col("size") / BUCKET).cast("int").alias("parts"))
-        kept = common.written(named.join(spans, "key"), "open")
         # A large key's rows are dealt to pairs of parts, so no task holds them all.
         own = F.pmod(F.xxhash64("c"), F.col("parts")).cast("int")
-        dealt = kept.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        dealt = named.join(spans, "key").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         dealt = dealt.select("key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "c", "component").join(bits, "c")
-        sorted_ = dealt.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q", "own", "c").select("key", "p", "q", "own", "c", "component", "n", "bits")
-        skip = failed
-        pairs = common.written(sorted_.mapInArrow(lambda it, x=skip: _near(it, percent, x), "a long, b long").distinct(), "pairs")
-        if pairs.isEmpty():
-            break
+        rows = dealt.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q", "own", "c").select("key", "p", "q", "own", "c", "component", "n", "bits")
+        pairs = common.written(rows.mapInArrow(lambda it, f=forest: _near(it, percent, f), "a long, b long").distinct(), "pairs")
         more = _links(pairs, texts, k, percent)
+        if more.isEmpty():
+            if pairs.isEmpty():
+                break
+            continue
         links = links.union(more)
         labels = components(links)
-        # Pairs that only looked near are left out of the next round; each round has a spanning forest of the others.
-        lost = pairs.join(more, ["a", "b"], "left_anti")
-        n_lost = lost.count()
-        if not n_lost:
-            break
-        if n_lost + len(failed) > FAILED_PAIRS:
-            every = sorted_.mapInArrow(lambda it: _near(it, percent, None), "a long, b long").distinct()
-            labels = components(links.union(_links(every, texts, k, percent)))
-            break
-        failed = np.concatenate((failed, np.array([tuple(r) for r in lost.collect()], dtype=np.int64).reshape(-1, 2)))
 
     least = slim.filter("n > 0").join(labels.select(F.col("id").alias("c"), "component"), "c", "left").groupBy(F.coalesce("component", "c").alias("component")).agg(F.min("doc_id").alias("component_id"))
     named = slim.join(labels.select(F.col("id").alias("c"), "component"), "c", "left").withColumn("component", F.when(F.col("n") > 0, F.coalesce("component", "c")))
