@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import time
+import uuid
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from typing import Any
@@ -51,12 +52,14 @@ class LogRun:
         self.clock = clock or time.monotonic
         self.report = LogReport(max_seen=0, by_stream={s.name: 0 for s in self.streams})
         self.done = False
+        self.run_id = uuid.uuid4().hex[:12]
 
     def batch(self, log: DataFrame, number: int = 0) -> None:
         """Decodes, fans out, counts, and moves bookmarks, for a batch of ``lsn, payload``."""
         if self.landing:
-            log.write.mode("overwrite").parquet(f"{self.landing}/batch={number}")
-            log = self.spark.read.schema(wal.SCHEMA).parquet(f"{self.landing}/batch={number}")
+            path = f"{self.landing}/run={self.run_id}/batch={number}"
+            log.write.mode("overwrite").parquet(path)
+            log = self.spark.read.schema(wal.SCHEMA).parquet(path)
         messages = dispatched(log, self.routes).persist()
         try:
             for s in self.streams:
