@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import common
 
-#: Letter codes: 0 is a word edge, then a-z, frequent accented letters, all other letters.
+#: Letter codes: 0 is a word edge, then a-z, frequent accented letters, three for all other letters; the last one is none and has no weight.
 LETTERS = " abcdefghijklmnopqrstuvwxyzéèêçüöäßñíóáúàâîôû"
-A = len(LETTERS) + 3
+A = len(LETTERS) + 4
 SPAN, DECAY = 6, 0.7
 GAPS3 = [(x, y) for x in range(1, SPAN) for y in range(x + 1, SPAN)]
 GAPS4 = [(x, y, z) for x, y in GAPS3 for z in range(y + 1, SPAN)]
@@ -55,7 +55,7 @@ def _letter_table() -> np.ndarray:
 
 _TABLE = _letter_table()
 #: Each code as a Latin-1 letter.
-_SHOWN = (LETTERS + "~~~").encode("latin-1").ljust(256, b"~")
+_SHOWN = (LETTERS + "~~~ ").encode("latin-1").ljust(256, b"~")
 
 
 @dataclass
@@ -86,7 +86,7 @@ def words_of(texts: list[str]) -> Words:
     keep[first[joined] - 1] = False
     first, text = first[~joined], text[~joined]
     index = np.cumsum(keep) - 1
-    return Words(np.concatenate((codes[keep], np.zeros(SPAN, np.uint8))), index[first] - 1, np.searchsorted(text, np.arange(len(texts) + 1)))
+    return Words(np.concatenate((codes[keep], [0], np.full(SPAN - 1, A - 1))).astype(np.uint8), index[first] - 1, np.searchsorted(text, np.arange(len(texts) + 1)))
 
 
 def _indexes(codes: np.ndarray) -> Iterator[tuple[int, float, np.ndarray]]:
@@ -117,7 +117,7 @@ def _subsequences(words: list[str]) -> list[dict[int, float]]:
     """Kernel features of single words (strings of letters), without the numbers that cross into other words."""
     found = []
     for w in words:
-        codes = np.array([0, *(LETTERS.find(c) if c in LETTERS else A - 1 for c in w), 0], dtype=np.uint8)
+        codes = np.array([0, *(LETTERS.find(c) if c in LETTERS else A - 2 for c in w), 0], dtype=np.uint8)
         feats: dict[int, float] = {}
         n = len(codes)
         for gaps, base in ((GAPS3, 0), (GAPS4, A**3)):
