@@ -16,8 +16,12 @@ EMITTED = (UPSERT, DELETE)
 
 
 def decoded(log: DataFrame) -> DataFrame:
-    """``lsn, payload`` with ``msg``, the parsed payload, null if it can't be read."""
-    return log.withColumn("msg", parsed(F.col("payload")))
+    """``lsn, payload`` with ``msg``, the parsed payload, null if it can't be read.
+
+    The one-element explode keeps later filters above it: pushed below, each
+    mention of ``msg`` would parse the payload again.
+    """
+    return log.select("*", F.explode(F.array(parsed(F.col("payload")))).alias("msg"))
 
 
 def action_of(msg: Column) -> Column:
