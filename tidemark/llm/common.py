@@ -7,6 +7,7 @@ driver's file system closes.  Nothing here keeps state on an executor's disk.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -61,6 +62,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of jobs that are done: its cleaner goes by the driver's garbage collection."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def small_enough(df: DataFrame, row_bytes: int = 16, limit: int = BROADCAST_BYTES) -> bool:
     """Counts a written table to see whether it may be broadcast."""
     return df.count() * row_bytes <= limit

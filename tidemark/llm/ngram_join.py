@@ -147,7 +147,7 @@ def _links(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFram
 
 
 def _bits(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    """The dense parity sketch of each text: a power of two bits, at least eight a shingle and 64 in all."""
+    """The dense parity sketch of each text: a power of two bits, at least two a shingle and 64 in all."""
     for batch in batches:
         c, texts = batch.column(0), batch.column(1)
         for lo, hi in common.text_slices(texts):
@@ -157,7 +157,7 @@ def _bits(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]
             sizes, made = [], []
             for i in range(hi - lo):
                 h = shingle_set(words[at[i] : at[i + 1]], k)
-                width = max(64, 1 << (8 * max(1, len(h)) - 1).bit_length())
+                width = max(64, 1 << (2 * max(1, len(h)) - 1).bit_length())
                 odd = np.bincount((h & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
                 sizes.append(len(h))
                 made.append(np.packbits(odd.astype(np.uint8)).tobytes())
@@ -248,13 +248,15 @@ def ngram_join(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "do
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     t0 = common.written(docs.mapInArrow(lambda it: _sketch(it, k, percent), "doc_id long, n long, c long, s2 long, k0 array<long>, r0 int, k1 array<long>, r1 int"), "sketches")
     slim = t0.select("doc_id", "n", "c", "s2")
-    rows = t0.select("c", F.explode(F.array(*(F.struct(F.lit(j).alias("j"), F.col(f"k{j}").alias("ks"), F.col(f"r{j}").alias("r")) for j in (0, 1)))).alias("x")).select("c", "x.j", "x.r", F.explode("x.ks").alias("key"))
+    rows = t0.select("c", F.explode(F.concat("k0", "k1")).alias("key"))
     met = rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("m")).filter("lo < hi")
     met = common.written(met, "met")
+    common.tidy(docs.sparkSession)
     wide = met.filter("m > 2").select("key", "lo", "m")
-    several = rows.join(wide, "key").select("key", "lo", "m", "c", "j", "r").distinct()
-    two = met.filter("m = 2").select("key", "lo", "m", F.explode(F.array("lo", "hi")).alias("c"), F.lit(0).alias("j"), F.lit(0).alias("r"))
-    members = common.written(several.unionByName(two), "members")
+    several = rows.join(wide, "key").select("key", "lo", "m", "c").distinct()
+    two = met.filter("m = 2").select("key", "lo", "m", F.explode(F.array("lo", "hi")).alias("c"))
+    members = common.written(several.union(two), "members")
+    common.tidy(docs.sparkSession)
 
     classes = slim.filter("n > 0").groupBy("c", "s2", "n").agg(F.min("doc_id").alias("rep"))
     needed = common.written(members.select("c").distinct().join(classes, "c").groupBy("c").agg(F.min("rep").alias("rep")), "needed")
@@ -267,9 +269,12 @@ def ngram_join(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "do
     links = _links(best, texts, k, percent)
     labels = components(links)
 
-    # Where a set's common and empty blocks leave slack, it meets each partner in another block.
-    used = members.filter(F.col("m") > COMMON_KEY).groupBy("c", "j").agg(F.count("*").alias("used"))
-    open_ = members.join(used, ["c", "j"], "left").filter((F.col("m") <= COMMON_KEY) | (F.col("used") > F.col("r"))).select("key", "c").distinct()
+    # Where a set's common and empty blocks leave slack in both bands, it meets each partner in another block.
+    spare = t0.groupBy("c").agg(F.min(F.when(F.size("k1") > 0, F.least("r0", "r1")).otherwise(F.col("r0"))).alias("spare"))
+    used = members.filter(F.col("m") > COMMON_KEY).groupBy("c").agg(F.count("*").alias("used")).join(spare, "c").filter("used > spare").select(F.col("c").alias("full"))
+    common_keys = members.filter(F.col("m") > COMMON_KEY).join(used, F.col("c") == F.col("full")).select("key", "c")
+    open_ = members.filter(F.col("m") <= COMMON_KEY).select("key", "c").union(common_keys)
+
     for forest in (True, False):
         # First a spanning forest of the near sketches of each key; then, of the
         # components that are left, every near pair: few, for their texts just miss.
@@ -281,6 +286,7 @@ def ngram_join(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "do
         dealt = dealt.select("key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "c", "component").join(bits, "c")
         rows = dealt.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q", "own", "c").select("key", "p", "q", "own", "c", "component", "n", "bits")
         pairs = common.written(rows.mapInArrow(lambda it, f=forest: _near(it, percent, f), "a long, b long").distinct(), "pairs")
+        common.tidy(docs.sparkSession)
         more = _links(pairs, texts, k, percent)
         if more.isEmpty():
             if pairs.isEmpty():
