@@ -25,7 +25,8 @@ from tidemark.operators.dispatch import Routes, counters, counts_by_stream, disp
 from tidemark.operators.table_stream import bootstrap, flattened, in_order, mapped, new_bookmark, read_stream, since, where_all
 from tidemark.plans.catalog import Catalog, StreamSpec, of_frame
 from tidemark.sources.tables import ParquetTables
-from tidemark.streaming.state import advance_column, forward_column
+from tidemark.streaming.run import LogRun, scratch_folder
+from tidemark.streaming.state import State, advance_column, forward_column
 
 TABLES = {"region": ("r_regionkey",), "nation": ("n_nationkey",), "customer": ("c_custkey",), "supplier": ("s_suppkey",), "part": ("p_partkey",), "orders": ("o_orderkey",), "lineitem": ("l_orderkey", "l_linenumber"), "events": ("event_id",)}
 NOW = "2024-02-01T00:00:00Z"
@@ -138,6 +139,15 @@ def wal_decode_all(spark, sf_dir):
     return rows_of(emitted(found, spec), spec, F.lit(NOW))
 
 
+def wal_stream_run(spark, sf_dir):
+    """The log landed as files, read as a stream, decoded batch by batch, written by stream, and read back."""
+    folder = scratch_folder(spark, "wal-stream")
+    event_log(spark, sf_dir).select("lsn", "payload").repartition(3, "lsn").write.parquet(f"{folder}/log")
+    run = LogRun(spark, [event_stream()], State(), messages.FileSink(f"{folder}/out", "parquet", None), {}, now=F.lit(NOW))
+    run.replay(f"{folder}/log", f"{folder}/checkpoint", files_per_batch=2)
+    return spark.read.parquet(f"{folder}/out/public-events")
+
+
 def wal_upserts(spark, sf_dir):
     found, spec = _events_rows(spark, sf_dir)
     return rows_of(found.filter("disposition = 'upsert'"), spec, F.lit(NOW)).select("event_id", "user_id", "value", "event_type", "_sdc_lsn")
@@ -346,7 +356,7 @@ def where_all_or(spark, sf_dir):
 
 _FOUND = [
     full_table_orders, select_columns_customer, custom_where_and, custom_where_or_grouped, where_all_or, limit_topk, incremental_from_bookmark, incremental_null_key_excluded, incremental_null_key_included, incremental_new_bookmark, replication_order_nulls_first,
-    wal_decode_all, wal_upserts, wal_deletes, wal_delete_identity_only, wal_non_data, wal_enum_repair, wal_malformed_count, wal_quarantine, wal_text_array, wal_numeric_empty_to_null, wal_route_two_tables, wal_unroutable, wal_per_stream_lsn_filter, wal_counters, wal_counts_zero_filled, wal_max_lsn_seen, wal_min_start, wal_safe_advance, forward_only_bookmark,
+    wal_decode_all, wal_stream_run, wal_upserts, wal_deletes, wal_delete_identity_only, wal_non_data, wal_enum_repair, wal_malformed_count, wal_quarantine, wal_text_array, wal_numeric_empty_to_null, wal_route_two_tables, wal_unroutable, wal_per_stream_lsn_filter, wal_counters, wal_counts_zero_filled, wal_max_lsn_seen, wal_min_start, wal_safe_advance, forward_only_bookmark,
     bootstrap_snapshot, bootstrap_then_wal, lsn_text_to_int, add_tables_escape, slot_name_valid, timestamps_iso, dates_as_string, json_props_variant, flatten_props, stream_map, hstore_values, record_messages, discover_columns, log_based_schema, type_mapping, promoted_types, filter_schemas,
 ]
 
@@ -399,6 +409,7 @@ def oracle_sql() -> dict[str, str]:
         "incremental_new_bookmark": "SELECT max(ts) AS bookmark FROM events",
         "replication_order_nulls_first": f"SELECT * FROM (SELECT event_id, k, row_number() OVER (ORDER BY k NULLS FIRST, event_id) AS pos FROM {_NULLKEY}) WHERE pos <= 200",
         "wal_decode_all": f"SELECT * FROM {_ROWS}",
+        "wal_stream_run": f"SELECT * FROM {_ROWS}",
         "wal_upserts": f"SELECT event_id, user_id, value, event_type, _sdc_lsn FROM {_ROWS} WHERE _sdc_deleted_at IS NULL",
         "wal_deletes": f"SELECT event_id, _sdc_deleted_at, _sdc_lsn FROM {_ROWS} WHERE _sdc_deleted_at IS NOT NULL",
         "wal_delete_identity_only": "SELECT event_id, NULL::BIGINT AS user_id, NULL::DOUBLE AS value, NULL::VARCHAR AS event_type, 'event_id' AS present FROM events WHERE event_type = 'view'",

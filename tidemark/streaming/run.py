@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import time
 import uuid
 from collections.abc import Iterable, Mapping
@@ -115,6 +116,15 @@ class LogRun:
         self._advance(client)
         return self.report
 
+    def replay(self, landed: str, checkpoint: str, files_per_batch: int = 64) -> LogReport:
+        """Decodes a log that was landed as Parquet, in micro-batches; what the checkpoint has seen isn't read again."""
+        self.sink.schemas(self.streams)
+        stream = self.spark.readStream.schema(wal.SCHEMA).option("maxFilesPerTrigger", files_per_batch).option("recursiveFileLookup", "true").parquet(landed)
+        query = stream.writeStream.foreachBatch(self.batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination()
+        self.report.caught_up = True
+        return self.report
+
     def _drain(self, seconds: float) -> bool:
         """Reads what there is now; whether all was read within the time."""
         stream = self.spark.readStream.format(wal.FORMAT).options(**self.options).load()
@@ -209,5 +219,14 @@ class Engine:
         return LogRun(self.spark, specs, self.state, sink, {"slot": self.settings.replication_slot_name, **options}, self.settings, **more).run()
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder that all executors see: below the cluster's checkpoint folder, a temporary one only where none is set."""
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-")
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
+
+
 def state_file(folder: str) -> State:
     return State(os.path.join(folder, "state.json"))
