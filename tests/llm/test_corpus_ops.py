@@ -156,6 +156,12 @@ def test_decontamination(spark):
         assert set(words) & set(dict(items)[item].split()) and len(words) < 2 * len(dict(items)[item].split())
 
 
+def test_parts_of_items(spark):
+    item = " ".join(f"q{j}" for j in range(60))
+    docs = [(n, "before " + " ".join(item.split()[20 : 20 + n]) + " after that") for n in (5, 12, 13, 30)]
+    assert set(leaks(spark, docs, [(1, item)])) == {(13, 1), (30, 1)}
+
+
 def test_decontamination_of_odd_tables(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 60)
     items = [(i, " ".join(f"q{i}x{j}" for j in range(12))) for i in range(5)]

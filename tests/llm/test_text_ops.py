@@ -26,7 +26,7 @@ def article(n=4):
     return [PARA.format(i) for i in range(n)]
 
 
-@pytest.mark.parametrize("box", ["<article>{}</article>", "<div class='content'>{}</div>", "<main><div>{}</div></main>", "<div><div id=story>{}</div></div>", "<table><tr><td>{}</td></tr></table>"])
+@pytest.mark.parametrize("box", ["<article>{}</article>", "<div class='content'>{}</div>", "<main><div>{}</div></main>", "<div><div id=story>{}</div></div>", "<table><tr><td>{}</td></tr></table>", "<div class='post has-sidebar overflow-hidden'><div class='elementor-widget'>{}</div></div>"])
 def test_article_without_the_rest(box):
     body = box.format("<h1>Title of it</h1>" + "".join(f"<p>{p}" for p in article()))
     junk = "<nav><ul><li><a href=/>Home, page</a></li></ul></nav><div class=ad>Buy, now, cheap, stuff, today</div><form><p>Mail, please, here</p></form><aside><p>Side, bar, text</p></aside><!-- <p>hidden</p> -->"

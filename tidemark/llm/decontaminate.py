@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from tidemark.llm import common
 
 SEED, MATCH = 3, 2
-#: An item is met if its best alignment reaches this share of a full match.
-LEAST = 0.4
+#: An item is met if its best alignment reaches this share of a full match, or the score of so many words in a row.
+LEAST, WORDS = 0.4, 13
 #: Seeds met by chance: at most this many for each word of ordinary text, over all seeds of a block.
 CHANCE = 2e-5
 #: Each item keeps so many of its rarest seeds in any case.
@@ -67,8 +67,11 @@ class Items:
         return bits
 
 
-def choose_seeds(ids: list[int], words: list[np.ndarray], share: dict[int, float]) -> Items:
-    """The rare seeds of a block, given each word's share of all corpus words."""
+def choose_seeds(ids: list[int], words: list[np.ndarray], share: dict[int, float], corpus: int) -> Items:
+    """The rare seeds of a block, given each word's share of all words of the corpus, and how many those are.
+
+    Rare is also what ordinary text of that length would have less than once.
+    """
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     total = sum(max(0, len(w) - SEED + 1) for w in words)
     for i, w in enumerate(words):
@@ -77,7 +80,7 @@ def choose_seeds(ids: list[int], words: list[np.ndarray], share: dict[int, float
         p = np.array([share.get(int(x), 0.0) for x in w.tolist()])
         rate = np.prod([p[j : len(p) - SEED + 1 + j] for j in range(SEED)], axis=0)
         order = np.argsort(rate, kind="stable")
-        keep = order[(np.arange(len(order)) < KEPT) | (rate[order] <= CHANCE / max(1, total))]
+        keep = order[(np.arange(len(order)) < KEPT) | (rate[order] <= max(CHANCE / max(1, total), 1 / corpus))]
         found.append((seeds_of(w)[keep], np.full(len(keep), i), keep))
     if not found:
         none = np.zeros(0, np.int64)
@@ -133,7 +136,7 @@ def matches(words: np.ndarray, items: Items, bits: np.ndarray, least: float) ->
             a, b = max(0, int(part[0]) - slack), min(len(words), int(part[-1]) + len(mine) + slack)
             score, x, y = align(mine, words[a:b])
             best = max(best, (score / (MATCH * len(mine)), a + x, a + y), key=lambda t: t[0])
-        if best[0] >= least:
+        if best[0] >= min(least, WORDS / len(mine)):
             found.append((i, *best))
     return found
 
@@ -179,7 +182,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) ->
     Words are lowered and cut at ASCII punctuation and white space.  ``score``
     is that of the best local alignment over that of a full match.  Items of
     fewer than three words have no seeds and are left out; null texts have no
-    words.  Items of equal text and documents of equal text are each reported.
+    words.  A part of an item counts from LEAST of it on, or from WORDS words.
+    Items of equal text and documents of equal text are each reported.
     An empty table on either side gives no rows.
     """
     items = benchmark.filter("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
@@ -197,7 +201,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) ->
         counts = {r["word"]: r["n"] for r in texts.select("text").mapInArrow(lambda it, w=wanted: _count_words(it, w), "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()}
         all_words = max(1, counts.get(-1, 1))
         share = {int(wanted[w]): c / all_words for w, c in counts.items() if w >= 0}
-        block = choose_seeds([r["item_id"] for r in rows], words, share)
+        block = choose_seeds([r["item_id"] for r in rows], words, share, all_words)
         sent = texts.sparkSession.sparkContext.broadcast(block)
         part = texts.mapInArrow(lambda it, b=sent: _find(it, b.value, least), _ROW)
         found = part if n == 0 else found.union(part)

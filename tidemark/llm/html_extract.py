@@ -27,7 +27,7 @@ _BLOCK = frozenset(
 )
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
 _BAD = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|adsense|banner|promo|promoted|sponsor|sponsored|sponsors|sidebar|side-?bar|comments?|disqus|replies|respond|nav|navbar|navigation|menu|breadcrumbs?|footer|header|masthead|cookies?|consent|gdpr|notice|popup|modal|overlay|newsletter|subscribe|subscription|signup|share|sharing|social|related|recommended|pagination|pager|toolbar|widget|disclaimer|copyright|skip|hidden|form|login|search|tags|outbrain|taboola)(?:$|[\s_-])",
+    r"(?:^|[\s_-])(?<!has-)(?<!with-)(?<!no-)(?:ads?|adverts?|advertisement|advertising|adsense|banner|promo|promoted|sponsor|sponsored|sponsors|sidebar|side-?bar|comments?|disqus|replies|respond|nav|navbar|navigation|menu|breadcrumbs?|footer|header|masthead|cookies?|consent|gdpr|notice|popup|modal|overlay|newsletter|subscribe|subscription|signup|share|sharing|social|related|recommended|pagination|pager|toolbar|disclaimer|copyright|skip|form|login|search|tags|outbrain|taboola)(?:$|[\s_-])|(?:^|\s)widget(?:$|\s|-area|_)",
     re.I,
 )
 _GOOD = re.compile(r"(?:^|[\s_-])(?:article|main|content|post|entry|story|body|text|blog)(?:$|[\s_-])", re.I)
