@@ -246,17 +246,22 @@ def ngram_join(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "do
     shingle set, and is in no other component.  Other columns are ignored, so their names can't clash.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    t0 = common.written(docs.mapInArrow(lambda it: _sketch(it, k, percent), "doc_id long, n long, c long, s2 long, k0 array<long>, r0 int, k1 array<long>, r1 int"), "sketches")
-    slim = t0.select("doc_id", "n", "c", "s2")
+    spark = docs.sparkSession
+    path = common.scratch_path(spark, "sketches")
+    docs.mapInArrow(lambda it: _sketch(it, k, percent), "doc_id long, n long, c long, s2 long, k0 array<long>, r0 int, k1 array<long>, r1 int").write.parquet(path)
+    t0 = spark.read.parquet(path)
+    spare = F.when(F.size("k1") > 0, F.least("r0", "r1")).otherwise(F.col("r0"))
+    slim = common.written(t0.select("doc_id", "n", "c", "s2", spare.alias("spare")), "slim")
     rows = t0.select("c", F.explode(F.concat("k0", "k1")).alias("key"))
     met = rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("m")).filter("lo < hi")
     met = common.written(met, "met")
-    common.tidy(docs.sparkSession)
+    common.tidy(spark)
     wide = met.filter("m > 2").select("key", "lo", "m")
     several = rows.join(wide, "key").select("key", "lo", "m", "c").distinct()
     two = met.filter("m = 2").select("key", "lo", "m", F.explode(F.array("lo", "hi")).alias("c"))
     members = common.written(several.union(two), "members")
-    common.tidy(docs.sparkSession)
+    common.remove(spark, path)
+    common.tidy(spark)
 
     classes = slim.filter("n > 0").groupBy("c", "s2", "n").agg(F.min("doc_id").alias("rep"))
     needed = common.written(members.select("c").distinct().join(classes, "c").groupBy("c").agg(F.min("rep").alias("rep")), "needed")
@@ -267,10 +272,11 @@ def ngram_join(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "do
     star = members.filter("c != lo").groupBy(F.col("lo").alias("a"), F.col("c").alias("b")).agg(F.count("*").alias("w"))
     best = star.groupBy("b").agg(F.max_by("a", F.struct("w", "a")).alias("a")).select("a", "b")
     links = _links(best, texts, k, percent)
+    common.tidy(spark)
     labels = components(links)
 
     # Where a set's common and empty blocks leave slack in both bands, it meets each partner in another block.
-    spare = t0.groupBy("c").agg(F.min(F.when(F.size("k1") > 0, F.least("r0", "r1")).otherwise(F.col("r0"))).alias("spare"))
+    spare = slim.groupBy("c").agg(F.min("spare").alias("spare"))
     used = members.filter(F.col("m") > COMMON_KEY).groupBy("c").agg(F.count("*").alias("used")).join(spare, "c").filter("used > spare").select(F.col("c").alias("full"))
     common_keys = members.filter(F.col("m") > COMMON_KEY).join(used, F.col("c") == F.col("full")).select("key", "c")
     open_ = members.filter(F.col("m") <= COMMON_KEY).select("key", "c").union(common_keys)
@@ -286,13 +292,14 @@ def ngram_join(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "do
         dealt = dealt.select("key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "c", "component").join(bits, "c")
         rows = dealt.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q", "own", "c").select("key", "p", "q", "own", "c", "component", "n", "bits")
         pairs = common.written(rows.mapInArrow(lambda it, f=forest: _near(it, percent, f), "a long, b long").distinct(), "pairs")
-        common.tidy(docs.sparkSession)
+        common.tidy(spark)
         more = _links(pairs, texts, k, percent)
         if more.isEmpty():
             if pairs.isEmpty():
                 break
             continue
         links = links.union(more)
+        common.tidy(spark)
         labels = components(links)
 
     least = slim.filter("n > 0").join(labels.select(F.col("id").alias("c"), "component"), "c", "left").groupBy(F.coalesce("component", "c").alias("component")).agg(F.min("doc_id").alias("component_id"))
