@@ -23,7 +23,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Largest id list, in bytes, that may be broadcast; above it a shuffle join is used.
 BROADCAST_BYTES = 32 << 20
 #: Text bytes hashed at once: bounds the arrays a Python worker holds.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
+#: Rows that Spark hands a Python worker at once where the session has its default of 10,000: texts are long.
+BATCH_ROWS = 1000
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -62,6 +64,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def short_batches(spark: SparkSession) -> None:
+    """Keeps batches of texts small, so that a worker's memory stays so; a session's own setting is left alone."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name, "10000") == "10000":
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def tidy(spark: SparkSession) -> None:
     """Lets Spark delete the shuffle files of jobs that are done: its cleaner goes by the driver's garbage collection."""
     gc.collect()

@@ -186,6 +186,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) ->
     Items of equal text and documents of equal text are each reported.
     An empty table on either side gives no rows.
     """
+    common.short_batches(docs.sparkSession)
     items = benchmark.filter("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = int(-(-size // BLOCK_BYTES))

@@ -254,4 +254,5 @@ def html_extract(pages: DataFrame) -> DataFrame:
     long pages are read whole.  Rows are independent: no shuffle, repeated rows
     give repeated results, other columns are ignored.
     """
+    common.short_batches(pages.sparkSession)
     return pages.select("page_id", "url", "html").mapInArrow(_extract, "page_id long, url string, text string, n_chars long")

@@ -247,6 +247,7 @@ def ngram_join(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "do
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     spark = docs.sparkSession
+    common.short_batches(spark)
     path = common.scratch_path(spark, "sketches")
     docs.mapInArrow(lambda it: _sketch(it, k, percent), "doc_id long, n long, c long, s2 long, k0 array<long>, r0 int, k1 array<long>, r1 int").write.parquet(path)
     t0 = spark.read.parquet(path)

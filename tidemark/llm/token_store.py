@@ -421,6 +421,7 @@ def write_tokens(docs: DataFrame, root: str, tokenizer: str) -> DataFrame:
     Documents are in ascending order of doc_id over the files (null first, rows
     of equal id by a hash of their text).  A null text is an empty one.
     """
+    common.short_batches(docs.sparkSession)
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
     ordered = ordered.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "text")
     return common.written(ordered.mapInArrow(lambda it: _write(it, root, tokenizer), "part long, name string, docs long, ids long"), "manifest")

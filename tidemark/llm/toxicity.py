@@ -328,6 +328,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> Data
     labels of both kinds, or words that tell them apart, all scores are 0.
     Repeated rows give repeated results.
     """
+    common.short_batches(docs.sparkSession)
     model = train(docs, labels)
     scored = docs.select("doc_id", "text").mapInArrow(lambda it: _score(it, model), "doc_id long, score double")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
@@ -335,6 +336,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> Data
 
 def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """The documents that are not predicted toxic, with all their columns."""
+    common.short_batches(docs.sparkSession)
     model = train(docs, labels)
     names, kinds = docs.columns, docs.schema
 
