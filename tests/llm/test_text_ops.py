@@ -144,6 +144,28 @@ def test_formats_links_and_validation(spark):
     assert masked(spark, ["4539578763621486"], "other key")[0]["text"] != two
 
 
+PHONES = ["555-123-4567", "(555) 123-4567", "(555)123-4567", "555.123.4567", "555 123 4567", "1-800-555-1234", "+49 30 1234567", "+4930123456", "+49 (0)30 1234567", "+1 555 123 4567", "+15551234567", "+44 20 7946 0958", "0044 20 7946 0958", "030 1234567", "030/1234567", "01 23 45 67 89", "(030) 1234567", "+1 (017) 555-7713", "+420 (601) 555-7713"]
+CODES = {"1-800-555-1234": "1", "+4930123456": "+49", "+15551234567": "+1", "0044 20 7946 0958": "0044"}
+
+
+def test_phone_layouts(spark):
+    got = masked(spark, [f"tel {p}, or" for p in PHONES])
+    for p, r in zip(PHONES, got, strict=True):
+        new = r["text"][4:-4]
+        code = CODES.get(p) or (p.split(" ")[0] if p[0] == "+" else "")
+        assert r["n_phone"] == r["n_replaced"] == 1 and new != p and new.startswith(code), p
+        assert re.sub(r"\d", "0", new) == re.sub(r"\d", "0", p)
+    same = {re.sub(r"\D", "", r["text"][4:-4])[-10:] for p, r in zip(PHONES, got, strict=True) if re.sub(r"\D", "", p)[-10:] == "5551234567"}
+    assert len(same) == 1
+
+
+def test_not_phones(spark):
+    texts = ["0.12345678 and 1234567890", "+1500000 units", "05-06-2024 10:30", "in 2019 12 of 345 were 6789", "a+49 30 1234567", "0800-1700", "12 345 678 900", "v1.555.12.4567"]
+    assert [(r["text"], r["n_phone"]) for r in masked(spark, texts)] == [(t, 0) for t in texts]
+    d = masked(spark, ["+49 30 1234567 2024-01-01 and 555-123-4567 2024-01-01, +49 30 1234567 3.4.2024"])[0]
+    assert (d["n_phone"], d["n_date"]) == (3, 3)
+
+
 def test_dates_are_a_bijection(spark):
     days = [date(1900, 1, 1) + timedelta(days=31 * i) for i in range(2300)]
     got = masked(spark, [d.isoformat() for d in days])

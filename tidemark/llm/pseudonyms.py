@@ -20,16 +20,31 @@ ROUNDS = 10
 #: Days from 1900-01-01 that dates are permuted within (to 2099-12-31): 17 times 4297.
 DAYS = (17, 4297)
 _SIDE, _END = r"(?<![0-9A-Za-z])", r"(?![0-9A-Za-z])"
+#: A date is never read as part of a number before it.
+_DATE = r"(?:\d{4}-\d{2}-\d{2}|\d{1,2}[./]\d{1,2}[./]\d{4})"
+#: Between two digits of a phone number: a separator, a bracket, or both.
+_GAP = rf"(?:[ ./-]|[ .-]?\(|\)[ .-]?)(?!{_DATE}{_END})"
+#: Country codes by their own length, for numbers that nothing divides from it.
+_CODE = r"1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}"
 #: kind -> pattern; the first that fits a place is taken.
 KINDS = {
     "iso_date": r"\d{4}-\d{2}-\d{2}",
     "day_date": r"\d{1,2}[./]\d{1,2}[./]\d{4}",
     "ssn": r"\d{3}-\d{2}-\d{4}",
-    "phone": r"\+\d{1,3} \(\d{3}\) \d{3}-\d{4}",
+    "phone": "|".join(
+        [
+            r"\+\d{1,3} \(\d{3}\) \d{3}-\d{4}",
+            rf"\+1(?:(?:{_GAP})?\d){{10}}",
+            rf"(?:\+[2-9]|00[1-9]\d{{0,2}}(?=[ ./(-]))(?:(?:{_GAP})?\d){{6,14}}",
+            r"(?:1[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![.-]\d)",
+            r"\(\d{2,5}\)[ ./-]?\d(?:[ .-]?\d){5,8}(?![.-]\d)",
+            r"(?!\d{1,2}-\d{1,2}-\d{4})0[1-9](?:[ /-]\d(?:[ -]?\d){6,9}|\d[ /-]\d(?:[ -]?\d){5,8}|\d{2,3}[ /-]\d(?:[ -]?\d){4,7})(?![.-]\d)",
+        ]
+    ),
     "ip": r"(?<!\d\.)\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.\d)",
     "card": r"\d(?:[ -]?\d){12,18}",
 }
-ANY = f"{_SIDE}(?:" + "|".join([KINDS["iso_date"], KINDS["day_date"], KINDS["ssn"], KINDS["ip"], KINDS["card"]]) + f"){_END}|(?<![0-9A-Za-z+]){KINDS['phone']}{_END}"
+ANY = f"{_SIDE}(?:" + "|".join([KINDS["iso_date"], KINDS["day_date"], KINDS["ssn"], KINDS["ip"], f"(?<!\\+)(?:{KINDS['phone']})", KINDS["card"]]) + f"){_END}"
 
 
 def _let(value: Column, body) -> Column:
@@ -156,9 +171,13 @@ def _ssn(token: Column, key: str) -> Column:
 
 
 def _phone(token: Column, key: str) -> Column:
-    """Country code kept; area, exchange and line permuted together."""
-    digits = F.regexp_replace(F.regexp_extract(token, r"\(.*", 0), "[^0-9]", "")
-    return F.concat(F.regexp_extract(token, r"^\+\d+ ", 0), _let(_digits(digits, key, F.lit("phone")), lambda x: _fill(F.regexp_extract(token, r"\(.*", 0), x)))
+    """Country code and layout kept; all other digits permuted together."""
+    code = F.regexp_extract(token, rf"^(?:(?:\+|00)(?:\d{{1,3}}(?=[ ./(-])|{_CODE})|1(?=[ .-]?(?:\(\d{{3}}\)[ .-]?|\d{{3}}[ .-])\d{{3}}[ .-]\d{{4}}$))", 0)
+
+    def made(rest: Column) -> Column:
+        return _let(_digits(F.regexp_replace(rest, "[^0-9]", ""), key, F.lit("phone")), lambda x: _fill(rest, x))
+
+    return F.concat(code, _let(F.substring(token, F.length(code) + 1, F.length(token)), made))
 
 
 def pseudonym(token: Column, key: str) -> Column:
@@ -177,7 +196,10 @@ def pseudonyms(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """``docs`` with the text's validated numbers and dates replaced, and counts of what was replaced by kind.
 
     Cards (13 to 19 digits that pass Luhn), social security numbers, phone
-    numbers, IPv4 addresses and dates from 1900 to 2099.  What doesn't validate
+    numbers, IPv4 addresses and dates from 1900 to 2099.  Phone numbers have a
+    country code (+ or 00; 7 to 15 digits, 11 with +1), the layout 3-3-4, an
+    area in brackets or one that begins with 0; separators and brackets are
+    free.  Bare runs of digits aren't phone numbers.  What doesn't validate
     stays as it is, and so does a text without any; a null text stays null and
     has counts of 0.  Added columns: n_replaced, n_card, n_ssn, n_phone, n_ip,
     n_date.
