@@ -166,6 +166,24 @@ def test_not_phones(spark):
     assert (d["n_phone"], d["n_date"]) == (3, 3)
 
 
+def test_cards_beside_other_numbers(spark):
+    card, other = "4111111111111111", "5500005555555559"
+    texts = [f"{card} 123", "4111 1111 1111 1111 12/26", f"5 {card}", f"{card} 2024-01-01", f"{card} 10.0.0.1", f"1234 {card} 5500 0055 5555 5559 77", f"{card} 123abc", "12 34 " * 40 + card, "12345 2024-01-01"]
+    a, b, c, d, e, f, g, h, i = masked(spark, texts)
+    new = masked(spark, [card])[0]["text"]
+    parts = re.fullmatch(r"(\d{4} \d{4} \d{4} \d{4}) 12/26", b["text"])
+    assert a["text"] == f"{new} 123" and parts and parts[1].replace(" ", "") == new and c["text"] == f"5 {new}" and g["text"] == f"{new} 123abc"
+    assert d["text"].startswith(f"{new} ") and (d["n_card"], d["n_date"]) == (1, 1) and (e["n_card"], e["n_ip"]) == (1, 1)
+    assert f["n_card"] == 2 and f["text"].startswith(f"1234 {new} ") and f["text"].endswith(" 77") and f["text"][22:41].replace(" ", "") == masked(spark, [other])[0]["text"]
+    assert h["n_card"] >= 1 and card not in h["text"] and i["n_date"] == 1
+    assert [r["n_card"] for r in (a, b, c, g)] == [1] * 4
+
+
+def test_long_rows_of_numbers(spark):
+    text = " ".join(str(n % 97) for n in range(3000))
+    assert len(masked(spark, [text, "7" * 5000])) == 2
+
+
 def test_dates_are_a_bijection(spark):
     days = [date(1900, 1, 1) + timedelta(days=31 * i) for i in range(2300)]
     got = masked(spark, [d.isoformat() for d in days])

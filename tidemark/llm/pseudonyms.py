@@ -26,6 +26,8 @@ _DATE = r"(?:\d{4}-\d{2}-\d{2}|\d{1,2}[./]\d{1,2}[./]\d{4})"
 _GAP = rf"(?:[ ./-]|[ .-]?\(|\)[ .-]?)(?!{_DATE}{_END})"
 #: Country codes by their own length, for numbers that nothing divides from it.
 _CODE = r"1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}"
+#: What a run of short numbers, in which cards are looked for, ends before.
+_OTHER = rf"{_DATE}|\d{{3}}-\d{{2}}-\d{{4}}|\d{{3}}[ -]\d{{3}}-\d{{4}}|\d{{1,3}}\.\d{{1,3}}\.\d{{1,3}}\.\d{{1,3}}(?!\.\d)"
 #: kind -> pattern; the first that fits a place is taken.
 KINDS = {
     "iso_date": r"\d{4}-\d{2}-\d{2}",
@@ -42,7 +44,7 @@ KINDS = {
         ]
     ),
     "ip": r"(?<!\d\.)\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.\d)",
-    "card": r"\d(?:[ -]?\d){12,18}",
+    "card": rf"(?=\d(?:[ -]?\d){{12}})\d++(?![A-Za-z])(?:[ -](?!(?:{_OTHER}){_END})\d++(?![A-Za-z]))*+",
 }
 ANY = f"{_SIDE}(?:" + "|".join([KINDS["iso_date"], KINDS["day_date"], KINDS["ssn"], KINDS["ip"], f"(?<!\\+)(?:{KINDS['phone']})", KINDS["card"]]) + f"){_END}"
 
@@ -99,12 +101,53 @@ def _fill(shape: Column, digits: Column) -> Column:
     return F.aggregate(F.split(shape, ""), zero, add, lambda acc: acc["out"])
 
 
+def _one_card(digits: Column, key: str) -> Column:
+    """Another run of that length that passes Luhn."""
+    body = _digits(F.substring(digits, F.lit(1), F.length(digits) - 1), key, F.lit("card"))
+    return _let(body, lambda x: F.concat(x, ((10 - _luhn(F.concat(x, F.lit("0"))) % 10) % 10).cast("string")))
+
+
 def _card(token: Column, key: str) -> Column:
-    def made(digits: Column) -> Column:
-        body = _digits(F.substring(digits, F.lit(1), F.length(digits) - 1), key, F.lit("card"))
-        return F.when(_luhn(digits) % 10 == 0, _let(body, lambda x: _let(F.concat(x, ((10 - _luhn(F.concat(x, F.lit("0"))) % 10) % 10).cast("string")), lambda y: _fill(token, y))))
+    """(number of cards, token with its cards replaced) of numbers with single blanks or hyphens between.
 
-    return _let(F.regexp_replace(token, "[^0-9]", ""), made)
+    A card is one number or several in a row that have 13 to 19 digits together
+    and pass Luhn; of all ways to take such cards, the one that covers most digits.
+    """
+    step = F.struct(F.lit(0).alias("covered"), F.lit(0).alias("size"))
+
+    def cards(digits: Column, ends: Column) -> Column:
+        def add(best: Column, j: Column) -> Column:
+            """Most digits covered by cards up to the j-th end, and the size of the card that ends there (0: none)."""
+            end = F.element_at(ends, j + 1)
+
+            def ending(i: Column) -> Column:
+                n = end - F.element_at(ends, i)
+                fits = (n >= 13) & (n <= 19)
+                valid = F.when(fits, _let(F.substring(digits, F.element_at(ends, i) + 1, n), lambda x: _luhn(x) % 10 == 0))
+                return F.when(valid, F.struct((F.element_at(best, i)["covered"] + n).alias("covered"), n.alias("size")))
+
+            none = F.struct(F.element_at(best, j)["covered"].alias("covered"), F.lit(0).alias("size"))
+            found = F.transform(F.sequence(F.greatest(F.lit(1), j - 18), j), ending)
+            return F.concat(best, F.array(F.array_max(F.concat(F.array(none), found))))
+
+        def back(acc: Column, j: Column) -> Column:
+            """From the last end to the first: the digits before acc.at are yet to be written."""
+            end, size = F.element_at(ends, j + 1), F.element_at(acc["best"], j + 1)["size"]
+            n = F.when(size > 0, size).otherwise(end - F.element_at(ends, j))
+            part = F.substring(digits, end - n + 1, n)
+            new = F.when(size > 0, _let(part, lambda x: _one_card(x, key))).otherwise(part)
+            moved = F.struct((end - n).alias("at"), F.concat(new, acc["out"]).alias("out"), (acc["n"] + (size > 0).cast("int")).alias("n"), acc["best"].alias("best"))
+            return F.when(acc["at"] == end, moved).otherwise(acc)
+
+        numbers = F.sequence(F.lit(1), F.size(ends) - 1)
+        best = F.aggregate(numbers, F.array(step), add)
+        start = lambda b: F.struct(F.length(digits).alias("at"), F.lit("").alias("out"), F.lit(0).alias("n"), b.alias("best"))
+        chosen = _let(best, lambda b: F.aggregate(F.reverse(numbers), start(b), back))
+        return _let(chosen, lambda x: F.struct(x["n"].alias("n"), F.when(x["n"] > 0, _fill(token, x["out"])).alias("value")))
+
+    sizes = F.transform(F.split(token, "[ -]"), lambda x: F.length(x))
+    ends = F.aggregate(sizes, F.array(F.lit(0)), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
+    return _let(F.struct(F.regexp_replace(token, "[^0-9]", "").alias("digits"), ends.alias("ends")), lambda x: cards(x["digits"], x["ends"]))
 
 
 def _day(y: Column, m: Column, d: Column) -> Column:
@@ -181,15 +224,16 @@ def _phone(token: Column, key: str) -> Column:
 
 
 def pseudonym(token: Column, key: str) -> Column:
-    """(kind, pseudonym) of a token that ANY finds; the pseudonym is null if it doesn't validate."""
+    """(kind, number of values, pseudonym) of a token that ANY finds; the pseudonym is null if nothing validates."""
     is_ = lambda kind: token.rlike(f"^(?:{KINDS[kind]})$")
     iso = _let(F.split(token, "-"), lambda p: F.date_format(_moved(_day(p[0], p[1], p[2]), key), "yyyy-MM-dd"))
-    made = [("iso_date", iso), ("day_date", _day_date(token, key)), ("ssn", _ssn(token, key)), ("phone", _phone(token, key)), ("ip", _ip(token, key)), ("card", _card(token, key))]
-    kind, value = F.lit(None).cast("string"), F.lit(None).cast("string")
+    made = [("iso_date", iso), ("day_date", _day_date(token, key)), ("ssn", _ssn(token, key)), ("phone", _phone(token, key)), ("ip", _ip(token, key)), ("card", None)]
+    made = [(name, F.struct(F.lit(1).alias("n"), x.alias("value")) if x is not None else _card(token, key)) for name, x in made]
+    kind, value = F.lit(None).cast("string"), F.lit(None).cast("struct<n: int, value: string>")
     for name, column in reversed(made):
         kind = F.when(is_(name), name.split("_")[-1]).otherwise(kind)
         value = F.when(is_(name), column).otherwise(value)
-    return F.struct(kind.alias("kind"), token.alias("token"), value.alias("value"))
+    return _let(value, lambda x: F.struct(kind.alias("kind"), token.alias("token"), x["n"].alias("n"), x["value"].alias("value")))
 
 
 def pseudonyms(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
@@ -211,7 +255,7 @@ def pseudonyms(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
         gaps = F.split(text, ANY, -1)
         values = F.concat(F.transform(found, lambda x: F.coalesce(x["value"], x["token"])), F.array(F.lit("")))
         joined = F.array_join(F.transform(F.arrays_zip(gaps.alias("g"), values.alias("v")), lambda x: F.concat(x["g"], x["v"])), "")
-        kinds = F.transform(F.filter(found, lambda x: x["value"].isNotNull()), lambda x: x["kind"])
+        kinds = F.flatten(F.transform(F.filter(found, lambda x: x["value"].isNotNull()), lambda x: F.array_repeat(x["kind"], x["n"])))
         return F.struct(joined.alias("text"), kinds.alias("kinds"))
 
     made = docs.withColumn("_made", F.when(text.rlike("[0-9]"), F.when(marked.isNotNull(), _let(marked, whole))))
