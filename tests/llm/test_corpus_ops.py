@@ -162,6 +162,14 @@ def test_parts_of_items(spark):
     assert set(leaks(spark, docs, [(1, item)])) == {(13, 1), (30, 1)}
 
 
+def test_short_items_of_common_words(spark):
+    items = [(1, "what is the capital of the country"), (2, "which of the two cities is the older one"), (3, "is it so")]
+    clean = ["we asked what is the best way of the capital", "he knows which of the two is right and what is the cost", "it is so that the country of the capital"]
+    leaked = ["well what is the capital of the country he said", "which of the two cities is the older one", "tell me is it so or not"]
+    docs = list(enumerate(clean)) + [(10 + i, t) for i, t in enumerate(leaked)]
+    assert set(leaks(spark, docs, items)) == {(10, 1), (11, 2), (12, 3)}
+
+
 def test_decontamination_of_odd_tables(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 60)
     items = [(i, " ".join(f"q{i}x{j}" for j in range(12))) for i in range(5)]

@@ -27,6 +27,8 @@ from tidemark.llm import common
 SEED, MATCH = 3, 2
 #: An item is met if its best alignment reaches this share of a full match, or the score of so many words in a row.
 LEAST, WORDS = 0.4, 13
+#: Short items need more than that share: as many aligned words as they have, but no more than this.
+ALIGNED = 8
 #: Seeds met by chance: at most this many for each word of ordinary text, over all seeds of a block.
 CHANCE = 2e-5
 #: Each item keeps so many of its rarest seeds in any case.
@@ -113,6 +115,11 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     return score, j - back, j
 
 
+def bar(n: int, least: float) -> float:
+    """The share of a full match from which an item of n words is met."""
+    return min(max(least, min(n, ALIGNED) / n), WORDS / n) if n else 1.0
+
+
 def matches(words: np.ndarray, items: Items, bits: np.ndarray, least: float) -> list[tuple[int, float, int, int]]:
     """Items met in a text: (number of the item, share of a full match, first word, end word), best place of each."""
     s = seeds_of(words)
@@ -136,7 +143,7 @@ def matches(words: np.ndarray, items: Items, bits: np.ndarray, least: float) ->
             a, b = max(0, int(part[0]) - slack), min(len(words), int(part[-1]) + len(mine) + slack)
             score, x, y = align(mine, words[a:b])
             best = max(best, (score / (MATCH * len(mine)), a + x, a + y), key=lambda t: t[0])
-        if best[0] >= min(least, WORDS / len(mine)):
+        if best[0] >= bar(len(mine), least):
             found.append((i, *best))
     return found
 
@@ -182,7 +189,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) ->
     Words are lowered and cut at ASCII punctuation and white space.  ``score``
     is that of the best local alignment over that of a full match.  Items of
     fewer than three words have no seeds and are left out; null texts have no
-    words.  A part of an item counts from LEAST of it on, or from WORDS words.
+    words.  A part of an item counts from LEAST of it on, but not below ALIGNED
+    words (of a shorter item, all), or from WORDS words.
     Items of equal text and documents of equal text are each reported.
     An empty table on either side gives no rows.
     """
