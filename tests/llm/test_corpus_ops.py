@@ -170,6 +170,20 @@ def test_short_items_of_common_words(spark):
     assert set(leaks(spark, docs, items)) == {(10, 1), (11, 2), (12, 3)}
 
 
+def test_seeds_of_each_part_and_of_short_items(spark):
+    rng = random.Random(4)
+    for n in (20, 60, 400):
+        rate = np.array([rng.choice([1e-5, 1e-6, 1e-4]) for _ in range(n)])
+        kept = set(decontaminate.kept_seeds(rate).tolist())
+        assert all(kept & set(range(i, i + decontaminate.WINDOW - 2)) for i in range(n - decontaminate.WINDOW + 3))
+    common_words = "the of and to in that it was".split()
+    item = " ".join(rng.choice(common_words) for _ in range(60))
+    filler = [(1000 + i, " ".join(rng.choice([*common_words, f"w{rng.randrange(3000)}"]) for _ in range(200))) for i in range(300)]
+    parts = [(i, "yes " + " ".join(item.split()[i : i + 13]) + " no") for i in range(48)]
+    assert {(i, 1) for i in range(48)} <= set(leaks(spark, parts + filler, [(1, item)]))
+    assert set(leaks(spark, [(1, "it is forty two then"), (2, "forty and two"), (3, "a kiwi."), (4, None)], [(1, "Forty-two"), (2, "kiwi"), (3, "")])) == {(1, 1), (3, 2)}
+
+
 def test_decontamination_of_odd_tables(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 60)
     items = [(i, " ".join(f"q{i}x{j}" for j in range(12))) for i in range(5)]

@@ -3,7 +3,9 @@
 A seed is a run of three words of a test item that ordinary text would rarely
 have: the product of its words' shares of all corpus words is small.  Rareness
 is judged by the words, not by the run's own count, so an item that was copied
-into thousands of documents keeps its seeds.  Documents are scanned once; where
+into thousands of documents keeps its seeds.  However common its words, an item
+has a seed in each WINDOW words, so no part of that length goes unseen; items of
+fewer words than a seed are looked for whole.  Documents are scanned once; where
 a seed is met, the words around it are aligned with the item (local alignment,
 match 2, mismatch and gap -1), so paraphrased and edited copies score too.
 
@@ -29,8 +31,10 @@ SEED, MATCH = 3, 2
 LEAST, WORDS = 0.4, 13
 #: Short items need more than that share: as many aligned words as they have, but no more than this.
 ALIGNED = 8
-#: Seeds met by chance: at most this many for each word of ordinary text, over all seeds of a block.
-CHANCE = 2e-5
+#: A seed is rare that ordinary text has at most so often a word; each is kept.
+RARE = 3e-9
+#: The rarest seed of each so many words in a row of an item is kept, rare or not.
+WINDOW = 8
 #: Each item keeps so many of its rarest seeds in any case.
 KEPT = 6
 #: Text bytes of a block of test items.
@@ -55,13 +59,22 @@ def seeds_of(words: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Items:
-    """A block of test items: ids, words of each, and its seeds sorted by hash with their (item, place)."""
+    """A block of test items: ids, words of each, its seeds sorted by hash with their (item, place), and the hashes of items of one word and of two."""
 
     ids: list[int]
     words: list[np.ndarray]
     seeds: np.ndarray
     item: np.ndarray
     place: np.ndarray
+    short: tuple[dict[int, list[int]], ...]
+
+    def short_at(self, words: np.ndarray) -> np.ndarray:
+        """Places where an item of fewer words than a seed begins, as a mask."""
+        found = np.zeros(len(words), dtype=bool)
+        for k, known in enumerate(self.short, 1):
+            if known and len(words) >= k:
+                found[: len(words) - k + 1] |= np.isin(common.shingle_hashes(words, k), np.array(list(known), np.uint64))
+        return found
 
     def filter_bits(self) -> np.ndarray:
         bits = np.zeros(1 << 20, dtype=bool)
@@ -69,27 +82,35 @@ class Items:
         return bits
 
 
-def choose_seeds(ids: list[int], words: list[np.ndarray], share: dict[int, float], corpus: int) -> Items:
-    """The rare seeds of a block, given each word's share of all words of the corpus, and how many those are.
+def kept_seeds(rate: np.ndarray) -> np.ndarray:
+    """Places of an item's seeds, given how often ordinary text has each of its runs: KEPT ones, rare ones, and the rarest of each WINDOW words."""
+    order = np.argsort(rate, kind="stable")
+    keep = rate <= RARE
+    keep[order[:KEPT]] = True
+    size = WINDOW - SEED + 1
+    if len(rate) > size:
+        keep[np.lib.stride_tricks.sliding_window_view(rate, size).argmin(axis=1) + np.arange(len(rate) - size + 1)] = True
+    return np.flatnonzero(keep)
 
-    Rare is also what ordinary text of that length would have less than once.
-    """
+
+def choose_seeds(ids: list[int], words: list[np.ndarray], share: dict[int, float]) -> Items:
+    """The seeds of a block, given each word's share of all words of the corpus."""
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    total = sum(max(0, len(w) - SEED + 1) for w in words)
+    short: tuple[dict[int, list[int]], ...] = tuple({} for _ in range(1, SEED))
     for i, w in enumerate(words):
+        if 0 < len(w) < SEED:
+            short[len(w) - 1].setdefault(int(common.shingle_hashes(w, len(w))[0]), []).append(i)
         if len(w) < SEED:
             continue
         p = np.array([share.get(int(x), 0.0) for x in w.tolist()])
-        rate = np.prod([p[j : len(p) - SEED + 1 + j] for j in range(SEED)], axis=0)
-        order = np.argsort(rate, kind="stable")
-        keep = order[(np.arange(len(order)) < KEPT) | (rate[order] <= max(CHANCE / max(1, total), 1 / corpus))]
+        keep = kept_seeds(np.prod([p[j : len(p) - SEED + 1 + j] for j in range(SEED)], axis=0))
         found.append((seeds_of(w)[keep], np.full(len(keep), i), keep))
     if not found:
         none = np.zeros(0, np.int64)
-        return Items(ids, words, np.zeros(0, np.uint64), none, none)
+        return Items(ids, words, np.zeros(0, np.uint64), none, none, short)
     seeds, item, place = (np.concatenate(x) for x in zip(*found, strict=True))
     by = np.argsort(seeds, kind="stable")
-    return Items(ids, words, seeds[by], item[by], place[by])
+    return Items(ids, words, seeds[by], item[by], place[by], short)
 
 
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
@@ -122,17 +143,23 @@ def bar(n: int, least: float) -> float:
 
 def matches(words: np.ndarray, items: Items, bits: np.ndarray, least: float) -> list[tuple[int, float, int, int]]:
     """Items met in a text: (number of the item, share of a full match, first word, end word), best place of each."""
+    found = []
+    for k, known in enumerate(items.short, 1):
+        if known and len(words) >= k:
+            h = common.shingle_hashes(words, k)
+            at = np.flatnonzero(np.isin(h, np.array(list(known), np.uint64)))
+            _, first = np.unique(h[at], return_index=True)
+            found += [(i, 1.0, j, j + k) for j in at[first].tolist() for i in known[int(h[j])]]
     s = seeds_of(words)
     hit = np.flatnonzero(bits[(s >> np.uint64(44)).astype(np.int64)])
     lo = np.searchsorted(items.seeds, s[hit], side="left")
     hi = np.searchsorted(items.seeds, s[hit], side="right")
     size = hi - lo
     if not size.sum():
-        return []
+        return found
     at = np.repeat(hit, size)
     entry = np.repeat(lo - (np.cumsum(size) - size), size) + np.arange(size.sum())
     item, diagonal = items.item[entry], at - items.place[entry]
-    found = []
     for i in np.unique(item).tolist():
         mine = items.words[i]
         slack = len(mine) // 3 + 8
@@ -172,6 +199,7 @@ def _find(batches: Iterator[pa.RecordBatch], items: Items, least: float) -> Iter
             h, at = words_of(texts.slice(lo, hi - lo))
             s = common.shingle_hashes(h, SEED) if len(h) >= SEED else np.zeros(0, np.uint64)
             near = np.flatnonzero(bits[(s >> np.uint64(44)).astype(np.int64)])
+            near = np.concatenate([near, np.flatnonzero(items.short_at(h))])
             docs = np.unique(np.searchsorted(at, near, side="right") - 1)
             rows = [(i, *m) for i in docs.tolist() for m in matches(h[at[i] : at[i + 1]], items, bits, least)]
             if rows:
@@ -188,7 +216,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) ->
 
     Words are lowered and cut at ASCII punctuation and white space.  ``score``
     is that of the best local alignment over that of a full match.  Items of
-    fewer than three words have no seeds and are left out; null texts have no
+    one or two words are met wherever they stand whole; null texts have no
     words.  A part of an item counts from LEAST of it on, but not below ALIGNED
     words (of a shorter item, all), or from WORDS words.
     Items of equal text and documents of equal text are each reported.
@@ -210,7 +238,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) ->
         counts = {r["word"]: r["n"] for r in texts.select("text").mapInArrow(lambda it, w=wanted: _count_words(it, w), "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()}
         all_words = max(1, counts.get(-1, 1))
         share = {int(wanted[w]): c / all_words for w, c in counts.items() if w >= 0}
-        block = choose_seeds([r["item_id"] for r in rows], words, share, all_words)
+        block = choose_seeds([r["item_id"] for r in rows], words, share)
         sent = texts.sparkSession.sparkContext.broadcast(block)
         part = texts.mapInArrow(lambda it, b=sent: _find(it, b.value, least), _ROW)
         found = part if n == 0 else found.union(part)
