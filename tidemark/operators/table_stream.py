@@ -29,6 +29,24 @@ def in_order(df: DataFrame, key: str, *more: str) -> DataFrame:
     return df.orderBy(F.col(key).asc_nulls_first(), *more)
 
 
+def ranked(df: DataFrame, folder: str, key: str, *more: str) -> DataFrame:
+    """All rows with ``pos``, their place in replication order from 1 on.
+
+    The order's ranges are written to a folder once and counted, so a place is
+    the rows of the ranges before plus the place within the range, and no task
+    holds all rows.
+    """
+    in_order(df, key, *more).withColumn("_at", F.monotonically_increasing_id()).write.parquet(folder)
+    rows = df.sparkSession.read.parquet(folder).withColumn("_range", F.shiftright("_at", 33))
+    bases, base = [], 0
+    for r in rows.groupBy("_range").count().orderBy("_range").collect():
+        bases.append((r["_range"], base))
+        base += r["count"]
+    before = df.sparkSession.createDataFrame(bases, "_range long, _base long")
+    place = F.col("_base") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return rows.join(F.broadcast(before), "_range").select(*df.columns, place.alias("pos"))
+
+
 def limited(df: DataFrame, most: int | None) -> DataFrame:
     """At most so many rows; 0 and None mean all."""
     return df.limit(most) if most else df

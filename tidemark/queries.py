@@ -22,7 +22,7 @@ from tidemark.functions.values import array_items, hstore, iso_timestamp, parsed
 from tidemark.operators import messages
 from tidemark.operators.decode import rows_of
 from tidemark.operators.dispatch import Routes, counters, counts_by_stream, dispatched, emitted, max_lsn_seen, quarantined
-from tidemark.operators.table_stream import bootstrap, flattened, in_order, mapped, new_bookmark, read_stream, since, where_all
+from tidemark.operators.table_stream import bootstrap, flattened, mapped, new_bookmark, ranked, read_stream, since, where_all
 from tidemark.plans.catalog import Catalog, StreamSpec, of_frame
 from tidemark.sources.tables import ParquetTables
 from tidemark.streaming.run import LogRun, scratch_folder
@@ -126,12 +126,14 @@ def incremental_new_bookmark(spark, sf_dir):
     return new_bookmark(spark.read.parquet(f"{sf_dir}/events.parquet"), "ts")
 
 
-def replication_order_nulls_first(spark, sf_dir):
-    """The first rows in replication order; a rank makes the order visible."""
-    top = in_order(_nullable_key(spark, sf_dir), "k", "event_id").limit(200)
-    from pyspark.sql import Window
+def replication_order_all(spark, sf_dir):
+    """All rows with their place in replication order."""
+    return ranked(_nullable_key(spark, sf_dir), f"{scratch_folder(spark, 'order')}/ranges", "k", "event_id")
+
 
-    return top.withColumn("pos", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.col("k").asc_nulls_first(), "event_id")).cast("long"))
+def replication_order_nulls_first(spark, sf_dir):
+    """The first of them, as its SQL has it."""
+    return replication_order_all(spark, sf_dir).filter("pos <= 200")
 
 
 def wal_decode_all(spark, sf_dir):
@@ -355,7 +357,7 @@ def where_all_or(spark, sf_dir):
 
 
 _FOUND = [
-    full_table_orders, select_columns_customer, custom_where_and, custom_where_or_grouped, where_all_or, limit_topk, incremental_from_bookmark, incremental_null_key_excluded, incremental_null_key_included, incremental_new_bookmark, replication_order_nulls_first,
+    full_table_orders, select_columns_customer, custom_where_and, custom_where_or_grouped, where_all_or, limit_topk, incremental_from_bookmark, incremental_null_key_excluded, incremental_null_key_included, incremental_new_bookmark, replication_order_all, replication_order_nulls_first,
     wal_decode_all, wal_stream_run, wal_upserts, wal_deletes, wal_delete_identity_only, wal_non_data, wal_enum_repair, wal_malformed_count, wal_quarantine, wal_text_array, wal_numeric_empty_to_null, wal_route_two_tables, wal_unroutable, wal_per_stream_lsn_filter, wal_counters, wal_counts_zero_filled, wal_max_lsn_seen, wal_min_start, wal_safe_advance, forward_only_bookmark,
     bootstrap_snapshot, bootstrap_then_wal, lsn_text_to_int, add_tables_escape, slot_name_valid, timestamps_iso, dates_as_string, json_props_variant, flatten_props, stream_map, hstore_values, record_messages, discover_columns, log_based_schema, type_mapping, promoted_types, filter_schemas,
 ]
@@ -407,6 +409,7 @@ def oracle_sql() -> dict[str, str]:
         "incremental_null_key_excluded": f"SELECT * FROM {_NULLKEY} WHERE k >= 50",
         "incremental_null_key_included": f"SELECT * FROM {_NULLKEY}",
         "incremental_new_bookmark": "SELECT max(ts) AS bookmark FROM events",
+        "replication_order_all": f"SELECT event_id, k, row_number() OVER (ORDER BY k NULLS FIRST, event_id) AS pos FROM {_NULLKEY}",
         "replication_order_nulls_first": f"SELECT * FROM (SELECT event_id, k, row_number() OVER (ORDER BY k NULLS FIRST, event_id) AS pos FROM {_NULLKEY}) WHERE pos <= 200",
         "wal_decode_all": f"SELECT * FROM {_ROWS}",
         "wal_stream_run": f"SELECT * FROM {_ROWS}",
