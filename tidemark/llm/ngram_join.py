@@ -17,7 +17,8 @@ its partners in its own band or the next one.
 * Where a key still spans several components, its classes' dense sketches are
   compared, and a spanning forest of the near ones is verified; then, between
   the components that are left, every near pair.  No pair within a component is
-  looked at again, and no link between different texts is lost.
+  looked at again, so the links found are little more than a spanning forest:
+  the result is components, not the join's pairs or their number.
 * Candidates are verified on whole texts with exact integer arithmetic.
 
 Texts with equal shingle sets form one class (128 bits of hash and the size).
