@@ -86,8 +86,36 @@ def test_near_duplicates_of_odd_tables(spark):
     rows = [(1, "a b c d e f", "en", "s", 1), (1, "a b c d e f", "en", "s", 1), (None, "a b c d e f", "en", "s", 1), (None, None, None, None, None), (3, "A B C D E F", "en", "s", 1), (4, "x", None, None, 0)]
     df = spark.createDataFrame(rows, DOCS)
     kept = ngram_join.keep_one(df)
-    assert kept.columns == df.columns and sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 0, 1, 1, 4]
-    assert ngram_join.ngram_join(df.limit(0)).collect() == []
+    # A row repeated whole, copies without an id and copies under another id go; rows without words are copies of nothing.
+    assert kept.columns == df.columns and sorted((r["doc_id"] or 0, r["text"] or "") for r in kept.collect()) == [(0, ""), (1, "a b c d e f"), (4, "x")]
+    assert ngram_join.ngram_join(df.limit(0)).collect() == [] and ngram_join.keep_one(df.limit(0)).collect() == []
+    got = sorted((r["doc_id"] or 0, r["n_shingles"], r["component_id"] or 0) for r in ngram_join.ngram_join(df).collect())
+    assert got == [(0, 0, 0), (0, 2, 1), (1, 2, 1), (1, 2, 1), (3, 2, 1), (4, 1, 4)]
+
+
+def test_rows_without_ids_and_rows_of_one_id(spark):
+    rng = random.Random(5)
+    a, b = prose(rng, 80), prose(rng, 80)
+    near = [" ".join([*x[:70], "other", *x[71:]]) for x in (a, b)]
+    rows = [(None, " ".join(a), 1, "p"), (None, near[0], 2, "q"), (7, " ".join(b), 3, "r"), (7, " ".join(prose(rng, 50)), 4, "s"), (9, near[1], 5, "t"), (None, " ", 6, "u"), (None, " ", 6, "u")]
+    df = spark.createDataFrame(rows, "doc_id int, text string, row_hash long, `_salt.x` string")
+    got = [(r["doc_id"], r["component_id"]) for r in ngram_join.ngram_join(df).collect()]
+    assert sorted(got, key=str) == sorted([(None, None)] * 4 + [(7, 7), (7, 7), (9, 7)], key=str)
+    kept = ngram_join.keep_one(df)
+    assert kept.columns == df.columns and sorted(r["row_hash"] for r in kept.collect()) in ([1, 3, 4, 6, 6], [2, 3, 4, 6, 6])
+
+
+def test_large_groups_are_dealt(spark, monkeypatch):
+    """Keys, stars, classes and components of many rows, each part of them small."""
+    monkeypatch.setattr(common, "KEY_ROWS", 7)
+    monkeypatch.setattr(common, "BITMAP_WORDS", 16)
+    monkeypatch.setattr(ngram_join, "BUCKET", 16)
+    rng = random.Random(6)
+    base, other = prose(rng, 60), prose(rng, 60)
+    texts = [" ".join(base)] * 60 + [" ".join(edited(rng, base, 0.01)) for _ in range(90)] + [" ".join(edited(rng, other, 0.06)) for _ in range(70)]
+    texts = list(enumerate(texts))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.ngram_join(spark.createDataFrame(texts, "doc_id long, text string"), 4, 85).collect()}
+    assert got == brute_components(texts, 4, 85)
 
 
 @given(st.integers(1, 400), st.integers(0, 60), st.sampled_from([80, 85, 90]), st.integers(0, 10**6))

@@ -10,12 +10,12 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A word is a run of anything but ASCII white space.
@@ -24,8 +24,14 @@ WORD = r"[^\x20\x09-\x0D]+"
 BROADCAST_BYTES = 32 << 20
 #: Text bytes hashed at once: bounds the arrays a Python worker holds.
 SLICE_BYTES = 1 << 20
-#: Rows that Spark hands a Python worker at once where the session has its default of 10,000: texts are long.
-BATCH_ROWS = 1000
+#: Rows and bytes that Spark hands a Python worker at once where the session has its defaults: texts are long.
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
+#: A key of more rows than this is dealt to several tasks by ``salted``, unless very many keys are that large.
+KEY_ROWS = 256
+#: ``salted`` broadcasts at most so many large keys.
+LARGE_KEYS = 1 << 16
+#: Words of 64 bits that a ``bitmap`` has at most.
+BITMAP_WORDS = 1 << 20
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -65,10 +71,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def short_batches(spark: SparkSession) -> None:
-    """Keeps batches of texts small, so that a worker's memory stays so; a session's own setting is left alone."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(name, "10000") == "10000":
-        spark.conf.set(name, str(BATCH_ROWS))
+    """Keeps batches of texts small, so that a worker's memory stays so; a session's own settings are left alone."""
+    for name, default, value in (("maxRecordsPerBatch", "10000", BATCH_ROWS), ("maxBytesPerBatch", "67108864", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{name}"
+        if str(spark.conf.get(name, default)).lower() in (default, "64mb"):
+            spark.conf.set(name, str(value))
 
 
 def tidy(spark: SparkSession) -> None:
@@ -87,6 +94,76 @@ def checked_broadcast(df: DataFrame, row_bytes: int = 16) -> DataFrame:
     return F.broadcast(df) if small_enough(df, row_bytes) else df
 
 
+def salted(left: DataFrame, right: DataFrame, on: Sequence[str], weight: str, by: Sequence[str | Column], how: str = "inner", hint: str | None = None, counts: DataFrame | None = None) -> DataFrame:
+    """``left`` joined with ``right`` on equal keys; large keys are dealt to many tasks.
+
+    ``right`` has one row a key, with the number of its left rows as ``weight``,
+    which is dropped.  A key of more than KEY_ROWS of them has its row copied to
+    as many parts as it takes, and its left rows are dealt by ``by``.  Such keys
+    are listed to all tasks: LARGE_KEYS at most, for the limit rises with the
+    number of rows.  ``counts`` has keys and weights alone where ``right`` is
+    not a written table.
+    """
+    counts = right if counts is None else counts
+    total = counts.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
+    part = max(KEY_ROWS, total // LARGE_KEYS + 1)
+    parts, salt = free_name(left, "_parts"), free_name(left, "_salt")
+    size = F.greatest(F.ceil(F.col(weight) / part), F.lit(1)).cast("int")
+    large = F.broadcast(counts.filter(F.col(weight) > part).select(*on, size.alias(parts)))
+    dealt = left.join(large, list(on), "left").withColumn(salt, F.when(F.col(parts) > 1, F.pmod(F.xxhash64(*by), F.col(parts)).cast("int")).otherwise(0)).drop(parts)
+    copied = right.withColumn(salt, F.explode(F.sequence(F.lit(0), size - 1))).drop(weight)
+    return dealt.join(copied.hint(hint) if hint else copied, [*on, salt], how).drop(salt)
+
+
+def _bit(key: Column, words: int) -> tuple[Column, Column]:
+    """The word of a bitmap that a 64-bit hash belongs to, and the value of its bit."""
+    return key.bitwiseAND(F.lit(words - 1).cast("long")), F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(key, 58).cast("int"))
+
+
+def bitmap(keys: DataFrame, column: str, most: int = BITMAP_WORDS) -> tuple[DataFrame, int]:
+    """A set of 64-bit hashes as a written table ``_word, _bits`` of bounded size, and its number of words.
+
+    About four hashes share a word until the bound is reached.  Whatever the
+    number of hashes, ``may_be_in`` never misses one; beyond the bound it only
+    lets more others through.
+    """
+    words = 1 << min(most.bit_length() - 1, max(10, (keys.count() // 4).bit_length()))
+    word, bit = _bit(F.col(column), words)
+    return written(keys.groupBy(word.alias("_word")).agg(F.bit_or(bit).alias("_bits")), "bitmap"), words
+
+
+def _looked_up(rows: DataFrame, column: str, bits: tuple[DataFrame, int], how: str, wanted: bool) -> DataFrame:
+    table, words = bits
+    at, have = free_name(rows, "_word"), free_name(rows, "_bits")
+    word, bit = _bit(F.col(column), words)
+    joined = rows.withColumn(at, word).join(F.broadcast(table.toDF(at, have)), at, how)
+    hit = F.coalesce(F.col(have).bitwiseAND(bit) != 0, F.lit(False))
+    return joined.filter(hit if wanted else ~hit).drop(at, have)
+
+
+def may_be_in(rows: DataFrame, column: str, bits: tuple[DataFrame, int]) -> DataFrame:
+    """The rows whose hash is in a bitmap, and a few others: no shuffle, the bitmap is broadcast."""
+    return _looked_up(rows, column, bits, "inner", True)
+
+
+def not_in(rows: DataFrame, column: str, bits: tuple[DataFrame, int]) -> DataFrame:
+    """The rows that ``may_be_in`` leaves out; a null hash is among them."""
+    return _looked_up(rows, column, bits, "left", False)
+
+
+def columns_of(df: DataFrame) -> list[Column]:
+    """All columns, whatever their names."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that the frame doesn't have, whatever its case."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name += "_"
+    return name
+
+
 def text_slices(batch: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``limit`` text bytes each, one row at least."""
     sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch), 0), dtype=np.int64)

@@ -1,7 +1,8 @@
 """Connected components of a link table by alternating large and small stars.
 
-Every step is a partial aggregation and a join on table rows; labels and links
-stay distributed, and each round is a table in the shared folder.
+Every step is a partial aggregation and a join on table rows, in which ids of many
+links are dealt to many tasks; labels and links stay distributed, and each round
+is a table in the shared folder.
 """
 
 from __future__ import annotations
@@ -9,19 +10,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import written
+from tidemark.llm.common import salted, written
 
 
 def _large_star(e: DataFrame) -> DataFrame:
     both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b").distinct()
+    least = written(both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"), F.count("*").alias("w")), "least")
+    return salted(both.filter("b > a"), least, ["a"], "w", ["b"]).select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b").distinct()
 
 
 def _small_star(e: DataFrame) -> DataFrame:
     down = e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
-    moved = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    least = written(down.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("w")), "least")
+    moved = salted(down, least, ["a"], "w", ["b"]).select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.union(least.select("a", F.col("m").alias("b"))).filter("a != b").distinct()
 
 
@@ -41,7 +42,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     e = links.select("a", "b").filter("a != b")
     while True:
-        e = written(_small_star(_large_star(e)), "stars")
+        e = written(_small_star(written(_large_star(e), "stars")), "stars")
         if _is_done(e):
             break
     return written(e.select(F.col("a").alias("id"), F.col("b").alias("component")).union(e.select("b", "b")).distinct(), "components")

@@ -5,15 +5,18 @@ a shingle.  Two sketches differ in at most as many bits as the sets have
 shingles in their symmetric difference.  At a Jaccard similarity of t that
 difference is at most (1-t)/(1+t) of the summed sizes, so when the sketch is
 cut into more blocks than that, some blocks are equal.  Sizes of linked sets
-differ by a factor 1/t at most, so with size bands of that ratio a set meets
-its partners in its own band or the next one.
+differ by a factor 1/t at most, so with size bands of at least that ratio a set
+meets its partners in its own band or the next one.  Bands are twice as wide (in
+logarithms): only the upper half of a band has keys in the next one too.
 
 * A block's key is the XOR of the mixed positions of its toggled bits.
 * Blocks beyond the bound are slack: a set whose empty or very common blocks
   don't use up its slack need not be compared through those blocks.
-* Keys are aggregated to (least class, greatest class, count), which combines
-  before the shuffle.  A class is compared with the least class of its keys
-  first (a star), so copies cost one comparison each.
+* Keys are aggregated to (least, greatest set), which combines before the
+  shuffle: nearly all have one.  A bitmap of the others is probed by all keys
+  again, so that only those few are shuffled with their classes.
+* A class is compared with the least class of its keys first (a star), so
+  copies cost one comparison each.
 * Where a key still spans several components, its classes' dense sketches are
   compared, and a spanning forest of the near ones is verified; then, between
   the components that are left, every near pair.  No pair within a component is
@@ -21,16 +24,18 @@ its partners in its own band or the next one.
   the result is components, not the join's pairs or their number.
 * Candidates are verified on whole texts with exact integer arithmetic.
 
-Texts with equal shingle sets form one class (128 bits of hash and the size).
+Texts with equal shingle sets form one class: 128 bits of hash and the size.
+Large classes, keys, stars and components are dealt to many tasks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import common
@@ -38,22 +43,28 @@ from tidemark.llm.components import components
 
 #: Keys met by more classes than this are common; sets with slack left skip them after the first star.
 COMMON_KEY = 64
-#: Rows of one key that a task compares with each other; a larger key is dealt to pairs of such parts.
-BUCKET = 4096
+#: Rows of one key, and their shingles, that a task compares with each other; a larger key is dealt to pairs of such parts.
+BUCKET, BUCKET_WORDS = 4096, 16 << 20
+#: Near pairs that a task hands on at once.
+OUTPUT = 1 << 16
 
 
 def size_bands(limit: int, percent: int) -> list[int]:
     """Band starts 1 = B0 < B1 < ...: sizes linkable at ``percent`` lie in one band or neighbours."""
     b = [1]
     while b[-1] <= limit:
-        b.append(b[-1] * 100 // percent + 1)
+        b.append(_band_after(b[-1], percent))
     return b
 
 
+def _band_after(start: int, percent: int) -> int:
+    return start * 10_000 // (percent * percent) + 1
+
+
 def block_count(band_end: int, percent: int) -> tuple[int, int]:
     """(most bits by which linked sketches of the band differ, slack blocks)."""
     most = (100 - percent) * 2 * (band_end - 1) // (100 + percent)
-    return most, (1 + most // 6 if most else 0)
+    return most, (1 + most // 10 if most else 0)
 
 
 def shingle_set(words: np.ndarray, k: int) -> np.ndarray:
@@ -77,38 +88,40 @@ def _band_keys(h: np.ndarray, band: int, end: int, percent: int) -> tuple[np.nda
     return keys, slack - empty
 
 
+def _signature(h: np.ndarray) -> tuple[int, int]:
+    """128 bits that tell a set of shingle hashes from others."""
+    return int(np.bitwise_xor.reduce(common.mix(h + np.uint64(11))).view(np.int64)), int(np.add.reduce(common.mix(h + np.uint64(23)), dtype=np.uint64).view(np.int64))
+
+
+_SKETCHED = "doc_id long, th long, t2 int, n long, c long, s2 long, spare int, keys array<long>"
+
+
 def _sketch(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterator[pa.RecordBatch]:
     bands = size_bands(1 << 20, percent)
     for batch in batches:
-        ids, texts = batch.column(0), batch.column(1)
+        texts = batch.column(3)
         for lo, hi in common.text_slices(texts):
             raw, offsets = common.string_bytes(texts.slice(lo, hi - lo))
             starts, ends, at = common.word_spans(raw, offsets)
             words = common.word_hashes(raw, starts, ends)
-            rows: dict[str, list] = {c: [] for c in ("n", "c", "s2", "k0", "r0", "k1", "r1")}
+            rows: list[tuple] = []
             for i in range(hi - lo):
                 h = shingle_set(words[at[i] : at[i + 1]], k)
                 n = len(h)
-                k0 = k1 = None
-                r0 = r1 = s1 = s2 = 0
-                if n:
-                    s1 = int(np.bitwise_xor.reduce(common.mix(h + np.uint64(11))).view(np.int64))
-                    s2 = int(np.add.reduce(common.mix(h + np.uint64(23)), dtype=np.uint64).view(np.int64))
-                    while bands[-1] <= n:
-                        bands.append(bands[-1] * 100 // percent + 1)
-                    band = int(np.searchsorted(bands, n, side="right")) - 1
-                    if len(bands) < band + 3:
-                        bands.append(bands[-1] * 100 // percent + 1)
-                    k0, r0 = _band_keys(h, band, bands[band + 1], percent)
-                    if n * 100 >= bands[band + 1] * percent:
-                        k1, r1 = _band_keys(h, band + 1, bands[band + 2], percent)
-                for c, v in zip(rows, (n, s1, s2, k0, r0, k1, r1), strict=True):
-                    rows[c].append(v)
-            yield pa.RecordBatch.from_arrays(
-                [ids.slice(lo, hi - lo).cast(pa.int64()), pa.array(rows["n"], pa.int64()), pa.array(rows["c"], pa.int64()), pa.array(rows["s2"], pa.int64())]
-                + [a for j in "01" for a in (_lists(rows["k" + j]), pa.array(rows["r" + j], pa.int32()))],
-                names=["doc_id", "n", "c", "s2", "k0", "r0", "k1", "r1"],
-            )
+                if not n:
+                    rows.append((0, 0, 0, 0, None))
+                    continue
+                while bands[-1] <= n or bands[-2] <= n:
+                    bands.append(_band_after(bands[-1], percent))
+                band = int(np.searchsorted(bands, n, side="right")) - 1
+                keys, spare = _band_keys(h, band, bands[band + 1], percent)
+                if n * 100 >= bands[band + 1] * percent:
+                    more, left = _band_keys(h, band + 1, bands[band + 2], percent)
+                    keys, spare = np.concatenate((keys, more)), min(spare, left)
+                rows.append((n, *_signature(h), spare, keys))
+            n, c, s2, spare, keys = zip(*rows, strict=True)
+            made = [pa.array(n, pa.int64()), pa.array(c, pa.int64()), pa.array(s2, pa.int64()), pa.array(spare, pa.int32()), _lists(list(keys))]
+            yield pa.RecordBatch.from_arrays([batch.column(j).slice(lo, hi - lo) for j in range(3)] + made, names=["doc_id", "th", "t2", "n", "c", "s2", "spare", "keys"])
 
 
 def _lists(values: list) -> pa.Array:
@@ -141,10 +154,13 @@ def _verify(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterator
 
 
 def _links(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    a = texts.select(F.col("c").alias("a"), F.col("text").alias("ta"))
-    b = texts.select(F.col("c").alias("b"), F.col("text").alias("tb"))
-    rows = pairs.join(b, "b").join(a.hint("merge"), "a").select("a", "b", "ta", "tb")
-    return common.written(rows.mapInArrow(lambda it: _verify(it, k, percent), "a long, b long"), "verified")
+    """The pairs ``a, b`` that link, by their texts. Where an id has many pairs, its text is copied to several tasks."""
+    rows = pairs
+    for side, other in (("b", "a"), ("a", "b")):
+        counts = common.written(pairs.groupBy(side).agg(F.count("*").alias("w")), "counts")
+        sent = texts.select(F.col("cid").alias(side), F.col("text").alias(f"t{side}")).join(counts, side)
+        rows = common.salted(rows, sent, [side], "w", [other], hint="merge" if side == "a" else None, counts=counts)
+    return common.written(rows.select("a", "b", "ta", "tb").mapInArrow(lambda it: _verify(it, k, percent), "a long, b long"), "verified")
 
 
 def _bits(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
@@ -162,7 +178,7 @@ def _bits(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]
                 odd = np.bincount((h & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
                 sizes.append(len(h))
                 made.append(np.packbits(odd.astype(np.uint8)).tobytes())
-            yield pa.RecordBatch.from_arrays([c.slice(lo, hi - lo), pa.array(sizes, pa.int64()), pa.array(made, pa.binary())], names=["c", "n", "bits"])
+            yield pa.RecordBatch.from_arrays([c.slice(lo, hi - lo), pa.array(sizes, pa.int64()), pa.array(made, pa.binary())], names=["cid", "n", "bits"])
 
 
 def _fold(sketch: bytes, size: int) -> np.ndarray:
@@ -173,8 +189,8 @@ def _fold(sketch: bytes, size: int) -> np.ndarray:
     return x
 
 
-def _key_pairs(rows: list[tuple], percent: int, forest: bool) -> list[tuple[int, int]]:
-    """Pairs of one key's classes (own, c, component, n, sketch) in different components whose sketches are near enough.
+def _key_pairs(rows: list[tuple], percent: int, forest: bool) -> Iterator[tuple[int, int]]:
+    """Pairs of one key's classes (own, id, component, n, sketch) in different components whose sketches are near enough.
 
     With ``forest``, pairs that others connect are left out.  Rows of two parts
     are compared across, those of one part with each other.
@@ -190,7 +206,6 @@ def _key_pairs(rows: list[tuple], percent: int, forest: bool) -> list[tuple[int,
             x = root[x]
         return x
 
-    found = []
     two = own[0] != own[-1]
     for i in range(len(rows) - 1):
         js = np.flatnonzero(comp[i + 1 :] != comp[i]) + i + 1
@@ -205,95 +220,122 @@ def _key_pairs(rows: list[tuple], percent: int, forest: bool) -> list[tuple[int,
             continue
         near = np.bitwise_count(sk[js] ^ sk[i]).sum(axis=1, dtype=np.int64) <= most
         for j in js[near].tolist():
-            pair = (int(min(c[i], c[j])), int(max(c[i], c[j])))
             x, y = find(int(comp[i])), find(int(comp[j]))
             if x != y or not forest:
                 root[x] = y
-                found.append(pair)
-    return found
+                yield int(min(c[i], c[j])), int(max(c[i], c[j]))
 
 
 def _near(batches: Iterator[pa.RecordBatch], percent: int, forest: bool) -> Iterator[pa.RecordBatch]:
-    held: list[tuple] = []
-    at: tuple | None = None
-
-    def out(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([x for x, _ in pairs], pa.int64()), pa.array([y for _, y in pairs], pa.int64())], names=["a", "b"])
-
-    for batch in batches:
-        found = []
-        cols = [batch.column(i).to_pylist() for i in range(8)]
-        for row in zip(*cols, strict=True):
-            if row[:3] != at:
-                if len(held) > 1:
-                    found += _key_pairs(held, percent, forest)
-                held, at = [], row[:3]
-            held.append(row[3:])
-        if found:
-            yield out(found)
-    if len(held) > 1:
-        yield out(_key_pairs(held, percent, forest))
-
-
-def ngram_join(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id``.
-
-    Two documents link when ``100 * |A & B| >= percent * |A | B|`` over their
-    distinct k-word shingles (A-Z lowered; fewer than k words count as one
-    shingle).  ``component_id`` is the least doc_id reachable by links.
-
-    Null or empty texts have no shingles and stay alone.  Repeated rows give
-    repeated results.  A row without a doc_id links only texts of its own
-    shingle set, and is in no other component.  Other columns are ignored, so their names can't clash.
+    """Rows (key, t, p, q, own, cid, component, n, bits), those of a block next to each other."""
+
+    def blocks() -> Iterator[tuple[int, int]]:
+        held: list[tuple] = []
+        at: tuple | None = None
+        for batch in batches:
+            cols = [batch.column(i).to_pylist() for i in range(9)]
+            for row in zip(*cols, strict=True):
+                if row[:4] != at:
+                    if len(held) > 1:
+                        yield from _key_pairs(held, percent, forest)
+                    held, at = [], row[:4]
+                held.append(row[4:])
+        if len(held) > 1:
+            yield from _key_pairs(held, percent, forest)
+
+    pairs = blocks()
+    while part := list(islice(pairs, OUTPUT)):
+        a, b = zip(*part, strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def _near_pairs(named: DataFrame, bits: DataFrame, percent: int, forest: bool) -> DataFrame:
+    """Pairs of near sketches in different components, among ``key, cid, component, n``.
+
+    A key's rows meet in one block, or if they are many, in blocks of parts.  Its
+    largest component is compared with the others and not with itself, so a
+    key of many copies and a few others costs no more than their number.
     """
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    each = named.groupBy("key", "component").agg(F.count("*").alias("size"), F.sum("n").alias("words"))
+    per = each.groupBy("key").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.max(F.struct("size", "words")).alias("top"), F.sum("size").alias("size"), F.sum("words").alias("words"), F.count("*").alias("spans")).filter("spans > 1")
+    count = lambda size, words: F.greatest(F.ceil(size / BUCKET), F.ceil(words / BUCKET_WORDS), F.lit(1)).cast("int")
+    per = per.select("key", "main", "size", count(F.col("size"), F.col("words")).alias("all"), count(F.col("top.size"), F.col("top.words")).alias("lp"), count(F.col("size") - F.col("top.size"), F.col("words") - F.col("top.words")).alias("rp"))
+    per = common.written(per, "spans")
+    rows = common.salted(named, per.withColumn("w", F.col("size")).drop("size"), ["key"], "w", ["cid"])
+    is_main = F.col("component") == F.col("main")
+    mine = F.pmod(F.xxhash64("cid"), F.when(is_main, F.col("lp")).otherwise(F.col("rp"))).cast("int")
+    rows = rows.withColumn("mine", F.when(F.col("all") == 1, 0).otherwise(mine)).withColumn("own", F.when(F.col("all") == 1, 0).when(is_main, -1).otherwise(F.col("mine")))
+    block = lambda t, p, q: F.struct(F.lit(t).alias("t"), p.alias("p"), q.alias("q"))
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    mine = F.col("mine")
+    many = F.when(is_main, F.transform(upto("rp"), lambda j: block(1, mine, j))).otherwise(F.concat(F.transform(upto("lp"), lambda i: block(1, i, mine)), F.transform(upto("rp"), lambda j: block(2, F.least(mine, j), F.greatest(mine, j)))))
+    dealt = rows.withColumn("block", F.explode(F.when(F.col("all") == 1, F.array(block(0, F.lit(0), F.lit(0)))).otherwise(many)))
+    dealt = dealt.select("key", "block.*", "own", "cid", "component").join(bits, "cid")
+    dealt = dealt.repartition("key", "t", "p", "q").sortWithinPartitions("key", "t", "p", "q", "own", "cid").select("key", "t", "p", "q", "own", "cid", "component", "n", "bits")
+    return common.written(dealt.mapInArrow(lambda it: _near(it, percent, forest), "a long, b long").distinct(), "pairs")
+
+
+def _row_key() -> tuple[Column, Column]:
+    """96 bits of hash of a row's id and text, null or not: rows that agree in them are taken as repeated."""
+    doc_id, text = F.col("doc_id").cast("long"), F.col("text")
+    both = (doc_id.isNull(), doc_id, text.isNull(), text)
+    return F.xxhash64(*both), F.hash(*both)
+
+
+def _joined(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """``docs(doc_id, text)`` -> ``doc_id, th, t2, n, component_id, first``: the row key of each document and of the first of its component."""
     spark = docs.sparkSession
     common.short_batches(spark)
+    th, t2 = _row_key()
+    docs = docs.withColumns({"th": th, "t2": t2})
     path = common.scratch_path(spark, "sketches")
-    docs.mapInArrow(lambda it: _sketch(it, k, percent), "doc_id long, n long, c long, s2 long, k0 array<long>, r0 int, k1 array<long>, r1 int").write.parquet(path)
+    docs.select("doc_id", "th", "t2", "text").mapInArrow(lambda it: _sketch(it, k, percent), _SKETCHED).write.parquet(path)
     t0 = spark.read.parquet(path)
-    spare = F.when(F.size("k1") > 0, F.least("r0", "r1")).otherwise(F.col("r0"))
-    slim = common.written(t0.select("doc_id", "n", "c", "s2", spare.alias("spare")), "slim")
-    rows = t0.select("c", F.explode(F.concat("k0", "k1")).alias("key"))
+    slim = common.written(t0.drop("keys"), "slim")
+
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th", "t2"))
+    classes = slim.filter("n > 0").groupBy("c", "s2", "n").agg(first.alias("rep"), F.count("*").alias("size"), F.min("spare").alias("spare"))
+    classes = common.written(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
+
+    rows = t0.select("c", F.explode("keys").alias("key"))
     met = rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("m")).filter("lo < hi")
     met = common.written(met, "met")
     common.tidy(spark)
-    wide = met.filter("m > 2").select("key", "lo", "m")
-    several = rows.join(wide, "key").select("key", "lo", "m", "c").distinct()
-    two = met.filter("m = 2").select("key", "lo", "m", F.explode(F.array("lo", "hi")).alias("c"))
-    members = common.written(several.union(two), "members")
+    wide = common.written(met.filter("m > 2").select("key", "m"), "wide")
+    found = common.may_be_in(rows, "key", common.bitmap(wide, "key")).distinct()
+    several = common.salted(found, wide, ["key"], "m", ["c"])
+    two = met.filter("m = 2").select("key", F.explode(F.array("lo", "hi")).alias("c"))
+    # Classes of one 64-bit hash, should there be any, meet in a key of their own.
+    same = classes.groupBy("c").agg(F.count("*").alias("m")).filter("m > 1").select(F.col("c").alias("key"), "c")
+    members = several.select("key", "c").union(two).union(same).join(classes.select("c", "cid", "n"), "c").select("key", "cid", "n")
+    members = common.written(members, "members")
     common.remove(spark, path)
+    heads = common.written(members.groupBy("key").agg(F.min("cid").alias("lo"), F.count("*").alias("m")), "heads")
     common.tidy(spark)
 
-    classes = slim.filter("n > 0").groupBy("c", "s2", "n").agg(F.min("doc_id").alias("rep"))
-    needed = common.written(members.select("c").distinct().join(classes, "c").groupBy("c").agg(F.min("rep").alias("rep")), "needed")
-    texts = common.written(docs.join(common.checked_broadcast(needed, 24), docs.doc_id == needed.rep).dropDuplicates(["c"]).select("c", "text"), "texts")
-    bits = common.written(texts.mapInArrow(lambda it: _bits(it, k), "c long, n long, bits binary"), "bits")
+    needed = common.written(members.select("cid").distinct().join(classes, "cid").select("cid", F.col("rep.th").alias("th"), F.col("rep.t2").alias("t2"), F.lit(1).alias("w")), "needed")
+    texts = common.may_be_in(docs.select("th", "t2", "text"), "th", common.bitmap(needed, "th"))
+    texts = common.written(texts.join(needed.drop("w"), ["th", "t2"]).dropDuplicates(["cid"]).select("cid", "text"), "texts")
+    bits = common.written(texts.mapInArrow(lambda it: _bits(it, k), "cid long, n long, bits binary"), "bits")
 
     # Each class is first compared with the least class of most of its keys.
-    star = members.filter("c != lo").groupBy(F.col("lo").alias("a"), F.col("c").alias("b")).agg(F.count("*").alias("w"))
-    best = star.groupBy("b").agg(F.max_by("a", F.struct("w", "a")).alias("a")).select("a", "b")
+    headed = common.written(common.salted(members, heads.withColumn("w", F.col("m")), ["key"], "w", ["cid"]), "headed")
+    star = headed.filter("cid != lo").groupBy(F.col("lo").alias("a"), F.col("cid").alias("b")).agg(F.count("*").alias("w"))
+    best = common.written(star.groupBy("b").agg(F.max_by("a", F.struct("w", "a")).alias("a")).select("a", "b"), "best")
     links = _links(best, texts, k, percent)
     common.tidy(spark)
     labels = components(links)
 
     # Where a set's common and empty blocks leave slack in both bands, it meets each partner in another block.
-    spare = slim.groupBy("c").agg(F.min("spare").alias("spare"))
-    used = members.filter(F.col("m") > COMMON_KEY).groupBy("c").agg(F.count("*").alias("used")).join(spare, "c").filter("used > spare").select(F.col("c").alias("full"))
-    common_keys = members.filter(F.col("m") > COMMON_KEY).join(used, F.col("c") == F.col("full")).select("key", "c")
-    open_ = members.filter(F.col("m") <= COMMON_KEY).select("key", "c").union(common_keys)
+    often = headed.filter(F.col("m") > COMMON_KEY)
+    used = often.groupBy("cid").agg(F.count("*").alias("used")).join(classes.select("cid", "spare"), "cid").filter("used > spare").select("cid")
+    open_ = headed.filter(F.col("m") <= COMMON_KEY).select("key", "cid", "n").union(often.join(used, "cid").select("key", "cid", "n"))
 
     for forest in (True, False):
         # First a spanning forest of the near sketches of each key; then, of the
         # components that are left, every near pair: few, for their texts just miss.
-        named = open_.join(labels.select(F.col("id").alias("c"), "component"), "c", "left").select("key", "c", F.coalesce("component", "c").alias("component"))
-        spans = named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size")).filter("x < y").select("key", F.ceil(F.col("size") / BUCKET).cast("int").alias("parts"))
-        # A large key's rows are dealt to pairs of parts, so no task holds them all.
-        own = F.pmod(F.xxhash64("c"), F.col("parts")).cast("int")
-        dealt = named.join(spans, "key").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        dealt = dealt.select("key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "c", "component").join(bits, "c")
-        rows = dealt.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q", "own", "c").select("key", "p", "q", "own", "c", "component", "n", "bits")
-        pairs = common.written(rows.mapInArrow(lambda it, f=forest: _near(it, percent, f), "a long, b long").distinct(), "pairs")
+        named = open_.join(labels.select(F.col("id").alias("cid"), "component"), "cid", "left").select("key", "cid", "n", F.coalesce("component", "cid").alias("component"))
+        pairs = _near_pairs(named, bits, percent, forest)
         common.tidy(spark)
         more = _links(pairs, texts, k, percent)
         if more.isEmpty():
@@ -301,16 +343,56 @@ def ngram_join(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "do
                 break
             continue
         links = links.union(more)
-        common.tidy(spark)
         labels = components(links)
 
-    least = slim.filter("n > 0").join(labels.select(F.col("id").alias("c"), "component"), "c", "left").groupBy(F.coalesce("component", "c").alias("component")).agg(F.min("doc_id").alias("component_id"))
-    named = slim.join(labels.select(F.col("id").alias("c"), "component"), "c", "left").withColumn("component", F.when(F.col("n") > 0, F.coalesce("component", "c")))
-    return named.join(least, "component", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    # Components by class, then classes to documents; both large kinds are dealt to many tasks.
+    linked = classes.join(labels.select(F.col("id").alias("cid"), "component"), "cid").select("cid", "component", "rep")
+    tops = common.written(linked.groupBy("component").agg(F.min("rep").alias("first"), F.count("*").alias("w")), "tops")
+    firsts = common.salted(linked, tops, ["component"], "w", ["cid"]).select("cid", "first")
+    answer = classes.join(firsts, "cid", "left").select("c", "s2", "n", "size", F.coalesce("first", "rep").alias("first"))
+    answer = common.written(answer, "answer")
+    own = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th", "t2")
+    full = common.salted(slim.filter("n > 0").drop("spare"), answer, ["c", "s2", "n"], "size", [F.monotonically_increasing_id()]).select("doc_id", "th", "t2", "n", "first")
+    return full.union(slim.filter("n = 0").select("doc_id", "th", "t2", "n", own))
+
+
+def ngram_join(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: ``doc_id, n_shingles, component_id``.
+
+    Two documents link when ``100 * |A & B| >= percent * |A | B|`` over their
+    distinct k-word shingles (A-Z lowered; fewer than k words count as one
+    shingle).  ``component_id`` is the least doc_id reachable by links.
+
+    Null or empty texts have no shingles and stay alone.  Repeated rows give
+    repeated results, and rows of one id with different texts link each for
+    itself.  Rows without an id link like others; the component of such rows
+    alone has a null id.  An empty table gives an empty one.  Other columns are
+    ignored, so their names can't clash.
+    """
+    found = _joined(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), k, percent)
+    return found.select("doc_id", F.col("n").alias("n_shingles"), F.col("first.doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """The documents of which each group of near duplicates keeps the one of least doc_id."""
-    found = ngram_join(docs, k, percent)
-    gone = common.written(found.filter("component_id < doc_id").select(F.col("doc_id").alias("gone")).distinct(), "gone")
-    return docs.join(common.checked_broadcast(gone, 8), docs["doc_id"] == gone["gone"], "left_anti")
+    """Of each group of near duplicates one document, with all its columns: that of least doc_id, and of least hash of its text among equal ids.
+
+    Documents go by id and text together, so rows that share an id but not the
+    text are told apart, and of rows repeated whole one stays.  Rows without an
+    id are the last choice.  Null and empty texts are no duplicates of each
+    other: all stay, repeated or not.  An empty table stays so.
+    Helper columns take names that the table doesn't have.
+
+    A bitmap of the rows in question sorts out most others without a shuffle.
+    """
+    found = _joined(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), k, percent).filter("n > 0")
+    stays = (F.col("first.th") == F.col("th")) & (F.col("first.t2") == F.col("t2"))
+    seen = found.groupBy("th", "t2").agg(F.max(stays).alias("stays"), F.count("*").alias("w")).filter("not stays or w > 1")
+    h, h2, stay, w = (common.free_name(docs, n) for n in ("row_hash", "row_hash2", "row_stays", "row_times"))
+    touched = common.written(seen.select(F.col("th").alias(h), F.col("t2").alias(h2), F.col("stays").alias(stay), F.col("w").alias(w)), "touched")
+    bits = common.bitmap(touched, h)
+    th, t2 = _row_key()
+    hashed, columns = docs.withColumns({h: th, h2: t2}), common.columns_of(docs)
+    near = common.salted(common.may_be_in(hashed, h, bits), touched, [h, h2], w, [F.monotonically_increasing_id()], "left")
+    once = near.filter(F.col(stay)).dropDuplicates([h, h2])
+    rest = near.filter(F.col(stay).isNull())
+    return common.not_in(hashed, h, bits).select(columns).union(rest.select(columns)).union(once.select(columns))
