@@ -31,7 +31,7 @@ KEY_ROWS = 256
 #: ``salted`` broadcasts at most so many large keys.
 LARGE_KEYS = 1 << 16
 #: Words of 64 bits that a ``bitmap`` has at most.
-BITMAP_WORDS = 1 << 20
+BITMAP_WORDS = 1 << 22
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -94,25 +94,34 @@ def checked_broadcast(df: DataFrame, row_bytes: int = 16) -> DataFrame:
     return F.broadcast(df) if small_enough(df, row_bytes) else df
 
 
-def salted(left: DataFrame, right: DataFrame, on: Sequence[str], weight: str, by: Sequence[str | Column], how: str = "inner", hint: str | None = None, counts: DataFrame | None = None) -> DataFrame:
-    """``left`` joined with ``right`` on equal keys; large keys are dealt to many tasks.
+def salted(left: DataFrame, right: DataFrame, on: Sequence[str], weight: str, by: Sequence[str | Column], how: str = "inner", counts: DataFrame | None = None, known: bool = False) -> DataFrame:
+    """``left`` joined with ``right`` on equal keys by a shuffle of both; large keys are dealt to many tasks.
 
     ``right`` has one row a key, with the number of its left rows as ``weight``,
     which is dropped.  A key of more than KEY_ROWS of them has its row copied to
     as many parts as it takes, and its left rows are dealt by ``by``.  Such keys
     are listed to all tasks: LARGE_KEYS at most, for the limit rises with the
-    number of rows.  ``counts`` has keys and weights alone where ``right`` is
-    not a written table.
+    number of rows; with ``known``, the left rows have the weight too and no list
+    is needed.  ``counts`` has keys and weights alone where ``right`` is not a
+    written table.
     """
-    counts = right if counts is None else counts
-    total = counts.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
-    part = max(KEY_ROWS, total // LARGE_KEYS + 1)
-    parts, salt = free_name(left, "_parts"), free_name(left, "_salt")
-    size = F.greatest(F.ceil(F.col(weight) / part), F.lit(1)).cast("int")
-    large = F.broadcast(counts.filter(F.col(weight) > part).select(*on, size.alias(parts)))
-    dealt = left.join(large, list(on), "left").withColumn(salt, F.when(F.col(parts) > 1, F.pmod(F.xxhash64(*by), F.col(parts)).cast("int")).otherwise(0)).drop(parts)
-    copied = right.withColumn(salt, F.explode(F.sequence(F.lit(0), size - 1))).drop(weight)
-    return dealt.join(copied.hint(hint) if hint else copied, [*on, salt], how).drop(salt)
+    salt = free_name(left, "_salt")
+    size = lambda part: F.greatest(F.ceil(F.col(weight) / part), F.lit(1)).cast("int")
+    dealt = lambda parts: F.when(parts > 1, F.pmod(F.xxhash64(*by), parts).cast("int")).otherwise(0)
+    if known:
+        part = KEY_ROWS
+        left = left.withColumn(salt, dealt(size(part))).drop(weight)
+    else:
+        counts = right if counts is None else counts
+        total = counts.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
+        part = max(KEY_ROWS, total // LARGE_KEYS + 1)
+        parts = free_name(left, "_parts")
+        large = counts.filter(F.col(weight) > part).select(*on, size(part).alias(parts))
+        # A row that matches nothing: the plan is the same whether there are large keys or not.
+        none = left.sparkSession.range(1).select(*(F.lit(None).cast(counts.schema[c].dataType).alias(c) for c in on), F.lit(1).alias(parts))
+        left = left.join(F.broadcast(large.union(none)), list(on), "left").withColumn(salt, dealt(F.coalesce(parts, F.lit(1)))).drop(parts)
+    copied = right.withColumn(salt, F.explode(F.sequence(F.lit(0), size(part) - 1))).drop(weight)
+    return left.join(copied.hint("merge"), [*on, salt], how).drop(salt)
 
 
 def _bit(key: Column, words: int) -> tuple[Column, Column]:
@@ -156,6 +165,13 @@ def columns_of(df: DataFrame) -> list[Column]:
     return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
 
 
+def row_key() -> tuple[Column, Column]:
+    """96 bits of hash of a document's id and text, null or not: rows that agree in them are taken as repeated."""
+    doc_id, text = F.col("doc_id").cast("long"), F.col("text")
+    both = (doc_id.isNull(), doc_id, text.isNull(), text)
+    return F.xxhash64(*both), F.hash(*both)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """A column name that the frame doesn't have, whatever its case."""
     have = {c.lower() for c in df.columns}

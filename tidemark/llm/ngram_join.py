@@ -158,8 +158,8 @@ def _links(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFram
     rows = pairs
     for side, other in (("b", "a"), ("a", "b")):
         counts = common.written(pairs.groupBy(side).agg(F.count("*").alias("w")), "counts")
-        sent = texts.select(F.col("cid").alias(side), F.col("text").alias(f"t{side}")).join(counts, side)
-        rows = common.salted(rows, sent, [side], "w", [other], hint="merge" if side == "a" else None, counts=counts)
+        sent = texts.select(F.col("cid").alias(side), F.col("text").alias(f"t{side}")).join(counts.hint("merge"), side)
+        rows = common.salted(rows, sent, [side], "w", [other], counts=counts)
     return common.written(rows.select("a", "b", "ta", "tb").mapInArrow(lambda it: _verify(it, k, percent), "a long, b long"), "verified")
 
 
@@ -227,41 +227,40 @@ def _key_pairs(rows: list[tuple], percent: int, forest: bool) -> Iterator[tuple[
 
 
 def _near(batches: Iterator[pa.RecordBatch], percent: int, forest: bool) -> Iterator[pa.RecordBatch]:
-    """Rows (key, t, p, q, own, cid, component, n, bits), those of a block next to each other."""
+    """Rows (key, t, p, q, m, own, cid, component, n, bits), those of a block next to each other; gives (key, m, a, b)."""
 
-    def blocks() -> Iterator[tuple[int, int]]:
+    def blocks() -> Iterator[tuple[int, int, int, int]]:
         held: list[tuple] = []
-        at: tuple | None = None
+        at: tuple = ()
         for batch in batches:
-            cols = [batch.column(i).to_pylist() for i in range(9)]
+            cols = [batch.column(i).to_pylist() for i in range(10)]
             for row in zip(*cols, strict=True):
-                if row[:4] != at:
+                if row[:5] != at:
                     if len(held) > 1:
-                        yield from _key_pairs(held, percent, forest)
-                    held, at = [], row[:4]
-                held.append(row[4:])
+                        yield from ((at[0], at[4], a, b) for a, b in _key_pairs(held, percent, forest))
+                    held, at = [], row[:5]
+                held.append(row[5:])
         if len(held) > 1:
-            yield from _key_pairs(held, percent, forest)
+            yield from ((at[0], at[4], a, b) for a, b in _key_pairs(held, percent, forest))
 
     pairs = blocks()
     while part := list(islice(pairs, OUTPUT)):
-        a, b = zip(*part, strict=True)
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*part, strict=True)], names=["key", "m", "a", "b"])
 
 
 def _near_pairs(named: DataFrame, bits: DataFrame, percent: int, forest: bool) -> DataFrame:
-    """Pairs of near sketches in different components, among ``key, cid, component, n``.
+    """``key, m, a, b``: pairs of near sketches in different components, among ``key, cid, component, n, m`` (m rows of the key, at most).
 
     A key's rows meet in one block, or if they are many, in blocks of parts.  Its
     largest component is compared with the others and not with itself, so a
     key of many copies and a few others costs no more than their number.
     """
-    each = named.groupBy("key", "component").agg(F.count("*").alias("size"), F.sum("n").alias("words"))
-    per = each.groupBy("key").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.max(F.struct("size", "words")).alias("top"), F.sum("size").alias("size"), F.sum("words").alias("words"), F.count("*").alias("spans")).filter("spans > 1")
+    each = named.groupBy("key", "component").agg(F.count("*").alias("size"), F.sum("n").alias("words"), F.max("m").alias("m"))
+    per = each.groupBy("key").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.max(F.struct("size", "words")).alias("top"), F.sum("size").alias("size"), F.sum("words").alias("words"), F.max("m").alias("m"), F.count("*").alias("spans")).filter("spans > 1")
     count = lambda size, words: F.greatest(F.ceil(size / BUCKET), F.ceil(words / BUCKET_WORDS), F.lit(1)).cast("int")
-    per = per.select("key", "main", "size", count(F.col("size"), F.col("words")).alias("all"), count(F.col("top.size"), F.col("top.words")).alias("lp"), count(F.col("size") - F.col("top.size"), F.col("words") - F.col("top.words")).alias("rp"))
+    per = per.select("key", "main", "m", F.col("m").alias("rows"), count(F.col("size"), F.col("words")).alias("all"), count(F.col("top.size"), F.col("top.words")).alias("lp"), count(F.col("size") - F.col("top.size"), F.col("words") - F.col("top.words")).alias("rp"))
     per = common.written(per, "spans")
-    rows = common.salted(named, per.withColumn("w", F.col("size")).drop("size"), ["key"], "w", ["cid"])
+    rows = common.salted(named, per, ["key"], "m", ["cid"], known=True)
     is_main = F.col("component") == F.col("main")
     mine = F.pmod(F.xxhash64("cid"), F.when(is_main, F.col("lp")).otherwise(F.col("rp"))).cast("int")
     rows = rows.withColumn("mine", F.when(F.col("all") == 1, 0).otherwise(mine)).withColumn("own", F.when(F.col("all") == 1, 0).when(is_main, -1).otherwise(F.col("mine")))
@@ -270,23 +269,16 @@ def _near_pairs(named: DataFrame, bits: DataFrame, percent: int, forest: bool) -
     mine = F.col("mine")
     many = F.when(is_main, F.transform(upto("rp"), lambda j: block(1, mine, j))).otherwise(F.concat(F.transform(upto("lp"), lambda i: block(1, i, mine)), F.transform(upto("rp"), lambda j: block(2, F.least(mine, j), F.greatest(mine, j)))))
     dealt = rows.withColumn("block", F.explode(F.when(F.col("all") == 1, F.array(block(0, F.lit(0), F.lit(0)))).otherwise(many)))
-    dealt = dealt.select("key", "block.*", "own", "cid", "component").join(bits, "cid")
-    dealt = dealt.repartition("key", "t", "p", "q").sortWithinPartitions("key", "t", "p", "q", "own", "cid").select("key", "t", "p", "q", "own", "cid", "component", "n", "bits")
-    return common.written(dealt.mapInArrow(lambda it: _near(it, percent, forest), "a long, b long").distinct(), "pairs")
-
-
-def _row_key() -> tuple[Column, Column]:
-    """96 bits of hash of a row's id and text, null or not: rows that agree in them are taken as repeated."""
-    doc_id, text = F.col("doc_id").cast("long"), F.col("text")
-    both = (doc_id.isNull(), doc_id, text.isNull(), text)
-    return F.xxhash64(*both), F.hash(*both)
+    dealt = dealt.select("key", "block.*", "rows", "own", "cid", "component").join(bits.hint("merge"), "cid")
+    dealt = dealt.repartition("key", "t", "p", "q").sortWithinPartitions("key", "t", "p", "q", "own", "cid").select("key", "t", "p", "q", "rows", "own", "cid", "component", "n", "bits")
+    return common.written(dealt.mapInArrow(lambda it: _near(it, percent, forest), "key long, m long, a long, b long"), "near")
 
 
 def _joined(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """``docs(doc_id, text)`` -> ``doc_id, th, t2, n, component_id, first``: the row key of each document and of the first of its component."""
     spark = docs.sparkSession
     common.short_batches(spark)
-    th, t2 = _row_key()
+    th, t2 = common.row_key()
     docs = docs.withColumns({"th": th, "t2": t2})
     path = common.scratch_path(spark, "sketches")
     docs.select("doc_id", "th", "t2", "text").mapInArrow(lambda it: _sketch(it, k, percent), _SKETCHED).write.parquet(path)
@@ -301,49 +293,52 @@ def _joined(docs: DataFrame, k: int, percent: int) -> DataFrame:
     met = rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("m")).filter("lo < hi")
     met = common.written(met, "met")
     common.tidy(spark)
-    wide = common.written(met.filter("m > 2").select("key", "m"), "wide")
-    found = common.may_be_in(rows, "key", common.bitmap(wide, "key")).distinct()
-    several = common.salted(found, wide, ["key"], "m", ["c"])
+    several = common.may_be_in(rows, "key", common.bitmap(met.filter("m > 2").select("key"), "key")).select("key", "c")
     two = met.filter("m = 2").select("key", F.explode(F.array("lo", "hi")).alias("c"))
     # Classes of one 64-bit hash, should there be any, meet in a key of their own.
     same = classes.groupBy("c").agg(F.count("*").alias("m")).filter("m > 1").select(F.col("c").alias("key"), "c")
-    members = several.select("key", "c").union(two).union(same).join(classes.select("c", "cid", "n"), "c").select("key", "cid", "n")
-    members = common.written(members, "members")
+    found = several.union(two).union(same).distinct().join(classes.select("c", "cid", "n").hint("merge"), "c").select("key", "cid", "n")
+    found = common.written(found, "found")
     common.remove(spark, path)
-    heads = common.written(members.groupBy("key").agg(F.min("cid").alias("lo"), F.count("*").alias("m")), "heads")
+    # What the bitmap let through by chance has keys of one class.
+    heads = common.written(found.groupBy("key").agg(F.min("cid").alias("lo"), F.count("*").alias("m")).filter("m > 1"), "heads")
     common.tidy(spark)
+    members = common.written(common.salted(found, heads.withColumn("w", F.col("m")), ["key"], "w", ["cid"]), "members")
 
-    needed = common.written(members.select("cid").distinct().join(classes, "cid").select("cid", F.col("rep.th").alias("th"), F.col("rep.t2").alias("t2"), F.lit(1).alias("w")), "needed")
-    texts = common.may_be_in(docs.select("th", "t2", "text"), "th", common.bitmap(needed, "th"))
-    texts = common.written(texts.join(needed.drop("w"), ["th", "t2"]).dropDuplicates(["cid"]).select("cid", "text"), "texts")
+    needed = members.select("cid").distinct().join(classes.hint("merge"), "cid").select("cid", F.col("rep.th").alias("th"), F.col("rep.t2").alias("t2"))
+    needed = common.written(needed, "needed")
+    texts = common.may_be_in(docs.select("th", "t2", "text"), "th", common.bitmap(needed, "th")).join(needed.hint("merge"), ["th", "t2"])
+    texts = common.written(texts.groupBy("th", "t2").agg(F.first(F.struct("cid", "text")).alias("one")).select("one.*"), "texts")
     bits = common.written(texts.mapInArrow(lambda it: _bits(it, k), "cid long, n long, bits binary"), "bits")
 
     # Each class is first compared with the least class of most of its keys.
-    headed = common.written(common.salted(members, heads.withColumn("w", F.col("m")), ["key"], "w", ["cid"]), "headed")
-    star = headed.filter("cid != lo").groupBy(F.col("lo").alias("a"), F.col("cid").alias("b")).agg(F.count("*").alias("w"))
+    star = members.filter("cid != lo").groupBy(F.col("lo").alias("a"), F.col("cid").alias("b")).agg(F.count("*").alias("w"))
     best = common.written(star.groupBy("b").agg(F.max_by("a", F.struct("w", "a")).alias("a")).select("a", "b"), "best")
     links = _links(best, texts, k, percent)
     common.tidy(spark)
     labels = components(links)
 
     # Where a set's common and empty blocks leave slack in both bands, it meets each partner in another block.
-    often = headed.filter(F.col("m") > COMMON_KEY)
+    often = members.filter(F.col("m") > COMMON_KEY)
     used = often.groupBy("cid").agg(F.count("*").alias("used")).join(classes.select("cid", "spare"), "cid").filter("used > spare").select("cid")
-    open_ = headed.filter(F.col("m") <= COMMON_KEY).select("key", "cid", "n").union(often.join(used, "cid").select("key", "cid", "n"))
+    open_ = members.filter(F.col("m") <= COMMON_KEY).select("key", "cid", "n", "m").union(often.join(used, "cid").select("key", "cid", "n", "m"))
 
     for forest in (True, False):
         # First a spanning forest of the near sketches of each key; then, of the
         # components that are left, every near pair: few, for their texts just miss.
-        named = open_.join(labels.select(F.col("id").alias("cid"), "component"), "cid", "left").select("key", "cid", "n", F.coalesce("component", "cid").alias("component"))
-        pairs = _near_pairs(named, bits, percent, forest)
+        named = open_.join(labels.select(F.col("id").alias("cid"), "component").hint("merge"), "cid", "left").select("key", "cid", "n", "m", F.coalesce("component", "cid").alias("component"))
+        near = _near_pairs(named, bits, percent, forest)
         common.tidy(spark)
+        pairs = common.written(near.select("a", "b").distinct(), "pairs")
         more = _links(pairs, texts, k, percent)
-        if more.isEmpty():
-            if pairs.isEmpty():
-                break
-            continue
-        links = links.union(more)
-        labels = components(links)
+        if not more.isEmpty():
+            links = links.union(more)
+            labels = components(links)
+        # Keys without a near pair have none between what is left either.
+        left = common.written(near.groupBy("key").agg(F.max("m").alias("m"), F.max("m").alias("rows")), "left")
+        if not forest or left.isEmpty():
+            break
+        open_ = common.written(common.salted(open_, left, ["key"], "m", ["cid"], known=True).withColumnRenamed("rows", "m").select("key", "cid", "n", "m"), "open")
 
     # Components by class, then classes to documents; both large kinds are dealt to many tasks.
     linked = classes.join(labels.select(F.col("id").alias("cid"), "component"), "cid").select("cid", "component", "rep")
@@ -390,7 +385,7 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     h, h2, stay, w = (common.free_name(docs, n) for n in ("row_hash", "row_hash2", "row_stays", "row_times"))
     touched = common.written(seen.select(F.col("th").alias(h), F.col("t2").alias(h2), F.col("stays").alias(stay), F.col("w").alias(w)), "touched")
     bits = common.bitmap(touched, h)
-    th, t2 = _row_key()
+    th, t2 = common.row_key()
     hashed, columns = docs.withColumns({h: th, h2: t2}), common.columns_of(docs)
     near = common.salted(common.may_be_in(hashed, h, bits), touched, [h, h2], w, [F.monotonically_increasing_id()], "left")
     once = near.filter(F.col(stay)).dropDuplicates([h, h2])
