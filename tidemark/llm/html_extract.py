@@ -3,15 +3,24 @@
 A page becomes a tree of blocks.  Each paragraph gives points for its length
 and its commas to its ancestors, halved at every level and discounted by its
 link density.  The best container is the article; siblings that score like it
-are kept with it.  Inside the chosen containers everything is kept but markup
-that is never article text: menus, forms, scripts, asides, comments and so on.
+are kept with it.  Inside the chosen containers everything is kept but what is
+never article text: menus, forms, scripts, asides, comments and so on.  Of an
+article's own header its headings are kept.
+
+A class or id that names such a part says so for certain (``comments``,
+``cookie-notice``) or only perhaps (``related``, ``social-history``).  What is
+perhaps one hands on no points, and is kept inside an article if it reads like
+the article: long enough and with few links.
+
+A page is read once, in time linear in its length, however its tags are nested.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,29 +30,38 @@ from tidemark.llm import common
 #: What HTML defines or what pages call such parts.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style noscript template iframe svg math canvas object textarea select title xmp noembed noframes".split())
-_SKIP = frozenset("head nav header footer aside form button fieldset dialog menu audio video figure map label".split())
+_SKIP = frozenset("head nav header footer aside form button fieldset dialog menu audio video map label".split())
 _BLOCK = frozenset(
     "address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option optgroup p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
-_BAD = re.compile(
-    r"(?:^|[\s_-])(?<!has-)(?<!with-)(?<!no-)(?:ads?|adverts?|advertisement|advertising|adsense|banner|promo|promoted|sponsor|sponsored|sponsors|sidebar|side-?bar|comments?|disqus|replies|respond|nav|navbar|navigation|menu|breadcrumbs?|footer|header|masthead|cookies?|consent|gdpr|notice|popup|modal|overlay|newsletter|subscribe|subscription|signup|share|sharing|social|related|recommended|pagination|pager|toolbar|disclaimer|copyright|skip|form|login|search|tags|outbrain|taboola)(?:$|[\s_-])|(?:^|\s)widget(?:$|\s|-area|_)",
-    re.I,
-)
+_NEVER = "ads? adverts? advertisement advertising adsense sponsor sponsored sponsors sidebar side-?bar comments? disqus replies respond nav navbar navigation breadcrumbs? footer masthead cookies? consent gdpr notice popup modal newsletter subscribe subscription signup outbrain taboola pagination pager login".split()
+_PERHAPS = "banner promo promoted menu header overlay share sharing social related recommended toolbar disclaimer copyright skip form search tags".split()
+
+
+def _names(words: list[str], more: str = "") -> re.Pattern:
+    return re.compile(rf"(?:^|[\s_-])(?<!has-)(?<!with-)(?<!no-)(?:{'|'.join(words)})(?:$|[\s_-]){more}", re.I)
+
+
+_BAD, _DOUBTFUL = _names(_NEVER, r"|(?:^|\s)widget(?:$|\s|-area|_)"), _names(_PERHAPS)
+#: What is perhaps no article text is kept from so many characters on, if no more than this share of them are in links.
+DOUBT_CHARS, DOUBT_LINKS = 200, 0.25
 _GOOD = re.compile(r"(?:^|[\s_-])(?:article|main|content|post|entry|story|body|text|blog)(?:$|[\s_-])", re.I)
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>\x00]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>\x00]*)([^>]*)>?", re.S)
 _ATTR = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""")
 _SPACE = re.compile(r"\s+")
 #: What opening one of these closes, as far up as the stop set.
+_P_STOPS = ("p", "button", "td", "th", "li", "div", "article", "section", "body")
 _P_CLOSERS = _BLOCK - frozenset("body br caption head html option optgroup td th tr tbody thead tfoot".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _SELF = {"li": ("li", frozenset({"ul", "ol", "menu"})), "dt": ("dt dd", frozenset({"dl"})), "dd": ("dt dd", frozenset({"dl"})), "option": ("option", frozenset({"select"})), "tr": ("tr td th", frozenset({"table"})), "td": ("td th", frozenset({"tr", "table"})), "th": ("td th", frozenset({"tr", "table"}))}
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "kids", "skip", "good", "score", "size", "links")
+    __slots__ = ("tag", "parent", "kids", "skip", "good", "doubt", "score", "size", "links")
 
-    def __init__(self, tag: str, parent: _Node | None, skip: bool = False, good: bool = False):
-        self.tag, self.parent, self.skip, self.good = tag, parent, skip, good
+    def __init__(self, tag: str, parent: _Node | None, skip: bool = False, good: bool = False, doubt: bool = False):
+        self.tag, self.parent, self.skip, self.good, self.doubt = tag, parent, skip, good, doubt
         self.kids: list = []
         self.score, self.size, self.links = 0.0, 0, 0
 
@@ -52,37 +70,63 @@ def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): m[2] if m[2] is not None else m[3] if m[3] is not None else m[4] or "" for m in _ATTR.finditer(raw)} if raw.strip(" /\t\r\n") else {}
 
 
-def _looks_bad(tag: str, attrs: dict[str, str]) -> tuple[bool, bool]:
+def _looks_bad(tag: str, attrs: dict[str, str]) -> tuple[bool, bool, bool]:
+    """Whether an element is never article text, whether it names an article, whether it is perhaps no article text."""
     if tag in _SKIP:
-        return True, False
+        return True, False, False
     if not attrs:
-        return False, tag in ("article", "main")
+        return False, tag in ("article", "main"), False
     if "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in attrs.get("style", "").replace(" ", "").lower():
-        return True, False
+        return True, False, False
     if attrs.get("role", "").lower() in _ROLES:
-        return True, False
+        return True, False, False
     name = f"{attrs.get('class', '')} {attrs.get('id', '')}"
     good = tag in ("article", "main") or attrs.get("role") in ("main", "article") or bool(_GOOD.search(name))
-    bad = tag not in ("body", "html", "article", "main", "a", "b", "i", "em", "strong", "p", "span") and bool(_BAD.search(name))
-    if bad and not attrs.get("id") and tag in ("h1", "h2", "h3"):
-        bad = False
-    return bad, good and not bad
+    if tag in ("body", "html", "article", "main", "a", "b", "i", "em", "strong", "p", "span") or (tag in ("h1", "h2", "h3") and not attrs.get("id")):
+        return False, good, False
+    bad, doubt = bool(_BAD.search(name)), bool(_DOUBTFUL.search(name))
+    return bad, good and not bad and not doubt, doubt and not bad
+
+
+class _Open:
+    """The open elements, the innermost last, and for each tag at which depths it is open."""
+
+    def __init__(self, root: _Node):
+        self.nodes, self.depths = [root], {}
+
+    @property
+    def node(self) -> _Node:
+        return self.nodes[-1]
+
+    def push(self, node: _Node) -> None:
+        self.depths.setdefault(node.tag, []).append(len(self.nodes))
+        self.nodes.append(node)
+
+    def close(self, depth: int) -> None:
+        """Closes the element at a depth and all inside it."""
+        while len(self.nodes) > depth:
+            self.depths[self.nodes.pop().tag].pop()
+
+    def last(self, tags: Iterable[str]) -> int:
+        """The depth of the innermost open element of some tags; 0 if none is."""
+        return max((d[-1] for t in tags if (d := self.depths.get(t))), default=0)
 
 
 def parse(page: str) -> _Node:
     """The tree of a page; text is a kid string. Unclosed and stray tags are mended as browsers do, roughly."""
-    root = node = _Node("#root", None)
+    root = _Node("#root", None)
+    stack = _Open(root)
     at, end = 0, len(page)
     while at < end:
         lt = page.find("<", at)
         if lt < 0:
-            node.kids.append(page[at:])
+            stack.node.kids.append(page[at:])
             break
         if lt > at:
-            node.kids.append(page[at:lt])
+            stack.node.kids.append(page[at:lt])
         m = _TOKEN.match(page, lt)
         if not m:
-            node.kids.append("<")
+            stack.node.kids.append("<")
             at = lt + 1
             continue
         at = m.end()
@@ -90,56 +134,63 @@ def parse(page: str) -> _Node:
         if not tag:
             continue
         if m[1] or m[4]:
-            up = node
-            while up and up.tag != tag:
-                up = up.parent
-            if up and up.parent:
-                node = up.parent
+            if depth := stack.last((tag,)):
+                stack.close(depth)
             continue
+        raw = (m[3] if m[2] else m[6]) or ""
         if tag in _RAW:
-            close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            raw = m[3] if m[2] else m[6]
-            if not (raw or "").rstrip().endswith("/") or tag not in ("svg", "math"):
+            if not raw.rstrip().endswith("/") or tag not in ("svg", "math"):
+                close = _closing(tag).search(page, at)
                 at = close.end() if close else end
-            if tag not in ("title",):
-                node.kids.append(_Node(tag, node, skip=True))
+            if tag != "title":
+                stack.node.kids.append(_Node(tag, stack.node, skip=True))
             continue
-        if tag == "body" or tag == "html":
-            if tag == "body":
-                while node.parent and any(x.tag == "head" for x in _up(node)):
-                    node = node.parent
-            known = next((x for x in _up(node) if x.tag == tag), None)
-            if known:
+        if tag in ("body", "html"):
+            if tag == "body" and (depth := stack.last(("head",))):
+                stack.close(stack.depths["head"][0])
+            if stack.last((tag,)):
                 continue
-        if tag in _P_CLOSERS:
-            up = next((x for x in _up(node) if x.tag in ("p", "button", "td", "th", "li", "div", "article", "section", "body")), None)
-            if up is not None and up.tag == "p":
-                node = up.parent
+        if tag in _P_CLOSERS and (depth := stack.last(_P_STOPS)) and stack.nodes[depth].tag == "p":
+            stack.close(depth)
         if tag in _SELF:
             closes, stops = _SELF[tag]
-            for up in _up(node):
-                if up.tag in stops:
-                    break
-                if up.tag in closes.split():
-                    node = up.parent
-                    break
-        attrs = _attributes(m[3] if m[2] else m[6])
-        bad, good = _looks_bad(tag, attrs)
-        kid = _Node(tag, node, bad, good)
-        node.kids.append(kid)
+            if (depth := stack.last(closes.split())) > stack.last(stops):
+                stack.close(depth)
+        kid = _Node(tag, stack.node, *_looks_bad(tag, _attributes(raw)))
+        stack.node.kids.append(kid)
         if tag not in _VOID and not ((m[3] or "").endswith("/") and tag not in _BLOCK):
-            node = kid
+            stack.push(kid)
     return root
 
 
+@cache
+def _closing(tag: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(tag)}\s*>", re.I)
+
+
 def _up(node: _Node | None) -> Iterator[_Node]:
     while node is not None:
         yield node
         node = node.parent
 
 
-def _blocks(top: _Node, into: list[str]) -> None:
-    """Text blocks below a node in page order, without skipped parts; white space is not yet one space."""
+def _reads_like_text(node: _Node) -> bool:
+    return node.size >= DOUBT_CHARS and node.links <= DOUBT_LINKS * node.size
+
+
+def _headings(header: _Node) -> Iterator[_Node]:
+    """The headings of an article's own header, in page order."""
+    stack = [header]
+    while stack:
+        n = stack.pop()
+        if n.tag in _HEADINGS:
+            yield n
+        elif n is header or not n.skip:
+            stack += [k for k in reversed(n.kids) if isinstance(k, _Node)]
+
+
+def _blocks(top: _Node, into: list[str], article: bool = False) -> None:
+    """Text blocks below a node in page order, without skipped parts; ``article``: below an article element, whose headers' headings count."""
     part: list[str] = []
 
     def end() -> None:
@@ -158,7 +209,11 @@ def _blocks(top: _Node, into: list[str]) -> None:
                 end()
         elif isinstance(kid, str):
             part.append(kid)
-        elif not kid.skip:
+        elif kid.skip and kid.tag == "header" and (article or top.tag == "article" or "article" in tags):
+            end()
+            for h in _headings(kid):
+                _blocks(h, into)
+        elif not kid.skip and (not kid.doubt or _reads_like_text(kid)):
             if kid.tag in _BLOCK:
                 end()
             if kid.kids:
@@ -193,7 +248,7 @@ def _measure(root: _Node) -> list[_Node]:
                 density = min(1.0, n.links / max(1, n.size))
                 points = (1 + tally[1] + min(tally[0] / 100, 30)) * (1 - density)
                 share, up = 1.0, (n.parent if n.tag in ("p", "li", "td", "pre", "blockquote", "dd", "h1", "h2", "h3", "h4") else n)
-                while up is not None and share > 0.03:
+                while up is not None and share > 0.03 and not up.doubt:
                     up.score += points * share
                     share /= 2
                     up = up.parent
@@ -204,7 +259,7 @@ def _measure(root: _Node) -> list[_Node]:
         if n.parent is not None:
             n.parent.size += n.size
             n.parent.links += n.links
-    return [n for n in order if n.tag in _BLOCK and n.tag not in ("p", "br", "hr", "html", "h1", "h2", "h3", "h4", "h5", "h6", "li")]
+    return [n for n in order if n.tag in _BLOCK and not n.doubt and n.tag not in ("p", "br", "hr", "html", "h1", "h2", "h3", "h4", "h5", "h6", "li")]
 
 
 def extract(page: str | None) -> str:
@@ -217,10 +272,9 @@ def extract(page: str | None) -> str:
     best = max(containers, key=lambda n: rank[id(n)], default=None)
     if best is None or rank[id(best)] <= 0:
         best = next((n for n in containers if n.good and n.size), root)
-    for up in _up(best.parent):
-        if up.good and up.tag in ("article", "main"):
-            best = up
-            break
+    above = [up for up in _up(best.parent) if up.good and up.tag in ("article", "main")]
+    best = above[0] if above else best
+    article = any(up.tag == "article" for up in _up(best))
     found: list[str] = []
     if best.parent is None:
         _blocks(best, found)
@@ -231,8 +285,8 @@ def extract(page: str | None) -> str:
             continue
         dense = kid.links / max(1, kid.size)
         alike = kid is best or (best.tag not in ("article", "main", "body") and ((rank.get(id(kid), 0.0) >= least and dense < 0.3) or (kid.tag == "p" and kid.size > 80 and dense < 0.25) or kid.tag == "h1"))
-        if alike:
-            _blocks(kid, found)
+        if alike and (kid is best or not kid.doubt or _reads_like_text(kid)):
+            _blocks(kid, found, article)
     return " ".join(found)
 
 
