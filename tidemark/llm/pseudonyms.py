@@ -2,9 +2,15 @@
 
 Numbers and dates that validate are replaced within their format: a card
 number by another valid card number with the same separators, a date by another
-date written the same way.  The permutation depends on the key and the kind
-alone, so equal values get equal pseudonyms in every document, different values
-different ones, and whoever has the key can invert it.
+date written the same way.  The permutation depends on the key, the kind and the
+way of writing alone, so equal values get equal pseudonyms in every document,
+different values different ones, and whoever has the key can invert it
+(``undo``).  The key is a literal of the plan: whoever sees plans or event logs
+sees it.
+
+Ways to write a date have fewer dates than the calendar: a month of one digit, or
+a month before a day that only then can be told.  There the permutation is
+walked on until it comes to a date of that way again, which keeps it a bijection.
 
 A value is split in two halves; each of ROUNDS rounds adds a keyed hash of one
 half to the other, modulo that half's range.  So every round is a bijection of
@@ -16,7 +22,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm import common
+
 ROUNDS = 10
+#: Steps of a walk at most: two in nine dates at least are of any way of writing, so one in 10^43 walks would need more.
+WALK = 400
 #: Days from 1900-01-01 that dates are permuted within (to 2099-12-31): 17 times 4297.
 DAYS = (17, 4297)
 _SIDE, _END = r"(?<![0-9A-Za-z])", r"(?![0-9A-Za-z])"
@@ -54,6 +64,10 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+class Undo(str):
+    """A key by which every permutation is inverted."""
+
+
 def feistel(left: Column, right: Column, a: Column, b: Column, key: str, kind: Column) -> Column:
     """The pair (left below a, right below b), permuted."""
 
@@ -61,9 +75,11 @@ def feistel(left: Column, right: Column, a: Column, b: Column, key: str, kind: C
         even = i % 2 == 0
         text = F.concat_ws("|", F.lit(key), kind, a.cast("string"), b.cast("string"), i.cast("string"), F.when(even, acc["r"]).otherwise(acc["l"]).cast("string"))
         mixed = F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("long")
-        return F.struct(F.when(even, (acc["l"] + mixed) % a).otherwise(acc["l"]).alias("l"), F.when(even, acc["r"]).otherwise((acc["r"] + mixed) % b).alias("r"))
+        mixed = -mixed if isinstance(key, Undo) else mixed
+        return F.struct(F.when(even, F.pmod(acc["l"] + mixed, a)).otherwise(acc["l"]).alias("l"), F.when(even, acc["r"]).otherwise(F.pmod(acc["r"] + mixed, b)).alias("r"))
 
-    return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), F.struct(left.cast("long").alias("l"), right.cast("long").alias("r")), step)
+    rounds = (ROUNDS - 1, 0) if isinstance(key, Undo) else (0, ROUNDS - 1)
+    return F.aggregate(F.sequence(*map(F.lit, rounds)), F.struct(left.cast("long").alias("l"), right.cast("long").alias("r")), step)
 
 
 def _digits(text: Column, key: str, kind: Column) -> Column:
@@ -163,24 +179,32 @@ def _moved(date: Column, key: str) -> Column:
     return F.when(date.isNotNull(), _let(pair, lambda x: F.date_add(F.lit("1900-01-01").cast("date"), (x["l"] * b + x["r"]).cast("int"))))
 
 
-def _like(date: Column, sep: Column, day_first: Column, wide1: Column, wide2: Column) -> Column:
+def _like(date: Column, sep: Column, day_first: Column) -> Column:
     part = lambda v, wide: F.when(wide, F.lpad(v.cast("string"), 2, "0")).otherwise(v.cast("string"))
-    one, two = F.when(day_first, F.day(date)).otherwise(F.month(date)), F.when(day_first, F.month(date)).otherwise(F.day(date))
-    return F.concat(part(one, wide1), sep, part(two, wide2), sep, F.year(date).cast("string"))
+    one, two = F.when(day_first["is"], F.day(date)).otherwise(F.month(date)), F.when(day_first["is"], F.month(date)).otherwise(F.day(date))
+    return F.concat(part(one, day_first["wide1"]), sep, part(two, day_first["wide2"]), sep, F.year(date).cast("string"))
 
 
 def _day_date(token: Column, key: str) -> Column:
-    """Day first if that is a date, else month first.
+    """Day first if that is a date, else month first. Order and padding of the fields stay, so the pseudonym is read the same way."""
 
-    Fields of one sign stay unpadded only if the value shows that the writer
-    doesn't pad; a pseudonym of two signs needs no padding anyway.
-    """
+    def fits(date: Column, way: Column) -> Column:
+        one, two = F.when(way["is"], F.day(date)).otherwise(F.month(date)), F.when(way["is"], F.month(date)).otherwise(F.day(date))
+        return (way["wide1"] | (one < 10)) & (way["wide2"] | (two < 10)) & (way["is"] | (F.day(date) > 12))
 
     def parts(p: Column) -> Column:
         by_day = _day(p[2], p[1], p[0])
         date = F.coalesce(by_day, _day(p[2], p[0], p[1]))
         sep = F.substring(F.regexp_replace(token, "[0-9]", ""), 1, 1)
-        return _let(_moved(date, key), lambda x: _like(x, sep, by_day.isNotNull(), F.length(p[0]) == 2, F.length(p[1]) == 2))
+        way = F.struct(by_day.isNotNull().alias("is"), (F.length(p[0]) == 2).alias("wide1"), (F.length(p[1]) == 2).alias("wide2"))
+
+        def walked(x: Column) -> Column:
+            steps = lambda start, n: F.aggregate(F.sequence(F.lit(1), F.lit(n)), start, lambda acc, _: F.when(fits(acc, x["way"]), acc).otherwise(_moved(acc, key)))
+            # Few walks are long: the rest of the steps is looked at for those alone.
+            found = _let(steps(_moved(x["date"], key), 16), lambda d: F.when(fits(d, x["way"]), d).otherwise(steps(d, WALK)))
+            return F.when(x["date"].isNotNull(), _let(found, lambda d: _like(d, sep, x["way"])))
+
+        return _let(F.struct(date.alias("date"), way.alias("way")), walked)
 
     return _let(F.split(token, "[./]"), parts)
 
@@ -236,7 +260,7 @@ def pseudonym(token: Column, key: str) -> Column:
     return _let(value, lambda x: F.struct(kind.alias("kind"), token.alias("token"), x["n"].alias("n"), x["value"].alias("value")))
 
 
-def pseudonyms(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
+def pseudonyms(docs: DataFrame, key: str, text_col: str = "text", undo: bool = False) -> DataFrame:
     """``docs`` with the text's validated numbers and dates replaced, and counts of what was replaced by kind.
 
     Cards (13 to 19 digits that pass Luhn), social security numbers, phone
@@ -246,8 +270,12 @@ def pseudonyms(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     free.  Bare runs of digits aren't phone numbers.  What doesn't validate
     stays as it is, and so does a text without any; a null text stays null and
     has counts of 0.  Added columns: n_replaced, n_card, n_ssn, n_phone, n_ip,
-    n_date.
+    n_date; where the table has a column of such a name, the added one gets
+    underscores behind its own.  Repeated rows give repeated results, an empty
+    table an empty one, and ids aren't read.  With ``undo``, pseudonyms become
+    the values they stand for.
     """
+    key = Undo(key) if undo else key
     text = F.col(text_col)
     marked = F.when(text.rlike(ANY), F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), lambda t: pseudonym(t, key)))
 
@@ -258,7 +286,9 @@ def pseudonyms(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
         kinds = F.flatten(F.transform(F.filter(found, lambda x: x["value"].isNotNull()), lambda x: F.array_repeat(x["kind"], x["n"])))
         return F.struct(joined.alias("text"), kinds.alias("kinds"))
 
-    made = docs.withColumn("_made", F.when(text.rlike("[0-9]"), F.when(marked.isNotNull(), _let(marked, whole))))
-    kinds = F.coalesce(F.col("_made.kinds"), F.array().cast("array<string>"))
+    helper = common.free_name(docs, "pseudonyms_made")
+    made = docs.withColumn(helper, F.when(text.rlike("[0-9]"), F.when(marked.isNotNull(), _let(marked, whole))))
+    kinds = F.coalesce(F.col(helper)["kinds"], F.array().cast("array<string>"))
     counts = {f"n_{k}": (F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long") for k in ("card", "ssn", "phone", "ip", "date")}
-    return made.withColumns({text_col: F.coalesce(F.col("_made.text"), text), "n_replaced": F.size(kinds).cast("long")} | counts).drop("_made")
+    added = {common.free_name(docs, name): column for name, column in ({"n_replaced": F.size(kinds).cast("long")} | counts).items()}
+    return made.withColumns({text_col: F.coalesce(F.col(helper)["text"], text)} | added).drop(helper)
