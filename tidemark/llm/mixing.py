@@ -60,33 +60,26 @@ def _boundary(hist: DataFrame, budget: DataFrame) -> DataFrame:
     return run.filter("upto > budget - spent").groupBy("s").agg(F.min_by(F.struct("bucket", (F.col("upto") - F.col("words")).alias("below"), "words"), "bucket").alias("b")).select("s", "b.*")
 
 
-def mix(docs: DataFrame, weight_rows: DataFrame | None = None) -> DataFrame:
-    """``doc_id, size, source_size, target, taken`` for every document.
+def _size() -> Column:
+    return F.regexp_count(F.coalesce("text", F.lit("")), F.lit(common.WORD)).cast("long")
 
-    ``taken`` is ``size`` times the copies the mix takes: as many whole copies
-    of its source as the target holds, and one more of the documents whose hash
-    is below the source's threshold.  The threshold is the one whose words come
-    nearest to the target.  ``weight_rows(source, target)`` gives other targets,
-    each at most MOST times its source's size.
 
-    A null text has size 0; a null source is one source of its own.  Rows of
-    equal id have equal hashes, so they are taken together.  Empty documents
-    and empty sources take 0.
-    """
-    size = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(common.WORD)).cast("long")
-    base = docs.select("doc_id", "source", size.alias("size"), _hash(F.col("doc_id")).alias("h"))
-    slim = common.written(base, "sizes")
+def _own() -> Column:
+    """A hash that stands for the source's name: null needs no care with it."""
+    return F.xxhash64(F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")))
+
+
+def _cuts(slim: DataFrame, weight_rows: DataFrame | None) -> DataFrame:
+    """``s, source_size, target, copies, threshold``: what the mix takes of each source."""
     sizes = slim.groupBy("source").agg(F.sum("size").alias("source_size"))
     if weight_rows is not None:
         given = weight_rows.select(F.col("source").alias("ws"), F.col("target").cast("double").alias("target"))
         targets = sizes.join(given, F.expr("source <=> ws")).select("source", "source_size", "target")
     else:
         targets = _targets(sizes)
-    # A source's hash stands for its name in what follows: null needs no care there.
     plan = targets.withColumn("copies", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
-    plan = common.written(plan.withColumn("budget", F.col("target") - F.col("copies") * F.col("source_size")).withColumn("s", F.xxhash64(F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")))), "plan")
-    own = F.xxhash64(F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")))
-    rows = slim.select(own.alias("s"), "size", "h").filter("size > 0")
+    plan = common.written(plan.withColumn("budget", F.col("target") - F.col("copies") * F.col("source_size")).withColumn("s", _own()), "plan")
+    rows = slim.select(_own().alias("s"), "size", "h").filter("size > 0")
 
     state = plan.filter("budget > 0").select("s", "budget", F.lit(0).cast("long").alias("prefix"), F.lit(0).cast("long").alias("spent"))
     left = 60
@@ -100,18 +93,48 @@ def mix(docs: DataFrame, weight_rows: DataFrame | None = None) -> DataFrame:
         state = common.written(state.select("s", "budget", "spent").join(found, "s").select("s", "budget", F.col("bucket").alias("prefix"), (F.col("spent") + F.col("below")).alias("spent"), "words"), "level")
     near = F.col("spent") + F.col("words") - F.col("budget") < F.col("budget") - F.col("spent")
     cut = state.select("s", (F.col("prefix") + near.cast("long")).alias("threshold"))
-    plan = common.written(plan.join(cut, "s", "left").select("s", "source_size", "target", "copies", F.coalesce("threshold", F.lit(0)).alias("threshold")), "cuts")
-    full = slim.withColumn("s", own).join(common.checked_broadcast(plan, 48), "s")
-    copies = F.col("copies") + F.when(F.col("h") < F.col("threshold"), 1).otherwise(0)
-    return full.select("doc_id", "size", "source_size", "target", (F.col("size") * F.least(copies, F.lit(MOST))).cast("long").alias("taken"))
-
-
-def mixed(docs: DataFrame) -> DataFrame:
-    """The documents of the mix with all their columns; those taken twice are there twice."""
-    found = mix(docs).filter("taken > 0").select(F.col("doc_id").alias("mix_id"), (F.col("taken") / F.col("size")).cast("int").alias("copies"))
-    found = common.written(found.distinct(), "mixed")
-    both = docs.join(common.checked_broadcast(found, 16), F.expr("doc_id <=> mix_id"))
-    return both.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*docs.columns)
+    return common.written(plan.join(cut, "s", "left").select("s", "source_size", "target", "copies", F.coalesce("threshold", F.lit(0)).alias("threshold")), "cuts")
+
+
+def _taken(copies: Column, h: Column, threshold: Column) -> Column:
+    return F.least(copies + F.when(h < threshold, 1).otherwise(0), F.lit(MOST))
+
+
+def mix(docs: DataFrame, weight_rows: DataFrame | None = None) -> DataFrame:
+    """``doc_id, size, source_size, target, taken`` for every document.
+
+    ``taken`` is ``size`` times the copies the mix takes: as many whole copies
+    of its source as the target holds, and one more of the documents whose hash
+    is below the source's threshold.  The threshold is the one whose words come
+    nearest to the target.  ``weight_rows(source, target)`` gives other targets,
+    each at most MOST times its source's size.
+
+    A null text has size 0; a null source is one source of its own.  Rows of
+    equal id have equal hashes, null among them, so those of a source are taken
+    together.  Empty documents and empty sources take 0; an empty table gives an
+    empty one.  Other columns are ignored.
+    """
+    slim = common.written(docs.select("doc_id", "source", _size().alias("size"), _hash(F.col("doc_id")).alias("h")), "sizes")
+    full = slim.withColumn("s", _own()).join(common.checked_broadcast(_cuts(slim, weight_rows), 48), "s")
+    return full.select("doc_id", "size", "source_size", "target", (F.col("size") * _taken(F.col("copies"), F.col("h"), F.col("threshold"))).cast("long").alias("taken"))
+
+
+def mixed(docs: DataFrame, weight_rows: DataFrame | None = None) -> DataFrame:
+    """The documents of the mix with all their columns; those taken twice are there twice.
+
+    Each row is taken by its own source, id and size, with nothing but a list of
+    sources joined to it: repeated rows are taken each, rows of one id in
+    two sources as their sources are, and texts without words never.  Null ids,
+    texts and sources are as in ``mix``.  An empty table stays so; helper
+    columns take names that the table doesn't have.
+    """
+    slim = docs.select("doc_id", "source", _size().alias("size"), _hash(F.col("doc_id")).alias("h"))
+    cuts = _cuts(common.written(slim, "sizes"), weight_rows)
+    s, copies, threshold, times = (common.free_name(docs, n) for n in ("mix_source", "mix_copies", "mix_threshold", "mix_times"))
+    plan = cuts.select(F.col("s").alias(s), F.col("copies").alias(copies), F.col("threshold").alias(threshold))
+    both = docs.withColumn(s, _own()).join(common.checked_broadcast(plan, 24), s)
+    taken = F.when(_size() > 0, _taken(F.col(copies), _hash(F.col("doc_id")), F.col(threshold))).otherwise(0)
+    return both.withColumn(times, F.explode(F.array_repeat(F.lit(1), taken.cast("int")))).select(common.columns_of(docs))
 
 
 ORACLE = r"""
