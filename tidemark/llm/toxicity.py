@@ -1,27 +1,33 @@
 """Toxicity by a subsequence string-kernel SVM with Nyström landmarks.
 
-The kernel of two words counts their common subsequences of three and of four
-letters, word edges included, of at most ``SPAN`` characters, each weighted by
-``DECAY`` to the length it spans in either word.  So a word with gaps or with
-inserted characters stays close to the word it hides.  An SVM is trained on the
-kernel's Nyström features for landmark words.  Its decision is linear in the
-subsequences, so it folds into one weight a subsequence, and a whole text is
-scored by summing weights along it: no kernel is evaluated at scoring time.
-
-A text's score is a logistic function of its worst word and of how many of its
-words lie beyond the margin, fitted on labelled texts.
+The kernel of two sentences counts their common subsequences of three and of
+four letters, word edges included, of at most ``SPAN`` characters, each weighted
+by ``DECAY`` to the length it spans in either sentence and by how rarely clean
+texts have it.  So a word with gaps or with inserted characters stays close to
+the word it hides.  A sentence is a run of ``SENTENCE`` words; those of a text
+overlap.
+
+Labels are of texts, and of a toxic text few sentences are toxic.  So training
+is multiple-instance learning (MI-SVM): the sentences of each toxic text that
+the last model finds worst are the toxic ones of the next, against the worst and
+some random ones of clean texts.  A first guess comes from the subsequences that
+more toxic than clean texts have.  Each model is an SVM on the kernel's Nyström
+features for landmark sentences.  Its decision is linear in the subsequences, so
+it folds into one weight a subsequence, and a text is scored by summing weights
+along it: no kernel is evaluated at scoring time.
+
+A text's score is a logistic function of its worst sentence and of how many of
+its sentences lie beyond the margin, fitted on labelled texts.
 
 Training uses a bounded sample of labelled rows (``sample_toxic`` and
-``sample_clean``, those of least hash).  Scoring reads every text whole.
+``sample_clean``, those of least hash, of ``sample_bytes`` at most).  Scoring
+reads every text whole.
 """
 
 from __future__ import annotations
 
-import math
-import zlib
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +42,12 @@ A = len(LETTERS) + 4
 SPAN, DECAY = 6, 0.7
 GAPS3 = [(x, y) for x in range(1, SPAN) for y in range(x + 1, SPAN)]
 GAPS4 = [(x, y, z) for x, y in GAPS3 for z in range(y + 1, SPAN)]
+#: Words of a sentence.
+SENTENCE = 4
+#: Landmark sentences; rounds of choosing sentences anew; the worst sentences that a toxic and a clean text give to training.
+LANDMARKS, ROUNDS, WORST = 400, 4, (3, 2)
+#: Texts of the sample that are held as letter codes in one run.
+_GROUP = 64
 _DROP = 255
 
 
@@ -54,8 +66,6 @@ def _letter_table() -> np.ndarray:
 
 
 _TABLE = _letter_table()
-#: Each code as a Latin-1 letter.
-_SHOWN = (LETTERS + "~~~ ").encode("latin-1").ljust(256, b"~")
 
 
 @dataclass
@@ -113,33 +123,63 @@ def word_scores(words: Words, w3: np.ndarray, w4: np.ndarray) -> np.ndarray:
     return np.add.reduceat(out, words.edge).astype(np.float64)
 
 
-def _subsequences(words: list[str]) -> list[dict[int, float]]:
-    """Kernel features of single words (strings of letters), without the numbers that cross into other words."""
-    found = []
-    for w in words:
-        codes = np.array([0, *(LETTERS.find(c) if c in LETTERS else A - 2 for c in w), 0], dtype=np.uint8)
-        feats: dict[int, float] = {}
-        n = len(codes)
-        for gaps, base in ((GAPS3, 0), (GAPS4, A**3)):
-            for gap in gaps:
-                weight = DECAY ** (gap[-1] + 1)
-                for i in range(n - gap[-1]):
-                    number = int(codes[i])
-                    for g in gap:
-                        number = number * A + int(codes[i + g])
-                    feats[base + number] = feats.get(base + number, 0.0) + weight
-        found.append(feats)
-    return found
+def sentences(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each sentence its first word, the word after its last, and its text: every run of SENTENCE words, or a shorter text whole."""
+    text = np.repeat(np.arange(len(words.at) - 1), np.diff(words.at))
+    first = np.arange(len(words.edge))
+    whole = (first + SENTENCE <= words.at[1:][text]) | (first == words.at[:-1][text])
+    first, text = first[whole], text[whole]
+    return first, np.minimum(first + SENTENCE, words.at[1:][text]), text
+
+
+def sentence_scores(words: Words, w3: np.ndarray, w4: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The weights' sum in each sentence over the root of its length; its first word and its text."""
+    first, last, text = sentences(words)
+    run = np.concatenate(([0.0], np.cumsum(word_scores(words, w3, w4))))
+    ends = np.append(words.edge[1:], len(words.codes) - SPAN)
+    size = (ends[last - 1] - words.edge[first] + 1) if len(first) else np.ones(0)
+    return (run[last] - run[first]) / np.sqrt(size), first, text
+
+
+def _numbers(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers and weights of all subsequences that start in some letters (the last SPAN codes only end them)."""
+    found = [(i if order == 3 else i + A**3, weight) for order, weight, i in _indexes(codes)]
+    return np.concatenate([i for i, _ in found]), np.repeat([w for _, w in found], len(codes) - SPAN)
+
+
+def _sentence(words: Words, first: int) -> np.ndarray:
+    """Letter codes of the sentence that begins with a word, and the SPAN codes after it."""
+    text = int(np.searchsorted(words.at, first, side="right")) - 1
+    last = min(first + SENTENCE, int(words.at[text + 1]))
+    end = words.edge[last] if last < len(words.edge) else len(words.codes) - SPAN
+    return words.codes[words.edge[first] : end + SPAN]
+
+
+def features(codes: np.ndarray, rare: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Kernel features of a sentence: numbers of its subsequences, sorted, and their values."""
+    numbers, weights = _numbers(codes)
+    u, inverse = np.unique(numbers, return_inverse=True)
+    return u, np.bincount(inverse, weights) * rare[u] / np.sqrt(len(codes) - SPAN + 1)
 
 
 @dataclass
 class Model:
-    """Folded weights of subsequences, and the text calibration (bias, worst word, log of words beyond the margin)."""
+    """Folded weights of subsequences, and the text calibration (bias, worst sentence, log of sentences beyond the margin).
+
+    ``marks`` are the landmark sentences' codes with their shares in the
+    decision and ``rare`` the kernel's weights of the subsequences: what the
+    weights were folded from.
+    """
 
     number: np.ndarray
     weight: np.ndarray
     bias: float
     text: tuple[float, float, float]
+    marks: list[tuple[np.ndarray, float]] = field(default_factory=list)
+    rare: np.ndarray = field(default_factory=lambda: np.zeros(0))
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"marks": [], "rare": np.zeros(0)}
 
     def tables(self) -> tuple[np.ndarray, np.ndarray]:
         w3, w4 = np.zeros(A**3, np.float32), np.zeros(A**4, np.float32)
@@ -148,21 +188,25 @@ class Model:
         w4[self.number[~three] - A**3] = self.weight[~three]
         return w3, w4
 
-    def text_features(self, words: Words, scores: np.ndarray) -> np.ndarray:
-        """For each text: its worst word's margin, at least -2, and log(1 + words of positive margin)."""
+    def text_features(self, words: Words, tables: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        """For each text: its worst sentence's margin, at least -2, and log(1 + sentences of positive margin, those that overlap as one)."""
         out = np.zeros((len(words.at) - 1, 2))
         out[:, 0] = -2.0
-        has = words.at[1:] > words.at[:-1]
-        if has.any():
+        scores, _, text = sentence_scores(words, *tables)
+        if len(scores):
             margin = scores + self.bias
-            out[has, 0] = np.maximum(np.maximum.reduceat(margin, words.at[:-1][has]), -2.0)
-            out[has, 1] = np.log1p(np.add.reduceat((margin > 0).astype(float), words.at[:-1][has]))
+            start = np.flatnonzero(np.concatenate(([True], text[1:] != text[:-1])))
+            out[text[start], 0] = np.maximum(np.maximum.reduceat(margin, start), -2.0)
+            out[text[start], 1] = np.log1p(np.add.reduceat((margin > 0).astype(float), start) / SENTENCE)
         return np.minimum(out, 6.0)
 
     def score(self, features: np.ndarray) -> np.ndarray:
         b, x, y = self.text
         return 1 / (1 + np.exp(-np.clip(b + x * features[:, 0] + y * features[:, 1], -30, 30)))
 
+    def score_texts(self, texts: list[str], tables: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        return self.score(self.text_features(words_of(texts), tables))
+
 
 def _svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 30) -> np.ndarray:
     """Squared-hinge linear SVM by Newton steps; the last column of x is the constant."""
@@ -193,126 +237,151 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return w
 
 
-def _vocabulary(texts: list[str]) -> list[set[str]]:
-    w = words_of(texts)
-    flat = w.codes.tobytes().translate(_SHOWN).decode("latin-1")
-    ends = np.append(w.edge[1:], len(w.codes) - SPAN)
-    return [{flat[w.edge[j] + 1 : ends[j]].strip() for j in range(w.at[i], w.at[i + 1])} for i in range(len(texts))]
-
-
-def _telling_words(texts: list[str], toxic: np.ndarray, most: int) -> tuple[list[tuple[str, int]], set[str]]:
-    """Words of toxic texts that clean ones lack, with their counts: expected less than once by chance (binomial, times all words). Texts with the same least word hash count once: copies tell nothing new."""
-    counts, seen = (Counter(), Counter()), (set(), set())
-    vocab = (words for lo in range(0, len(texts), 50) for words in _vocabulary(texts[lo : lo + 50]))
-    for words, label in zip(vocab, toxic.tolist(), strict=True):
-        long = [w for w in words if len(w) > 3]
-        sign = min((zlib.crc32(w.encode()) for w in long), default=None)
-        if sign in seen[label]:
-            continue
-        seen[label].add(sign)
-        counts[label].update(long)
-    share = len(seen[1]) / max(1, len(seen[0]) + len(seen[1]))
-    vocabulary = len(counts[0].keys() | counts[1].keys())
-    found = []
-    for w, k in counts[1].items():
-        n = k + counts[0][w]
-        if k >= 2 and k > n * share and k >= 0.7 * n:
-            found.append((sum(math.comb(n, j) * share**j * (1 - share) ** (n - j) for j in range(k, n + 1)) * vocabulary, -k, w))
-    found.sort()
-    sure = [(w, -k) for e, k, w in found if e < 0.5][:most] or [(w, -k) for _, k, w in found[:20]]
-    return sure, set(counts[0])
-
-
-def fit(texts: list[str], toxic: list[int], clean_weight: float = 1.0, landmarks: int = 160, seed: int = 7) -> Model | None:
-    """Trains on labelled texts: their words that tell toxic from clean texts are the positive sentences' kernels.
-
-    None if either label is missing or no word tells the labels apart.
+def _frequencies(groups: list[Words], toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many clean and how many toxic texts have each subsequence."""
+    have = np.zeros((2, A**3 + A**4), np.float32)
+    last = np.zeros(A**3 + A**4, np.int32)
+    n = 0
+    for w in groups:
+        ends = np.append(w.edge[1:], len(w.codes) - SPAN)
+        for lo, hi in zip(w.at[:-1], w.at[1:], strict=True):
+            if hi > lo:
+                numbers, _ = _numbers(w.codes[w.edge[lo] : ends[hi - 1] + SPAN])
+                place = np.arange(len(numbers), dtype=np.int32)
+                last[numbers] = place
+                have[toxic[n], numbers[last[numbers] == place]] += 1
+            n += 1
+    return have[0], have[1]
+
+
+def _worst(groups: list[Words], toxic: np.ndarray, tables: tuple[np.ndarray, np.ndarray]) -> list[list[tuple[int, int, float]]]:
+    """The worst sentences of each text, as (group, first word, score), the worst first."""
+    found: list[list[tuple[int, int, float]]] = []
+    for g, w in enumerate(groups):
+        scores, first, text = sentence_scores(w, *tables)
+        cuts = np.searchsorted(text, np.arange(len(w.at)))
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            order = lo + np.argsort(-scores[lo:hi], kind="stable")[: WORST[0] if toxic[len(found)] else WORST[1]]
+            found.append([(g, int(first[j]), float(scores[j])) for j in order])
+    return found
+
+
+def _distinct(texts: list[str], toxic: list[int]) -> tuple[list[str], np.ndarray]:
+    """Texts with words, those whose words are the same once for each label: copies tell nothing new."""
+    kept: dict[tuple[bytes, int], str] = {}
+    for t, y in zip(texts, toxic, strict=True):
+        w = words_of([t])
+        if len(w.edge):
+            kept.setdefault((w.codes.tobytes(), int(y)), t)
+    return list(kept.values()), np.array([y for _, y in kept], dtype=int)
+
+
+def fit(texts: list[str], toxic: list[int], clean_weight: float = 1.0, landmarks: int = LANDMARKS, seed: int = 7) -> Model | None:
+    """Trains on labelled texts; None if either label is missing or has no words.
+
     ``clean_weight`` is how many clean rows each sampled one stands for, over
     the same for toxic ones.
     """
-    y = np.asarray(toxic, dtype=int)
+    all_texts, all_toxic = texts, np.asarray(toxic, dtype=int)
+    texts, y = _distinct(texts, toxic)
     if not len(y) or y.min() == y.max():
         return None
-    telling, clean = _telling_words(texts, y, 600)
-    if not telling:
-        return None
-    good, seen = [w for w, _ in telling], np.sqrt([k for _, k in telling])
     rng = np.random.default_rng(seed)
-    clean_words = sorted(clean.difference(good))
-    picked = [clean_words[i] for i in rng.permutation(len(clean_words))[:3000]]
-    marks = good[: landmarks // 2] + picked[: landmarks // 2]
-    mark_feats = _subsequences(marks)
-    numbers = np.array(sorted({f for m in mark_feats for f in m}))
-    row = {f: i for i, f in enumerate(numbers.tolist())}
-    basis = np.zeros((len(numbers), len(marks)))
-    for j, m in enumerate(mark_feats):
-        norm = math.sqrt(sum(v * v for v in m.values()))
-        for f, v in m.items():
-            basis[row[f], j] = v / norm
-    gram = basis.T @ basis
-    val, vec = np.linalg.eigh(gram)
-    half = vec @ np.diag(np.where(val > 1e-6, 1 / np.sqrt(np.maximum(val, 1e-6)), 0)) @ vec.T
-    fold = basis @ half
-
-    def nystrom(words: list[str]) -> np.ndarray:
-        x = np.zeros((len(words), fold.shape[1] + 1))
-        x[:, -1] = 1
-        for i, m in enumerate(_subsequences(words)):
-            if hit := [(row[f], v) for f, v in m.items() if f in row]:
-                r, v = map(np.array, zip(*hit, strict=True))
-                x[i, :-1] = v @ fold[r]
-        return x
-
-    pos, neg = nystrom(good), nystrom(picked)
-    clean_words = [w for w in clean_words if len(w) > 1]
+    groups = [words_of(texts[i : i + _GROUP]) for i in range(0, len(texts), _GROUP)]
+    clean, bad = _frequencies(groups, y)
+    n0, n1 = int((y == 0).sum()), int((y == 1).sum())
+    rare = (np.maximum(0.0, np.log((n0 + 2.0) / (clean + 1.0))) / 5).astype(np.float32)
+    # The first guess: subsequences that more toxic than clean texts have, by their deviation beyond three.
+    share = (clean + bad + 1) / (n0 + n1)
+    z = (bad / n1 - clean / n0) / np.sqrt(share * np.maximum(1 - share, 1e-9) * (1 / n1 + 1 / n0))
+    guess = np.where(z >= 3, np.log1p(np.maximum(z, 0)), 0).astype(np.float32)
+    del clean, bad, share, z
+    tables, bias = (guess[: A**3], guess[A**3 :]), None
+    random = [(g, int(w.at[i]) + int(rng.integers(0, max(1, int(w.at[i + 1] - w.at[i]) - SENTENCE + 1)))) for g, w in enumerate(groups) for i in range(len(w.at) - 1)]
+    random = [x for x, label in zip(random, y, strict=True) if label == 0]
     model = None
-    for turn in range(3):
-        x, label = np.vstack((pos, neg)), np.concatenate((np.ones(len(pos)), -np.ones(len(neg))))
-        w = _svm(x, label, np.concatenate((200.0 * seen / seen.mean(), np.full(len(neg), 20.0))))
-        model = Model(numbers, fold @ w[:-1], float(w[-1]), (0.0, 1.0, 0.0))
-        if turn < 2:
-            tables = model.tables()
-            scores = np.concatenate([word_scores(words_of([" ".join(clean_words[i : i + 20_000])]), *tables) for i in range(0, len(clean_words), 20_000)]) if clean_words else np.zeros(0)
-            if len(scores) == len(clean_words):
-                neg = np.vstack((neg, nystrom([clean_words[i] for i in np.argsort(-scores, kind="stable")[:1500]])))
-    tables = model.tables()
-    feats = []
-    for lo in range(0, len(texts), 50):
-        words = words_of(texts[lo : lo + 50])
-        feats.append(model.text_features(words, word_scores(words, *tables)))
-    w = _logistic(np.vstack(feats), y, np.where(y == 1, 1.0, clean_weight))
+    for _ in range(ROUNDS):
+        worst = _worst(groups, y, tables)
+        least = np.quantile([w[0][2] for w, label in zip(worst, y, strict=True) if label == 0], 0.97) if bias is None else -bias - 0.3
+        positive = [x[:2] for w, label in zip(worst, y, strict=True) if label for j, x in enumerate(w) if not j or x[2] > least]
+        negative = [x[:2] for w, label in zip(worst, y, strict=True) if not label for x in w] + random
+        model = _trained(groups, positive, negative, rare, landmarks, rng)
+        tables, bias = model.tables(), model.bias
+    feats = [model.text_features(words_of(all_texts[i : i + _GROUP]), tables) for i in range(0, len(all_texts), _GROUP)]
+    w = _logistic(np.vstack(feats), all_toxic, np.where(all_toxic == 1, 1.0, clean_weight))
     model.text = tuple(map(float, w))
     return model
 
 
+def _trained(groups: list[Words], positive: list[tuple[int, int]], negative: list[tuple[int, int]], rare: np.ndarray, landmarks: int, rng: np.random.Generator) -> Model:
+    """An SVM on the Nyström features of some sentences (group, first word), folded into one weight a subsequence."""
+
+    def of(row: tuple[int, int]) -> np.ndarray:
+        return _sentence(groups[row[0]], row[1])
+
+    marks = [of(part[i]) for part in (positive, negative) for i in rng.permutation(len(part))[: landmarks // 2]]
+    made = [features(codes, rare) for codes in marks]
+    norms = [float(np.sqrt((v * v).sum())) or 1.0 for _, v in made]
+    numbers = np.unique(np.concatenate([u for u, _ in made]))
+    basis = np.zeros((len(numbers), len(marks)), np.float32)
+    for j, (u, v) in enumerate(made):
+        basis[np.searchsorted(numbers, u), j] = v / norms[j]
+    val, vec = np.linalg.eigh((basis.T @ basis).astype(np.float64))
+    half = vec @ np.diag(np.where(val > 1e-4, 1 / np.sqrt(np.maximum(val, 1e-4)), 0)) @ vec.T
+    x = np.zeros((len(positive) + len(negative), len(marks) + 1))
+    x[:, -1] = 1
+    for i, row in enumerate(positive + negative):
+        u, v = features(of(row), rare)
+        at = np.minimum(np.searchsorted(numbers, u), len(numbers) - 1)
+        hit = numbers[at] == u
+        x[i, :-1] = v[hit].astype(np.float32) @ basis[at[hit]]
+    x[:, :-1] = x[:, :-1] @ half
+    label = np.concatenate((np.ones(len(positive)), -np.ones(len(negative))))
+    w = _svm(x, label, np.where(label > 0, 10.0 * len(negative) / max(1, len(positive)), 20.0))
+    alpha = half @ w[:-1]
+    return Model(numbers, (basis @ alpha.astype(np.float32)) * rare[numbers], float(w[-1]), (0.0, 1.0, 0.0), [(c, float(a) / n) for c, a, n in zip(marks, alpha, norms, strict=True)], rare)
+
+
 def _score(batches: Iterator[pa.RecordBatch], model: Model | None) -> Iterator[pa.RecordBatch]:
     tables = model.tables() if model else None
     for batch in batches:
         ids, texts = batch.column(0), batch.column(1)
         for lo, hi in common.text_slices(texts):
-            if model:
-                words = words_of([t or "" for t in texts.slice(lo, hi - lo).to_pylist()])
-                score = model.score(model.text_features(words, word_scores(words, *tables)))
-            else:
-                score = np.zeros(hi - lo)
+            score = model.score_texts([t or "" for t in texts.slice(lo, hi - lo).to_pylist()], tables) if model else np.zeros(hi - lo)
             yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo).cast(pa.int64()), pa.array(score, pa.float64())], names=["doc_id", "score"])
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_toxic: int = 1200, sample_clean: int = 2400) -> Model | None:
-    """Fits on labelled documents outside the held-out quarter; at most the two bounds of rows reach the driver.
+def train(docs: DataFrame, labels: DataFrame, sample_toxic: int = 1200, sample_clean: int = 2400, sample_bytes: int = 24 << 20) -> Model | None:
+    """Fits on labelled documents outside the held-out quarter; no more rows and bytes of text than the bounds reach the driver.
 
-    A document labelled twice counts as toxic if any label says so; rows with a
-    null id or label are left out.
+    Of both kinds the rows of least hash are taken, one after the other in equal
+    shares of their numbers, as far as the bytes go.  A document labelled twice
+    counts as toxic if any label says so; rows with a null id or label are left
+    out.  Of documents that share an id the shortest is taken.
     """
     one = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("y"))
     one = one.filter(~held_out(F.col("doc_id"))).withColumn("h", F.xxhash64("doc_id"))
     sizes = {r["y"]: r["count"] for r in one.groupBy("y").count().collect()}
     parts = [one.filter(F.col("y") == y).orderBy("h", "doc_id").limit(n) for y, n in ((1, sample_toxic), (0, sample_clean))]
-    picked = F.broadcast(parts[0].union(parts[1]).select(F.col("doc_id").alias("picked"), "y"))
-    rows = docs.select("doc_id", "text").join(picked, F.col("doc_id") == F.col("picked")).select("doc_id", "text", "y").collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["text"] or ""))
-    weight = (sizes.get(0, 0) / max(1, min(sizes.get(0, 0), sample_clean))) / (sizes.get(1, 1) / max(1, min(sizes.get(1, 1), sample_toxic)))
-    return fit([r["text"] or "" for r in rows], [r["y"] for r in rows], weight)
+    picked = parts[0].union(parts[1]).select(F.col("doc_id").alias("picked"), "y", "h")
+    size = F.coalesce(F.octet_length("text"), F.lit(0))
+    found = docs.select("doc_id", size.alias("bytes")).join(F.broadcast(picked), F.col("doc_id") == F.col("picked")).groupBy("picked", "y", "h").agg(F.min("bytes").alias("bytes")).collect()
+    of = {y: sorted((r for r in found if r["y"] == y), key=lambda r: (r["h"], r["picked"])) for y in (0, 1)}
+    order = sorted((((i + 1) / len(of[y]), -y), r) for y in of for i, r in enumerate(of[y]))
+    kept, left = [], sample_bytes
+    for _, r in order:
+        if r["bytes"] <= left:
+            left -= r["bytes"]
+            kept.append((r["picked"], r["y"]))
+    if not kept:
+        return None
+    wanted = F.broadcast(docs.sparkSession.createDataFrame(kept, "picked long, y int"))
+    shortest = F.min(F.struct(size.alias("bytes"), F.coalesce("text", F.lit("")).alias("text")))
+    rows = docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("picked")).groupBy("picked", "y").agg(shortest.alias("one")).select("picked", "y", "one.text").collect()
+    rows.sort(key=lambda r: r["picked"])
+    n = {y: sum(k[1] == y for k in kept) for y in (0, 1)}
+    weight = (sizes.get(0, 0) / max(1, n[0])) / (sizes.get(1, 0) / max(1, n[1]) or 1)
+    return fit([r["text"] for r in rows], [r["y"] for r in rows], weight)
 
 
 def held_out(doc_id) -> F.Column:
@@ -325,8 +394,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> Data
 
     Only ``doc_id`` and ``text`` of ``docs`` are read; the id chooses no score.
     Null and empty texts get the score of a text without words.  Without
-    labels of both kinds, or words that tell them apart, all scores are 0.
-    Repeated rows give repeated results.
+    labels of texts of both kinds all scores are 0.  Repeated rows give repeated
+    results, an empty table an empty one; other columns are ignored.
     """
     common.short_batches(docs.sparkSession)
     model = train(docs, labels)
@@ -335,7 +404,12 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> Data
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """The documents that are not predicted toxic, with all their columns."""
+    """The documents that are not predicted toxic, with all their columns, whatever their names.
+
+    A null text is judged as an empty one, a null id changes nothing, repeated
+    rows share their fate, and an empty table stays so.  Without labels of
+    texts of both kinds all stay.
+    """
     common.short_batches(docs.sparkSession)
     model = train(docs, labels)
     names, kinds = docs.columns, docs.schema
@@ -346,8 +420,7 @@ def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> Da
         for batch in batches:
             texts = batch.column(at)
             for lo, hi in common.text_slices(texts):
-                words = words_of([t or "" for t in texts.slice(lo, hi - lo).to_pylist()])
-                score = model.score(model.text_features(words, word_scores(words, *tables)))
+                score = model.score_texts([t or "" for t in texts.slice(lo, hi - lo).to_pylist()], tables)
                 yield batch.slice(lo, hi - lo).filter(pa.array(score < threshold))
 
     return docs.mapInArrow(pick, kinds) if model else docs
