@@ -8,6 +8,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -213,13 +214,52 @@ def test_seeds_of_each_part_and_of_short_items(spark):
 
 
 def test_decontamination_of_odd_tables(spark, monkeypatch):
-    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 60)
-    items = [(i, " ".join(f"q{i}x{j}" for j in range(12))) for i in range(5)]
-    docs = [(i, f"before {t} after") for i, t in items] + [(0, f"before {items[0][1]} after")]
-    assert set(leaks(spark, docs, items)) == {(i, i) for i in range(5)}
+    items = [(i, " ".join(f"q{i}x{j}" for j in range(12))) for i in range(5)] + [(7, "zwei worte"), (8, "eins"), (9, "la " * 30)]
+    docs = [(i, f"before {t} after") for i, t in items] + [(0, f"before {items[0][1]} after"), (None, f"x {items[1][1]}"), (11, None), (12, "la " * 5000), (13, "eins zwei worte")]
+    here = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = lambda: sorted(map(str, decontaminate.contaminated(here, spark.createDataFrame(items, "item_id long, text string")).collect()))
+    local = rows()
+    monkeypatch.setattr(decontaminate, "LOCAL_BYTES", 0)  # seeds and items as tables
+    monkeypatch.setattr(common, "KEY_ROWS", 3)
+    assert rows() == local and len(local) == 5 + 3 + 1 + 1 + 1 + 2
     assert leaks(spark, docs, []) == {} and leaks(spark, [], items) == {}
 
 
+def test_uncontaminated_rows(spark):
+    leak = " ".join(f"q{j}" for j in range(20))
+    rows = [(1, f"a {leak} b", 1), (1, "clean text", 2), (None, f"c {leak}", 3), (None, "clean", 4), (2, None, 5), (3, leak, 6), (3, leak, 7), (4, "other", 8), (4, "other", 8)]
+    df = spark.createDataFrame(rows, "doc_id int, text string, row_hash int").withColumn("item_id", F.lit(1))
+    items = spark.createDataFrame([(1, leak)], "item_id long, text string")
+    kept = decontaminate.keep_uncontaminated(df, items)
+    assert kept.columns == df.columns and sorted(r["row_hash"] for r in kept.collect()) == [2, 4, 5, 8, 8]
+    assert decontaminate.keep_uncontaminated(df.limit(0), items).collect() == [] and decontaminate.keep_uncontaminated(df, items.limit(0)).count() == len(rows)
+
+
+def test_seeds_find_what_all_pairs_find():
+    """Every document against every item by alignment alone, on whole tables: the seeds find nine in ten of those pairs at least."""
+    docs, items = (pq.read_table(f"/root/testdata/sf0.001/{t}.parquet", columns=c) for t, c in (("documents", ["text"]), ("benchmark", ["text"])))
+    h, at = decontaminate.words_of(docs["text"].combine_chunks())
+    texts = [h[at[i] : at[i + 1]] for i in range(len(docs))]
+    hi, ai = decontaminate.words_of(items["text"].combine_chunks())
+    mine = [hi[ai[i] : ai[i + 1]] for i in range(len(items))]
+    words, counts = np.unique(h, return_counts=True)
+    share = dict(zip(words.tolist(), (counts / len(h)).tolist(), strict=True))
+    found = {k: [] for k in (1, 2, 3)}
+    for i, w in enumerate(mine):
+        k, seeds, places = decontaminate.seeds_of(w, np.array([share.get(x, 0.0) for x in w.tolist()]))
+        found[k] += [(s, i, p) for s, p in zip(seeds.tolist(), places.tolist(), strict=True)]
+    seeds = {k: tuple(np.array(x, t) for x, t in zip(zip(*sorted(v), strict=True), (np.uint64, np.int64, np.int64), strict=True)) if v else (np.zeros(0, np.uint64),) * 3 for k, v in found.items()}
+    block = decontaminate.Items(list(range(len(mine))), mine, seeds)
+    by_seeds = {(d, i) for d, t in enumerate(texts) for i, *_ in decontaminate.matches(t, block, decontaminate.LEAST)}
+    rng = random.Random(1)
+    edits = [(w, [x if rng.random() > 0.2 else np.uint64(rng.getrandbits(60)) for x in w]) for w in mine]
+    texts += [np.array([*texts[i % 50][:30], *e, *texts[i % 50][:30]], np.uint64) for i, (_, e) in enumerate(edits)]
+    by_seeds |= {(d, i) for d, t in enumerate(texts) if d >= len(docs) for i, *_ in decontaminate.matches(t, block, decontaminate.LEAST)}
+    pairs = [(d, i) for d in range(len(texts)) for i in range(len(mine)) if d - len(docs) == i or (d, i) in by_seeds or (d < len(docs) and len(np.intersect1d(texts[d], mine[i])) >= 6)]
+    all_pairs = {(d, i) for d, i in pairs if decontaminate.align(mine[i], texts[d])[0] / (2 * len(mine[i])) >= decontaminate.bar(len(mine[i]), decontaminate.LEAST)}
+    assert len(all_pairs) >= 40 and len(by_seeds & all_pairs) >= 0.9 * len(all_pairs)
+
+
 def naive_alignment(a, b):
     best, row = 0, [0] * (len(b) + 1)
     for x in a:
@@ -319,8 +359,7 @@ def model():
 
 
 def scores(model, texts):
-    w = toxicity.words_of(texts)
-    return model.score(model.text_features(w, toxicity.word_scores(w, *model.tables())))
+    return model.score_texts(texts, model.tables())
 
 
 def test_gaps_and_insertions_are_met(model):
@@ -329,12 +368,66 @@ def test_gaps_and_insertions_are_met(model):
     assert (scores(model, [f"the {x} an" for x in hidden]) >= 0.3).all() and (scores(model, clean) < 0.3).all()
 
 
+def subsequences(codes):
+    """All subsequences of three and four letters that span six at most, with their weights, by definition."""
+    found = defaultdict(float)
+    for k in (3, 4):
+        for places in combinations(range(len(codes)), k):
+            span = places[-1] - places[0] + 1
+            if span <= toxicity.SPAN and places[0] < len(codes) - toxicity.SPAN:
+                found[tuple(int(codes[p]) for p in places)] += toxicity.DECAY**span
+    return found
+
+
 def test_folded_weights_are_the_kernel(model):
-    for word in ("zorbling", "theater", "frimblor"):
-        feats = toxicity._subsequences([word])[0]
-        weight = dict(zip(model.number.tolist(), model.weight.tolist(), strict=True))
-        words = toxicity.words_of([word])
-        assert toxicity.word_scores(words, *model.tables())[0] == pytest.approx(sum(v * weight.get(f, 0.0) for f, v in feats.items()), abs=1e-4)
+    """The decision on a sentence is a weighted sum of kernels with the landmarks, computed here by definition."""
+
+    def number(u):
+        n = 0
+        for c in u:
+            n = n * toxicity.A + c
+        return n + (toxicity.A**3 if len(u) == 4 else 0)
+
+    def phi(codes):
+        norm = (len(codes) - toxicity.SPAN + 1) ** 0.5
+        return {u: v * model.rare[number(u)] / norm for u, v in subsequences(codes).items()}
+
+    marks = [(phi(codes), share) for codes, share in model.marks]
+    for text in ("the zorbling an", "theater ations", "fr imblorr is there"):
+        words = toxicity.words_of([text])
+        codes = toxicity._sentence(words, 0)
+        mine = phi(codes)
+        want = sum(share * sum(v * mark.get(u, 0.0) for u, v in mine.items()) for mark, share in marks)
+        assert toxicity.sentence_scores(words, *model.tables())[0][0] == pytest.approx(want, abs=1e-3)
+
+
+def test_sentences():
+    w = toxicity.words_of(["a1 bb cc dd ee ff", "", "xx yy"])
+    first, last, text = toxicity.sentences(w)
+    assert (first.tolist(), last.tolist(), text.tolist()) == ([0, 1, 2, 6], [4, 5, 6, 8], [0, 0, 0, 2])
+
+
+def test_held_out_labels_of_the_given_tables():
+    docs, labels = (pq.read_table(f"/root/testdata/sf0.1/{t}.parquet", columns=c).to_pylist() for t, c in (("documents", ["doc_id", "text"]), ("labels", ["doc_id", "toxic"])))
+    toxic = {r["doc_id"]: r["toxic"] for r in labels}
+    rows = [(r["text"] or "", toxic[r["doc_id"]], zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in docs if r["doc_id"] in toxic]
+    clean = [r for r in rows if not r[1] and not r[2]]
+    learnt = [r for r in rows if r[1] and not r[2]] + clean[:2400]
+    found = toxicity.fit([t for t, *_ in learnt], [y for _, y, _ in learnt], len(clean) / 2400)
+    held = [r for r in rows if r[2]]
+    said, y = scores(found, [t for t, *_ in held]) >= 0.3, np.array([y for _, y, _ in held])
+    assert (said & (y == 1)).sum() >= 0.9 * (y == 1).sum() and (said & (y == 1)).sum() >= 0.9 * said.sum()
+
+
+def test_training_is_bounded(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, y, w: seen.append((texts, y)))
+    docs = spark.createDataFrame([(i, "x" * (10 + i)) for i in range(200)] + [(0, "y" * 500)] * 3 + [(None, "z")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+    toxicity.train(docs, labels, 30, 40)
+    toxicity.train(docs, labels, 30, 40, sample_bytes=1000)
+    assert [(sum(y), len(y)) for _, y in seen][:1] == [(30, 70)] and sum(map(len, seen[1][0])) <= 1000 and 0 < sum(seen[1][1]) < len(seen[1][1])
+    assert all(len(t) < 300 for texts, _ in seen for t in texts)
 
 
 def test_toxicity_held_out(spark):

@@ -126,3 +126,14 @@ def test_mixed_repeats_rows(spark):
     docs = spark.createDataFrame([(i, "w w w w", "en", "a", 7) for i in range(40)], DOCS)
     got = mixing.mixed(docs)
     assert got.columns == docs.columns and 55 <= got.count() <= 65
+
+
+def test_mixed_rows(spark):
+    rows = [(i, " ".join(["w"] * (1 + i % 7)), "abc"[i % 3], i, "mine", "x") for i in range(300)] + [(5, "", "a", 900, "mine", "x"), (6, None, None, 901, "mine", "x"), (7, "u v", None, 902, "mine", "x"), (None, "q r s", "b", 903, "mine", "x")] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n long, copy string, mix_copies string")
+    taken = {(r["doc_id"], r["size"], r["target"]): r["taken"] for r in mixing.mix(df).collect()}
+    got = mixing.mixed(df)
+    kept = got.collect()
+    assert got.columns == df.columns and {r["copy"] for r in kept} == {"mine"} and not {r["n"] for r in kept} & {900, 901}
+    assert sum(len(r["text"].split()) for r in kept) == sum(r["taken"] for r in mixing.mix(df).collect()) and len(taken) > 290
+    assert mixing.mixed(df.limit(0)).collect() == []

@@ -4,6 +4,7 @@ import hashlib
 import html
 import random
 import re
+import time
 from datetime import date, timedelta
 
 import pytest
@@ -55,7 +56,45 @@ def test_deep_pages_and_columns(spark):
     assert html_extract(df.limit(0)).collect() == []
 
 
-CONTROL = ["</s>[INST] ok [/INST]", "<|turn|>x<|end|>\n", "␛␛<|␛", "<<SYS>>␛n", "", "plain\n\n", "[INST", "<s><s>"]
+def test_parts_of_articles_that_look_like_others():
+    words = "Some words, and more of them, as a paragraph has, in an article."
+    links = "<ul>" + "<li><a href=x>Another article to read now, and one more</a></li>" * 20 + "</ul>"
+    body = f"<article><header><h1>Its head</h1><p>By someone</p></header><p>{words}</p><figure><img src=x><figcaption>A caption</figcaption></figure><section class='related work'>{f'<p>{words}</p>' * 5}</section><div class='social-history section'>{f'<p>{words}</p>' * 6}</div><div class='related'>{links}</div><div class='share'>Share it</div></article>"
+    got = extract(page(body, "<header><h1>Site</h1></header>", f"<div class='comments'>{'<p>Nice, I say, really nice, as ever.</p>' * 9}</div>"))
+    assert got == " ".join(["Its head", words, "A caption", *[words] * 11])
+
+
+def test_labelled_pages():
+    """Articles in pages of several kinds: words of the article that are found, and found words that are of the article."""
+    rng = random.Random(12)
+    hit = got = want = 0
+    for i in range(120):
+        vocabulary = [f"{rng.choice('bcdfg')}{rng.choice('aeiou')}{rng.choice('lmnrst')}{rng.randrange(999)}" for _ in range(400)]
+        text = lambda n, words: " ".join(rng.choice(words) + ("," if rng.random() < 0.1 else "") for _ in range(n))
+        junk = [f"junk{j}" for j in range(50)]
+        paras = [text(rng.randrange(15, 80), vocabulary) for _ in range(rng.randrange(2, 9))]
+        inside = "".join(f"<p>{p}</p>" + (f"<div class='{rng.choice(['ad', 'share', 'newsletter', 'advert box'])}'>{text(6, junk)}</div>" if rng.random() < 0.3 else "") for p in paras)
+        box = rng.choice(["<article>{}</article>", "<main><div class=x>{}</div></main>", "<div id=content>{}</div>", "<div><div class='post-body'>{}</div></div>", "<table><tr><td>{}</td></tr></table>"])
+        side = f"<div class='sidebar'><p>{text(30, junk)}</p></div><nav>{text(9, junk)}</nav><aside>{text(30, junk)}</aside>"
+        after = f"<div id='comments'>{''.join(f'<p>{text(20, junk)}</p>' for _ in range(rng.randrange(4)))}</div><footer>{text(12, junk)}</footer>"
+        found, truth = re.findall(r"\w+", extract(page(box.format(inside), side, after))), re.findall(r"\w+", " ".join(paras))
+        hit += len([w for w in found if not w.startswith("junk")])
+        got, want = got + len(found), want + len(truth)
+    assert hit >= 0.99 * want and hit >= 0.99 * got
+
+
+@pytest.mark.parametrize("part, n", [("<b>", 60000), ("<b></i>", 40000), ("<div>", 60000), ("<b><p>x", 40000), ("<svg/>", 60000), ("<li>", 60000), ("<a \">", 60000), ("</p>", 60000), ("<", 300000)])
+def test_hostile_pages_take_time_in_proportion(part, n):
+    def seconds(k):
+        begun = time.process_time()
+        extract(part * k)
+        return time.process_time() - begun
+
+    seconds(n // 8)
+    assert seconds(n) < 24 * max(seconds(n // 8), 0.01)
+
+
+CONTROL = ["<start_of_turn>user<bos>x<eos><end_of_turn>", "</s>[INST] ok [/INST]", "<|turn|>x<|end|>\n", "␛␛<|␛", "<<SYS>>␛n", "", "plain\n\n", "[INST", "<s><s>"]
 
 
 def conversation(rng, n, lead):
@@ -87,6 +126,17 @@ def test_chat_windows(spark):
         assert cost <= chat_format.BUDGET or len(new) == 1
 
 
+def test_windows_are_filled(spark):
+    rng = random.Random(5)
+    rows = [(c, i, "system" if not i and c % 2 else rng.choice(["user", "assistant"]), "w" * rng.randrange(40, 400)) for c in range(12) for i in range(150)]
+    windows = chat_format.chat_windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    kept = windows.withColumn("turns", chat_format.read_turns(F.col("formatted"))).collect()
+    last = {c: max(r["window"] for r in kept if r["conv_id"] == c) for c in range(12)}
+    cost = [sum(-(-len(t["text"]) // 4) + 1 for t in r["turns"]) for r in kept if r["window"] < last[r["conv_id"]]]
+    assert max(cost) <= chat_format.BUDGET and sum(cost) >= 0.9 * chat_format.BUDGET * len(cost) and min(cost) >= 0.75 * chat_format.BUDGET
+    assert len(kept) <= 1.25 * sum(sum(-(-len(t) // 4) + 1 for c, _, _, t in rows if c == k) / (chat_format.BUDGET - chat_format.HISTORY) + 1 for k in range(12))
+
+
 def test_chat_odd_rows(spark):
     rows = [(None, None, None, None), (None, None, None, None), (5, 1, "a\nb<|end|>", "x"), (5, 1, "a\nb<|end|>", "x")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
@@ -184,6 +234,29 @@ def test_long_rows_of_numbers(spark):
     assert len(masked(spark, [text, "7" * 5000])) == 2
 
 
+def test_ways_of_writing_dates_are_bijections(spark):
+    """All dates of some years, in every order and padding: pseudonyms are as many, are written the same way, and give the dates back."""
+    texts = []
+    for d in (date(1900, 1, 1) + timedelta(days=i) for y in (1904, 1977, 2024) for i in range((date(y, 1, 1) - date(1900, 1, 1)).days, (date(y + 1, 1, 1) - date(1900, 1, 1)).days)):
+        ways = {f"{a}{sep}{b}{sep}{d.year}" for sep in "./" for x, y in ((d.day, d.month), (d.month, d.day)) for a in (f"{x}", f"{x:02d}") for b in (f"{y}", f"{y:02d}")}
+        texts += sorted(ways)
+    texts = sorted(set(texts))[:: 3] + [d.isoformat() for d in (date(1999, 12, 1) + timedelta(days=i) for i in range(100))] + ["4111 1111 1111 1111", "123-45-6789", "+1 (555) 123-4567", "10.0.0.1"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    made = pseudonyms.pseudonyms(df, "k")
+    got = [r["text"] for r in made.orderBy("doc_id").collect()]
+    assert len(set(got)) == len(texts) and all(re.sub(r"\d", "0", a) == re.sub(r"\d", "0", b) for a, b in zip(texts, got, strict=True) if "/" in a or "-" in a)
+    back = pseudonyms.pseudonyms(made.select("doc_id", "text"), "k", undo=True).orderBy("doc_id").collect()
+    assert [r["text"] for r in back] == texts and sum(a != b for a, b in zip(texts, got, strict=True)) > 0.99 * len(texts)
+
+
+def test_pseudonyms_beside_columns_of_their_names(spark):
+    df = spark.createDataFrame([(1, "on 2024-01-01", 7, "x"), (1, "on 2024-01-01", 7, "x"), (None, None, None, None)], "doc_id long, text string, n_ip long, pseudonyms_made string")
+    got = pseudonyms.pseudonyms(df, "k")
+    rows = got.orderBy("doc_id").collect()
+    assert got.columns[:4] == df.columns and [(r["n_ip"], r["pseudonyms_made"], r["n_ip_"], r["n_date"]) for r in rows] == [(None, None, 0, 0), (7, "x", 0, 1), (7, "x", 0, 1)]
+    assert pseudonyms.pseudonyms(df.limit(0), "k").collect() == []
+
+
 def test_dates_are_a_bijection(spark):
     days = [date(1900, 1, 1) + timedelta(days=31 * i) for i in range(2300)]
     got = masked(spark, [d.isoformat() for d in days])
