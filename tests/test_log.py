@@ -233,3 +233,121 @@ def test_bootstrap_then_log(spark, tmp_path, bootstrap):
     assert not sink.kept.get("public-old") and state.bookmark("public-users") == 5000
     kinds = [k for k, _ in sink.events]
     assert kinds[:2] == ["SCHEMA", "SCHEMA"] and kinds.count("SCHEMA") == 2
+
+
+def test_waiting_run_reads_nothing_twice(spark, tmp_path):
+    folder = tmp_path / "log"
+    put(folder, "a", *((n, message("I", id=("integer", n))) for n in (10, 11, 12)))
+    sink, state = Rows(), State()
+    report = LogRun(spark, [spec()], state, sink, {"path": str(folder)}, Settings.of({"url": "postgresql://u:p@h/d", "replication_idle_exit_seconds": 2})).run()
+    assert [r["id"] for r in sink.kept["public-users"]] == [10, 11, 12] and report.caught_up and report.counts == {"emitted": 3}
+    put(folder, "b", (13, message("I", id=("integer", 13))))
+    LogRun(spark, [spec()], state, sink, {"path": str(folder)}).run()
+    assert [r["id"] for r in sink.kept["public-users"]] == [10, 11, 12, 12, 13]  # the message at the bookmark comes again: at least once
+
+
+def test_failed_run_can_be_called_again(spark, tmp_path):
+    folder = tmp_path / "log"
+    put(folder, "a", (10, message("I", id=("integer", 1))))
+
+    class Once(Rows):
+        broken = True
+
+        def rows(self, s, df):
+            if self.broken:
+                self.broken = False
+                raise OSError("full")
+            super().rows(s, df)
+
+    sink = Once()
+    run = LogRun(spark, [spec()], State(), sink, {"path": str(folder)})
+    with pytest.raises(Exception, match="full"):
+        run.run()
+    assert run.run().by_stream == {"public-users": 1} and [r["id"] for r in sink.kept["public-users"]] == [1]
+
+
+class Slot(wal.PostgresLog):
+    """A replication slot whose server sends some messages and then nothing."""
+
+    def __init__(self, messages, wal_end):
+        super().__init__({"slot": "s", "idle_seconds": "0.3"})
+        self.messages, self.end = messages, wal_end
+
+    def _replication(self):
+        messages, end = list(self.messages), self.end
+
+        class Message:
+            def __init__(self, lsn):
+                self.data_start, self.payload = lsn, f"m{lsn}"
+
+        class Cursor:
+            wal_end = end
+
+            def start_replication(self, **more):
+                assert more["slot_name"] == "s"
+
+            def read_message(self):
+                return Message(messages.pop(0)) if messages else None
+
+            def cursor(self):
+                return self
+
+            def __enter__(self):
+                return self
+
+            def __exit__(self, *error):
+                return False
+
+        return Cursor()
+
+    def _wait(self, cur):
+        pass
+
+
+def test_silence_is_no_end():
+    assert [n for n, _ in Slot([9, 10, 12, 30], 40).read(10, 21)] == [10, 12]
+    assert [n for n, _ in Slot([10, 12], 20).read(10, 21)] == [10, 12]
+    with pytest.raises(TimeoutError):
+        list(Slot([10, 12], 15).read(10, 21))
+
+
+def test_slots_need_a_landing(spark):
+    options = {"client": "tidemark.sources.wal:PostgresLog", "dsn": "", "slot": "s"}
+    with pytest.raises(ValueError):
+        LogRun(spark, [spec()], State(), Rows(), options).run()
+
+
+def test_values_that_types_cannot_hold(spark, tmp_path):
+    s = spec(id=T.LongType(), at=T.TimestampNTZType(), many=T.ArrayType(T.IntegerType()), n=T.DecimalType(38, 18))
+    good = {"id": ("bigint", "1"), "at": ("timestamp", "2024-01-01 00:00:00"), "many": ("integer[]", "{1,NULL}"), "n": ("numeric", "")}
+    rows = [(1, message("I", **good)), (2, message("I", **good | {"at": ("timestamp", "infinity")})), (3, message("I", **good | {"many": ("integer[]", "{1,x}")})), (4, message("I", **good | {"n": ("numeric", "1" * 24)})), (5, message("I", **good | {"id": ("bigint", None)}))]
+    sink = Rows()
+    run = LogRun(spark, [s], State(), sink, {}, quarantine=str(tmp_path / "bad"))
+    for _ in range(2):
+        run.batch(log(spark, *rows), 4)
+    assert [r["_sdc_lsn"] for r in sink.kept["public-users"]] == [1, 5, 1, 5]
+    bad = {r["lsn"]: r["reason"] for r in spark.read.parquet(str(tmp_path / "bad")).collect()}
+    assert bad == {2: "uncastable: at", 3: "uncastable: many", 4: "uncastable: n"} and spark.read.parquet(str(tmp_path / "bad")).count() == 3
+    assert run.report.counts["uncastable"] == 6
+
+
+def test_nested_arrays(spark):
+    df = spark.createDataFrame([("{{1,2},{3,4}}",), ('{"a{",{"b}",NULL},c}',)], "v string")
+    assert [r[0] for r in df.select(array_items(F.col("v"))).collect()] == [["{1,2}", "{3,4}"], ["a{", '{"b}",NULL}', "c"]]
+
+
+def test_columns_out_of_order_and_with_gaps(spark):
+    s = spec(id=T.LongType(), a=T.StringType(), b=T.StringType())
+    got = read(spark, s, (1, message("U", b=("text", "y"), id=("integer", 1))), (2, message("U", id=("integer", 2), a=("text", "x"), b=("text", "z"))))
+    assert [tuple(r)[:3] for r in got.orderBy("_sdc_lsn").collect()] == [(1, None, "y"), (2, "x", "z")]
+
+
+def test_many_streams_at_once(spark, tmp_path):
+    from tidemark.operators.messages import FileSink
+
+    specs = [spec(f"t{i}") for i in range(12)]
+    rows = [(n, message("I", f"t{n % 10}", id=("integer", n))) for n in range(40)]
+    sink = FileSink(str(tmp_path / "out"), "parquet", None)
+    run = LogRun(spark, specs, State(), sink, {})
+    run.batch(log(spark, *rows), 0)
+    assert all(spark.read.parquet(str(tmp_path / f"out/public-t{i}")).count() == 4 for i in range(10)) and run.report.by_stream["public-t11"] == 0

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 
 from tidemark.config import SLOT_NAME, Settings, Tunnel, settings_schema, valid_slot_name
 from tidemark.sources.connection import Connection, pem_file
-from tidemark.sources.tunnel import command, key_type, opened
+from tidemark.sources.tunnel import command, connected, key_type, opened
 
 BASE = {"host": "db", "user": "u", "password": "p", "database": "d"}
 
@@ -96,3 +96,31 @@ def test_tunnel():
     assert key_type("-----BEGIN EC PRIVATE KEY-----") == "ecdsa"
     with pytest.raises(ValueError):
         key_type("-----BEGIN DSA PRIVATE KEY-----")
+
+
+def test_a_database_is_not_dialled_past_its_tunnel():
+    s = Settings.of(BASE | {"ssh_tunnel": {"enable": True, "host": "gate", "username": "me"}})
+    with pytest.raises(ValueError):
+        Connection.of(s)
+
+    class Shut:
+        def __init__(self, args):
+            self.args = args
+
+        def terminate(self):
+            pass
+
+        def wait(self):
+            pass
+
+    with connected(s, wait=0, start=Shut) as c:
+        assert (c.host, c.database) == ("127.0.0.1", "d")
+    with pytest.raises(TimeoutError):
+        with connected(s, wait=0.2, start=Shut):
+            pass
+
+
+@pytest.mark.parametrize("mode", ["require", "verify-ca"])
+def test_root_certificate_is_for_modes_that_verify(mode):
+    options = Connection.of(Settings.of(BASE | {"ssl_enable": True, "ssl_mode": mode, "ssl_certificate_authority": "/ca"})).options
+    assert options.get("sslrootcert") == ("/ca" if mode == "verify-ca" else None) and options["sslmode"] == mode

@@ -1,4 +1,6 @@
-from datetime import datetime
+import json
+from datetime import date, datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -95,3 +97,51 @@ def test_engine_and_sinks(spark, tmp_path):
     FileSink(str(tmp_path / "out"), "json", "gzip").rows(spec, spark.range(3))
     assert spark.read.json(str(tmp_path / "out/public-t")).count() == 3
     assert Engine(spark, Settings.of(URL | {"filter_schemas": ["new_schema"]}), tables).catalog.streams == []
+
+
+KEYS = {
+    "timestamp_ntz": [datetime(2024, 1, d, 3, 4, 5, 600) for d in range(1, 9)],
+    "timestamp": [datetime(2024, 1, d, 3, 4, 5, 600) for d in range(1, 9)],
+    "date": [date(2024, 1, d) for d in range(1, 9)],
+    "decimal(30,10)": [Decimal(f"12345678901234567890.{d}") for d in range(1, 9)],
+    "bigint": [2**60 + d for d in range(1, 9)],
+    "double": [d / 3 for d in range(1, 9)],
+    "string": [f"k{d:02d}é" for d in range(1, 9)],
+}
+
+
+@pytest.mark.parametrize("kind", KEYS)
+def test_second_run_starts_at_the_bookmark(spark, tmp_path, kind):
+    rows = [(i, k) for i, k in enumerate(KEYS[kind])]
+    df = spark.createDataFrame(rows, f"id int, k {kind}")
+    state, got = str(tmp_path / "state.json"), []
+    for n, most in enumerate((4, 6, 8)):
+        folder = tmp_path / f"run{n}"
+        df.filter(F.col("id") < most).write.parquet(str(folder / "t.parquet"))
+        tables = ParquetTables(spark, str(folder), {"t": ("id",)})
+        engine = Engine(spark, Settings.of(URL | {"default_replication_method": INCREMENTAL}), tables, State(state))
+        spec = engine.catalog.streams[0]
+        engine.catalog.streams[0] = StreamSpec(**{**spec.__dict__, "replication_key": "k"})
+        lines = []
+        engine.sync_tables(MessageSink(lines.append))
+        got.append([json.loads(x)["record"]["id"] for x in lines if '"RECORD"' in x])
+    assert got == [[0, 1, 2, 3], [3, 4, 5], [5, 6, 7]]
+
+
+def test_folder_sink_has_schema_and_state(spark, tmp_path):
+    spec = stream(spark.range(3))
+    sink = FileSink(str(tmp_path / "out"), "parquet", None)
+    for _ in range(2):
+        sink.rows(spec, spark.range(3), "_run=a/_batch=1")
+    sink.rows(spec, spark.range(2), "_run=a/_batch=2")
+    sink.state({"bookmarks": {"public-t": {"replication_key_value": 7}}})
+    assert spark.read.parquet(str(tmp_path / "out/public-t")).count() == 5
+    assert json.load(open(tmp_path / "out/_state.json"))["value"]["bookmarks"]["public-t"]["replication_key_value"] == 7
+    assert json.load(open(tmp_path / "out/_schemas/public-t.json"))["stream"] == "public-t"
+
+
+def test_messages_keep_microseconds_and_offsets(spark):
+    df = spark.sql("SELECT TIMESTAMP_NTZ'2024-01-02 03:04:05.123456' AS a, TIMESTAMP'2024-01-02 03:04:05.123456+02:00' AS b")
+    lines = []
+    MessageSink(lines.append).rows(stream(df), df)
+    assert json.loads(lines[-1])["record"] == {"a": "2024-01-02T03:04:05.123456", "b": "2024-01-02T01:04:05.123456+00:00"}

@@ -29,9 +29,18 @@ def ltrim_brace(text: Column) -> Column:
     return F.substring(F.ltrim(text), 1, 1) == "{"
 
 
+def _nested(depth: int) -> str:
+    deeper = "" if depth == 1 else f"|{_nested(depth - 1)}"
+    return r'\{(?:[^{}"]|"(?:[^"\\]|\\.)*"' + deeper + r")*\}"
+
+
+#: Array literals inside others; the server's arrays have six dimensions at most.
+_INNER = _nested(5)
+
+
 def array_items(literal: Column) -> Column:
-    """Items of a one-dimensional array literal such as ``{a,"b \\"q\\"",NULL}``, or of a JSON list."""
-    raw = F.regexp_extract_all(F.regexp_replace(literal, r"^\s*\{|\}\s*$", ""), F.lit(r'("(?:[^"\\]|\\.)*"|[^,"]+)'), F.lit(1))
+    """Items of an array literal such as ``{a,"b \\"q\\"",NULL}``, or of a JSON list; an item that is an array itself stays its literal."""
+    raw = F.regexp_extract_all(F.regexp_replace(literal, r"^\s*\{|\}\s*$", ""), F.lit(rf'("(?:[^"\\]|\\.)*"|{_INNER}|[^,"{{}}]+)'), F.lit(1))
     quoted = lambda x: F.regexp_replace(F.substring(x, F.lit(2), F.length(x) - 2), r"\\(.)", "$1")
     items = F.transform(raw, lambda x: F.when(F.substring(x, 1, 1) == '"', quoted(x)).when(F.upper(F.trim(x)) == "NULL", None).otherwise(F.trim(x)))
     as_list = F.from_json(literal, "array<string>")
@@ -45,7 +54,7 @@ def is_numeric_name(kind: Column) -> Column:
 
 
 def typed(value: Column, kind: Column, to: T.DataType) -> Column:
-    """A log value as its column's type. What can't be cast is null, and so is an empty text of a numeric type."""
+    """A log value as its column's type. What can't be cast is null (see ``is_lost``), and so is an empty text of a numeric type."""
     value = F.when(~(F.coalesce(is_numeric_name(kind), F.lit(False)) & (value == "")), value)
     if isinstance(to, T.ArrayType):
         item = to.elementType
@@ -59,6 +68,17 @@ def typed(value: Column, kind: Column, to: T.DataType) -> Column:
     return value if isinstance(to, T.StringType) else value.try_cast(to)
 
 
+def is_lost(value: Column, kind: Column, to: T.DataType) -> Column:
+    """Whether a value that is there can't be had as its column's type, or an item of it: ``infinity``, a number of too many digits."""
+    made = typed(value, kind, to)
+    there = value.isNotNull() & ~(F.coalesce(is_numeric_name(kind), F.lit(False)) & (value == ""))
+    lost = there & made.isNull()
+    if isinstance(to, T.ArrayType) and not isinstance(to.elementType, T.StringType):
+        gone = lambda a: F.size(F.filter(a, lambda x: x.isNull()))
+        lost = lost | F.coalesce(there & (gone(made) != gone(array_items(value))), F.lit(False))
+    return F.coalesce(lost, F.lit(False))
+
+
 def hstore(text: Column) -> Column:
     """``"a"=>"b", "c"=>NULL`` as a map; of equal keys the last counts."""
     pairs = F.regexp_extract_all(text, F.lit(r'("(?:[^"\\]|\\.)*"=>(?:NULL|"(?:[^"\\]|\\.)*"))'), F.lit(1))

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.identifiers import route_key
-from tidemark.functions.values import parsed, typed, utc_second
+from tidemark.functions.values import is_lost, parsed, typed, utc_second
 from tidemark.plans.catalog import DELETED, LSN, StreamSpec
 
 #: What becomes of a message. Only the first two give rows.
@@ -40,19 +41,31 @@ def cells(msg: Column) -> Column:
     return F.when(msg["action"] == "D", msg["identity"]).otherwise(msg["columns"])
 
 
-def rows_of(messages: DataFrame, spec: StreamSpec, now: Column | None = None, carry_present: bool = False) -> DataFrame:
+def rows_of(messages: DataFrame, spec: StreamSpec, now: Column | None = None, carry_present: bool = False, carry_lost: bool = False) -> DataFrame:
     """Rows of a stream from its upserts and deletes (``lsn, msg, disposition``).
 
     Of equal column names the last counts; columns that a message lacks are
     null.  ``_present_cols`` tells those from columns that were set to null.
-    ``now`` is the moment of deletion.
+    ``now`` is the moment of deletion.  ``carry_lost`` adds ``payload`` and
+    ``_lost``, the columns whose values their types can't hold.
+
+    Messages nearly always have their columns in the table's order, so a cell is
+    taken from its place and looked for only where another is there.
     """
     now = utc_second(F.current_timestamp()) if now is None else now
-    made = messages.select("lsn", "disposition", cells(F.col("msg")).alias("cells"))
-    out = []
-    for c in spec.real_columns:
-        cell = F.try_element_at(_named(c), F.lit(-1))
-        out.append(typed(cell["value"], cell["type"], spec.type_of(c)).alias(c))
+    kept = ["payload"] if carry_lost else []
+    made = messages.select("lsn", "disposition", *kept, cells(F.col("msg")).alias("cells"))
+    names = F.transform("cells", lambda x: x["name"])
+    made = made.withColumn("_distinct", F.size(F.array_distinct(names)) == F.size("cells"))
+    places = {c: i for i, c in enumerate(x for x in spec.properties if not x.startswith("_sdc_"))}
+    at = lambda c: F.try_element_at("cells", F.lit(places[c] + 1))
+    found = [F.when(F.col("_distinct") & (at(c)["name"] == c), at(c)).otherwise(F.try_element_at(_named(c), F.lit(-1))).alias(f"_cell{i}") for i, c in enumerate(spec.real_columns)]
+    made = made.select("lsn", "disposition", *kept, "cells", *found)
+    pairs = [(c, F.col(f"_cell{i}")) for i, c in enumerate(spec.real_columns)]
+    out = [typed(cell["value"], cell["type"], spec.type_of(c)).alias(c) for c, cell in pairs]
+    if carry_lost:
+        lost = [F.when(is_lost(cell["value"], cell["type"], spec.type_of(c)), F.lit(c)) for c, cell in pairs if not isinstance(spec.type_of(c), T.StringType)]
+        out += [F.col("payload"), F.array_compact(F.array(*lost)).alias("_lost") if lost else F.array().cast("array<string>").alias("_lost")]
     out += [F.when(F.col("disposition") == DELETE, now).alias(DELETED), F.col("lsn").cast("bigint").alias(LSN)]
     if carry_present:
         out.append(F.transform("cells", lambda x: x["name"]).alias("_present_cols"))

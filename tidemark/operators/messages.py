@@ -6,17 +6,17 @@ import json
 from collections.abc import Callable, Iterable
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.plans.catalog import StreamSpec
 
 
 def record_lines(df: DataFrame, stream: str, ignore_nulls: bool = False) -> DataFrame:
-    """A RECORD message for each row, as column ``value``."""
+    """A RECORD message for each row, as column ``value``. Times have microseconds, and those of a zone their offset."""
     record = F.struct(*(F.col(f"`{c}`") for c in df.columns))
     envelope = F.struct(F.lit("RECORD").alias("type"), F.lit(stream).alias("stream"), record.alias("record"))
-    return df.select(F.to_json(envelope, {"ignoreNullFields": str(ignore_nulls).lower()}).alias("value"))
+    return df.select(F.to_json(envelope, {"ignoreNullFields": str(ignore_nulls).lower(), "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}).alias("value"))
 
 
 def schema_message(spec: StreamSpec) -> dict[str, Any]:
@@ -47,7 +47,7 @@ class MessageSink:
         for s in specs:
             self.schema(s)
 
-    def rows(self, spec: StreamSpec, df: DataFrame) -> None:
+    def rows(self, spec: StreamSpec, df: DataFrame, part: str | None = None) -> None:
         self.schema(spec)
         for r in record_lines(df, spec.name).toLocalIterator():
             self.emit(r["value"])
@@ -57,28 +57,52 @@ class MessageSink:
 
 
 class FileSink:
-    """Rows of each stream as files below a folder, written by the executors; schemas and state beside them as JSON."""
+    """Rows of each stream as files below a folder, written by the executors; ``_schemas/<stream>.json`` and ``_state.json`` beside them.
+
+    Rows of a named part replace what an earlier attempt left of it, so a batch
+    that is run again repeats nothing; a part is a partition of the files.
+    Several streams may be written at a time.
+    """
+
+    concurrent = True
 
     def __init__(self, folder: str, fmt: str = "json", compression: str | None = "gzip", records_per_file: int | None = None):
         self.folder, self.fmt, self.compression, self.most, self.announced = folder, fmt, compression, records_per_file, {}
         self.states: list[dict[str, Any]] = []
 
+    @property
+    def quarantine(self) -> str:
+        return f"{self.folder}/_quarantine"
+
+    def _put(self, name: str, value: dict[str, Any]) -> None:
+        """A small file, replaced as a whole, wherever the folder is."""
+        spark = SparkSession.active()
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+        out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path, True)
+        try:
+            out.write(bytearray(json.dumps(value, default=str, sort_keys=True).encode()))
+        finally:
+            out.close()
+
     def schema(self, spec: StreamSpec) -> None:
-        self.announced.setdefault(spec.name, schema_message(spec))
+        if spec.name not in self.announced:
+            self.announced[spec.name] = schema_message(spec)
+            self._put(f"_schemas/{spec.name}.json", self.announced[spec.name])
 
     def schemas(self, specs: Iterable[StreamSpec]) -> None:
         for s in specs:
             self.schema(s)
 
-    def rows(self, spec: StreamSpec, df: DataFrame) -> None:
+    def rows(self, spec: StreamSpec, df: DataFrame, part: str | None = None) -> None:
         self.schema(spec)
-        writer = df.write.mode("append").format(self.fmt)
+        writer = df.write.mode("overwrite" if part else "append").format(self.fmt)
         writer = writer.option("compression", self.compression) if self.compression else writer
         writer = writer.option("maxRecordsPerFile", self.most) if self.most else writer
-        writer.save(f"{self.folder}/{spec.name}")
+        writer.save(f"{self.folder}/{spec.name}/{part}" if part else f"{self.folder}/{spec.name}")
 
     def state(self, value: dict[str, Any]) -> None:
         self.states.append(json.loads(json.dumps(value, default=str)))
+        self._put("_state.json", state_message(self.states[-1]))
 
 
 class FrameSink:
@@ -97,7 +121,7 @@ class FrameSink:
         for s in specs:
             self.schema(s)
 
-    def rows(self, spec: StreamSpec, df: DataFrame) -> None:
+    def rows(self, spec: StreamSpec, df: DataFrame, part: str | None = None) -> None:
         self.schema(spec)
         self.events.append(("RECORD", spec.name))
         self.frames.setdefault(spec.name, []).append(df)

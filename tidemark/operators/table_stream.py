@@ -21,8 +21,15 @@ def where_all(df: DataFrame, clauses: Sequence[str]) -> DataFrame:
 
 
 def since(df: DataFrame, key: str, start: Any | None) -> DataFrame:
-    """Rows from a start value on, itself included: at least once. Null keys have no place after it; without a start all rows count."""
-    return df if start is None else df.filter(F.col(key) >= F.lit(start))
+    """Rows from a start value on, itself included: at least once. Null keys have no place after it; without a start all rows count.
+
+    A start that is text, as state files have it, is read as the key's type.
+    """
+    return df if start is None else df.filter(F.col(key) >= _as_key(df, key, start))
+
+
+def _as_key(df: DataFrame, key: str, value: Any) -> Column:
+    return F.lit(value).cast(df.schema[key].dataType) if isinstance(value, str) else F.lit(value)
 
 
 def in_order(df: DataFrame, key: str, *more: str) -> DataFrame:
@@ -86,7 +93,7 @@ def bootstrap(df: DataFrame, spec: StreamSpec, where: Sequence[str] = ()) -> Dat
 def new_bookmark(df: DataFrame, key: str, old: Any | None = None) -> DataFrame:
     """The greatest key seen, never less than the old one; null only if there is neither."""
     new = F.max(key)
-    return df.agg((F.greatest(new, F.lit(old)) if old is not None else new).alias("bookmark"))
+    return df.agg((F.greatest(new, _as_key(df, key, old)) if old is not None else new).alias("bookmark"))
 
 
 def mapped(df: DataFrame, rules: Mapping[str, str | None], keep: str | None = None, otherwise_drop: bool = False) -> DataFrame:

@@ -75,7 +75,7 @@ class StreamSpec:
         return {
             "tap_stream_id": self.name, "stream": self.name, "table_name": self.table, "key_properties": list(self.keys), "replication_method": self.method, "replication_key": self.replication_key,
             "schema": {"type": "object", "properties": dict(self.properties), "required": list(self.required)},
-            "metadata": [*({"breadcrumb": ["properties", c], "metadata": {"inclusion": inclusion(c), "selected": c not in self.deselected}} for c in self.properties), top],
+            "metadata": [*({"breadcrumb": ["properties", c], "metadata": {"inclusion": inclusion(c), "selected": c not in self.deselected} | ({"spark-type": self.types[c].jsonValue()} if c in self.types else {})} for c in self.properties), top],
         }
 
     @classmethod
@@ -89,7 +89,13 @@ class StreamSpec:
         method = entry.get("replication_method") or top.get("forced-replication-method") or FULL_TABLE
         if method not in METHODS:
             raise ValueError(f"no such replication method: {method!r}")
-        return cls(schema, table or name.partition("-")[2], props, tuple(entry.get("key_properties") or ()), tuple(entry["schema"].get("required", ())), method, entry.get("replication_key"), bool(top.get("selected", entry.get("selected", True))), off)
+        types = {c: _type_of_json(by[("properties", c)]["spark-type"]) for c in props if "spark-type" in by.get(("properties", c), {})}
+        return cls(schema, table or name.partition("-")[2], props, tuple(entry.get("key_properties") or ()), tuple(entry["schema"].get("required", ())), method, entry.get("replication_key"), bool(top.get("selected", entry.get("selected", True))), off, types)
+
+
+def _type_of_json(kind: Any) -> T.DataType:
+    """A column's type as an entry of our own discovery has it."""
+    return T.StructType.fromJson({"type": "struct", "fields": [{"name": "x", "type": kind, "nullable": True, "metadata": {}}]})["x"].dataType
 
 
 def of_frame(schema: str, table: str, df: DataFrame, settings: Settings | None = None, keys: Iterable[str] = ()) -> StreamSpec:

@@ -147,7 +147,7 @@ def wal_stream_run(spark, sf_dir):
     event_log(spark, sf_dir).select("lsn", "payload").repartition(3, "lsn").write.parquet(f"{folder}/log")
     run = LogRun(spark, [event_stream()], State(), messages.FileSink(f"{folder}/out", "parquet", None), {}, now=F.lit(NOW))
     run.replay(f"{folder}/log", f"{folder}/checkpoint", files_per_batch=2)
-    return spark.read.parquet(f"{folder}/out/public-events")
+    return spark.read.parquet(f"{folder}/out/public-events").drop("_run", "_batch")
 
 
 def wal_upserts(spark, sf_dir):
@@ -364,7 +364,9 @@ _FOUND = [
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in _FOUND}
+    from tidemark import run_queries
+
+    return {f.__name__: f for f in _FOUND} | run_queries.queries()
 
 
 _NULLKEY = "(SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN user_id END AS k FROM events)"
@@ -398,7 +400,9 @@ def _type_rows() -> list[tuple]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    from tidemark import run_queries
+
+    return run_queries.oracle_sql() | {
         "full_table_orders": "SELECT * FROM orders",
         "select_columns_customer": "SELECT c_custkey, c_name, c_mktsegment FROM customer",
         "custom_where_and": "SELECT o_orderkey, o_totalprice FROM orders WHERE (o_orderkey % 2 = 0) AND (o_orderkey % 3 = 0)",

@@ -27,12 +27,23 @@ class Connection:
 
     @classmethod
     def of(cls, settings: Settings) -> Connection:
-        """A url beats the single fields; a tunnel's open endpoint beats both hosts."""
-        found = cls._of_url(settings.url) if settings.url else cls(settings.host, settings.port, settings.database, settings.user, settings.password, _options(settings))
-        if settings.ssh_tunnel.enable and settings.ssh_tunnel.endpoint:
+        """A url beats the single fields; a tunnel's open endpoint beats both hosts.
+
+        A tunnel that is yet to be opened raises ``ValueError``: the database must
+        not be dialled past it.  ``sources.tunnel.connected`` opens it.
+        """
+        found = cls.direct(settings)
+        if settings.ssh_tunnel.enable:
+            if not settings.ssh_tunnel.endpoint:
+                raise ValueError("the SSH tunnel isn't open: use sources.tunnel.connected, or give its endpoint")
             found = found.at(*settings.ssh_tunnel.endpoint)
         return found
 
+    @classmethod
+    def direct(cls, settings: Settings) -> Connection:
+        """The database itself, as a tunnel's far end dials it."""
+        return cls._of_url(settings.url) if settings.url else cls(settings.host, settings.port, settings.database, settings.user, settings.password, _options(settings))
+
     @classmethod
     def _of_url(cls, url: str) -> Connection:
         parts = urlsplit(url)
@@ -69,7 +80,10 @@ def _escaped(value: str) -> str:
 def _options(s: Settings) -> dict[str, str]:
     options = {"application_name": APPLICATION}
     if s.ssl_enable:
-        options |= {"sslmode": s.ssl_mode, "sslrootcert": pem_file(s.path("ssl_certificate_authority"), s.ssl_storage_directory, "root.crt")}
+        options["sslmode"] = s.ssl_mode
+        # With a root certificate, clients would verify in the other modes too.
+        if s.ssl_mode in ("verify-ca", "verify-full"):
+            options["sslrootcert"] = pem_file(s.path("ssl_certificate_authority"), s.ssl_storage_directory, "root.crt")
     if s.ssl_client_certificate_enable:
         options |= {
             "sslcert": pem_file(s.path("ssl_client_certificate"), s.ssl_storage_directory, "client.crt"),

@@ -16,7 +16,7 @@ import time
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from tidemark.config import Tunnel
+from tidemark.config import Settings, Tunnel
 from tidemark.sources.connection import Connection
 
 #: Names of key types in public key blobs, and PEM headers.
@@ -45,6 +45,13 @@ def command(tunnel: Tunnel, target: Connection, port: int, key_file: str | None)
     return ["ssh", "-N", "-o", "ExitOnForwardFailure=yes", "-o", "BatchMode=yes", "-p", str(tunnel.port), *(["-i", key_file] if key_file else []), "-L", f"127.0.0.1:{port}:{target.host}:{target.port}", f"{tunnel.username}@{tunnel.host}"]
 
 
+@contextmanager
+def connected(settings: Settings, **more) -> Iterator[Connection]:
+    """The settings' database, by way of their tunnel if they have one; it is closed afterwards."""
+    with opened(settings.ssh_tunnel, Connection.direct(settings), **more) as found:
+        yield found
+
+
 @contextmanager
 def opened(tunnel: Tunnel, target: Connection, wait: float = 10, start=subprocess.Popen) -> Iterator[Connection]:
     """``target`` by way of the tunnel; without one, or with an open endpoint, nothing is started."""
@@ -72,6 +79,9 @@ def opened(tunnel: Tunnel, target: Connection, wait: float = 10, start=subproces
                     if s.connect_ex(("127.0.0.1", port)) == 0:
                         break
                 time.sleep(0.1)
+            else:
+                if wait:
+                    raise TimeoutError(f"the SSH tunnel to {tunnel.host} didn't open within {wait} s")
             yield target.at("127.0.0.1", port)
         finally:
             process.terminate()

@@ -12,13 +12,14 @@ processed, so a run lands raw messages first; see ``streaming.run``.
 from __future__ import annotations
 
 import importlib
+import io
 import json
-import os
 import select
 import time
 from collections.abc import Iterator, Mapping
 from typing import Protocol
 
+import pyarrow.fs as pafs
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
@@ -42,20 +43,27 @@ def replication_options(add_tables: str) -> dict[str, str]:
 
 
 class DirectoryLog:
-    """A log in a folder of JSON lines ``{"lsn": n, "payload": "..."}``; feedback goes to a file beside them."""
+    """A log in a folder of JSON lines ``{"lsn": n, "payload": "..."}``, on any file system that Arrow knows; feedback goes to a file beside them."""
+
+    #: Whether messages can still be read after feedback.
+    replayable = True
 
     def __init__(self, options: Mapping[str, str]):
-        self.folder = options["path"]
+        path = options["path"]
+        if path.startswith("file:"):
+            path = "/" + path[5:].lstrip("/")
+        self.fs, self.folder = pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
 
     def _files(self) -> list[str]:
-        return sorted(os.path.join(self.folder, f) for f in os.listdir(self.folder) if f.endswith(".jsonl"))
+        found = self.fs.get_file_info(pafs.FileSelector(self.folder))
+        return sorted(f.path for f in found if f.path.endswith((".json", ".jsonl")))
 
     def _all(self) -> Iterator[tuple[int, str]]:
         for path in self._files():
-            with open(path) as f:
-                for line in f:
+            with self.fs.open_input_stream(path) as f:
+                for line in io.TextIOWrapper(f, "utf-8", newline="\n"):
                     row = json.loads(line)
-                    yield row["lsn"], row["payload"]
+                    yield row["lsn"], row.get("payload")
 
     def tip(self) -> int | None:
         return max((lsn for lsn, _ in self._all()), default=None)
@@ -64,18 +72,23 @@ class DirectoryLog:
         return (x for x in self._all() if start <= x[0] < end)
 
     def feedback(self, lsn: int) -> None:
-        path = os.path.join(self.folder, "feedback")
-        with open(f"{path}.tmp", "w") as f:
-            f.write(str(lsn))
-        os.replace(f"{path}.tmp", path)
+        path = f"{self.folder}/feedback"
+        with self.fs.open_output_stream(f"{path}.tmp") as f:
+            f.write(str(lsn).encode())
+        self.fs.move(f"{path}.tmp", path)
 
     def acknowledged(self) -> int | None:
-        path = os.path.join(self.folder, "feedback")
-        return int(open(path).read()) if os.path.exists(path) else None
+        path = f"{self.folder}/feedback"
+        if self.fs.get_file_info(path).type == pafs.FileType.NotFound:
+            return None
+        with self.fs.open_input_stream(path) as f:
+            return int(f.read())
 
 
 class PostgresLog:
-    """A logical replication slot. Options: dsn, slot, add_tables, idle_seconds, keepalive_seconds."""
+    """A logical replication slot. Options: dsn, slot, add_tables, idle_seconds, keepalive_seconds, feedback_seconds."""
+
+    replayable = False
 
     def __init__(self, options: Mapping[str, str]):
         self.options = options
@@ -102,14 +115,24 @@ class PostgresLog:
         return self._connect(connection_factory=LogicalReplicationConnection)
 
     def read(self, start: int, end: int) -> Iterator[tuple[int, str]]:
-        idle, keepalive = float(self.options.get("idle_seconds", 5)), int(self.options.get("keepalive_seconds", 10))
+        """All messages of the range, or ``TimeoutError``.
+
+        The range is read when a message beyond it comes, or the server says
+        that it has sent all up to its end.  Silence alone ends nothing: what
+        is taken for read is confirmed, and a slot can't give it again.
+        """
+        idle, keepalive = float(self.options.get("idle_seconds", 60)), int(self.options.get("keepalive_seconds", 10))
         with self._replication() as c, c.cursor() as cur:
             cur.start_replication(slot_name=self.options["slot"], decode=True, start_lsn=format_lsn(start), status_interval=keepalive, options=replication_options(self.options.get("add_tables", "")))
             last = time.monotonic()
-            while time.monotonic() - last < idle:
+            while True:
                 message = cur.read_message()
                 if message is None:
-                    select.select([cur], [], [], 1)
+                    if (cur.wal_end or 0) >= end - 1:
+                        return
+                    if time.monotonic() - last >= idle:
+                        raise TimeoutError(f"the log ended before {format_lsn(end - 1)}: nothing for {idle} s")
+                    self._wait(cur)
                     continue
                 last = time.monotonic()
                 if message.data_start >= end:
@@ -117,6 +140,9 @@ class PostgresLog:
                 if message.data_start >= start:
                     yield message.data_start, message.payload
 
+    def _wait(self, cur) -> None:
+        select.select([cur], [], [], 1)
+
     def feedback(self, lsn: int) -> None:
         with self._replication() as c, c.cursor() as cur:
             cur.start_replication(slot_name=self.options["slot"], decode=True, options=replication_options(self.options.get("add_tables", "")))

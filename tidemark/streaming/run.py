@@ -2,25 +2,31 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import time
 import uuid
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import INCREMENTAL, LOG_BASED, Settings
-from tidemark.operators.decode import rows_of
-from tidemark.operators.dispatch import Routes, counters, counts_by_stream, dispatched, emitted, max_lsn_seen, quarantined
-from tidemark.operators.table_stream import bootstrap, dates_as_text, flattened, new_bookmark, read_stream
+from tidemark.operators.decode import EMITTED, rows_of
+from tidemark.operators.dispatch import Routes, counters, dispatched, emitted, max_lsn_seen, quarantined
+from tidemark.operators.table_stream import bootstrap, dates_as_text, flattened, in_order, new_bookmark, read_stream
 from tidemark.plans.catalog import LSN, Catalog, StreamSpec
 from tidemark.sources import wal
 from tidemark.sources.tables import Tables
-from tidemark.streaming.state import State, advance_to, current_tip
+from tidemark.streaming.state import State, advance_to, current_tip, instant
+
+#: Streams of a batch that are written at a time.
+WRITERS = 8
 
 
 @dataclass
@@ -34,14 +40,28 @@ class LogReport:
     advanced_to: int | None = None
     batches: int = 0
 
+    def add(self, other: LogReport) -> None:
+        for name, n in other.counts.items():
+            self.counts[name] = self.counts.get(name, 0) + n
+        self.by_stream |= other.by_stream
+        self.max_seen = max(self.max_seen, other.max_seen)
+        self.caught_up = self.caught_up and other.caught_up
+        self.batches += other.batches
+
 
 class LogRun:
     """One pass over the log for all its streams.
 
     Each micro-batch is decoded once, kept while its streams are written, and
     its bookmarks are saved only after all writes: what fails is read again.
-    With ``landing``, raw messages are stored before anything else, so they
-    survive though the server can't give them twice.
+    Parts are named by run and batch, so a batch that is tried again replaces
+    what its first try left in a ``FileSink`` and in the quarantine; a run with a
+    checkpoint keeps its name over restarts.  With ``landing``, raw messages are
+    stored before anything else; a log that can't be read twice needs it.
+
+    Rows with a value that their column's type can't hold go to the quarantine,
+    the caller's or the sink's; without either they are emitted with a null and
+    counted.
     """
 
     def __init__(self, spark: SparkSession, streams: Iterable[StreamSpec], state: State, sink, options: Mapping[str, str], settings: Settings | None = None, checkpoint: str | None = None, landing: str | None = None, quarantine: str | None = None, clock=None, now=None):
@@ -49,63 +69,84 @@ class LogRun:
         self.streams = list(streams)
         self.routes = Routes(self.streams, {s.name: state.start(s.name) for s in self.streams})
         self.options = dict(options) | {"start_lsn": str(self.routes.global_start), "add_tables": self.routes.add_tables}
-        self.checkpoint, self.landing, self.quarantine, self.now = checkpoint, landing, quarantine, now
+        self.checkpoint, self.landing, self.now = checkpoint, landing, now
+        self.quarantine = quarantine or getattr(sink, "quarantine", None)
         self.clock = clock or time.monotonic
         self.report = LogReport(max_seen=0, by_stream={s.name: 0 for s in self.streams})
         self.done = False
-        self.run_id = uuid.uuid4().hex[:12]
+        self.run_id = hashlib.sha256(checkpoint.encode()).hexdigest()[:12] if checkpoint else uuid.uuid4().hex[:12]
 
     def batch(self, log: DataFrame, number: int = 0) -> None:
         """Decodes, fans out, counts, and moves bookmarks, for a batch of ``lsn, payload``."""
+        part = f"_run={self.run_id}/_batch={number}"
         if self.landing:
             path = f"{self.landing}/run={self.run_id}/batch={number}"
             log.write.mode("overwrite").parquet(path)
             log = self.spark.read.schema(wal.SCHEMA).parquet(path)
         messages = dispatched(log, self.routes).persist()
         try:
-            for s in self.streams:
-                rows = rows_of(emitted(messages, s), s, self.now).sortWithinPartitions(LSN)
-                self.sink.rows(s, self._shaped(rows))
-            bad = quarantined(messages)
+            counts = {r["disposition"]: r["n"] for r in counters(messages).collect()}
+            if not counts:  # a restarted source gives an empty batch
+                return
+            seen = {r["stream"]: r for r in messages.filter(F.col("disposition").isin(*EMITTED)).groupBy("stream").agg(F.count("*").alias("n"), F.max("lsn").alias("top")).collect()}
+            top = max_lsn_seen(messages).first()[0] or 0
+            present = [s for s in self.streams if s.name in seen]
+            # Streams are written side by side where the sink allows it: one small job each would leave the cluster idle.
+            if getattr(self.sink, "concurrent", False) and len(present) > 1:
+                with ThreadPoolExecutor(min(WRITERS, len(present))) as pool:
+                    lost = sum(pool.map(inheritable_thread_target(self.spark)(lambda s: self._write(messages, s, part)), present))
+            else:
+                lost = sum(self._write(messages, s, part) for s in present)
             if self.quarantine:
-                bad.write.mode("append").parquet(self.quarantine)
-            for r in counters(messages).collect():
-                self.report.counts[r["disposition"]] = self.report.counts.get(r["disposition"], 0) + r["n"]
-            seen = {r["stream"]: r for r in messages.filter(F.col("disposition").isin("upsert", "delete")).groupBy("stream").agg(F.max("lsn").alias("top")).collect()}
-            for r in counts_by_stream(messages, self.routes).collect():
-                self.report.by_stream[r["stream"]] += r["emitted"]
-            self.report.max_seen = max(self.report.max_seen, max_lsn_seen(log).first()[0] or 0)
+                quarantined(messages).write.mode("overwrite").parquet(f"{self.quarantine}/{part}/_kind=message")
+            for name, n in (counts | ({"uncastable": lost} if lost else {})).items():
+                self.report.counts[name] = self.report.counts.get(name, 0) + n
             for name, r in seen.items():
+                self.report.by_stream[name] += r["n"]
                 self.state.advance(name, LSN, r["top"])
+            self.report.max_seen = max(self.report.max_seen, top)
             self.report.batches += 1
             self.state.save()
             self.sink.state(self.state.value)
         finally:
             messages.unpersist()
 
+    def _write(self, messages: DataFrame, s: StreamSpec, part: str) -> int:
+        """Writes a stream's rows; how many had a value that their types can't hold."""
+        rows = rows_of(emitted(messages, s), s, self.now, carry_lost=True)
+        bad = rows.filter(F.size("_lost") > 0)
+        lost = bad.count()
+        if lost and self.quarantine:
+            bad.select(F.col(LSN).alias("lsn"), "payload", F.concat(F.lit("uncastable: "), F.array_join("_lost", ", ")).alias("reason")).write.mode("overwrite").parquet(f"{self.quarantine}/{part}/_kind={s.name}")
+            rows = rows.filter(F.size("_lost") == 0)
+        shaped = self._shaped(rows.drop("payload", "_lost").sortWithinPartitions(LSN))
+        self.sink.rows(s, shaped, part) if getattr(self.sink, "concurrent", False) else self.sink.rows(s, shaped)
+        return lost
+
     def _shaped(self, rows: DataFrame) -> DataFrame:
         s = self.settings
         rows = dates_as_text(rows) if s and s.dates_as_string else rows
         return flattened(rows, s.flattening_max_depth) if s and s.flattening_enabled else rows
 
     def run(self) -> LogReport:
-        """Until the log is drained and idle, or time is up. A second call does nothing: siblings share one run."""
+        """Until the log is drained and idle, or time is up. A second call does nothing: siblings share one run. A run that fails can be called again."""
         if self.done:
             return self.report
-        self.done = True
         s = self.settings
         most = s.replication_max_run_seconds if s else 600
         idle = s.replication_idle_exit_seconds if s else 0
         wal.register(self.spark)
-        self.sink.schemas(self.streams)
         client = wal.client_of(self.options)
+        if not getattr(client, "replayable", True) and not self.landing:
+            raise ValueError("this log can't be read twice: a landing folder is needed")
+        self.sink.schemas(self.streams)
         begun = quiet = self.clock()
         while True:
-            before = self.report.batches, self.report.max_seen
+            before = self.report.batches
             drained = self._drain(max(0.1, most - (self.clock() - begun)))
             if not drained:
                 break
-            if (self.report.batches, self.report.max_seen) != before:
+            if self.report.batches != before:
                 quiet = self.clock()
             if self.clock() - quiet >= idle:
                 self.report.caught_up = True
@@ -114,6 +155,7 @@ class LogRun:
                 break
             time.sleep(min(1.0, idle))
         self._advance(client)
+        self.done = True
         return self.report
 
     def replay(self, landed: str, checkpoint: str, files_per_batch: int = 64) -> LogReport:
@@ -126,9 +168,18 @@ class LogRun:
         return self.report
 
     def _drain(self, seconds: float) -> bool:
-        """Reads what there is now; whether all was read within the time."""
+        """Reads what there is now; whether all was read within the time.
+
+        Without a checkpoint of the caller's, each drain goes on behind what the
+        run has seen, so nothing is read twice.
+        """
+        if not self.checkpoint and self.report.batches:
+            self.options["start_lsn"] = str(max(self.routes.global_start, self.report.max_seen + 1))
+        first = self.report.batches
         stream = self.spark.readStream.format(wal.FORMAT).options(**self.options).load()
-        writer = stream.writeStream.foreachBatch(self.batch).trigger(availableNow=True)
+        # A run's parts are named by its batches, which each drain without a checkpoint counts from 0.
+        body = self.batch if self.checkpoint else lambda log, number: self.batch(log, first + number)
+        writer = stream.writeStream.foreachBatch(body).trigger(availableNow=True)
         if self.checkpoint:
             writer = writer.option("checkpointLocation", self.checkpoint)
         query = writer.start()
@@ -142,9 +193,9 @@ class LogRun:
     def _advance(self, client: wal.WalClient) -> None:
         """Final feedback, then bookmarks; if the feedback fails they stay where the rows have put them."""
         start = self.routes.global_start
-        tip = current_tip(None, start, client.tip)
+        tip = current_tip(getattr(client, "wal_end", None), start, client.tip)
         target = advance_to(start, self.report.max_seen, tip, self.report.caught_up)
-        if target is not None:
+        if target is not None and self.options.get("acknowledge", "true") == "true":
             try:
                 client.feedback(target)
             except Exception:  # whatever the client raises: the slot keeps its place
@@ -179,16 +230,27 @@ class Engine:
         return flattened(df, self.settings.flattening_max_depth) if self.settings.flattening_enabled else df
 
     def sync_tables(self, sink) -> None:
-        """Full and incremental streams; a bookmark moves after its rows are written."""
+        """Full and incremental streams; a bookmark moves after its rows are written.
+
+        Flattening keeps the replication key's name, as only structs are flattened.
+        """
         for spec in self.catalog.selected:
             if spec.method == LOG_BASED:
                 continue
             df = self.frame(spec)
-            sink.rows(spec, df)
-            if spec.method == INCREMENTAL and spec.replication_key:
-                self.state.advance(spec.name, spec.replication_key, new_bookmark(df, spec.replication_key, self.state.bookmark(spec.name)).first()[0])
-                self.state.save()
-                sink.state(self.state.value)
+            key = spec.replication_key
+            if spec.method != INCREMENTAL or not key:
+                sink.rows(spec, df)
+                continue
+            # Rows and bookmark come from one read of the table: what is committed meanwhile is left to the next run.
+            landed = scratch_folder(self.spark, "increment")
+            df.write.parquet(landed)
+            kept = self.spark.read.schema(df.schema).parquet(landed)
+            sink.rows(spec, in_order(kept, key, *spec.keys))
+            top = new_bookmark(kept, key, self.state.bookmark(spec.name)).first()[0]
+            self.state.advance(spec.name, key, instant(top, kept.schema[key].dataType))
+            self.state.save()
+            sink.state(self.state.value)
 
     def bootstrap(self, specs: Iterable[StreamSpec], sink, client: wal.WalClient) -> None:
         """A snapshot of streams that have no bookmark; the position is taken before, so changes overlap it but none is missed.
@@ -207,7 +269,12 @@ class Engine:
             self.state.save()
 
     def sync_log(self, sink, options: Mapping[str, str], **more) -> LogReport | None:
-        """All schemas, then snapshots if wanted, then the log."""
+        """All schemas, then snapshots if wanted, then the log.
+
+        With ``log_based_single_connection`` off, each stream reads the log for
+        itself, with a checkpoint and a landing of its own; the server hears of it
+        once, when all have read, for a slot forgets what it is told was read.
+        """
         specs = [s for s in self.catalog.selected if s.method == LOG_BASED]
         if not specs:
             return None
@@ -216,12 +283,31 @@ class Engine:
             self.bootstrap(specs, sink, wal.client_of(options))
         for s in specs:
             self.state.mark_start(s.name, LSN, self.state.bookmark(s.name))
-        return LogRun(self.spark, specs, self.state, sink, {"slot": self.settings.replication_slot_name, **options}, self.settings, **more).run()
+        options = {"slot": self.settings.replication_slot_name, "idle_seconds": str(max(1.0, self.settings.replication_idle_exit_seconds)), **options}
+        if self.settings.log_based_single_connection:
+            return LogRun(self.spark, specs, self.state, sink, options, self.settings, **more).run()
+        total, reached = LogReport(caught_up=True), []
+        for s in specs:
+            own = {k: f"{v}/{s.name}" if k in ("checkpoint", "landing", "quarantine") and v else v for k, v in more.items()}
+            one = LogRun(self.spark, [s], self.state, sink, options | {"feedback": "false", "acknowledge": "false"}, self.settings, **own).run()
+            total.add(one)
+            reached.append(self.state.bookmark(s.name) or 0)
+        if min(reached) > 0:
+            try:
+                wal.client_of(options).feedback(min(reached))
+                total.advanced_to = min(reached)
+            except Exception:  # whatever the client raises: the slot keeps its place, and the next run reads again
+                total.advanced_to = None
+        return total
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder that all executors see: below the cluster's checkpoint folder, a temporary one only where none is set."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-")
+    """A fresh folder that all executors see: below the cluster's checkpoint folder. A local session may do without; its folder is a temporary one."""
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors see")
+        root = tempfile.mkdtemp(prefix="tidemark-")
     path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)

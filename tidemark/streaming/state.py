@@ -6,10 +6,13 @@ import json
 import os
 import tempfile
 from collections.abc import Mapping
+from datetime import date, datetime, timezone
+from decimal import Decimal
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def advance_to(start: int, max_seen: int, tip: int | None, caught_up: bool) -> int | None:
@@ -29,6 +32,30 @@ def advance_column(start: Column, max_seen: Column, tip: Column, caught_up: Colu
     return F.when(target > start, target)
 
 
+def stored(value: Any | None) -> Any | None:
+    """A bookmark as the state file has it: times as ISO text (those of a zone in UTC), numbers that JSON can't hold exactly as text."""
+    if isinstance(value, datetime):
+        return value.isoformat(timespec="microseconds")
+    if isinstance(value, date):
+        return value.isoformat()
+    return str(value) if isinstance(value, Decimal) else value
+
+
+def instant(value: Any | None, kind: T.DataType | None) -> Any | None:
+    """A collected timestamp of a zone-aware column as a moment in UTC; anything else as it is."""
+    return value.astimezone(timezone.utc) if isinstance(kind, T.TimestampType) and isinstance(value, datetime) else value
+
+
+def like(old: Any | None, new: Any | None) -> Any | None:
+    """A stored bookmark as a value of the kind that it is to be compared with."""
+    if not isinstance(old, str) or isinstance(new, str) or new is None:
+        return old
+    if isinstance(new, datetime):
+        found = datetime.fromisoformat(old)
+        return found if (found.tzinfo is None) == (new.tzinfo is None) else found.replace(tzinfo=new.tzinfo)
+    return date.fromisoformat(old) if isinstance(new, date) else type(new)(old)
+
+
 def forward(old: Any | None, new: Any | None) -> Any | None:
     """The later of two bookmarks; None is before all."""
     return old if new is None else new if old is None else max(old, new)
@@ -70,13 +97,13 @@ class State:
         self.value["bookmarks"].setdefault(stream, {}).update(replication_key=key, starting_replication_value=value)
 
     def advance(self, stream: str, key: str, value: Any | None) -> bool:
-        """Moves a bookmark forward; an older or equal value, or None, moves nothing."""
+        """Moves a bookmark forward; an older or equal value, or None, moves nothing. Values are compared as what they are and kept as the file has them."""
         entry = self.value["bookmarks"].setdefault(stream, {})
-        new = forward(entry.get("replication_key_value"), value)
-        moved = new != entry.get("replication_key_value")
+        old = like(entry.get("replication_key_value"), value)
+        new = forward(old, value)
         if new is not None:
-            entry.update(replication_key=key, replication_key_value=new)
-        return moved
+            entry.update(replication_key=key, replication_key_value=stored(new))
+        return new != old
 
     def save(self) -> None:
         if not self.path:
