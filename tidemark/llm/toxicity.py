@@ -26,6 +26,7 @@ reads every text whole.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -321,25 +322,32 @@ def _trained(groups: list[Words], positive: list[tuple[int, int]], negative: lis
 
     marks = [of(part[i]) for part in (positive, negative) for i in rng.permutation(len(part))[: landmarks // 2]]
     made = [features(codes, rare) for codes in marks]
-    norms = [float(np.sqrt((v * v).sum())) or 1.0 for _, v in made]
-    numbers = np.unique(np.concatenate([u for u, _ in made]))
-    basis = np.zeros((len(numbers), len(marks)), np.float32)
-    for j, (u, v) in enumerate(made):
-        basis[np.searchsorted(numbers, u), j] = v / norms[j]
-    val, vec = np.linalg.eigh((basis.T @ basis).astype(np.float64))
+    norms = np.array([float(np.sqrt((v * v).sum())) or 1.0 for _, v in made])
+    # All landmarks' features in one run, by number: a sentence's kernels are sums over the places it shares with them.
+    number, value = np.concatenate([u for u, _ in made]), np.concatenate([v / n for (_, v), n in zip(made, norms, strict=True)])
+    owner = np.repeat(np.arange(len(made)), [len(u) for u, _ in made])
+    by = np.argsort(number, kind="stable")
+    number, value, owner = number[by], value[by], owner[by]
+
+    def kernels(u: np.ndarray, v: np.ndarray) -> np.ndarray:
+        lo, hi = np.searchsorted(number, u, side="left"), np.searchsorted(number, u, side="right")
+        size = hi - lo
+        at = np.repeat(lo - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        return np.bincount(owner[at], value[at] * np.repeat(v, size), minlength=len(made))
+
+    gram = np.stack([kernels(u, v) / n for (u, v), n in zip(made, norms, strict=True)])
+    val, vec = np.linalg.eigh((gram + gram.T) / 2)
     half = vec @ np.diag(np.where(val > 1e-4, 1 / np.sqrt(np.maximum(val, 1e-4)), 0)) @ vec.T
-    x = np.zeros((len(positive) + len(negative), len(marks) + 1))
-    x[:, -1] = 1
+    x = np.ones((len(positive) + len(negative), len(marks) + 1))
     for i, row in enumerate(positive + negative):
-        u, v = features(of(row), rare)
-        at = np.minimum(np.searchsorted(numbers, u), len(numbers) - 1)
-        hit = numbers[at] == u
-        x[i, :-1] = v[hit].astype(np.float32) @ basis[at[hit]]
+        x[i, :-1] = kernels(*features(of(row), rare))
     x[:, :-1] = x[:, :-1] @ half
     label = np.concatenate((np.ones(len(positive)), -np.ones(len(negative))))
     w = _svm(x, label, np.where(label > 0, 10.0 * len(negative) / max(1, len(positive)), 20.0))
     alpha = half @ w[:-1]
-    return Model(numbers, (basis @ alpha.astype(np.float32)) * rare[numbers], float(w[-1]), (0.0, 1.0, 0.0), [(c, float(a) / n) for c, a, n in zip(marks, alpha, norms, strict=True)], rare)
+    first = np.flatnonzero(np.concatenate(([True], number[1:] != number[:-1])))
+    weight = np.add.reduceat(value * alpha[owner], first) * rare[number[first]]
+    return Model(number[first], weight.astype(np.float32), float(w[-1]), (0.0, 1.0, 0.0), [(c, float(a) / n) for c, a, n in zip(marks, alpha, norms, strict=True)], rare)
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: Model | None) -> Iterator[pa.RecordBatch]:
@@ -351,13 +359,11 @@ def _score(batches: Iterator[pa.RecordBatch], model: Model | None) -> Iterator[p
             yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo).cast(pa.int64()), pa.array(score, pa.float64())], names=["doc_id", "score"])
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_toxic: int = 1200, sample_clean: int = 2400, sample_bytes: int = 24 << 20) -> Model | None:
-    """Fits on labelled documents outside the held-out quarter; no more rows and bytes of text than the bounds reach the driver.
+def sample(docs: DataFrame, labels: DataFrame, sample_toxic: int, sample_clean: int, sample_bytes: int) -> tuple[DataFrame | None, float]:
+    """Labelled documents to train on, ``picked, y, text``, and how many clean ones each clean one stands for over the same for toxic ones.
 
     Of both kinds the rows of least hash are taken, one after the other in equal
-    shares of their numbers, as far as the bytes go.  A document labelled twice
-    counts as toxic if any label says so; rows with a null id or label are left
-    out.  Of documents that share an id the shortest is taken.
+    shares of their numbers, as far as the bytes go.
     """
     one = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("y"))
     one = one.filter(~held_out(F.col("doc_id"))).withColumn("h", F.xxhash64("doc_id"))
@@ -373,15 +379,34 @@ def train(docs: DataFrame, labels: DataFrame, sample_toxic: int = 1200, sample_c
         if r["bytes"] <= left:
             left -= r["bytes"]
             kept.append((r["picked"], r["y"]))
-    if not kept:
-        return None
+    n = {y: sum(k[1] == y for k in kept) for y in (0, 1)}
+    if not n[0] or not n[1]:
+        return None, 1.0
     wanted = F.broadcast(docs.sparkSession.createDataFrame(kept, "picked long, y int"))
     shortest = F.min(F.struct(size.alias("bytes"), F.coalesce("text", F.lit("")).alias("text")))
-    rows = docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("picked")).groupBy("picked", "y").agg(shortest.alias("one")).select("picked", "y", "one.text").collect()
-    rows.sort(key=lambda r: r["picked"])
-    n = {y: sum(k[1] == y for k in kept) for y in (0, 1)}
-    weight = (sizes.get(0, 0) / max(1, n[0])) / (sizes.get(1, 0) / max(1, n[1]) or 1)
-    return fit([r["text"] for r in rows], [r["y"] for r in rows], weight)
+    rows = docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("picked")).groupBy("picked", "y").agg(shortest.alias("one"))
+    return rows.select("picked", "y", "one.text"), (sizes[0] / n[0]) / (sizes[1] / n[1])
+
+
+def _fitted(batches: Iterator[pa.RecordBatch], weight: float) -> Iterator[pa.RecordBatch]:
+    rows = sorted((r["picked"], r["y"], r["text"]) for batch in batches for r in batch.to_pylist())
+    model = fit([t for *_, t in rows], [y for _, y, _ in rows], weight)
+    if model:
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+
+def train(docs: DataFrame, labels: DataFrame, sample_toxic: int = 1200, sample_clean: int = 2400, sample_bytes: int = 24 << 20) -> Model | None:
+    """Fits on labelled documents outside the held-out quarter, as many rows and bytes of text as the bounds allow, in one task.
+
+    A document labelled twice counts as toxic if any label says so; rows with a
+    null id or label are left out.  Of documents that share an id the shortest
+    is taken.  Only the model comes to the driver: some 10^5 weights.
+    """
+    rows, weight = sample(docs, labels, sample_toxic, sample_clean, sample_bytes)
+    if rows is None:
+        return None
+    found = rows.coalesce(1).mapInArrow(lambda it: _fitted(it, weight), "model binary").collect()
+    return pickle.loads(found[0]["model"]) if found else None
 
 
 def held_out(doc_id) -> F.Column:
