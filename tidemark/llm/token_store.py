@@ -19,6 +19,7 @@ executor costs no more than its own files.
 
 from __future__ import annotations
 
+import json
 import struct
 import unicodedata
 import zlib
@@ -26,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow.fs import FileSelector, FileSystem
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -106,6 +108,7 @@ class Encoder:
             _CLASS = _classes()
         self.tok = Tokenizer.from_file(path)
         self.model = self.tok.model
+        self.plain = not _splits_as_here(json.loads(self.tok.to_str()))
         self.specials = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.letters = _byte_letters()
         self.most, self.slot_bits = most, slot_bits
@@ -169,7 +172,10 @@ class Encoder:
         self.known.update(zip(hashes, range(base, base + m), strict=True))
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(all ids, ids of each text); no end ids."""
+        """(all ids, ids of each text); no end ids. A tokenizer that splits otherwise is left to the library."""
+        if self.plain:
+            parts = [np.array(e.ids, dtype=np.uint32) for e in self.tok.encode_batch(texts, add_special_tokens=False)]
+            return np.concatenate([np.zeros(0, np.uint32), *parts]), np.array([len(p) for p in parts], dtype=np.int64)
         odd = [i for i, t in enumerate(texts) if any(s in t for s in self.specials)]
         plain = list(texts)
         for i in odd:
@@ -214,6 +220,15 @@ class Encoder:
         return np.concatenate(parts), np.array([len(p) for p in parts], dtype=np.int64)
 
 
+def _splits_as_here(spec: dict) -> bool:
+    """Whether a tokenizer's pieces are those of ``piece_starts``: byte-level BPE by its usual pattern, texts as they are, no chance."""
+    pre, model = spec.get("pre_tokenizer") or {}, spec.get("model") or {}
+    usual = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
+    plain = not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "unk_token"))
+    added = not any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") or t.get("normalized") and spec.get("normalizer") for t in spec.get("added_tokens", []))
+    return bool(usual and plain and added and model.get("type") == "BPE" and not spec.get("normalizer") and not spec.get("truncation") and not spec.get("padding"))
+
+
 def _byte_letters() -> dict[int, int]:
     """Byte-level BPE writes each byte as a letter: printable Latin-1 bytes as themselves, the others from 256 on."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -367,8 +382,6 @@ def read_file(source, step: int = 8192) -> Iterator[tuple[np.ndarray, np.ndarray
 
 
 def _folder(root: str):
-    from pyarrow.fs import FileSystem
-
     return FileSystem.from_uri(root if "://" in root or not root.startswith("file:") else root.replace("file:", "file://", 1))
 
 
@@ -419,12 +432,19 @@ def write_tokens(docs: DataFrame, root: str, tokenizer: str) -> DataFrame:
     """Writes the token files of ``docs`` below ``root``; returns their manifest ``part, name, docs, ids``.
 
     Documents are in ascending order of doc_id over the files (null first, rows
-    of equal id by a hash of their text).  A null text is an empty one.
+    of equal id by a hash of their text).  A null text is an empty one.  Files of
+    attempts that failed are deleted once the manifest, one row a file, is written.
     """
     common.short_batches(docs.sparkSession)
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
     ordered = ordered.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "text")
-    return common.written(ordered.mapInArrow(lambda it: _write(it, root, tokenizer), "part long, name string, docs long, ids long"), "manifest")
+    manifest = common.written(ordered.mapInArrow(lambda it: _write(it, root, tokenizer), "part long, name string, docs long, ids long"), "manifest")
+    fs, folder = _folder(root)
+    named = {r["name"] for r in manifest.select("name").collect()}
+    for f in fs.get_file_info(FileSelector(folder)):
+        if f.base_name not in named:  # left by an attempt that didn't end well
+            fs.delete_file(f.path)
+    return manifest
 
 
 def read_tokens(manifest: DataFrame, root: str) -> DataFrame:
@@ -439,7 +459,8 @@ def token_store(docs: DataFrame, tokenizer: str) -> DataFrame:
 
     Each document's ids end with END_ID, so an empty or null text has one id.
     ``tokenizer`` is the path of a byte-level BPE in the tokenizers library's
-    format, the same on every machine.  Repeated rows are stored again.
+    format, the same on every machine.  Repeated rows are stored again, a null id
+    comes first, an empty table gives an empty one, other columns are ignored.
     """
     root = common.scratch_path(docs.sparkSession, "tokens")
     fs, folder = _folder(root)
