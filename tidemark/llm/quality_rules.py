@@ -139,9 +139,10 @@ def quality_rules(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delt
     Base rules: fewer than 50 words, or over half of the words in three-word
     windows that the text repeats.  A null or empty text has no words and
     fails.  A null language is a stratum of its own.  Repeated rows give
-    repeated results.  Columns but doc_id, text and lang are ignored.
+    repeated results, an empty table an empty one; without labels no cutoff is
+    proved.  Columns but doc_id, text and lang are ignored, whatever their names.
     """
-    slim = docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("stratum"), "text")
+    slim = docs.select("doc_id", F.coalesce(F.concat(F.lit("l:"), "lang"), F.lit("")).alias("stratum"), "text")
     counted = text_features(slim).drop("text").withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
     counted = common.written(counted, "counted")
     cutoffs = common.written(choose_cutoffs(counted, labels, alpha, delta), "cutoffs")
@@ -162,7 +163,7 @@ def oracle() -> str:
     bad = " OR ".join(f"coalesce(1000 * {what} >= {r} * {p}, false)" for r, (what, p, _) in RULES.items())
     picks = ", ".join(f"min(cutoff) FILTER (WHERE rule = '{r}') AS {r}" for r in RULES)
     return rf"""
-WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text FROM documents),
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce('l:' || lang, '') AS stratum, coalesce(text, '') AS text FROM documents),
 w AS (SELECT rid, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
       list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
 tri AS (SELECT rid, i, (words[i], words[i + 1], words[i + 2]) AS t FROM (SELECT rid, words, unnest(range(1, len(words) - 1)) AS i FROM w)),
