@@ -4,8 +4,9 @@ Dated list entries (add, remove) become validity intervals.  Every capture is
 looked up by its host, the host's parent domains and its path prefixes, as of
 the moment it was fetched: an equality join on the pattern with the interval as
 a condition, so there is no sort by time and no join of all captures of a host
-with each other.  The list side is broadcast only if its size allows; else both
-sides are shuffled, and Spark splits the captures of a hot host.
+with each other.  The list side is broadcast only if its size allows.  Else a
+bitmap of the patterns sorts out most lookups, both sides are shuffled, and the
+captures of a hot host or domain are dealt to many tasks.
 """
 
 from __future__ import annotations
@@ -47,20 +48,33 @@ def lookup_keys(host: Column, path: Column, depth: Column) -> Column:
     return F.array_distinct(F.concat(domains, F.coalesce(paths, F.array().cast("array<string>"))))
 
 
+def _looked_up(probes: DataFrame, known: DataFrame) -> DataFrame:
+    """Probes with the intervals of their pattern."""
+    if common.small_enough(known, 96):
+        return probes.join(F.broadcast(known), "pattern")
+    marked = known.select(F.xxhash64("pattern").alias("hash")).distinct()
+    near = common.may_be_in(probes.withColumn("hash", F.xxhash64("pattern")), "hash", common.bitmap(marked, "hash")).drop("hash")
+    near = common.written(near, "probes")
+    counts = common.written(near.groupBy("pattern").agg(F.count("*").alias("w")), "counts")
+    return common.salted(near, known.join(counts.hint("merge"), "pattern"), ["pattern"], "w", ["page_id", "url", "fetched"], counts=counts)
+
+
 def url_filter(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """``page_id, url, fetched, host, n_active, blocked, list, pattern, since`` for every capture (page_id, url, fetched).
 
     ``n_active`` counts list entries that match and were active on the day of
     the fetch: since <= fetched < until.  ``list, pattern, since`` are those of
     the longest pattern, then of the first list.  A null or unreadable url, or a
-    null date, matches nothing.  Rows of one id are one capture each.
+    null date, matches nothing.  Rows of one id are one capture each.  An empty
+    table on either side gives no captures or no matches; other columns are
+    ignored.
     """
     known = common.written(intervals(entries), "intervals")
     depth = known.agg(F.coalesce(F.max(F.size(F.split("pattern", "/")) - 1), F.lit(0))).first()[0]
     seen = captures.select("page_id", "url", "fetched", host_of(F.col("url")).alias("host"))
     keys = lookup_keys(F.col("host"), F.regexp_extract(F.coalesce("url", F.lit("")), _PATH, 1), F.lit(depth))
     probes = seen.filter("host != '' and fetched is not null").select("page_id", "url", "fetched", F.explode(keys).alias("pattern"))
-    active = probes.distinct().join(common.checked_broadcast(known, 96), "pattern").filter("since <= fetched and (until is null or fetched < until)")
+    active = _looked_up(probes.distinct(), known).filter("since <= fetched and (until is null or fetched < until)")
     first = F.min_by(F.struct("list", "pattern", "since"), F.struct(-F.length("pattern"), F.col("list"), F.col("pattern")))
     hits = active.groupBy("page_id", "url", "fetched").agg(F.count("*").alias("n_active"), first.alias("rule"))
     same = F.expr("page_id <=> hit_id and url <=> hit_url and fetched <=> hit_fetched")
