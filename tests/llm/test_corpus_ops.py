@@ -1,6 +1,7 @@
 """Near duplicates, decontamination, token files, toxicity, the pipeline."""
 
 import io
+import json
 import random
 import zlib
 from collections import defaultdict
@@ -14,7 +15,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tidemark.llm import common, decontaminate, ngram_join, token_store, toxicity
+from tidemark.llm import common, decontaminate, mixing, ngram_join, token_store, toxicity
 from tidemark.llm.components import components
 from tidemark.llm.queries import tokenizer_path
 
@@ -419,15 +420,14 @@ def test_held_out_labels_of_the_given_tables():
     assert (said & (y == 1)).sum() >= 0.9 * (y == 1).sum() and (said & (y == 1)).sum() >= 0.9 * said.sum()
 
 
-def test_training_is_bounded(spark, monkeypatch):
-    seen = []
-    monkeypatch.setattr(toxicity, "fit", lambda texts, y, w: seen.append((texts, y)))
+def test_training_is_bounded(spark):
     docs = spark.createDataFrame([(i, "x" * (10 + i)) for i in range(200)] + [(0, "y" * 500)] * 3 + [(None, "z")], "doc_id long, text string")
     labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
-    toxicity.train(docs, labels, 30, 40)
-    toxicity.train(docs, labels, 30, 40, sample_bytes=1000)
-    assert [(sum(y), len(y)) for _, y in seen][:1] == [(30, 70)] and sum(map(len, seen[1][0])) <= 1000 and 0 < sum(seen[1][1]) < len(seen[1][1])
-    assert all(len(t) < 300 for texts, _ in seen for t in texts)
+    rows, weight = toxicity.sample(docs, labels, 30, 40, 1 << 20)
+    assert [rows.filter(f"y = {y}").count() for y in (0, 1)] == [40, 30] and 0.5 < weight < 1
+    few = toxicity.sample(docs, labels, 30, 40, 1000)[0].collect()
+    assert sum(len(r["text"]) for r in few) <= 1000 and {r["y"] for r in few} == {0, 1} and all(len(r["text"]) < 300 for r in few)
+    assert toxicity.sample(docs, labels.filter("toxic = 1"), 30, 40, 1000)[0] is None
 
 
 def test_toxicity_held_out(spark):
@@ -460,3 +460,61 @@ def test_pipeline(spark):
     assert sizes[0] >= sizes[1] >= sizes[2] > 0
     out = corpus_pipeline.STAGES[-1][1](spark, docs, path)
     assert out.count() == docs.count()
+
+
+def test_pipeline_against_brute_force(spark, tmp_path):
+    """Planted toxic texts, near copies and test items, each stage's decisions computed plainly, down to the token files."""
+    import duckdb
+
+    import corpus_pipeline
+
+    rng = random.Random(21)
+    rows = [(i, t, "en", "abc"[i % 3], len(t)) for i, t, _ in toxic_corpus(900)]
+    bad = {i for i, _, y in toxic_corpus(900) if y}
+    base = [prose(rng, 120) for _ in range(12)]
+    items = [(i, " ".join(prose(rng, 25))) for i in range(5)]
+    copies = [" ".join(edited(rng, b, r)) for b in base for r in (0, 0, 0.01, 0.03, 0.3)]
+    leaks_ = [" ".join([*prose(rng, 60), items[i % 5][1], *prose(rng, 60)]) for i in range(15)]
+    rows += [(5000 + i, t, "en", "ab"[i % 2], len(t)) for i, t in enumerate(copies + leaks_)] + [(7000, None, None, None, None), (7001, "", "en", "a", 0)]
+    spark.createDataFrame(rows, DOCS).repartition(4).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, 1, int(i in bad)) for i in range(900)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+
+    texts = {i: t for i, t, *_ in rows if i not in bad}
+    least = {}
+    for i, (n, c) in brute_components(list(texts.items()), 5, 80).items():
+        least[i] = i if not n else c
+    kept = [r for r in rows if r[0] in texts and least[r[0]] == r[0]]
+    kept = [r for r in kept if not any(naive_alignment(decontaminate.plain_words(t), decontaminate.plain_words(r[1] or "")) >= 0.4 * 2 * len(t.split()) for _, t in (items if r[0] >= 5000 else []))]
+    assert len(bad) == 150 and len(kept) < len(rows) - 150 - 30
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, lang VARCHAR, source VARCHAR, n_chars BIGINT)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?, ?, ?)", kept)
+    taken = {r[0]: r[1] // r[2] for r in con.execute(f"SELECT doc_id, taken, size FROM ({mixing.ORACLE}) WHERE taken > 0").fetchall()}
+    tok, want, at = token_store.Encoder(tokenizer_path()).tok, [], 0
+    for i, t, *_ in sorted((r for r in kept if r[0] in taken), key=lambda r: r[0]):
+        ids = [*tok.encode(t, add_special_tokens=False).ids, token_store.END_ID]
+        for _ in range(taken[i]):
+            want.append((i, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+            at += len(ids)
+    assert sorted(map(tuple, corpus_pipeline.run(spark, str(tmp_path)).collect())) == want
+
+
+def test_other_tokenizers_are_the_librarys():
+    from tokenizers import Tokenizer
+
+    spec = json.loads(Tokenizer.from_file(tokenizer_path()).to_str())
+    assert token_store._splits_as_here(spec) and not token_store._splits_as_here(spec | {"normalizer": {"type": "NFC"}})
+    assert not token_store._splits_as_here(spec | {"pre_tokenizer": spec["pre_tokenizer"] | {"add_prefix_space": True}}) and not token_store._splits_as_here(spec | {"pre_tokenizer": None})
+    e = token_store.Encoder(tokenizer_path())
+    texts = ["plain text's", "", "<|endoftext|> x"]
+    usual = e(texts)
+    e.plain = True
+    assert [a.tolist() for a in e(texts)] == [a.tolist() for a in usual]
+
+
+def test_failed_attempts_leave_no_files(spark, tmp_path):
+    (tmp_path / "part-000000-99.pfr").write_bytes(b"half")
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, text string")
+    manifest = token_store.write_tokens(df, str(tmp_path), tokenizer_path())
+    assert {p.name for p in tmp_path.iterdir()} == {r["name"] for r in manifest.collect()} and token_store.read_tokens(manifest, str(tmp_path)).count() == 2

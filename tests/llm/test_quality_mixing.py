@@ -137,3 +137,14 @@ def test_mixed_rows(spark):
     assert got.columns == df.columns and {r["copy"] for r in kept} == {"mine"} and not {r["n"] for r in kept} & {900, 901}
     assert sum(len(r["text"].split()) for r in kept) == sum(r["taken"] for r in mixing.mix(df).collect()) and len(taken) > 290
     assert mixing.mixed(df.limit(0)).collect() == []
+
+
+def test_null_language_is_a_stratum_of_its_own(spark):
+    """Texts of language '' prove a cutoff; those of no language are too few to."""
+    clean = "word " * 80
+    unique = lambda i, t: " ".join(f"{w}{i}x{j}" for j, w in enumerate(t.split()))
+    rows = [(i, unique(i, clean), "", "clash") for i in range(600)] + [(1000 + i, unique(i, clean), None, "clash") for i in range(5)] + [(2000, unique(1, clean).replace(" ", "!#!#!#!#! "), "", "x"), (2001, unique(2, clean).replace(" ", "!#!#!#!#! "), None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, stratum string")
+    labels = spark.createDataFrame([(i, 1, 0) for i, *_ in rows if i < 2000], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r for r in quality_rules.quality_rules(docs, labels).collect()}
+    assert not got[2000]["base_failed"] and not got[2000]["kept"] and got[2001]["kept"] and all(got[i]["kept"] for i in range(600))

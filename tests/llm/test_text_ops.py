@@ -287,3 +287,16 @@ def test_url_odd_tables(spark):
     caps = spark.createDataFrame(urls, "page_id long, url string, fetched date")
     listed = spark.createDataFrame([("l", "b.com", "add", D[0])], "list string, pattern string, action string, date date")
     assert [r["n_active"] for r in url_filter(caps, listed).collect()] == [1, 1, 1] and url_filter(caps.limit(0), listed).collect() == []
+
+
+def test_url_lists_as_tables(spark, monkeypatch):
+    """Beyond the broadcast limit, with a hot domain: the same rows."""
+    from tidemark.llm import common
+
+    urls = [(i, f"http://h{i % 7}.hot.com/a/b{i % 5}", D[i % 10]) for i in range(120)] + [(200 + i, f"http://x{i}.org/", D[3]) for i in range(30)]
+    entries = [("l", "hot.com", "add", D[2]), ("l", "hot.com", "remove", D[6]), ("m", "h3.hot.com/a", "add", D[4]), ("m", "hot.com", "add", D[0])] + [("n", f"x{i}.org", "add", D[1]) for i in range(0, 30, 3)]
+    local = looked_up(spark, urls, entries)
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(common.small_enough, "__defaults__", (16, 0))
+    monkeypatch.setattr(common, "KEY_ROWS", 9)
+    assert looked_up(spark, urls, entries) == local and any(r["n_active"] == 3 for r in local.values())

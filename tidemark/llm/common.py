@@ -35,11 +35,13 @@ BITMAP_WORDS = 1 << 22
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of this application; a temporary one only where none is set (tests)."""
+    """The shared folder of this application. A local session may do without (tests); its folder is a temporary one."""
     conf = spark.sparkContext.getConf()
     root = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         jvm_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
+        if not jvm_dir.isDefined() and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors see")
         root = jvm_dir.get() if jvm_dir.isDefined() else tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/tidemark-{spark.sparkContext.applicationId}"
