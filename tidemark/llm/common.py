@@ -72,6 +72,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete written tables that nothing reads any more."""
+    for table in tables:
+        for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            remove(table.sparkSession, folder)
+
+
 def short_batches(spark: SparkSession) -> None:
     """Keeps batches of texts small, so that a worker's memory stays so; a session's own settings are left alone."""
     for name, default, value in (("maxRecordsPerBatch", "10000", BATCH_ROWS), ("maxBytesPerBatch", "67108864", BATCH_BYTES)):

@@ -31,6 +31,7 @@ Large classes, keys, stars and components are dealt to many tasks.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import islice
 
 import numpy as np
@@ -45,6 +46,8 @@ from tidemark.llm.components import components
 COMMON_KEY = 64
 #: Rows of one key, and their shingles, that a task compares with each other; a larger key is dealt to pairs of such parts.
 BUCKET, BUCKET_WORDS = 512, 16 << 20
+#: Parts of the key space that are shuffled one after the other.
+SLICES = 3
 #: Near pairs that a task hands on at once.
 OUTPUT = 1 << 16
 
@@ -290,9 +293,15 @@ def _joined(docs: DataFrame, k: int, percent: int) -> DataFrame:
     classes = common.written(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
 
     rows = t0.select("c", F.explode("keys").alias("key"))
-    met = rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("m")).filter("lo < hi")
-    met = common.written(met, "met")
-    common.tidy(spark)
+    # A slice of the keys at a time, so that the disks hold the shuffle of one.
+    slices = []
+    for i in range(SLICES):
+        part = rows.filter(F.pmod(F.shiftrightunsigned("key", 7), F.lit(SLICES)) == i)
+        part = part.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("m")).filter("lo < hi")
+        slices.append(common.written(part, "met"))
+        del part
+        common.tidy(spark)
+    met = reduce(DataFrame.union, slices)
     several = common.may_be_in(rows, "key", common.bitmap(met.filter("m > 2").select("key"), "key")).select("key", "c")
     two = met.filter("m = 2").select("key", F.explode(F.array("lo", "hi")).alias("c"))
     # Classes of one 64-bit hash, should there be any, meet in a key of their own.
@@ -304,6 +313,7 @@ def _joined(docs: DataFrame, k: int, percent: int) -> DataFrame:
     heads = common.written(found.groupBy("key").agg(F.min("cid").alias("lo"), F.count("*").alias("m")).filter("m > 1"), "heads")
     common.tidy(spark)
     members = common.written(common.salted(found, heads.withColumn("w", F.col("m")), ["key"], "w", ["cid"]), "members")
+    common.discard(*slices, found, heads)
 
     needed = members.select("cid").distinct().join(classes.hint("merge"), "cid").select("cid", F.col("rep.th").alias("th"), F.col("rep.t2").alias("t2"))
     needed = common.written(needed, "needed")
