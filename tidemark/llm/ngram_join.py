@@ -45,7 +45,7 @@ from tidemark.llm.components import components
 #: Keys met by more classes than this are common; sets with slack left skip them after the first star.
 COMMON_KEY = 64
 #: Rows of one key, and their shingles, that a task compares with each other; a larger key is dealt to pairs of such parts.
-BUCKET, BUCKET_WORDS = 512, 16 << 20
+BUCKET, BUCKET_WORDS = 1024, 16 << 20
 #: Parts of the key space that are shuffled one after the other.
 SLICES = 3
 #: Near pairs that a task hands on at once.
