@@ -3,6 +3,7 @@
 import io
 import json
 import random
+import time
 import zlib
 from collections import defaultdict
 from itertools import combinations
@@ -158,6 +159,50 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def _counted(monkeypatch):
+    """Names and row counts of the tables that are written from now on."""
+    made, write = [], common.written
+
+    def counted(df, name):
+        table = write(df, name)
+        made.append((name, table.count()))
+        return table
+
+    monkeypatch.setattr(common, "written", counted)
+    return made
+
+
+def test_keys_of_the_same_classes_count_once(spark, monkeypatch):
+    """Texts that nearly link share many keys, yet meet once, and only those of near sketches have their texts fetched."""
+    rng = random.Random(8)
+    texts = []
+    for _ in range(5):
+        base = prose(rng, 400)
+        texts += [" ".join(base), " ".join([*base[:280], *prose(rng, 120)]), " ".join([*base[:150], *prose(rng, 250)])]
+    a = prose(rng, 300)
+    texts = list(enumerate([*texts, " ".join(a), " ".join([*a[:290], *prose(rng, 10)])]))
+    made = _counted(monkeypatch)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.ngram_join(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert got == brute_components(texts, 5, 80)
+    # A few sets of classes to each group of three, some with classes of other groups that have an empty block too; one for the pair.
+    assert 12 <= dict(made)["members"] <= 80
+    assert sum(n for name, n in made if name == "texts") == 2
+
+
+def test_shuffle_files_of_a_written_table_go_with_it(spark):
+    store = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    count = lambda: sum(store.getAllFiles().apply(i).getName().startswith("shuffle_") for i in range(store.getAllFiles().size()))
+    had, before = spark.conf.get(common.SHUFFLES_GO, None), count()
+    grouped = spark.range(5000).groupBy((F.col("id") % 100).alias("k")).count()  # kept, so no garbage collection helps
+    table = common.written(grouped, "grouped")
+    for _ in range(50):
+        if count() <= before:
+            break
+        time.sleep(0.1)
+    assert count() <= before and spark.conf.get(common.SHUFFLES_GO, None) == had and table.count() == 100
+    assert common.written(grouped, "again").count() == 100
+
+
 def leaks(spark, docs, items):
     df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("item_id", F.lit(1))
     return {(r["doc_id"], r["item_id"]): r for r in decontaminate.contaminated(df, spark.createDataFrame(items, "item_id long, text string")).collect()}

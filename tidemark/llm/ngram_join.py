@@ -15,8 +15,11 @@ logarithms): only the upper half of a band has keys in the next one too.
 * Keys are aggregated to (least, greatest set), which combines before the
   shuffle: nearly all have one.  A bitmap of the others is probed by all keys
   again, so that only those few are shuffled with their classes.
+* Texts that nearly link share many keys.  Of the keys in which the very same
+  classes meet, one stands for all, with their number.
 * A class is compared with the least class of its keys first (a star), so
-  copies cost one comparison each.
+  copies cost one comparison each.  Only pairs whose dense sketches are near
+  have their texts fetched.
 * Where a key still spans several components, its classes' dense sketches are
   compared, and a spanning forest of the near ones is verified; then, between
   the components that are left, every near pair.  No pair within a component is
@@ -96,7 +99,14 @@ def _signature(h: np.ndarray) -> tuple[int, int]:
     return int(np.bitwise_xor.reduce(common.mix(h + np.uint64(11))).view(np.int64)), int(np.add.reduce(common.mix(h + np.uint64(23)), dtype=np.uint64).view(np.int64))
 
 
-_SKETCHED = "doc_id long, th long, t2 int, n long, c long, s2 long, spare int, keys array<long>"
+def _bits(h: np.ndarray) -> bytes:
+    """The dense parity sketch of a set: a power of two bits, at least two a shingle and 64 in all."""
+    width = max(64, 1 << (2 * max(1, len(h)) - 1).bit_length())
+    odd = np.bincount((h & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+_SKETCHED = "doc_id long, th long, t2 int, n long, c long, s2 long, spare int, bits binary, keys array<long>"
 
 
 def _sketch(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterator[pa.RecordBatch]:
@@ -112,7 +122,7 @@ def _sketch(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterator
                 h = shingle_set(words[at[i] : at[i + 1]], k)
                 n = len(h)
                 if not n:
-                    rows.append((0, 0, 0, 0, None))
+                    rows.append((0, 0, 0, 0, None, None))
                     continue
                 while bands[-1] <= n or bands[-2] <= n:
                     bands.append(_band_after(bands[-1], percent))
@@ -121,10 +131,10 @@ def _sketch(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterator
                 if n * 100 >= bands[band + 1] * percent:
                     more, left = _band_keys(h, band + 1, bands[band + 2], percent)
                     keys, spare = np.concatenate((keys, more)), min(spare, left)
-                rows.append((n, *_signature(h), spare, keys))
-            n, c, s2, spare, keys = zip(*rows, strict=True)
-            made = [pa.array(n, pa.int64()), pa.array(c, pa.int64()), pa.array(s2, pa.int64()), pa.array(spare, pa.int32()), _lists(list(keys))]
-            yield pa.RecordBatch.from_arrays([batch.column(j).slice(lo, hi - lo) for j in range(3)] + made, names=["doc_id", "th", "t2", "n", "c", "s2", "spare", "keys"])
+                rows.append((n, *_signature(h), spare, _bits(h), keys))
+            n, c, s2, spare, bits, keys = zip(*rows, strict=True)
+            made = [pa.array(n, pa.int64()), pa.array(c, pa.int64()), pa.array(s2, pa.int64()), pa.array(spare, pa.int32()), pa.array(bits, pa.binary()), _lists(list(keys))]
+            yield pa.RecordBatch.from_arrays([batch.column(j).slice(lo, hi - lo) for j in range(3)] + made, names=["doc_id", "th", "t2", "n", "c", "s2", "spare", "bits", "keys"])
 
 
 def _lists(values: list) -> pa.Array:
@@ -156,32 +166,37 @@ def _verify(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterator
         yield pa.RecordBatch.from_arrays([a.take(pa.array(out, pa.int64())), b.take(pa.array(out, pa.int64()))], names=["a", "b"])
 
 
-def _links(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs ``a, b`` that link, by their texts. Where an id has many pairs, its text is copied to several tasks."""
-    rows = pairs
+def _both(pairs: DataFrame, rows: DataFrame, what: str) -> DataFrame:
+    """``a, b`` with the ``what`` of each of the two as ``xa, xb``. Where an id has many pairs, its row is copied to several tasks."""
+    got = pairs
     for side, other in (("b", "a"), ("a", "b")):
         counts = common.written(pairs.groupBy(side).agg(F.count("*").alias("w")), "counts")
-        sent = texts.select(F.col("cid").alias(side), F.col("text").alias(f"t{side}")).join(counts.hint("merge"), side)
-        rows = common.salted(rows, sent, [side], "w", [other], counts=counts)
-    return common.written(rows.select("a", "b", "ta", "tb").mapInArrow(lambda it: _verify(it, k, percent), "a long, b long"), "verified")
+        got = common.salted(got, rows.select(F.col("cid").alias(side), F.col(what).alias(f"x{side}")), [side], "w", [other], counts=counts)
+    return got.select("a", "b", "xa", "xb")
+
+
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``cid, text`` of the rows ``wanted(cid, th, t2)``; of repeated ones, once."""
+    found = common.may_be_in(docs.select("th", "t2", "text"), "th", common.bitmap(wanted, "th")).join(wanted.hint("merge"), ["th", "t2"])
+    return found.groupBy("th", "t2").agg(F.first(F.struct("cid", "text")).alias("one")).select("one.*")
+
 
+def _links(pairs: DataFrame, docs: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs ``a, b`` that link, by their whole texts; ``reps(cid, th, t2)`` has their row keys."""
+    ids = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
+    texts = common.written(_texts(docs, common.written(ids.join(reps.hint("merge"), "cid"), "wanted")), "texts")
+    links = common.written(_both(pairs, texts, "text").mapInArrow(lambda it: _verify(it, k, percent), "a long, b long"), "verified")
+    common.discard(texts)
+    return links
 
-def _bits(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    """The dense parity sketch of each text: a power of two bits, at least two a shingle and 64 in all."""
+
+def _star(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Rows (a, b, and the size and sketch of each): keeps the pairs that are near enough."""
     for batch in batches:
-        c, texts = batch.column(0), batch.column(1)
-        for lo, hi in common.text_slices(texts):
-            raw, offsets = common.string_bytes(texts.slice(lo, hi - lo))
-            starts, ends, at = common.word_spans(raw, offsets)
-            words = common.word_hashes(raw, starts, ends)
-            sizes, made = [], []
-            for i in range(hi - lo):
-                h = shingle_set(words[at[i] : at[i + 1]], k)
-                width = max(64, 1 << (2 * max(1, len(h)) - 1).bit_length())
-                odd = np.bincount((h & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
-                sizes.append(len(h))
-                made.append(np.packbits(odd.astype(np.uint8)).tobytes())
-            yield pa.RecordBatch.from_arrays([c.slice(lo, hi - lo), pa.array(sizes, pa.int64()), pa.array(made, pa.binary())], names=["cid", "n", "bits"])
+        a, b = batch.column(0), batch.column(1)
+        both = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
+        out = [i for i, (x, y) in enumerate(both) if len(list(_key_pairs([(0, 0, 0, x["n"], x["bits"]), (0, 1, 1, y["n"], y["bits"])], percent, True)))]
+        yield pa.RecordBatch.from_arrays([a.take(pa.array(out, pa.int64())), b.take(pa.array(out, pa.int64()))], names=["a", "b"])
 
 
 def _fold(sketch: bytes, size: int) -> np.ndarray:
@@ -277,6 +292,16 @@ def _near_pairs(named: DataFrame, bits: DataFrame, percent: int, forest: bool) -
     return common.written(dealt.mapInArrow(lambda it: _near(it, percent, forest), "key long, m long, a long, b long"), "near")
 
 
+def _set_hashes(column: str) -> list[Column]:
+    """128 bits of a group's distinct values, in whatever order they come."""
+    return [F.bit_xor(F.xxhash64(F.lit(i), column)).alias(f"set{i}") for i in (1, 2)]
+
+
+def _one_of_equal_keys(heads: DataFrame) -> DataFrame:
+    """``key, m, lo, times``: of the keys whose classes are all the same, the least, and how many it stands for."""
+    return heads.groupBy("m", "lo", "hi", "set1", "set2").agg(F.min("key").alias("key"), F.sum("times").alias("times")).select("key", "m", "lo", "times")
+
+
 def _joined(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """``docs(doc_id, text)`` -> ``doc_id, th, t2, n, component_id, first``: the row key of each document and of the first of its component."""
     spark = docs.sparkSession
@@ -286,7 +311,7 @@ def _joined(docs: DataFrame, k: int, percent: int) -> DataFrame:
     path = common.scratch_path(spark, "sketches")
     docs.select("doc_id", "th", "t2", "text").mapInArrow(lambda it: _sketch(it, k, percent), _SKETCHED).write.parquet(path)
     t0 = spark.read.parquet(path)
-    slim = common.written(t0.drop("keys"), "slim")
+    slim = common.written(t0.drop("keys", "bits"), "slim")
 
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th", "t2"))
     classes = slim.filter("n > 0").groupBy("c", "s2", "n").agg(first.alias("rep"), F.count("*").alias("size"), F.min("spare").alias("spare"))
@@ -299,38 +324,37 @@ def _joined(docs: DataFrame, k: int, percent: int) -> DataFrame:
         part = rows.filter(F.pmod(F.shiftrightunsigned("key", 7), F.lit(SLICES)) == i)
         part = part.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("m")).filter("lo < hi")
         slices.append(common.written(part, "met"))
-        del part
-        common.tidy(spark)
     met = reduce(DataFrame.union, slices)
     several = common.may_be_in(rows, "key", common.bitmap(met.filter("m > 2").select("key"), "key")).select("key", "c")
-    two = met.filter("m = 2").select("key", F.explode(F.array("lo", "hi")).alias("c"))
+    two = met.filter("m = 2").groupBy("lo", "hi").agg(F.min("key").alias("key"), F.count("*").alias("times")).select("key", F.explode(F.array("lo", "hi")).alias("c"), "times")
     # Classes of one 64-bit hash, should there be any, meet in a key of their own.
     same = classes.groupBy("c").agg(F.count("*").alias("m")).filter("m > 1").select(F.col("c").alias("key"), "c")
-    found = several.union(two).union(same).distinct().join(classes.select("c", "cid", "n").hint("merge"), "c").select("key", "cid", "n")
+    once = several.union(same).withColumn("times", F.lit(1).cast("long"))
+    found = once.union(two).groupBy("key", "c").agg(F.max("times").alias("times")).join(classes.select("c", "cid", "n").hint("merge"), "c").select("key", "cid", "n", "times")
     found = common.written(found, "found")
-    common.remove(spark, path)
     # What the bitmap let through by chance has keys of one class.
-    heads = common.written(found.groupBy("key").agg(F.min("cid").alias("lo"), F.count("*").alias("m")).filter("m > 1"), "heads")
-    common.tidy(spark)
-    members = common.written(common.salted(found, heads.withColumn("w", F.col("m")), ["key"], "w", ["cid"]), "members")
+    heads = found.groupBy("key").agg(F.count("*").alias("m"), F.min("cid").alias("lo"), F.max("cid").alias("hi"), *_set_hashes("cid"), F.max("times").alias("times")).filter("m > 1")
+    heads = common.written(_one_of_equal_keys(heads), "heads")
+    members = common.written(common.salted(found.drop("times"), heads.withColumn("w", F.col("m")), ["key"], "w", ["cid"]), "members")
     common.discard(*slices, found, heads)
 
     needed = members.select("cid").distinct().join(classes.hint("merge"), "cid").select("cid", F.col("rep.th").alias("th"), F.col("rep.t2").alias("t2"))
     needed = common.written(needed, "needed")
-    texts = common.may_be_in(docs.select("th", "t2", "text"), "th", common.bitmap(needed, "th")).join(needed.hint("merge"), ["th", "t2"])
-    texts = common.written(texts.groupBy("th", "t2").agg(F.first(F.struct("cid", "text")).alias("one")).select("one.*"), "texts")
-    bits = common.written(texts.mapInArrow(lambda it: _bits(it, k), "cid long, n long, bits binary"), "bits")
+    bits = common.may_be_in(t0.select("th", "t2", "n", "bits"), "th", common.bitmap(needed, "th")).join(needed.hint("merge"), ["th", "t2"])
+    bits = common.written(bits.groupBy("th", "t2").agg(F.first(F.struct("cid", "n", "bits")).alias("one")).select("one.*"), "bits")
+    common.remove(spark, path)
 
     # Each class is first compared with the least class of most of its keys.
-    star = members.filter("cid != lo").groupBy(F.col("lo").alias("a"), F.col("cid").alias("b")).agg(F.count("*").alias("w"))
+    star = members.filter("cid != lo").groupBy(F.col("lo").alias("a"), F.col("cid").alias("b")).agg(F.sum("times").alias("w"))
     best = common.written(star.groupBy("b").agg(F.max_by("a", F.struct("w", "a")).alias("a")).select("a", "b"), "best")
-    links = _links(best, texts, k, percent)
-    common.tidy(spark)
+    near = _both(best, bits.withColumn("sketch", F.struct("n", "bits")), "sketch").mapInArrow(lambda it: _star(it, percent), "a long, b long")
+    links = _links(common.written(near, "star"), docs, needed, k, percent)
+    common.discard(best)
     labels = components(links)
 
     # Where a set's common and empty blocks leave slack in both bands, it meets each partner in another block.
     often = members.filter(F.col("m") > COMMON_KEY)
-    used = often.groupBy("cid").agg(F.count("*").alias("used")).join(classes.select("cid", "spare"), "cid").filter("used > spare").select("cid")
+    used = often.groupBy("cid").agg(F.sum("times").alias("used")).join(classes.select("cid", "spare"), "cid").filter("used > spare").select("cid")
     open_ = members.filter(F.col("m") <= COMMON_KEY).select("key", "cid", "n", "m").union(often.join(used, "cid").select("key", "cid", "n", "m"))
 
     for forest in (True, False):
@@ -338,9 +362,8 @@ def _joined(docs: DataFrame, k: int, percent: int) -> DataFrame:
         # components that are left, every near pair: few, for their texts just miss.
         named = open_.join(labels.select(F.col("id").alias("cid"), "component").hint("merge"), "cid", "left").select("key", "cid", "n", "m", F.coalesce("component", "cid").alias("component"))
         near = _near_pairs(named, bits, percent, forest)
-        common.tidy(spark)
         pairs = common.written(near.select("a", "b").distinct(), "pairs")
-        more = _links(pairs, texts, k, percent)
+        more = pairs if pairs.isEmpty() else _links(pairs, docs, needed, k, percent)
         if not more.isEmpty():
             links = links.union(more)
             labels = components(links)
