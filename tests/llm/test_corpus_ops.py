@@ -17,6 +17,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.llm import common, decontaminate, mixing, ngram_join, token_store, toxicity
+from tidemark.llm import components as components_module
 from tidemark.llm.components import components
 from tidemark.llm.queries import tokenizer_path
 
@@ -159,6 +160,24 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+@pytest.mark.parametrize("limit", [0, 10**6])
+def test_components_of_few_and_many_links(spark, monkeypatch, limit):
+    """Few links take one table; both ways give the same."""
+    made = []
+    monkeypatch.setattr(components_module, "DRIVER_LINKS", limit)
+    monkeypatch.setattr(components_module, "written", lambda df, name: made.append(name) or common.written(df, name))
+    rng = random.Random(4)
+    chain = rng.sample(range(10**15, 10**15 + 10**6), 60)
+    links = [*zip(chain, chain[1:], strict=False), *((-5, x) for x in range(30)), *((rng.randrange(100, 300), rng.randrange(100, 300)) for _ in range(120))]
+    got = {r["id"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    want = {x: x for pair in links if pair[0] != pair[1] for x in pair}
+    for _ in links:
+        for a, b in links:
+            if a != b:
+                want[a] = want[b] = min(want[a], want[b])
+    assert got == want and (made == ["components"]) == bool(limit)
+
+
 def _counted(monkeypatch):
     """Names and row counts of the tables that are written from now on."""
     made, write = [], common.written

@@ -1,17 +1,23 @@
-"""Connected components of a link table by alternating large and small stars.
+"""Connected components of a link table: alternating large and small stars, or a forest on the driver where links are few.
 
-Every step is a partial aggregation and a join on table rows, in which ids of many
-links are dealt to many tasks; labels and links stay distributed, and each round
-is a table in the shared folder.
+Every step of the stars is a partial aggregation and a join on table rows, in which
+ids of many links are dealt to many tasks; labels and links stay distributed, and
+each round is a table in the shared folder.  A round is some ten shuffles whatever
+the number of links, so up to DRIVER_LINKS of them, counted first, go to the driver.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import salted, written
 
+#: Most links that the driver joins: 8 MB of them.
+DRIVER_LINKS = 1 << 19
+
 
 def _large_star(e: DataFrame) -> DataFrame:
     both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -33,6 +39,20 @@ def _is_done(e: DataFrame) -> bool:
     return not each.agg(F.max((F.col("out") > 1) | ((F.col("out") == 1) & (F.col("in") == 1)))).first()[0]
 
 
+def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the links and the least id that each reaches: roots hang on lesser ones until no link joins two."""
+    ids, at = np.unique(np.concatenate((a, b)), return_inverse=True)
+    a, b = at[: len(a)], at[len(a) :]
+    root = np.arange(len(ids))
+    while True:
+        x, y = root[a], root[b]
+        if np.array_equal(x, y):
+            return ids, ids[root]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while not np.array_equal(root, up := root[root]):
+            root = up
+
+
 def components(links: DataFrame) -> DataFrame:
     """``links(a, b)`` -> ``(id, component)``: each linked id with the least id it reaches.
 
@@ -40,7 +60,11 @@ def components(links: DataFrame) -> DataFrame:
     Star-shaped groups take one round, long chains about the logarithm of
     their length.
     """
-    e = links.select("a", "b").filter("a != b")
+    e = links.select(F.col("a").cast("long"), F.col("b").cast("long")).filter("a != b")
+    if e.count() <= DRIVER_LINKS:
+        got = e.toArrow()
+        ids, least = _forest(*(got[c].to_numpy() for c in ("a", "b")))
+        return written(links.sparkSession.createDataFrame(pa.table({"id": ids, "component": least})), "components")
     while True:
         e = written(_small_star(written(_large_star(e), "stars")), "stars")
         if _is_done(e):
