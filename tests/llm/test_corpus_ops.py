@@ -208,6 +208,23 @@ def test_keys_of_the_same_classes_count_once(spark, monkeypatch):
     assert sum(n for name, n in made if name == "texts") == 2
 
 
+def test_tasks_give_memory_back():
+    pins = []
+
+    def resident():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096
+
+    def work(batches):
+        held = [np.ones(6000) for _ in batches for _ in range(3000)]
+        pins.append(np.ones(6000))  # above the others, so the heap can't shrink from its end
+        yield len(held)
+
+    before = resident()
+    assert list(common.lean(work)(iter([1]))) == [3000]
+    assert resident() - before < 50 << 20
+
+
 def test_shuffle_files_of_a_written_table_go_with_it(spark):
     store = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
     count = lambda: sum(store.getAllFiles().apply(i).getName().startswith("shuffle_") for i in range(store.getAllFiles().size()))

@@ -232,12 +232,12 @@ def _seeds(texts: DataFrame, items: DataFrame) -> DataFrame:
         wanted = np.unique(np.array([r["word"] for r in vocabulary.select("word").collect()], np.int64).view(np.uint64))
         if not len(wanted):
             return texts.sparkSession.createDataFrame([], "k int, seed long, item long, place long")
-    counted = texts.select("text").mapInArrow(lambda it: _count_words(it, wanted), "all int, word long, n long")
+    counted = texts.select("text").mapInArrow(common.lean(lambda it: _count_words(it, wanted)), "all int, word long, n long")
     counted = common.written(counted.groupBy("all", "word").agg(F.sum("n").alias("n")), "counts")
     total = max(1, counted.filter("all = 1").agg(F.sum("n")).first()[0] or 1)
     rates = common.written(vocabulary.join(counted.filter("all = 0").select("word", "n"), "word", "left").select("word", "w", F.coalesce("n", F.lit(0)).alias("n")), "rates")
     cells = common.salted(words, rates, ["word"], "w", ["item", "pos"]).groupBy("item").agg(F.sort_array(F.collect_list(F.struct("pos", "word", "n"))).alias("cells"))
-    return cells.mapInArrow(lambda it: _choose(it, total), "k int, seed long, item long, place long")
+    return cells.mapInArrow(common.lean(lambda it: _choose(it, total)), "k int, seed long, item long, place long")
 
 
 def _find(batches: Iterator[pa.RecordBatch], items: Items, least: float) -> Iterator[pa.RecordBatch]:
@@ -308,7 +308,7 @@ def _by_tables(texts: DataFrame, items: DataFrame, seeds: DataFrame, least: floa
     bits = spark.sparkContext.broadcast(words)
     th, t2 = row_key()
     keyed = texts.withColumns({"th": th, "t2": t2})
-    hits = keyed.select("th", "t2", "text").mapInArrow(lambda it: _probe(it, bits.value), "th long, t2 int, k int, seed long, at long")
+    hits = keyed.select("th", "t2", "text").mapInArrow(common.lean(lambda it: _probe(it, bits.value)), "th long, t2 int, k int, seed long, at long")
     hits = common.written(hits.join(F.broadcast(seeds.select("k").distinct()), "k"), "hits")
     times = hits.groupBy("k", "seed").agg(F.count("*").alias("w"))
     per = common.written(seeds.groupBy("k", "seed").agg(F.collect_list(F.struct("item", "place")).alias("places")).join(times, ["k", "seed"]), "places")
@@ -323,7 +323,7 @@ def _by_tables(texts: DataFrame, items: DataFrame, seeds: DataFrame, least: floa
     rows = common.written(found.groupBy("th", "t2").agg(F.first(F.struct("doc_id", "text")).alias("one"), F.count("*").alias("times")).join(by_text, ["th", "t2"]), "texts")
     full = common.salted(full, rows, ["th", "t2"], "w", ["item"])
     full = full.select("one.doc_id", "item_id", "k", "one.text", "words", "near", "times").withColumn("one_of", F.explode(F.sequence(F.lit(1), F.col("times"))))
-    return full.select("doc_id", "item_id", "k", "text", "words", "near").mapInArrow(lambda it: _align(it, least), _ROW)
+    return full.select("doc_id", "item_id", "k", "text", "words", "near").mapInArrow(common.lean(lambda it: _align(it, least)), _ROW)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFrame:
@@ -343,7 +343,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) ->
     common.short_batches(spark)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     items = benchmark.filter("item_id is not null and text is not null").select(F.monotonically_increasing_id().alias("item"), F.col("item_id").cast("long").alias("item_id"), "text")
-    items = common.written(items.mapInArrow(_item_words, "item long, item_id long, words array<long>").filter("size(words) > 0"), "items")
+    items = common.written(items.mapInArrow(common.lean(_item_words), "item long, item_id long, words array<long>").filter("size(words) > 0"), "items")
     seeds = common.written(_seeds(texts, items), "seeds")
     size = seeds.count() * 24 + (items.agg(F.sum(F.size("words"))).first()[0] or 0) * 8
     if not size:
@@ -361,7 +361,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) ->
         by = np.argsort(seed.view(np.uint64), kind="stable")
         sorted_seeds[k] = (seed.view(np.uint64)[by], item[by], place[by])
     block = spark.sparkContext.broadcast(Items([r["item_id"] for r in rows], [np.array(r["words"], np.int64).view(np.uint64) for r in rows], sorted_seeds))
-    return texts.mapInArrow(lambda it: _find(it, block.value, least), _ROW)
+    return texts.mapInArrow(common.lean(lambda it: _find(it, block.value, least)), _ROW)
 
 
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFrame:

@@ -185,7 +185,7 @@ def _links(pairs: DataFrame, docs: DataFrame, reps: DataFrame, k: int, percent:
     """The pairs ``a, b`` that link, by their whole texts; ``reps(cid, th, t2)`` has their row keys."""
     ids = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
     texts = common.written(_texts(docs, common.written(ids.join(reps.hint("merge"), "cid"), "wanted")), "texts")
-    links = common.written(_both(pairs, texts, "text").mapInArrow(lambda it: _verify(it, k, percent), "a long, b long"), "verified")
+    links = common.written(_both(pairs, texts, "text").mapInArrow(common.lean(lambda it: _verify(it, k, percent)), "a long, b long"), "verified")
     common.discard(texts)
     return links
 
@@ -289,7 +289,7 @@ def _near_pairs(named: DataFrame, bits: DataFrame, percent: int, forest: bool) -
     dealt = rows.withColumn("block", F.explode(F.when(F.col("all") == 1, F.array(block(0, F.lit(0), F.lit(0)))).otherwise(many)))
     dealt = dealt.select("key", "block.*", "rows", "own", "cid", "component").join(bits.hint("merge"), "cid")
     dealt = dealt.repartition("key", "t", "p", "q").sortWithinPartitions("key", "t", "p", "q", "own", "cid").select("key", "t", "p", "q", "rows", "own", "cid", "component", "n", "bits")
-    return common.written(dealt.mapInArrow(lambda it: _near(it, percent, forest), "key long, m long, a long, b long"), "near")
+    return common.written(dealt.mapInArrow(common.lean(lambda it: _near(it, percent, forest)), "key long, m long, a long, b long"), "near")
 
 
 def _set_hashes(column: str) -> list[Column]:
@@ -309,7 +309,7 @@ def _joined(docs: DataFrame, k: int, percent: int) -> DataFrame:
     th, t2 = common.row_key()
     docs = docs.withColumns({"th": th, "t2": t2})
     path = common.scratch_path(spark, "sketches")
-    docs.select("doc_id", "th", "t2", "text").mapInArrow(lambda it: _sketch(it, k, percent), _SKETCHED).write.parquet(path)
+    docs.select("doc_id", "th", "t2", "text").mapInArrow(common.lean(lambda it: _sketch(it, k, percent)), _SKETCHED).write.parquet(path)
     t0 = spark.read.parquet(path)
     slim = common.written(t0.drop("keys", "bits"), "slim")
 
@@ -347,7 +347,7 @@ def _joined(docs: DataFrame, k: int, percent: int) -> DataFrame:
     # Each class is first compared with the least class of most of its keys.
     star = members.filter("cid != lo").groupBy(F.col("lo").alias("a"), F.col("cid").alias("b")).agg(F.sum("times").alias("w"))
     best = common.written(star.groupBy("b").agg(F.max_by("a", F.struct("w", "a")).alias("a")).select("a", "b"), "best")
-    near = _both(best, bits.withColumn("sketch", F.struct("n", "bits")), "sketch").mapInArrow(lambda it: _star(it, percent), "a long, b long")
+    near = _both(best, bits.withColumn("sketch", F.struct("n", "bits")), "sketch").mapInArrow(common.lean(lambda it: _star(it, percent)), "a long, b long")
     links = _links(common.written(near, "star"), docs, needed, k, percent)
     common.discard(best)
     labels = components(links)

@@ -438,7 +438,7 @@ def write_tokens(docs: DataFrame, root: str, tokenizer: str) -> DataFrame:
     common.short_batches(docs.sparkSession)
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
     ordered = ordered.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "text")
-    manifest = common.written(ordered.mapInArrow(lambda it: _write(it, root, tokenizer), "part long, name string, docs long, ids long"), "manifest")
+    manifest = common.written(ordered.mapInArrow(common.lean(lambda it: _write(it, root, tokenizer)), "part long, name string, docs long, ids long"), "manifest")
     fs, folder = _folder(root)
     named = {r["name"] for r in manifest.select("name").collect()}
     for f in fs.get_file_info(FileSelector(folder)):
@@ -451,7 +451,7 @@ def read_tokens(manifest: DataFrame, root: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` from the files; one row a file is ordered in one task, documents are not."""
     before = Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     files = manifest.select("name", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("base"))
-    return files.repartition(max(1, manifest.count())).mapInArrow(lambda it: _read(it, root), "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return files.repartition(max(1, manifest.count())).mapInArrow(common.lean(lambda it: _read(it, root)), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_store(docs: DataFrame, tokenizer: str) -> DataFrame:
