@@ -599,3 +599,32 @@ def test_failed_attempts_leave_no_files(spark, tmp_path):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, text string")
     manifest = token_store.write_tokens(df, str(tmp_path), tokenizer_path())
     assert {p.name for p in tmp_path.iterdir()} == {r["name"] for r in manifest.collect()} and token_store.read_tokens(manifest, str(tmp_path)).count() == 2
+
+
+def test_many_small_files_start_few_tables_and_tasks(spark, tmp_path, monkeypatch):
+    store = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    count = lambda: sum(store.getAllFiles().apply(i).getName().startswith("shuffle_") for i in range(store.getAllFiles().size()))
+    tables = []
+    monkeypatch.setattr(common, "scratch_path", lambda s, name, f=common.scratch_path: tables.append(name) or f(s, name))
+    wanted = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    had = {name: spark.conf.get(name) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
+    try:
+        df = spark.createDataFrame([(i, f"text {i}") for i in range(2000)], "doc_id long, text string")
+        before = count()
+        manifest = token_store.write_tokens(df, str(tmp_path), tokenizer_path())
+        for _ in range(50):
+            if count() <= before:
+                break
+            time.sleep(0.1)
+        assert not tables and count() <= before and len(list(tmp_path.iterdir())) == manifest.count() > 20
+        read = token_store.read_tokens(manifest, str(tmp_path))
+        assert read.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+        rows = sorted(read.collect())
+        assert [r["doc_id"] for r in rows] == list(range(2000)) and all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(rows, rows[1:], strict=False)) and rows[0]["start"] == 0
+        monkeypatch.setattr(token_store, "READ_IDS", 1)
+        assert token_store.read_tokens(manifest, str(tmp_path)).rdd.getNumPartitions() == manifest.count()
+    finally:
+        for name, value in had.items():
+            spark.conf.set(name, value)

@@ -35,6 +35,8 @@ from pyspark.sql import functions as F
 from tidemark.llm import common
 
 BLOCK, FITS, END_ID = 256, 0.95, 2
+#: Ids that a task reads back: files are small where partitions are many.
+READ_IDS = 1 << 24
 MAGIC = b"PFR1\0\0\0\0"
 _FOOT = struct.Struct("<QQQQQ8s")  # ids, documents, place of documents, place of block starts, blocks
 _HEAD = 8  # bytes of a block's head: least id (4), width (1), none (1), exceptions (2); blocks are padded to multiples of 8
@@ -386,6 +388,7 @@ def _folder(root: str):
 
 
 _encoders: dict[str, Encoder] = {}
+_MANIFEST = "part long, name string, docs long, ids long"
 
 
 def _write(batches: Iterator[pa.RecordBatch], root: str, path: str) -> Iterator[pa.RecordBatch]:
@@ -433,25 +436,34 @@ def write_tokens(docs: DataFrame, root: str, tokenizer: str) -> DataFrame:
 
     Documents are in ascending order of doc_id over the files (null first, rows
     of equal id by a hash of their text).  A null text is an empty one.  Files of
-    attempts that failed are deleted once the manifest, one row a file, is written.
+    attempts that failed are deleted once the manifest is there.  It has one row a
+    file and stays with the driver, so no task starts a table for a row of its own.
     """
-    common.short_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    common.short_batches(spark)
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
     ordered = ordered.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "text")
-    manifest = common.written(ordered.mapInArrow(common.lean(lambda it: _write(it, root, tokenizer)), "part long, name string, docs long, ids long"), "manifest")
+    with common.shuffles_go(spark):
+        rows = ordered.mapInArrow(common.lean(lambda it: _write(it, root, tokenizer)), _MANIFEST).collect()
     fs, folder = _folder(root)
-    named = {r["name"] for r in manifest.select("name").collect()}
+    named = {r["name"] for r in rows}
     for f in fs.get_file_info(FileSelector(folder)):
         if f.base_name not in named:  # left by an attempt that didn't end well
             fs.delete_file(f.path)
-    return manifest
+    columns = [pa.array([r[c] for r in rows], pa.string() if c == "name" else pa.int64()) for c in ("part", "name", "docs", "ids")]
+    return spark.createDataFrame(pa.table(columns, names=["part", "name", "docs", "ids"]))
 
 
 def read_tokens(manifest: DataFrame, root: str) -> DataFrame:
-    """``doc_id, start, n_tokens, ids_crc32`` from the files; one row a file is ordered in one task, documents are not."""
+    """``doc_id, start, n_tokens, ids_crc32`` from the files; one row a file is ordered in one task, documents are not.
+
+    A task reads about READ_IDS ids, whole files, or fewer where cores would else be idle.
+    """
     before = Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     files = manifest.select("name", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("base"))
-    return files.repartition(max(1, manifest.count())).mapInArrow(common.lean(lambda it: _read(it, root)), "doc_id long, start long, n_tokens long, ids_crc32 long")
+    there, ids = manifest.agg(F.count("*"), F.coalesce(F.sum("ids"), F.lit(0))).first()
+    tasks = min(there, max(manifest.sparkSession.sparkContext.defaultParallelism, -(-ids // READ_IDS)))
+    return files.repartition(max(1, tasks)).mapInArrow(common.lean(lambda it: _read(it, root)), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_store(docs: DataFrame, tokenizer: str) -> DataFrame:
