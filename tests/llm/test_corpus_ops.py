@@ -628,3 +628,34 @@ def test_many_small_files_start_few_tables_and_tasks(spark, tmp_path, monkeypatc
     finally:
         for name, value in had.items():
             spark.conf.set(name, value)
+
+
+def test_pieces_in_the_sorted_table(monkeypatch):
+    monkeypatch.setattr(token_store, "RECENT", 20)
+    rng, e = random.Random(3), token_store.Encoder(tokenizer_path(), most=700, slot_bits=3)
+    for _ in range(40):
+        texts = [" ".join(f"w{rng.randrange(400)}" for _ in range(rng.randrange(30))) for _ in range(5)]
+        ids, sizes = e(texts)
+        assert [p.tolist() for p in np.split(ids, np.cumsum(sizes)[:-1])] == [e.tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(e.keys) + len(e.recent) == e.pieces == len({*e.keys.tolist(), *e.recent}) and len(e.keys) and len(e.recent) <= 20
+
+
+def test_encoder_stays_small():
+    def resident():
+        common.give_back()
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096
+
+    e = token_store.Encoder(tokenizer_path())
+    e(["x y"])
+    before = resident()
+    for lo in range(0, 400_000, 4000):
+        e([" ".join("".join(chr(97 + i // 26**k % 26) for k in range(5)) for i in range(lo, lo + 4000))])
+    assert resident() - before < 45 << 20
+
+
+def test_training_rows_start_no_other_workers(spark):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(20)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, toxic int")
+    rows, _ = toxicity.sample(spark.createDataFrame(docs.toArrow()), spark.createDataFrame(labels.toArrow()), 5, 5, 1 << 20)
+    assert "LogicalRDD" not in rows._jdf.queryExecution().optimizedPlan().toString() and 4 <= rows.count() <= 10
