@@ -208,6 +208,60 @@ def test_keys_of_the_same_classes_count_once(spark, monkeypatch):
     assert sum(n for name, n in made if name == "texts") == 2
 
 
+@pytest.mark.parametrize("seed", range(8))
+def test_empty_blocks_have_keys_beyond_the_slack_only(seed):
+    """Sets with slack + 1 equal blocks share a key, though all of these be empty and each set have other empty blocks."""
+    rng = np.random.default_rng(seed)
+    bands = ngram_join.size_bands(2000, 80)
+    band = len(bands) - 4
+    most, slack = ngram_join.block_count(bands[band + 1], 80)
+    p = most + 1 + slack
+    blocks = rng.permutation(p)
+    equal, mine, other = blocks[: slack + 1], blocks[slack + 1 : slack + 4], blocks[slack + 4 : slack + 9]
+    keys = []
+    for empty in (np.concatenate((equal, mine)), np.concatenate((equal, other))):
+        filled = np.setdiff1d(np.arange(p), empty)
+        high = ((filled.astype(np.uint64) << np.uint64(32)) // np.uint64(p) + np.uint64(2)) << np.uint64(32)
+        got, left = ngram_join._band_keys(np.sort(high + rng.integers(0, 1 << 32, len(filled), dtype=np.uint64)), band, bands[band + 1], 80)
+        assert left < 0 and len(got) == p - slack
+        keys.append(set(got.tolist()))
+    assert keys[0] & keys[1]
+
+
+def test_slack_leaves_out_the_most_common_keys(spark):
+    often = spark.createDataFrame([(10 * c + i, c, 100 - i, 1 + (i == 1)) for c in (1, 2, 3) for i in range(5)], "key long, cid long, m long, times long")
+    classes = spark.createDataFrame([(1, 3), (2, 1), (3, -1)], "cid long, spare int")
+    # Keys of 1, 2, 1, 1, 1 blocks in this order; a slack of 3 makes up for the first two.
+    assert sorted(r["key"] for r in ngram_join._without_slack(often, classes).collect()) == [12, 13, 14, 21, 22, 23, 24, 30, 31, 32, 33, 34]
+
+
+@pytest.mark.parametrize("bucket", [1024, 16])
+def test_near_pairs_of_many_common_keys_count_once(spark, monkeypatch, bucket):
+    """Edited copies, most of them just below the threshold of each other, meet in nearly all of their blocks."""
+    monkeypatch.setattr(ngram_join, "COMMON_KEY", 8)
+    monkeypatch.setattr(ngram_join, "BUCKET", bucket)
+    rng = random.Random(9)
+    base, other = prose(rng, 145), prose(rng, 40)
+    texts = [" ".join(edited(rng, base, rng.choice([0.01, 0.03]))) for _ in range(60)] + [" ".join(edited(rng, other, 0.02)) for _ in range(20)]
+    texts = list(enumerate(texts))
+    made = _counted(monkeypatch)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.ngram_join(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert got == brute_components(texts, 5, 80)
+    near, pairs = (sum(n for name, n in made if name == x) for x in ("near", "pairs"))
+    assert 0 < near <= 4 * pairs
+
+
+def test_sketches_of_several_widths(spark):
+    """Each two are compared as the shorter is; one short sketch among the rows doesn't blur the others."""
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(1, 1 << 62, n, dtype=np.uint64)) for n in (12, 900, 900, 900)]
+    sets.append(np.unique(np.concatenate((sets[1][:880], rng.integers(1, 1 << 62, 20, dtype=np.uint64)))))
+    rows = [(0, i, i, len(s), ngram_join._bits(s)) for i, s in enumerate(sets)]
+    for order in (rows, rows[::-1], rows[2:] + rows[:2]):
+        assert list(ngram_join._key_pairs(order, 80, False)) == [(1, 4)]
+    assert list(ngram_join._key_pairs([(i % 2, *r[1:]) for i, r in enumerate(rows)], 80, False)) == [(1, 4)]
+
+
 def test_tasks_give_memory_back():
     pins = []
 

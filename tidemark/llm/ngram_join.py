@@ -10,13 +10,16 @@ meets its partners in its own band or the next one.  Bands are twice as wide (in
 logarithms): only the upper half of a band has keys in the next one too.
 
 * A block's key is the XOR of the mixed positions of its toggled bits.
-* Blocks beyond the bound are slack: a set whose empty or very common blocks
-  don't use up its slack need not be compared through those blocks.
+* Blocks beyond the bound are slack: so many of its empty and very common blocks,
+  the first in an order that all sets share, need not bring a set together with
+  others.  Of linked sets more blocks are equal; the last of those in that order
+  is left out by neither set.
 * Keys are aggregated to (least, greatest set), which combines before the
   shuffle: nearly all have one.  A bitmap of the others is probed by all keys
   again, so that only those few are shuffled with their classes.
 * Texts that nearly link share many keys.  Of the keys in which the very same
-  classes meet, one stands for all, with their number.
+  classes meet, one stands for all, with their number.  Common keys in which
+  nearly the same classes meet are compared as one key of all their classes.
 * A class is compared with the least class of its keys first (a star), so
   copies cost one comparison each.  Only pairs whose dense sketches are near
   have their texts fetched.
@@ -39,13 +42,13 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import common
 from tidemark.llm.components import components
 
-#: Keys met by more classes than this are common; sets with slack left skip them after the first star.
+#: Keys met by more classes than this are common; after the first star, sets skip as many of them as they have slack left.
 COMMON_KEY = 64
 #: Rows of one key, and their shingles, that a task compares with each other; a larger key is dealt to pairs of such parts.
 BUCKET, BUCKET_WORDS = 1024, 16 << 20
@@ -78,7 +81,7 @@ def shingle_set(words: np.ndarray, k: int) -> np.ndarray:
 
 
 def _band_keys(h: np.ndarray, band: int, end: int, percent: int) -> tuple[np.ndarray, int]:
-    """Keys of the blocks of a sorted set in one band, and the slack that is left."""
+    """Keys of the blocks of a sorted set in one band, and the slack that is left: below 0 if some empty blocks have keys."""
     most, slack = block_count(end, percent)
     p = most + 1 + slack
     block = ((h >> np.uint64(32)) * np.uint64(p)) >> np.uint64(32)
@@ -88,7 +91,7 @@ def _band_keys(h: np.ndarray, band: int, end: int, percent: int) -> tuple[np.nda
     keys = common.mix(np.bitwise_xor.reduceat(bits, first) ^ common.mix(label + block[first]))
     empty = p - len(first)
     if empty > slack:
-        free = np.setdiff1d(np.arange(p, dtype=np.uint64), block[first])
+        free = np.setdiff1d(np.arange(p, dtype=np.uint64), block[first])[slack:]
         keys = np.concatenate((keys, common.mix(common.mix(label + free) + np.uint64(7))))
         return keys, -1
     return keys, slack - empty
@@ -211,11 +214,11 @@ def _key_pairs(rows: list[tuple], percent: int, forest: bool) -> Iterator[tuple[
     """Pairs of one key's classes (own, id, component, n, sketch) in different components whose sketches are near enough.
 
     With ``forest``, pairs that others connect are left out.  Rows of two parts
-    are compared across, those of one part with each other.
+    are compared across, those of one part with each other; two sketches as the shorter is.
     """
-    size = min(len(r[4]) for r in rows)
+    rows = sorted(rows, key=lambda r: len(r[4]))
     own, c, comp, n = (np.array([r[i] for r in rows], dtype=np.int64) for i in range(4))
-    sk = np.stack([_fold(r[4], size) for r in rows]).view(np.uint64)
+    size, start, sk = 0, 0, np.zeros((0, 0), np.uint64)
     root: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -224,8 +227,11 @@ def _key_pairs(rows: list[tuple], percent: int, forest: bool) -> Iterator[tuple[
             x = root[x]
         return x
 
-    two = own[0] != own[-1]
+    two = own.min() != own.max()
     for i in range(len(rows) - 1):
+        if len(rows[i][4]) > size:
+            size, start = len(rows[i][4]), i
+            sk = np.stack([_fold(r[4], size) for r in rows[i:]]).view(np.uint64)
         js = np.flatnonzero(comp[i + 1 :] != comp[i]) + i + 1
         if two:
             js = js[own[js] != own[i]]
@@ -236,7 +242,7 @@ def _key_pairs(rows: list[tuple], percent: int, forest: bool) -> Iterator[tuple[
         js, most = js[lo * 100 >= percent * hi], most[lo * 100 >= percent * hi]
         if not len(js):
             continue
-        near = np.bitwise_count(sk[js] ^ sk[i]).sum(axis=1, dtype=np.int64) <= most
+        near = np.bitwise_count(sk[js - start] ^ sk[i - start]).sum(axis=1, dtype=np.int64) <= most
         for j in js[near].tolist():
             x, y = find(int(comp[i])), find(int(comp[j]))
             if x != y or not forest:
@@ -302,6 +308,27 @@ def _one_of_equal_keys(heads: DataFrame) -> DataFrame:
     return heads.groupBy("m", "lo", "hi", "set1", "set2").agg(F.min("key").alias("key"), F.sum("times").alias("times")).select("key", "m", "lo", "times")
 
 
+def _without_slack(often: DataFrame, classes: DataFrame) -> DataFrame:
+    """Rows ``key, cid, m, times, ...`` of common keys, without those that the slack of a class makes up for: the most common ones, as far as it goes."""
+    before = Window.partitionBy("cid").orderBy(F.desc("m"), "key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    slack = often.join(classes.select("cid", "spare").hint("merge"), "cid").withColumn("used", F.sum("times").over(before))
+    return slack.filter("used > spare").drop("spare", "used")
+
+
+def _merged(often: DataFrame) -> DataFrame:
+    """``key, cid, n, m`` of ``key, cid, n, m, lo``: keys of the same ``lo`` become one, with the classes of all, where that makes no more pairs to compare.
+
+    Copies with edits meet in nearly all of their blocks, in each of them without
+    the few that were edited there.  More pairs are compared then, never fewer.
+    """
+    each = often.groupBy("lo", "key").agg(F.count("*").alias("size"))
+    keys = each.groupBy("lo").agg(F.min("key").alias("one"), F.count("*").alias("keys"), F.sum("size").alias("w"), F.sum(F.col("size") * F.col("size")).alias("pairs")).filter("keys > 1")
+    union = often.select("lo", "cid").distinct().groupBy("lo").agg(F.count("*").alias("all"))
+    groups = common.written(keys.join(union.hint("merge"), "lo").filter("`all` * `all` <= pairs").select("lo", "one", "all", "w"), "groups")
+    rows = common.salted(often, groups, ["lo"], "w", ["cid"], "left")
+    return rows.select(F.coalesce("one", "key").alias("key"), "cid", "n", F.coalesce("all", "m").alias("m")).distinct()
+
+
 def _joined(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """``docs(doc_id, text)`` -> ``doc_id, th, t2, n, component_id, first``: the row key of each document and of the first of its component."""
     spark = docs.sparkSession
@@ -352,10 +379,9 @@ def _joined(docs: DataFrame, k: int, percent: int) -> DataFrame:
     common.discard(best)
     labels = components(links)
 
-    # Where a set's common and empty blocks leave slack in both bands, it meets each partner in another block.
-    often = members.filter(F.col("m") > COMMON_KEY)
-    used = often.groupBy("cid").agg(F.sum("times").alias("used")).join(classes.select("cid", "spare"), "cid").filter("used > spare").select("cid")
-    open_ = members.filter(F.col("m") <= COMMON_KEY).select("key", "cid", "n", "m").union(often.join(used, "cid").select("key", "cid", "n", "m"))
+    often = common.written(_without_slack(members.filter(F.col("m") > COMMON_KEY), classes), "often")
+    open_ = members.filter(F.col("m") <= COMMON_KEY).select("key", "cid", "n", "m").union(_merged(often))
+    open_ = common.written(open_, "open")
 
     for forest in (True, False):
         # First a spanning forest of the near sketches of each key; then, of the
