@@ -319,7 +319,8 @@ def _merged(often: DataFrame) -> DataFrame:
     """``key, cid, n, m`` of ``key, cid, n, m, lo``: keys of the same ``lo`` become one, with the classes of all, where that makes no more pairs to compare.
 
     Copies with edits meet in nearly all of their blocks, in each of them without
-    the few that were edited there.  More pairs are compared then, never fewer.
+    the few that were edited there.  Each pair that met in one of the keys meets in
+    the merged one, and once.
     """
     each = often.groupBy("lo", "key").agg(F.count("*").alias("size"))
     keys = each.groupBy("lo").agg(F.min("key").alias("one"), F.count("*").alias("keys"), F.sum("size").alias("w"), F.sum(F.col("size") * F.col("size")).alias("pairs")).filter("keys > 1")
