@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_format, clustering, mixing, quality_rules
+from tidemark.llm import chat_format, clustering, conversation_repair, mixing, quality_rules
 from tidemark.llm.decontaminate import contaminated
 from tidemark.llm.html_extract import html_extract
 from tidemark.llm.ngram_join import ngram_join
@@ -120,10 +120,14 @@ def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustering.clusters(_table(spark, sf_dir, "embeddings"), k=40, rounds=5, dim=64, seed=2)
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(conversation_repair.damaged(_table(spark, sf_dir, "conversations")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_quality_rules, op2_mixing, op3_html_extraction, op4_ngram_join, op5_decontamination, op6_url_filters, op7_pseudonyms, op8_chat_formatting, op9_token_output, op10_toxicity, op11_centroid_clustering]
+    found = [op1_quality_rules, op2_mixing, op3_html_extraction, op4_ngram_join, op5_decontamination, op6_url_filters, op7_pseudonyms, op8_chat_formatting, op9_token_output, op10_toxicity, op11_centroid_clustering, op12_conversation_repair]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": quality_rules.oracle(), "op2_mixing": mixing.ORACLE, "op6_url_filters": _URL_ORACLE, "op8_chat_formatting": chat_format.ORACLE, "op11_centroid_clustering": clustering.oracle()}
+    return {"op1_quality_rules": quality_rules.oracle(), "op2_mixing": mixing.ORACLE, "op6_url_filters": _URL_ORACLE, "op8_chat_formatting": chat_format.ORACLE, "op11_centroid_clustering": clustering.oracle(), "op12_conversation_repair": conversation_repair.ORACLE}
