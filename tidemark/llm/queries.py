@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import chat_format, clustering, conversation_repair, mixing, quality_rules
 from tidemark.llm.decontaminate import contaminated
+from tidemark.llm.fingerprints import edited_fingerprints
 from tidemark.llm.html_extract import html_extract
 from tidemark.llm.ngram_join import ngram_join
 from tidemark.llm.pseudonyms import pseudonyms
@@ -124,8 +125,12 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair(conversation_repair.damaged(_table(spark, sf_dir, "conversations")))
 
 
+def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_quality_rules, op2_mixing, op3_html_extraction, op4_ngram_join, op5_decontamination, op6_url_filters, op7_pseudonyms, op8_chat_formatting, op9_token_output, op10_toxicity, op11_centroid_clustering, op12_conversation_repair]
+    found = [op1_quality_rules, op2_mixing, op3_html_extraction, op4_ngram_join, op5_decontamination, op6_url_filters, op7_pseudonyms, op8_chat_formatting, op9_token_output, op10_toxicity, op11_centroid_clustering, op12_conversation_repair, op13_document_fingerprints]
     return {f.__name__: f for f in found}
 
 
