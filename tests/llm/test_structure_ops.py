@@ -1,0 +1,299 @@
+"""Centroid clustering, conversation repair, document fingerprints: each against a plain version."""
+
+import hashlib
+import itertools
+import math
+import os
+import random
+import zlib
+
+import duckdb
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tidemark.llm import clustering, conversation_repair as repair_module, fingerprints
+from tidemark.llm.clustering import clusters
+from tidemark.llm.conversation_repair import audits, damaged, joined, parse, piece_ways, plain, repair
+from tidemark.llm.fingerprints import bucket, edited, edited_fingerprints, fingerprint, length_code, likeness
+
+DIR = "/root/testdata/sf0.001"
+
+
+# Clustering
+
+
+def plain_clusters(rows, k, rounds, dim, seed=2):
+    kept = [(i, [math.floor(256 * float(x)) for x in v]) for i, v in rows if v is not None and len(v) == dim and all(x is not None and math.isfinite(x) for x in v)]
+    seeds = sorted((hashlib.sha256(f"{seed}:{i}".encode()).hexdigest(), v) for i, v in kept if i is not None)
+    centroids = [v for _, v in seeds[:k]]
+    if not centroids:
+        return []
+
+    def nearest(v):
+        return min((sum((a - b) ** 2 for a, b in zip(v, c)), j) for j, c in enumerate(centroids))
+
+    for _ in range(rounds):
+        found = [nearest(v)[1] for _, v in kept]
+        for j in set(found):
+            own = [v for f, (_, v) in zip(found, kept) if f == j]
+            centroids[j] = [sum(col) // len(own) for col in zip(*own)]
+    last = [nearest(v) for _, v in kept]
+    inertia = {j: sum(d for d, c in last if c == j) for _, j in last}
+    digest = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids]
+    return sorted(((i, c, d, inertia[c], sum(inertia.values()), digest[c]) for (i, _), (d, c) in zip(kept, last)), key=repr)
+
+
+def got_clusters(df, **more):
+    return sorted((tuple(r) for r in clusters(df, **more).collect()), key=repr)
+
+
+@pytest.mark.parametrize("k, spread", [(8, 0.02), (8, 3.0), (40, 0.3)])
+def test_clusters_are_those_of_plain_rounds(spark, k, spread):
+    rng = np.random.default_rng(k)
+    centres = rng.normal(0, 1, (12, 6))
+    rows = [(i, [float(x) for x in centres[i % 12] + rng.normal(0, spread, 6)]) for i in range(600)]
+    rows += [(1000 + i, rows[7][1]) for i in range(50)] + [(7, rows[7][1])] * 3
+    rows += [(2000, None), (2001, [1.0]), (2002, [1.0] * 5 + [None]), (2003, [1.0] * 5 + [float("nan")]), (2004, [float("inf")] + [1.0] * 5), (None, rows[3][1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("cluster", F.lit("clash")).repartition(5)
+    assert got_clusters(df, k=k, dim=6) == plain_clusters(rows, k, 5, 6)
+
+
+def test_large_components_are_exact(spark):
+    rng = random.Random(3)
+    rows = [(i, [rng.choice([1e5, -2e5, 0.0, 4e6, 1e-3]) + rng.random() for _ in range(3)]) for i in range(80)]
+    assert got_clusters(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=6, dim=3) == plain_clusters(rows, 6, 5, 3)
+    with pytest.raises(Exception, match="fits a long"):
+        clusters(spark.createDataFrame([(1, [1e30]), (2, [0.0])], "vec_id long, embedding array<double>"), k=1, dim=1).collect()
+
+
+def test_few_vectors_and_none(spark):
+    rows = [(3, [0.5, 0.5]), (1, [0.5, 0.5]), (2, [-1.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert got_clusters(df, k=40, dim=2) == plain_clusters(rows, 40, 5, 2)
+    assert clusters(df.limit(0), dim=2).collect() == [] and clusters(df, dim=3).collect() == []
+
+
+def test_bounds_spare_distances_and_never_miss():
+    """Rounds by bounds give the nearest centroids, ties included, and measure far fewer distances than all."""
+    rng = np.random.default_rng(5)
+    x = (np.repeat(rng.integers(-400, 400, (30, 8)), 60, axis=0) + rng.integers(-9, 9, (1800, 8))).astype(np.int64)
+    centroids = x[rng.choice(len(x), 24, replace=False)].copy()
+    centroids[5] = centroids[2]
+    b = clustering.Bounds.fresh(x, centroids, 7)
+    for turn in range(6):
+        d = ((x[:, None, :] - centroids[None]) ** 2).sum(2)
+        assert (b.ids[:, 0] == d.argmin(1)).all()
+        assert (b.low[:, 0] ** 2 >= d[np.arange(len(x)), b.ids[:, 0]] * (1 - 1e-9)).all() and (np.take_along_axis(d, b.ids, 1)[:, 1:] ** 0.5 >= b.low[:, 1:] - 1e-9).all()
+        moved = np.array([x[b.ids[:, 0] == c].sum(0) // max(1, (b.ids[:, 0] == c).sum()) if (b.ids[:, 0] == c).any() else centroids[c] for c in range(24)])
+        drift = clustering.drifts(centroids, moved)
+        centroids = moved
+        b.scans = b.partial = 0
+        b.shorten(7 - turn // 3)
+        b.loosen(drift)
+        b.assign(x, centroids)
+        assert turn < 3 or b.scans < len(x) // 2
+
+
+# Conversation repair
+
+
+def plain_repair(letters):
+    """All edits from the left, a state machine over role initials: the least (cost, audit)."""
+    import functools
+
+    step = {(0, "s"): 1, (0, "u"): 2, (1, "u"): 2, (2, "a"): 3, (3, "u"): 2}
+
+    @functools.lru_cache(None)
+    def best(i, q, put):
+        found = []
+        if i == len(letters) and q in (0, 3):
+            found.append((0, ""))
+        if put < 4:
+            found += [(2 + c, "I" + a) for r in "ua" if (q, r) in step for c, a in [best(i, step[q, r], put + 1)]]
+        if i < len(letters):
+            ch, cut = letters[i], letters[i].isupper()
+            c, a = best(i + 1, q, 0)
+            found.append((3 + c, "D" + a))
+            if ch != "-":
+                for r in "sua":
+                    if (q, r) in step and (ch.lower() == r or r != "s"):
+                        c, a = best(i + 1, step[q, r], 0)
+                        if ch.lower() == r:
+                            found.append((c + cut, "K" + a))
+                        if r != "s":
+                            found.append((2 + c + cut, "R" + a))
+        return min(found, default=(10**9, ""))
+
+    return best(0, 0, 0)
+
+
+def test_parses_of_all_short_conversations():
+    for n in range(5):
+        for letters in itertools.product("suaxSUA-", repeat=n):
+            assert parse("".join(letters)) == plain_repair("".join(letters)), letters
+
+
+@given(st.text(alphabet="suaxSUAX-", max_size=30), st.lists(st.integers(0, 30), max_size=4))
+@settings(max_examples=300, deadline=None)
+def test_pieces_join_to_the_whole(letters, cuts):
+    edges = sorted({0, len(letters), *(c for c in cuts if c < len(letters))})
+    assert joined([piece_ways(letters[a:b]) for a, b in zip(edges, edges[1:])]) == parse(letters) == plain_repair(letters)
+
+
+def plain_conversations(rows, damage=True):
+    """The query by loops over the rows of each conversation."""
+    out = []
+    for conv in {r[0] for r in rows}:
+        made = []
+        for _, turn, role, text in (r for r in rows if r[0] == conv):
+            role, text = " " if role is None else role, " " if text is None else text
+            fate = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20 if damage else 9
+            text = "" if fate == 1 else "".join(c for c in text if c not in ".!?") if fate == 2 else text
+            made += [(turn, "user" if fate == 4 else role, text)] * (0 if fate == 0 else 2 if fate == 3 else 1)
+        made.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1], hashlib.md5(r[2].encode()).hexdigest()))
+        letters, seen, count = [], set(), {"blank": 0, "duplicate": 0, "truncated": 0}
+        for _, role, text in made:
+            solid = text.strip(" \t\n\x0b\x0c\r")
+            fault = "blank" if not solid else "duplicate" if (role, text) in seen else "truncated" if solid[-1] not in ".!?" else None
+            seen.add((role, text))
+            initial = role[:1] if role[:1] in ("s", "u", "a") else "x"
+            letters.append("-" if fault in ("blank", "duplicate") else initial.upper() if fault else initial)
+            if fault:
+                count[fault] += 1
+        turns = [t for t, _, _ in made if t is not None]
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        bad = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(made, made[1:]))
+        cost, audit = plain_repair("".join(letters))
+        outs, at, kept = len(audit) - audit.count("D"), 0, []
+        for ch in audit:
+            role = ("user", "assistant")[(len(kept) - outs % 2) % 2]
+            if ch == "I":
+                kept.append(f"{role}:")
+                continue
+            if ch != "D":
+                kept.append(f"{made[at][1] if ch == 'K' else role}:{made[at][2]}")
+            at += 1
+        out.append((conv, gaps, count["blank"], count["duplicate"], count["truncated"], bad, cost, audit, hashlib.sha256("\n".join(kept).encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("piece", [3, 4096])
+def test_repair_of_odd_conversations(spark, piece):
+    rng = random.Random(9)
+    texts = [None, "", " \n", "Fine.", "Fine. ", "cut off", "Why?", " ", "a\nb!", "é…", "x" * 5000 + "."]
+    rows = [(c, rng.choice([t, t, t, None, 3]), rng.choice(["user", "assistant", "user", "assistant", "system", "tool", None, "", "unicorn"]), rng.choice(texts)) for c in [*range(60), None] for t in range(rng.randrange(1, 14))]
+    rows += [(77, 5, "user", "Same.")] * 40 + [(78, t, "user", "Same.") for t in range(50)] + [(79, None, None, None)] * 3
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("audit", F.lit("clash")).repartition(7)
+    assert sorted((tuple(r) for r in repair(damaged(df), piece).collect()), key=repr) == plain_conversations(rows)
+    assert sorted((tuple(r) for r in repair(plain(df), piece).collect()), key=repr) == plain_conversations(rows, damage=False)
+
+
+def test_repair_of_no_conversations(spark):
+    df = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert repair(damaged(df)).collect() == []
+
+
+def test_a_long_conversation_is_parsed_by_many_tasks(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [(1, t, rng.choice(["user", "assistant"]), f"Turn {t}{rng.choice(['.', '', '!'])}") for t in range(3000)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = audits(plain(df), 100).collect()
+    letters = "".join(r[0] if t[-1] in ".!" else r[0].upper() for _, _, r, t in rows)
+    assert len(got) == 1 and (got[0]["cost"], got[0]["audit"]) == parse(letters) and got[0]["gaps"] == 0
+    monkeypatch.setattr(repair_module, "SHORT", 0)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert audits(plain(df), 100).collect() == got
+        parts = _range_parts(df)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert parts > 1
+
+
+def _range_parts(df):
+    return repair_module.row_letters(plain(df)).repartitionByRange("conv", *repair_module.ORDER).select(F.spark_partition_id().alias("p")).distinct().count()
+
+
+# Fingerprints
+
+
+def plain_fingerprint(text):
+    data = text.encode()
+    counts = [0] * fingerprints.BUCKETS
+    padded = bytes(4) + data
+    for i in range(4, len(padded)):
+        for kind, (a, b) in enumerate(fingerprints.PAIRS):
+            counts[bucket(padded[i], padded[i - a], padded[i - b], kind)] += 1
+    ranked = sorted(counts)
+    quartiles = [ranked[len(counts) * q // 4 - 1] for q in (1, 2, 3)]
+    bits = "".join(f"{sum(c > q for q in quartiles):02b}" for c in counts)
+    return f"{length_code(len(data)):02x}" + f"{int(bits, 2):0{len(counts) // 2}x}"
+
+
+@given(st.text(max_size=300))
+@settings(max_examples=80, deadline=None)
+def test_fingerprints_by_loops(text):
+    assert fingerprint(text.encode()) == plain_fingerprint(text)
+
+
+def test_long_texts_are_counted_in_slices(monkeypatch):
+    rng = random.Random(1)
+    data = bytes(rng.randrange(97, 123) for _ in range(5000))
+    assert (fingerprints.bucket_counts(data, 700) == fingerprints.bucket_counts(data)).all() and fingerprints.bucket_counts(data).sum() == 6 * 5000
+    assert [length_code(n) for n in (0, 1, 2, 4, 5, 8, 9)] == [0, 1, 9, 17, 19, 25, 26] and sorted(codes := [length_code(n) for n in range(5000)]) == codes and length_code(1 << 60) == 255
+
+
+def test_likeness_is_bounded_and_tells_edits_from_others():
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcdefghilmnoprstu") for _ in range(rng.randrange(2, 9))) for _ in range(800)]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(60, 400))) for _ in range(60)]
+    prints = [fingerprint(t.encode()) for t in texts]
+    assert likeness(prints[0], prints[0]) == 1 and likeness(prints[0], prints[1]) == likeness(prints[1], prints[0])
+    assert likeness("00" + "00" * 32, "ff" + "ff" * 32) == 0
+    near = [likeness(p, fingerprint(edited(t, u).encode())) for t, u, p in zip(texts, texts[1:], prints)]
+    far = [likeness(p, q) for p, q in zip(prints, prints[1:])]
+    assert all(0 <= x <= 1 for x in near + far) and sum(a > b for a, b in zip(near, far)) > 0.95 * len(far)
+
+
+def plain_edited(rows):
+    rows = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, hashlib.md5(r[1].encode()).hexdigest()))
+    out = []
+    for (i, text), (_, follower) in zip(rows, rows[1:] + rows[:1]):
+        half = len(text) // 2
+        new = text[: len(text) - half] + follower[:half]
+        p, e, f = (plain_fingerprint(t) for t in (text, new, follower))
+        out.append((i, len(text), hashlib.sha256(new.encode()).hexdigest(), p, e, likeness(p, e), likeness(p, f)))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 60])
+def test_documents_meet_their_followers(spark, n):
+    rng = random.Random(n)
+    rows = [(rng.choice([i, i, 5, None]), rng.choice([None, "", "a", "ab", "élan " * rng.randrange(1, 30), f"text {i} of its own", "😀" * 7])) for i in range(n)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("fingerprint", F.lit(1)).withColumn("part", F.lit(2)).repartition(3)
+    got = edited_fingerprints(df)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == plain_edited(rows)
+    again = fingerprints.fingerprints(df)
+    assert again.columns == ["doc_id", "text", "part", "fingerprint"] and all(r["fingerprint"] == plain_fingerprint(r["text"] or "") for r in again.collect())
+
+
+# Whole tables against SQL
+
+
+@pytest.mark.skipif(not os.path.isdir(DIR), reason="no test data")
+@pytest.mark.parametrize("name", ["op11_centroid_clustering", "op12_conversation_repair"])
+def test_queries_against_their_sql(spark, name):
+    from tidemark.llm import queries
+
+    con = duckdb.connect()
+    for t in ("embeddings", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DIR}/{t}.parquet'")
+    got = queries.queries()[name](spark, DIR)
+    cur = con.execute(queries.oracle_sql()[name])
+    names = [d[0] for d in cur.description]
+    assert sorted(names) == sorted(got.columns)
+    want = sorted(repr(tuple(r[names.index(c)] for c in got.columns)) for r in cur.fetchall())
+    assert sorted(repr(tuple(r)) for r in got.collect()) == want
