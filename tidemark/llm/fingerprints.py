@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import SLICE_BYTES, lean, scratch_path, short_batches, shuffles_go
 
@@ -119,7 +120,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             found = [fingerprint((v.as_py() or "").encode()) for v in batch.column(at)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], names=[*kept, "fingerprint"])
 
-    return rows.mapInArrow(lean(work), rows.schema.add("fingerprint", "string"))
+    return rows.mapInArrow(lean(work), T.StructType([*rows.schema.fields, T.StructField("fingerprint", T.StringType())]))
 
 
 _ROW = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
