@@ -153,14 +153,14 @@ def put(folder, name, *rows):
 
 
 class Rows(FrameSink):
-    """Keeps rows, as frames of a batch can't be read after it."""
+    """Keeps rows."""
 
     def __init__(self):
         super().__init__()
         self.kept = {}
 
     def rows(self, s, df):
-        self.events += [("SCHEMA", s.name)] * (("SCHEMA", s.name) not in self.events)
+        self.schema(s)
         got = df.collect()
         self.kept.setdefault(s.name, []).extend(got)
         self.events += [("RECORD", s.name)] * len(got)
@@ -171,14 +171,14 @@ def test_run_resume_and_feedback(spark, tmp_path):
     put(folder, "a", (10, message("I", id=("integer", 1))), (11, message("I", "orders", id=("integer", 99))), (12, message("D", id=("integer", 1))), (13, "{bad"))
     state, sink = State(str(tmp_path / "state.json")), Rows()
     specs = [spec(), spec("orders")]
-    more = {"checkpoint": str(tmp_path / "ck"), "landing": str(tmp_path / "land"), "quarantine": str(tmp_path / "bad")}
+    more = {"landing": str(tmp_path / "land"), "quarantine": str(tmp_path / "bad")}
     run = LogRun(spark, specs, state, sink, {"path": str(folder)}, **more)
     report = run.run()
     assert report.caught_up and report.advanced_to == 13 and report.counts == {"emitted": 3, "malformed": 1}
     assert run.run() is report
     assert [r["id"] for r in sink.kept["public-users"]] == [1, 1] and state.bookmark("public-orders") == 13
     assert wal.DirectoryLog({"path": str(folder)}).acknowledged() == 13
-    assert spark.read.parquet(str(tmp_path / "bad")).count() == 1 and spark.read.parquet(str(tmp_path / "land")).count() == 4
+    assert spark.read.parquet(str(tmp_path / "bad")).count() == 1 and spark.read.parquet(str(tmp_path / "land/files")).count() == 4
     assert [k for k, _ in sink.events][:2] == ["SCHEMA", "SCHEMA"]
     put(folder, "b", (20, message("I", "orders", id=("integer", 100))))
     sink = Rows()
@@ -270,24 +270,27 @@ class Slot(wal.PostgresLog):
     """A replication slot whose server sends some messages and then nothing."""
 
     def __init__(self, messages, wal_end):
-        super().__init__({"slot": "s", "idle_seconds": "0.3"})
-        self.messages, self.end = messages, wal_end
+        super().__init__({"slot": "s"})
+        self.messages, self.end, self.told = messages, wal_end, []
 
     def _replication(self):
-        messages, end = list(self.messages), self.end
+        messages, end, told = list(self.messages), self.end, self.told
 
-        class Message:
-            def __init__(self, lsn):
-                self.data_start, self.payload = lsn, f"m{lsn}"
+        class Sent:
+            def __init__(self, lsn, payload):
+                self.data_start, self.payload = lsn, payload
 
         class Cursor:
             wal_end = end
 
             def start_replication(self, **more):
-                assert more["slot_name"] == "s"
+                assert more["slot_name"] == "s" and more["options"]["include-transaction"] == "True"
 
             def read_message(self):
-                return Message(messages.pop(0)) if messages else None
+                return Sent(*messages.pop(0)) if messages else None
+
+            def send_feedback(self, flush_lsn, **more):
+                told.append(flush_lsn)
 
             def cursor(self):
                 return self
@@ -305,10 +308,11 @@ class Slot(wal.PostgresLog):
 
 
 def test_silence_is_no_end():
-    assert [n for n, _ in Slot([9, 10, 12, 30], 40).read(10, 21)] == [10, 12]
-    assert [n for n, _ in Slot([10, 12], 20).read(10, 21)] == [10, 12]
+    plain = lambda *at: [(n, f"m{n}") for n in at]
+    assert [m.lsn for m in wal.read_range(Slot(plain(9, 10, 12, 30), 40), 10, 21)] == [10, 12]
+    assert [m.lsn for m in wal.read_range(Slot(plain(10, 12), 20), 10, 21)] == [10, 12]
     with pytest.raises(TimeoutError):
-        list(Slot([10, 12], 15).read(10, 21))
+        list(wal.read_range(Slot(plain(10, 12), 15), 10, 21, idle=0.2))
 
 
 def test_slots_need_a_landing(spark):
@@ -350,4 +354,4 @@ def test_many_streams_at_once(spark, tmp_path):
     sink = FileSink(str(tmp_path / "out"), "parquet", None)
     run = LogRun(spark, specs, State(), sink, {})
     run.batch(log(spark, *rows), 0)
-    assert all(spark.read.parquet(str(tmp_path / f"out/public-t{i}")).count() == 4 for i in range(10)) and run.report.by_stream["public-t11"] == 0
+    assert all(sink.frame(specs[i]).count() == 4 for i in range(10)) and sink.frame(specs[11]).count() == 0 and run.report.by_stream["public-t11"] == 0

@@ -64,6 +64,8 @@ class Settings:
     start_date: str | None = None
     flattening_enabled: bool = False
     flattening_max_depth: int = 1
+    #: Whether columns that appear in a log are taken up; else they are left out, and their messages go to the quarantine too.
+    evolve_schemas: bool = True
 
     def __post_init__(self) -> None:
         if self.url is None:

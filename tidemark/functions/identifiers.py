@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from tidemark.config import SLOT_NAME
 
 
+def quoted(column: str) -> Column:
+    """A column by its whole name, dots and backticks included."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def shown_name(schema: Column, table: Column) -> Column:
     """``schema.table`` as it is: no quotes, no case folding."""
     return F.concat(schema, F.lit("."), table)

@@ -90,9 +90,27 @@ def hstore(text: Column) -> Column:
     return F.map_from_entries(F.transform(last, lambda e: F.struct(e["k"], e["v"])))
 
 
+def _in_utc(ts: Column) -> Column:
+    """The wall clock in UTC, as text, of a moment, whatever the session's zone; a time without a zone is as it is.
+
+    A moment becomes the wall clock of the session's zone by a cast, and that of UTC from there; text, as patterns would go by
+    the session's zone again, in which some wall clocks don't exist.
+    """
+    wall = ts.cast("timestamp_ntz")
+    return F.when(F.typeof(ts) == "timestamp", F.convert_timezone(F.current_timezone(), F.lit("UTC"), wall)).otherwise(wall).cast("string")
+
+
+def _parts(ts: Column) -> tuple[Column, Column, Column]:
+    text = _in_utc(ts)
+    clock = F.substring_index(text, " ", -1)
+    return F.substring_index(text, " ", 1), F.substring(clock, 1, 8), F.rpad(F.substring(clock, 10, 6), 6, "0")
+
+
 def iso_timestamp(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+    day, second, fraction = _parts(ts)
+    return F.concat(day, F.lit("T"), second, F.lit("."), fraction, F.lit("+00:00"))
 
 
 def utc_second(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    day, second, _ = _parts(ts)
+    return F.concat(day, F.lit("T"), second, F.lit("Z"))

@@ -5,18 +5,22 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from itertools import chain
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.identifiers import table_filter
-from tidemark.operators.decode import EMITTED, FILTERED, MALFORMED, NON_DATA, UNROUTABLE, action_of, decoded, message_route
+from tidemark.operators.decode import EMITTED, FILTERED, MALFORMED, NON_DATA, QUARANTINED, UNKNOWN, UNROUTABLE, action_of, decoded, message_route
 from tidemark.plans.catalog import StreamSpec
+from tidemark.sources.wal import with_commits
 
 
 class Routes:
-    """The streams of a log and where each starts. A table may be registered once."""
+    """The streams of a log and where each starts. A table may be registered once.
 
-    def __init__(self, streams: Iterable[StreamSpec], starts: Mapping[str, int] | None = None):
+    ``starts`` are positions, which count themselves; ``done`` are commits of which nothing is wanted any more.
+    """
+
+    def __init__(self, streams: Iterable[StreamSpec], starts: Mapping[str, int] | None = None, done: Mapping[str, int] | None = None):
         self.streams = list(streams)
         if not self.streams:
             raise ValueError("a log needs a stream at least")
@@ -26,6 +30,7 @@ class Routes:
         if twice := sorted({s.name for s in self.streams if seen.count(s.route) > 1}):
             raise ValueError(f"registered twice: {', '.join(twice)}")
         self.starts = {s.name: int((starts or {}).get(s.name) or 0) for s in self.streams}
+        self.done = {s.name: int((done or {}).get(s.name, -1)) for s in self.streams}
 
     @property
     def global_start(self) -> int:
@@ -41,22 +46,31 @@ class Routes:
         return table_filter(self.tables)
 
 
+def position() -> Column:
+    """Where a message counts: at its commit, or where it has no frames at its own place."""
+    return F.coalesce("commit", "lsn")
+
+
 def dispatched(log: DataFrame, routes: Routes) -> DataFrame:
-    """``lsn, payload, msg, stream, disposition``: what becomes of each message.
+    """``lsn, payload, commit, seq, msg, stream, disposition``: what becomes of each message.
 
     Streams and starts are literals of the plan: no join, no shuffle.  A message
-    at its stream's start is kept: at least once.
+    at its stream's start is kept: at least once; but of a commit that its stream
+    has done nothing comes again.  Transactions overlap, so it is the commit's
+    position that counts, not the change's own.
     """
-    pairs = [(s.route, s.name, routes.starts[s.name]) for s in routes.streams]
-    names = F.create_map(*chain.from_iterable((F.lit(r), F.lit(n)) for r, n, _ in pairs))
-    starts = F.create_map(*chain.from_iterable((F.lit(r), F.lit(x).cast("bigint")) for r, _, x in pairs))
+    log = with_commits(log)
+    by_route = lambda of: F.create_map(*chain.from_iterable((F.lit(s.route), F.lit(of[s.name])) for s in routes.streams))
+    names = by_route({s.name: s.name for s in routes.streams})
+    first = F.try_element_at(by_route(routes.starts), "route")
+    done = F.try_element_at(by_route(routes.done), "route")
     msg = F.col("msg")
     with_route = decoded(log).withColumn("route", message_route(msg)).withColumn("stream", F.try_element_at(names, "route"))
     what = (
         F.when(msg.isNull(), MALFORMED)
         .when(msg["schema"].isNull() | msg["table"].isNull(), NON_DATA)
         .when(F.col("stream").isNull(), UNROUTABLE)
-        .when(F.col("lsn") < F.try_element_at(starts, "route"), FILTERED)
+        .when((position() < first) | (F.col("commit").isNotNull() & (F.col("commit") <= done)), FILTERED)
         .otherwise(action_of(msg))
     )
     return with_route.withColumn("disposition", what).drop("route")
@@ -86,4 +100,4 @@ def emitted(messages: DataFrame, stream: StreamSpec) -> DataFrame:
 
 def quarantined(messages: DataFrame) -> DataFrame:
     """Messages that can't become rows, with the reason; they are passed for good, so keep them."""
-    return messages.filter(F.col("disposition").isin(MALFORMED, "quarantined", "unknown")).select("lsn", "payload", F.col("disposition").alias("reason"))
+    return messages.filter(F.col("disposition").isin(MALFORMED, QUARANTINED, UNKNOWN)).select("lsn", "payload", F.col("disposition").alias("reason"))

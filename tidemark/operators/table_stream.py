@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.config import INCREMENTAL, Settings
+from tidemark.functions.identifiers import quoted
 from tidemark.functions.values import iso_timestamp
 from tidemark.plans.catalog import DELETED, LSN, StreamSpec
 
@@ -25,7 +26,7 @@ def since(df: DataFrame, key: str, start: Any | None) -> DataFrame:
 
     A start that is text, as state files have it, is read as the key's type.
     """
-    return df if start is None else df.filter(F.col(key) >= _as_key(df, key, start))
+    return df if start is None else df.filter(quoted(key) >= _as_key(df, key, start))
 
 
 def _as_key(df: DataFrame, key: str, value: Any) -> Column:
@@ -33,7 +34,7 @@ def _as_key(df: DataFrame, key: str, value: Any) -> Column:
 
 
 def in_order(df: DataFrame, key: str, *more: str) -> DataFrame:
-    return df.orderBy(F.col(key).asc_nulls_first(), *more)
+    return df.orderBy(quoted(key).asc_nulls_first(), *map(quoted, more))
 
 
 def ranked(df: DataFrame, folder: str, key: str, *more: str) -> DataFrame:
@@ -51,7 +52,7 @@ def ranked(df: DataFrame, folder: str, key: str, *more: str) -> DataFrame:
         base += r["count"]
     before = df.sparkSession.createDataFrame(bases, "_range long, _base long")
     place = F.col("_base") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
-    return rows.join(F.broadcast(before), "_range").select(*df.columns, place.alias("pos"))
+    return rows.join(F.broadcast(before), "_range").select(*map(quoted, df.columns), place.alias("pos"))
 
 
 def limited(df: DataFrame, most: int | None) -> DataFrame:
@@ -62,8 +63,8 @@ def limited(df: DataFrame, most: int | None) -> DataFrame:
 def dates_as_text(df: DataFrame) -> DataFrame:
     """Dates and timestamps as ISO text. A source with dates that Spark can't hold should give text itself."""
     kinds = {f.name: f.dataType for f in df.schema.fields}
-    dates = {c: F.col(c).cast("string") for c, k in kinds.items() if isinstance(k, T.DateType)}
-    times = {c: iso_timestamp(F.col(c)) for c, k in kinds.items() if isinstance(k, (T.TimestampType, T.TimestampNTZType))}
+    dates = {c: quoted(c).cast("string") for c, k in kinds.items() if isinstance(k, T.DateType)}
+    times = {c: iso_timestamp(quoted(c)) for c, k in kinds.items() if isinstance(k, (T.TimestampType, T.TimestampNTZType))}
     return df.withColumns(dates | times) if dates or times else df
 
 
@@ -77,9 +78,9 @@ def read_stream(df: DataFrame, spec: StreamSpec, settings: Settings | None = Non
     df = where_all(df, settings.where(spec.name) if where is None and settings else where or ())
     if spec.method == INCREMENTAL and spec.replication_key:
         df = since(df, spec.replication_key, start if start is not None else settings and settings.start_date)
-        df = in_order(df.select(*spec.columns), spec.replication_key, *spec.keys)
+        df = in_order(df.select(*map(quoted, spec.columns)), spec.replication_key, *spec.keys)
     else:
-        df = df.select(*spec.columns)
+        df = df.select(*map(quoted, spec.columns))
     df = limited(df, settings.max_record_count if settings else None)
     return dates_as_text(df) if settings and settings.dates_as_string else df
 
@@ -87,12 +88,12 @@ def read_stream(df: DataFrame, spec: StreamSpec, settings: Settings | None = Non
 def bootstrap(df: DataFrame, spec: StreamSpec, where: Sequence[str] = ()) -> DataFrame:
     """A snapshot in the shape of the change log: real columns, no deletion, no position. No limit."""
     nulls = {DELETED: F.lit(None).cast("string"), LSN: F.lit(None).cast("bigint")}
-    return where_all(df, where).select(*spec.real_columns).withColumns(nulls)
+    return where_all(df, where).select(*map(quoted, spec.real_columns)).withColumns(nulls)
 
 
 def new_bookmark(df: DataFrame, key: str, old: Any | None = None) -> DataFrame:
     """The greatest key seen, never less than the old one; null only if there is neither."""
-    new = F.max(key)
+    new = F.max(quoted(key))
     return df.agg((F.greatest(new, _as_key(df, key, old)) if old is not None else new).alias("bookmark"))
 
 
@@ -103,7 +104,7 @@ def mapped(df: DataFrame, rules: Mapping[str, str | None], keep: str | None = No
     """
     if keep:
         df = df.filter(F.expr(keep))
-    rest = [] if otherwise_drop else [F.col(c) for c in df.columns if c not in rules]
+    rest = [] if otherwise_drop else [quoted(c) for c in df.columns if c not in rules]
     return df.select(*rest, *(F.expr(e).alias(c) for c, e in rules.items() if e is not None))
 
 
@@ -115,4 +116,8 @@ def flattened(df: DataFrame, depth: int = 1, separator: str = "__") -> DataFrame
             return [x for f in kind.fields for x in walk(column.getField(f.name), f"{name}{separator}{f.name}", f.dataType, left - 1)]
         return [(F.to_json(column) if isinstance(kind, (T.StructType, T.MapType, T.VariantType)) else column).alias(name)]
 
-    return df.select(*(x for f in df.schema.fields for x in walk(F.col(f"`{f.name}`"), f.name, f.dataType, depth)))
+    found = [x for f in df.schema.fields for x in walk(quoted(f.name), f.name, f.dataType, depth)]
+    flat = df.select(*found)
+    if twice := sorted({c for c in flat.columns if flat.columns.count(c) > 1}):
+        raise ValueError(f"flattening gives more than one column named {', '.join(twice)}")
+    return flat

@@ -145,9 +145,10 @@ def wal_stream_run(spark, sf_dir):
     """The log landed as files, read as a stream, decoded batch by batch, written by stream, and read back."""
     folder = scratch_folder(spark, "wal-stream")
     event_log(spark, sf_dir).select("lsn", "payload").repartition(3, "lsn").write.parquet(f"{folder}/log")
-    run = LogRun(spark, [event_stream()], State(), messages.FileSink(f"{folder}/out", "parquet", None), {}, now=F.lit(NOW))
+    sink = messages.FileSink(f"{folder}/out", "parquet", None)
+    run = LogRun(spark, [event_stream()], State(), sink, {}, now=F.lit(NOW))
     run.replay(f"{folder}/log", f"{folder}/checkpoint", files_per_batch=2)
-    return spark.read.parquet(f"{folder}/out/public-events").drop("_run", "_batch")
+    return sink.frame(event_stream())
 
 
 def wal_upserts(spark, sf_dir):

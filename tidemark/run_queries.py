@@ -37,7 +37,7 @@ def _again(state: State) -> State:
 def _log_folder(spark: SparkSession, sf_dir: str, upto: str = "true", two_tables: bool = False) -> str:
     """The events' log as a folder that the streaming source reads."""
     path = f"{scratch_folder(spark, 'log')}/log"
-    base.event_log(spark, sf_dir, two_tables).select("lsn", "payload").filter(upto).write.json(path)
+    base.event_log(spark, sf_dir, two_tables).select("lsn", "payload").filter(upto).repartitionByRange("lsn").sortWithinPartitions("lsn").write.json(path)
     return path
 
 
@@ -52,7 +52,7 @@ def wal_source_run(spark, sf_dir):
     for upto in (f"lsn <= {middle}", "true"):
         LogRun(spark, [base.event_stream()], state, sink, {"path": _log_folder(spark, sf_dir, upto)}, now=F.lit(base.NOW)).run()
         state = _again(state)
-    return spark.read.parquet(f"{sink.folder}/public-events").drop("_run", "_batch")
+    return sink.frame(base.event_stream())
 
 
 def wal_idle_run(spark, sf_dir):
@@ -60,7 +60,7 @@ def wal_idle_run(spark, sf_dir):
     settings = Settings(url=_URL, replication_idle_exit_seconds=2)
     sink = messages.FileSink(scratch_folder(spark, "wal-idle"), "parquet", None)
     report = LogRun(spark, [base.event_stream()], State(), sink, {"path": _log_folder(spark, sf_dir)}, settings, now=F.lit(base.NOW)).run()
-    rows = spark.read.parquet(f"{sink.folder}/public-events")
+    rows = sink.frame(base.event_stream())
     return rows.agg(F.count("*").alias("n"), F.countDistinct("_sdc_lsn").alias("positions")).withColumns({"emitted": F.lit(report.counts["emitted"]).cast("long"), "caught_up": F.lit(report.caught_up), "advanced_to": F.lit(report.advanced_to).cast("long")})
 
 
@@ -70,31 +70,17 @@ def wal_retried_batch(spark, sf_dir):
     run = LogRun(spark, [base.event_stream()], State(), sink, {}, now=F.lit(base.NOW))
     for _ in range(2):
         run.batch(base.event_log(spark, sf_dir).select("lsn", "payload"), 3)
-    return spark.read.parquet(f"{sink.folder}/public-events").drop("_run", "_batch")
-
-
-class _Stopped(LogRun):
-    """A run whose time is up after the first half of the log."""
-
-    def _drain(self, seconds: float) -> bool:
-        return super()._drain(600) and False
-
-
-class Mute(wal.DirectoryLog):
-    """A log that can't be told anything."""
-
-    def feedback(self, lsn: int) -> None:
-        raise OSError("no one listens")
+    return sink.frame(base.event_stream())
 
 
 def wal_run_ends(spark, sf_dir):
-    """Runs that drain the log, that run out of time, whose feedback fails, and that find nothing for their stream."""
-    middle, rows = _middle(spark, sf_dir), []
-    quiet = replace(base.event_stream(), table="quiet")
-    cases = [("drained", LogRun, base.event_stream(), "true", {}), ("out of time", _Stopped, base.event_stream(), f"lsn <= {middle}", {}), ("unheard", LogRun, base.event_stream(), "true", {"client": "tidemark.run_queries:Mute", "feedback": "false"}), ("quiet", LogRun, quiet, "true", {})]
-    for name, kind, spec, upto, more in cases:
-        path, state = _log_folder(spark, sf_dir, upto), State()
-        report = kind(spark, [spec], state, messages.FrameSink(), {"path": path, **more}).run()
+    """Runs that drain the log, whose time is up after their first segment, and that find nothing for their stream."""
+    rows, quiet = [], replace(base.event_stream(), table="quiet")
+    no_time = Settings(url=_URL, replication_max_run_seconds=0, replication_idle_exit_seconds=0)
+    cases = [("drained", base.event_stream(), None, {}), ("out of time", base.event_stream(), no_time, {"segment_rows": "100", "segments_per_batch": "1"}), ("quiet", quiet, None, {})]
+    for name, spec, settings, more in cases:
+        path, state = _log_folder(spark, sf_dir), State()
+        report = LogRun(spark, [spec], state, messages.FrameSink(), {"path": path, **more}, settings).run()
         rows.append((name, report.caught_up, report.advanced_to, wal.DirectoryLog({"path": path}).acknowledged(), state.bookmark(spec.name)))
     return spark.createDataFrame(rows, "run string, caught_up boolean, advanced_to long, confirmed long, bookmark long")
 
@@ -109,13 +95,18 @@ def wal_message_order(spark, sf_dir):
 
 
 def wal_lsn_order(spark, sf_dir):
-    """Rows of a batch are in log order within each file, whatever order the messages came in."""
+    """Rows of a batch are in the log's order from file to file, by their numbers, whatever order the messages came in."""
     sink = messages.FileSink(scratch_folder(spark, "wal-order"), "parquet", None)
     log = base.event_log(spark, sf_dir).select("lsn", "payload").repartition(3, F.hash("lsn"))
-    LogRun(spark, [base.event_stream()], State(), sink, {}, now=F.lit(base.NOW)).batch(log)
-    rows = spark.read.parquet(f"{sink.folder}/public-events").select("_sdc_lsn", F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("at"))
-    before = F.lag("_sdc_lsn").over(Window.partitionBy("file").orderBy("at"))
-    return rows.withColumn("before", before).agg(F.count("*").alias("n"), F.count(F.when(F.col("before") > F.col("_sdc_lsn"), 1)).alias("out_of_order"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        LogRun(spark, [base.event_stream()], State(), sink, {}, now=F.lit(base.NOW)).batch(log)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    part = sink.committed()[0]["part"]
+    rows = spark.read.parquet(f"{sink.folder}/_log/{part}").select(F.get_json_object("value", "$._sdc_lsn").cast("long").alias("lsn"), F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("at"))
+    before = F.lag("lsn").over(Window.orderBy("file", "at"))
+    return rows.withColumn("before", before).agg(F.count("*").alias("n"), F.count(F.when(F.col("before") > F.col("lsn"), 1)).alias("out_of_order"), (F.countDistinct("file") > 1).alias("several"))
 
 
 def wal_state_messages(spark, sf_dir):
@@ -169,7 +160,7 @@ def wal_uncastable_quarantined(spark, sf_dir):
     sink = messages.FileSink(scratch_folder(spark, "wal-lost"), "parquet", None)
     LogRun(spark, [_typed_stream("n", T.LongType())], State(), sink, {}, now=F.lit(base.NOW)).batch(_typed_log(spark, sf_dir, "n", "bigint", number))
     bad = spark.read.parquet(sink.quarantine).select("lsn", "reason", F.get_json_object("payload", "$.columns[1].value").alias("value"))
-    good = spark.read.parquet(f"{sink.folder}/public-typed").select(F.col("event_id").alias("lsn"), F.lit(None).cast("string").alias("reason"), F.col("n").cast("string").alias("value"))
+    good = sink.frame(_typed_stream("n", T.LongType())).select(F.col("event_id").alias("lsn"), F.lit(None).cast("string").alias("reason"), F.col("n").cast("string").alias("value"))
     return bad.unionByName(good)
 
 
@@ -367,10 +358,10 @@ def oracle_sql() -> dict[str, str]:
         "wal_idle_run": f"SELECT count(*) FILTER (WHERE {data}) AS n, count(*) FILTER (WHERE {data}) AS positions, count(*) FILTER (WHERE {data}) AS emitted, true AS caught_up, max(event_id) AS advanced_to FROM events",
         "wal_retried_batch": f"SELECT * FROM {rows}",
         "wal_run_ends": f"""SELECT 'drained' AS run, true AS caught_up, max(event_id) AS advanced_to, max(event_id) AS confirmed, max(event_id) AS bookmark FROM events
-            UNION ALL SELECT 'out of time', false, max(event_id), max(event_id), max(event_id) FROM events WHERE event_id <= {middle}
-            UNION ALL SELECT 'unheard', true, NULL, NULL, max(event_id) FROM events WHERE {data} UNION ALL SELECT 'quiet', true, max(event_id), max(event_id), max(event_id) FROM events""",
+            UNION ALL SELECT 'out of time', false, max(event_id), max(event_id), max(event_id) FROM (SELECT event_id FROM events ORDER BY event_id LIMIT 100)
+            UNION ALL SELECT 'quiet', true, max(event_id), max(event_id), max(event_id) FROM events""",
         "wal_message_order": "SELECT * FROM (VALUES (0, 'SCHEMA', 'public-events'), (1, 'SCHEMA', 'public-clicks'), (2, 'SCHEMA', 'public-quiet'), (3, 'RECORD', 'public-events'), (4, 'RECORD', 'public-clicks')) t(pos, kind, stream)",
-        "wal_lsn_order": f"SELECT count(*) AS n, 0::BIGINT AS out_of_order FROM events WHERE {data}",
+        "wal_lsn_order": f"SELECT count(*) AS n, 0::BIGINT AS out_of_order, true AS several FROM events WHERE {data}",
         "wal_state_messages": f"SELECT i::INTEGER AS batch, max(event_id) AS bookmark FROM range(4) r(i), events WHERE {data} AND event_id % 4 <= i GROUP BY i",
         "wal_separate_readers": f"SELECT shared, {base._STREAM} AS stream, count(*) AS n, (SELECT max(event_id) FROM events) AS advanced_to FROM events, (VALUES (true), (false)) m(shared) WHERE {data} GROUP BY 1, 2",
         "wal_timestamptz": "SELECT event_id, epoch_us(TIMESTAMP '2024-03-01' + to_hours(event_id) - to_hours(2)) AS micros, strftime(TIMESTAMP '2024-03-01' + to_hours(event_id), '%Y-%m-%d %H:%M:%S.%f') || '+02' AS text FROM events",

@@ -1,12 +1,17 @@
-"""The write-ahead log as a streaming source of ``lsn, payload``.
-
-A Python data source with log positions as offsets: ``[start, end)``.  What
-speaks to a server is a small client class, named by an option, so that tests
-use one that reads files.  ``PostgresLog`` is untested against a server: none
-can be reached from here.
-
-Slot reads can't be repeated once the server has been told that they were
-processed, so a run lands raw messages first; see ``streaming.run``.
+"""The write-ahead log: messages in the order of commits, and a streaming source of them.
+
+A slot sends whole transactions, one after the other by their commits, while each
+change has the position at which it was made.  Transactions overlap, so changes
+are not in order of their own positions, and a range of those would cut
+transactions apart.  What a run has read is therefore told by commits: a message
+between the plugin's begin and commit frames has the commit's position and its
+number within it; a message without frames is a commit of its own.
+
+What speaks to a server is a small client class, named by an option, so that
+tests use one that reads files.  ``PostgresLog`` is untested against a server:
+none can be reached from here.  Slot reads can't be repeated once the server has
+been told that they were processed, so a run lands messages first; see
+``sources.segments``.
 """
 
 from __future__ import annotations
@@ -14,62 +19,145 @@ from __future__ import annotations
 import importlib
 import io
 import json
+import re
 import select
 import time
-from collections.abc import Iterator, Mapping
-from typing import Protocol
+from collections.abc import Iterable, Iterator, Mapping
+from typing import NamedTuple, Protocol
 
 import pyarrow.fs as pafs
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 from tidemark.functions.lsn import format_lsn, parse_lsn
 
 FORMAT = "tidemark_wal"
-SCHEMA = "lsn bigint, payload string"
+#: A message's own position and text; the position of its commit and its number within it, null for one without frames.
+SCHEMA = "lsn bigint, payload string, commit bigint, seq bigint"
+
+_FRAME = re.compile(r'\s*\{\s*"action"\s*:\s*"([BC])"')
 
 
 class WalClient(Protocol):
     """A client is made from the source's options, on the driver and in tasks."""
 
+    #: How far the log had been sent when it was last silent; None if that isn't known.
+    wal_end: int | None
+
     def tip(self) -> int | None: ...
-    def read(self, start: int, end: int) -> Iterator[tuple[int, str]]: ...
+    def follow(self, start: int) -> Iterator[tuple[int, str] | None]: ...
     def feedback(self, lsn: int) -> None: ...
 
 
-def replication_options(add_tables: str) -> dict[str, str]:
-    """Options of the decoding plugin: one message a change, no transaction frames, some tables only."""
-    return {"format-version": "2", "include-transaction": "False", "add-tables": add_tables}
+def replication_options(add_tables: str, frames: bool = False) -> dict[str, str]:
+    """Options of the decoding plugin: one message a change, some tables only, and the frames of transactions where they are wanted."""
+    return {"format-version": "2", "include-transaction": str(frames), "add-tables": add_tables}
+
+
+def frame_of(payload: str | None) -> str | None:
+    """B or C for the frames of a transaction."""
+    found = _FRAME.match(payload) if payload else None
+    return found[1] if found else None
+
+
+class Message(NamedTuple):
+    lsn: int
+    payload: str | None
+    commit: int | None
+    seq: int | None
+
+    @property
+    def position(self) -> int:
+        return self.lsn if self.commit is None else self.commit
+
+
+def positioned(messages: Iterable[tuple[int, str] | None]) -> Iterator[Message | None]:
+    """Messages with their commits; None where the log was silent. A transaction is held until its commit, and one that has none yet isn't given."""
+    held: list[tuple[int, str]] | None = None
+    for m in messages:
+        if m is None:
+            yield None
+            continue
+        lsn, payload = m
+        frame = frame_of(payload)
+        if frame == "B":
+            held = []
+        elif frame == "C":
+            yield from (Message(at, text, lsn, i) for i, (at, text) in enumerate(held or ()))
+            held = None
+        elif held is None:
+            yield Message(lsn, payload, None, None)
+        else:
+            held.append((lsn, payload))
 
 
 class DirectoryLog:
-    """A log in a folder of JSON lines ``{"lsn": n, "payload": "..."}``, on any file system that Arrow knows; feedback goes to a file beside them."""
+    """A log in a folder of JSON lines ``{"lsn": n, "payload": "..."}``, on any file system that Arrow knows; feedback goes to a file beside them.
+
+    Files are in the order of their names.  Of each file is remembered where its last commit is and whether it ends
+    within a transaction, so that one that is read again starts at the file where news can be.
+    """
 
     #: Whether messages can still be read after feedback.
     replayable = True
+    _ends: dict[tuple, tuple[int | None, bool, int | None]] = {}
 
     def __init__(self, options: Mapping[str, str]):
         path = options["path"]
         if path.startswith("file:"):
             path = "/" + path[5:].lstrip("/")
         self.fs, self.folder = pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
+        self.wal_end: int | None = None
 
-    def _files(self) -> list[str]:
+    def _files(self) -> list[pafs.FileInfo]:
         found = self.fs.get_file_info(pafs.FileSelector(self.folder))
-        return sorted(f.path for f in found if f.path.endswith((".json", ".jsonl")))
+        return sorted((f for f in found if f.path.endswith((".json", ".jsonl"))), key=lambda f: f.path)
 
-    def _all(self) -> Iterator[tuple[int, str]]:
-        for path in self._files():
-            with self.fs.open_input_stream(path) as f:
-                for line in io.TextIOWrapper(f, "utf-8", newline="\n"):
-                    row = json.loads(line)
-                    yield row["lsn"], row.get("payload")
+    def _lines(self, path: str) -> Iterator[tuple[int, str]]:
+        with self.fs.open_input_stream(path) as f:
+            for line in io.TextIOWrapper(f, "utf-8", newline="\n"):
+                row = json.loads(line)
+                yield row["lsn"], row.get("payload")
+
+    def _end(self, f: pafs.FileInfo, inside: bool) -> tuple[int | None, bool, int | None]:
+        """A file's last commit, whether it ends within a transaction (as it begins with ``inside``), and its greatest position."""
+        key = (f.path, f.size, f.mtime_ns, inside)
+        if key not in self._ends:
+            last = top = None
+            for lsn, payload in self._lines(f.path):
+                frame = frame_of(payload)
+                inside = frame == "B" or (inside and frame != "C")
+                if not inside:
+                    last = lsn if last is None else max(last, lsn)
+                top = lsn if top is None else max(top, lsn)
+            self._ends[key] = (last, inside, top)
+        return self._ends[key]
 
     def tip(self) -> int | None:
-        return max((lsn for lsn, _ in self._all()), default=None)
-
-    def read(self, start: int, end: int) -> Iterator[tuple[int, str]]:
-        return (x for x in self._all() if start <= x[0] < end)
+        return self._top(self._files())
+
+    def _top(self, files: list[pafs.FileInfo]) -> int | None:
+        top, inside = None, False
+        for f in files:
+            _, inside, most = self._end(f, inside)
+            top = most if top is None else top if most is None else max(top, most)
+        return top
+
+    def follow(self, start: int) -> Iterator[tuple[int, str] | None]:
+        """From the first file that can have a commit at the start or behind it, once to the end."""
+        files, first, inside = self._files(), 0, False
+        for i, f in enumerate(files):
+            last, ends_inside, _ = self._end(f, inside)
+            if last is not None and last >= start:
+                break
+            inside = ends_inside
+            if not inside:
+                first = i + 1
+        for f in files[first:]:
+            yield from self._lines(f.path)
+        self.wal_end = self._top(files)
+        yield None
 
     def feedback(self, lsn: int) -> None:
         path = f"{self.folder}/feedback"
@@ -86,12 +174,14 @@ class DirectoryLog:
 
 
 class PostgresLog:
-    """A logical replication slot. Options: dsn, slot, add_tables, idle_seconds, keepalive_seconds, feedback_seconds."""
+    """A logical replication slot. Options: dsn, slot, add_tables, keepalive_seconds."""
 
     replayable = False
 
     def __init__(self, options: Mapping[str, str]):
         self.options = options
+        self.wal_end: int | None = None
+        self._cursor = None
 
     def _connect(self, **more):
         import psycopg2
@@ -114,38 +204,36 @@ class PostgresLog:
 
         return self._connect(connection_factory=LogicalReplicationConnection)
 
-    def read(self, start: int, end: int) -> Iterator[tuple[int, str]]:
-        """All messages of the range, or ``TimeoutError``.
+    def _start(self, cur, **more) -> None:
+        cur.start_replication(slot_name=self.options["slot"], decode=True, options=replication_options(self.options.get("add_tables", ""), frames=True), **more)
 
-        The range is read when a message beyond it comes, or the server says
-        that it has sent all up to its end.  Silence alone ends nothing: what
-        is taken for read is confirmed, and a slot can't give it again.
-        """
-        idle, keepalive = float(self.options.get("idle_seconds", 60)), int(self.options.get("keepalive_seconds", 10))
+    def follow(self, start: int) -> Iterator[tuple[int, str] | None]:
+        """Messages as the slot sends them, for as long as they are asked for; None after each second of silence."""
         with self._replication() as c, c.cursor() as cur:
-            cur.start_replication(slot_name=self.options["slot"], decode=True, start_lsn=format_lsn(start), status_interval=keepalive, options=replication_options(self.options.get("add_tables", "")))
-            last = time.monotonic()
-            while True:
-                message = cur.read_message()
-                if message is None:
-                    if (cur.wal_end or 0) >= end - 1:
-                        return
-                    if time.monotonic() - last >= idle:
-                        raise TimeoutError(f"the log ended before {format_lsn(end - 1)}: nothing for {idle} s")
-                    self._wait(cur)
-                    continue
-                last = time.monotonic()
-                if message.data_start >= end:
-                    return
-                if message.data_start >= start:
-                    yield message.data_start, message.payload
+            self._start(cur, start_lsn=format_lsn(start), status_interval=int(self.options.get("keepalive_seconds", 10)))
+            self._cursor = cur
+            try:
+                while True:
+                    message = cur.read_message()
+                    self.wal_end = cur.wal_end or self.wal_end
+                    if message is None:
+                        yield None
+                        self._wait(cur)
+                    else:
+                        yield message.data_start, message.payload
+            finally:
+                self._cursor = None
 
     def _wait(self, cur) -> None:
         select.select([cur], [], [], 1)
 
     def feedback(self, lsn: int) -> None:
+        """By the connection that reads, if there is one."""
+        if self._cursor is not None:
+            self._cursor.send_feedback(write_lsn=lsn, flush_lsn=lsn, force=True)
+            return
         with self._replication() as c, c.cursor() as cur:
-            cur.start_replication(slot_name=self.options["slot"], decode=True, options=replication_options(self.options.get("add_tables", "")))
+            self._start(cur)
             cur.send_feedback(write_lsn=lsn, flush_lsn=lsn, force=True)
 
 
@@ -154,13 +242,42 @@ def client_of(options: Mapping[str, str]) -> WalClient:
     return getattr(importlib.import_module(module), name)(options)
 
 
+def read_range(client: WalClient, start: int, end: int, idle: float = 60) -> Iterator[Message]:
+    """All messages whose commits are in ``[start, end)``, or ``TimeoutError``.
+
+    The range is read when a commit beyond it comes, or the log says that it has
+    sent all up to its end.  Silence alone ends nothing: what is taken for read is
+    confirmed, and a slot can't give it again.
+    """
+    last = time.monotonic()
+    for m in positioned(client.follow(start)):
+        if m is None:
+            if (client.wal_end or 0) >= end - 1:
+                return
+            if time.monotonic() - last >= idle:
+                raise TimeoutError(f"the log ended before {format_lsn(end - 1)}: nothing for {idle} s")
+            continue
+        last = time.monotonic()
+        if m.position >= end:
+            if m.commit is not None:
+                return
+        elif m.position >= start:
+            yield m
+
+
+def with_commits(log: DataFrame) -> DataFrame:
+    """A log of ``lsn, payload`` with the columns of commits, null where it has none."""
+    have = {c.lower() for c in log.columns}
+    return log.withColumns({c: F.lit(None).cast("bigint") for c in ("commit", "seq") if c not in have})
+
+
 class LogRange(InputPartition):
     def __init__(self, start: int, end: int):
         self.start, self.end = start, end
 
 
 class WalReader(DataSourceStreamReader):
-    """Offsets are ``{"lsn": n}``, one past the last position read. A slot is one reader: one partition a batch."""
+    """Offsets are ``{"lsn": n}``, one past the last commit read. A slot is one reader: one partition a batch."""
 
     def __init__(self, options: Mapping[str, str]):
         self.options = dict(options)
@@ -178,8 +295,9 @@ class WalReader(DataSourceStreamReader):
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
         return [LogRange(start["lsn"], end["lsn"])] if end["lsn"] > start["lsn"] else []
 
-    def read(self, partition: LogRange) -> Iterator[tuple[int, str]]:
-        yield from client_of(self.options).read(partition.start, partition.end)
+    def read(self, partition: LogRange) -> Iterator[tuple]:
+        idle = float(self.options.get("idle_seconds", 60))
+        return (tuple(m) for m in read_range(client_of(self.options), partition.start, partition.end, idle))
 
     def commit(self, end: dict) -> None:
         """Called one batch late, so a run sends its last feedback itself."""

@@ -8,25 +8,29 @@ import tempfile
 import time
 import uuid
 from collections.abc import Iterable, Mapping
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.config import INCREMENTAL, LOG_BASED, Settings
-from tidemark.operators.decode import EMITTED, rows_of
-from tidemark.operators.dispatch import Routes, counters, dispatched, emitted, max_lsn_seen, quarantined
+from tidemark.functions.values import iso_timestamp
+from tidemark.operators.decode import EMITTED, cells, record_values, rows_of
+from tidemark.operators.dispatch import Routes, dispatched, emitted, position, quarantined
 from tidemark.operators.table_stream import bootstrap, dates_as_text, flattened, in_order, new_bookmark, read_stream
 from tidemark.plans.catalog import LSN, Catalog, StreamSpec
 from tidemark.sources import wal
+from tidemark.sources.segments import Landing, land_in_task
 from tidemark.sources.tables import Tables
+from tidemark.streaming.schemas import Schemas
 from tidemark.streaming.state import State, advance_to, current_tip, instant
 
-#: Streams of a batch that are written at a time.
-WRITERS = 8
+#: Segments that are decoded at a time: what a batch keeps while it is written.
+SEGMENTS_PER_BATCH = 32
+#: What a landing task is given at least, so that runs with little time still get on.
+LEAST_SECONDS = 1.0
 
 
 @dataclass
@@ -52,77 +56,133 @@ class LogReport:
 class LogRun:
     """One pass over the log for all its streams.
 
-    Each micro-batch is decoded once, kept while its streams are written, and
-    its bookmarks are saved only after all writes: what fails is read again.
-    Parts are named by run and batch, so a batch that is tried again replaces
-    what its first try left in a ``FileSink`` and in the quarantine; a run with a
-    checkpoint keeps its name over restarts.  With ``landing``, raw messages are
-    stored before anything else; a log that can't be read twice needs it.
+    A task lands the log as segments of whole transactions (``sources.segments``), and batches of segments are decoded in
+    parallel.  Each batch is parsed once and kept while it is written; its entry in the sink's list of commits and its bookmarks
+    are saved only after all writes, so what fails is done again and replaces what its first try left.  The number of jobs a
+    batch takes doesn't depend on that of the streams.
 
-    Rows with a value that their column's type can't hold go to the quarantine,
-    the caller's or the sink's; without either they are emitted with a null and
+    Time is looked at between batches, and a run does one at least if there is any, so a backlog of any size is worked off by
+    runs of any length.  With ``landing``, a folder that stays, segments outlive the run and are confirmed to the server one by
+    one; a log that can't be read twice needs it.  Without, they are in the scratch folder.
+
+    Columns that appear in the log are taken up (``streaming.schemas``), or counted and set aside.  Rows with a value that their
+    column's type can't hold go to the quarantine, the caller's or the sink's; without either they are emitted with a null and
     counted.
     """
 
-    def __init__(self, spark: SparkSession, streams: Iterable[StreamSpec], state: State, sink, options: Mapping[str, str], settings: Settings | None = None, checkpoint: str | None = None, landing: str | None = None, quarantine: str | None = None, clock=None, now=None):
+    def __init__(self, spark: SparkSession, streams: Iterable[StreamSpec], state: State, sink, options: Mapping[str, str], settings: Settings | None = None, landing: str | None = None, quarantine: str | None = None, clock=None, now=None):
         self.spark, self.state, self.sink, self.settings = spark, state, sink, settings
-        self.streams = list(streams)
-        self.routes = Routes(self.streams, {s.name: state.start(s.name) for s in self.streams})
+        self.run_id = hashlib.sha256(landing.encode()).hexdigest()[:12] if landing else uuid.uuid4().hex[:12]
+        self.landing, self.now = landing, now
+        # What the sink holds may be ahead of the state: a run may have been lost between the two.
+        for entry in sink.committed() if landing and hasattr(sink, "committed") else ():
+            if entry.get("run") == self.run_id:
+                state.merge(entry)
+                state.decoded(landing, entry["segments"][1])
+        self.schemas = Schemas(streams, state)
+        self.routes = Routes(self.streams, {s.name: state.start(s.name) for s in self.streams}, {s.name: state.commit(s.name) for s in self.streams if state.commit(s.name) is not None})
         self.options = dict(options) | {"start_lsn": str(self.routes.global_start), "add_tables": self.routes.add_tables}
-        self.checkpoint, self.landing, self.now = checkpoint, landing, now
         self.quarantine = quarantine or getattr(sink, "quarantine", None)
         self.clock = clock or time.monotonic
         self.report = LogReport(max_seen=0, by_stream={s.name: 0 for s in self.streams})
         self.done = False
-        self.run_id = hashlib.sha256(checkpoint.encode()).hexdigest()[:12] if checkpoint else uuid.uuid4().hex[:12]
+        self._folder: str | None = landing
+        self._at = -1
+        self._wal_end: int | None = None
+
+    @property
+    def streams(self) -> list[StreamSpec]:
+        return list(self.schemas.streams.values())
 
-    def batch(self, log: DataFrame, number: int = 0) -> None:
-        """Decodes, fans out, counts, and moves bookmarks, for a batch of ``lsn, payload``."""
+    def batch(self, log: DataFrame, number: int = 0, upto: int | None = None) -> None:
+        """Decodes, writes, counts, commits and moves bookmarks, for a batch of ``lsn, payload`` with or without commits; ``upto`` is its last segment."""
         part = f"_run={self.run_id}/_batch={number}"
-        if self.landing:
-            path = f"{self.landing}/run={self.run_id}/batch={number}"
-            log.write.mode("overwrite").parquet(path)
-            log = self.spark.read.schema(wal.SCHEMA).parquet(path)
         messages = dispatched(log, self.routes).persist()
         try:
-            counts = {r["disposition"]: r["n"] for r in counters(messages).collect()}
-            if not counts:  # a restarted source gives an empty batch
+            stats = messages.groupBy("stream", "disposition").agg(F.count("*").alias("n"), F.max(position()).alias("top"), F.max("commit").alias("commit")).collect()
+            if not stats:
                 return
-            seen = {r["stream"]: r for r in messages.filter(F.col("disposition").isin(*EMITTED)).groupBy("stream").agg(F.count("*").alias("n"), F.max("lsn").alias("top")).collect()}
-            top = max_lsn_seen(messages).first()[0] or 0
-            present = [s for s in self.streams if s.name in seen]
-            # Streams are written side by side where the sink allows it: one small job each would leave the cluster idle.
-            if getattr(self.sink, "concurrent", False) and len(present) > 1:
-                with ThreadPoolExecutor(min(WRITERS, len(present))) as pool:
-                    lost = sum(pool.map(inheritable_thread_target(self.spark)(lambda s: self._write(messages, s, part)), present))
-            else:
-                lost = sum(self._write(messages, s, part) for s in present)
-            if self.quarantine:
+            counts: dict[str, int] = {}
+            for r in stats:
+                name = "emitted" if r["disposition"] in EMITTED else r["disposition"]
+                counts[name] = counts.get(name, 0) + r["n"]
+            seen = {name: [r for r in stats if r["stream"] == name and r["disposition"] in EMITTED] for name in {r["stream"] for r in stats if r["disposition"] in EMITTED}}
+            new = self.schemas.new_columns(messages) if seen else {}
+            if new and (self.settings is None or self.settings.evolve_schemas):
+                self.schemas.grow(new)
+                new = {}
+            if seen:
+                lost = self._write_all(messages, [s for s in self.streams if s.name in seen], part, new)
+                counts |= {name: n for name, n in lost.items() if n}
+            if self.quarantine and not (seen and hasattr(self.sink, "batch")):
                 quarantined(messages).write.mode("overwrite").parquet(f"{self.quarantine}/{part}/_kind=message")
-            for name, n in (counts | ({"uncastable": lost} if lost else {})).items():
+            for name, n in counts.items():
                 self.report.counts[name] = self.report.counts.get(name, 0) + n
-            for name, r in seen.items():
-                self.report.by_stream[name] += r["n"]
-                self.state.advance(name, LSN, r["top"])
-            self.report.max_seen = max(self.report.max_seen, top)
+            for name, found in seen.items():
+                self.report.by_stream[name] += sum(r["n"] for r in found)
+                self.state.advance(name, LSN, max(r["top"] for r in found))
+                self.state.done(name, max((r["commit"] for r in found if r["commit"] is not None), default=None))
+            self.report.max_seen = max(self.report.max_seen, *(r["top"] or 0 for r in stats))
             self.report.batches += 1
+            if hasattr(self.sink, "commit"):
+                entry = {"run": self.run_id, "segments": [number, number if upto is None else upto], "streams": {name: sum(r["n"] for r in found) for name, found in seen.items()}}
+                self.sink.commit(part, entry | {k: self.state.value[k] for k in ("bookmarks", "schemas") if k in self.state.value})
             self.state.save()
             self.sink.state(self.state.value)
         finally:
             messages.unpersist()
 
+    def _write_all(self, messages: DataFrame, present: list[StreamSpec], part: str, unknown: dict[str, dict]) -> dict[str, int]:
+        """Writes the rows of all streams; how many had a value that its type can't hold, or a column that isn't known.
+
+        A sink that takes batches gets all by one job, and the quarantine is another; else each stream is written by itself.
+        """
+        if not hasattr(self.sink, "batch"):
+            return {"uncastable": sum(self._write(messages, s, part) for s in present)}
+        values = record_values(messages, present, self.now, self._shape)
+        names = {s: F.array(*map(F.lit, columns)) for s, columns in unknown.items()}
+        strange = F.lit(False)
+        if unknown:
+            carried = F.transform(cells(F.col("msg")), lambda x: x["name"])
+            for s, columns in names.items():
+                strange = strange | ((F.col("stream") == s) & F.coalesce(F.arrays_overlap(carried, columns), F.lit(False)))
+        if self.quarantine:
+            # Rows that are set aside and messages that give none, in one table.
+            bad = values.filter(F.size("lost") > 0).select("lsn", "payload", F.concat(F.lit("uncastable: "), F.array_join("lost", ", ")).alias("reason"))
+            aside = quarantined(messages).unionByName(bad)
+            if unknown:
+                aside = aside.unionByName(messages.filter(F.col("disposition").isin(*EMITTED) & strange).select("lsn", "payload", F.lit("unknown column").alias("reason")))
+            watched = Observation()
+            aside.observe(watched, F.count_if(F.col("reason").startswith("uncastable")).alias("uncastable"), F.count_if(F.col("reason") == "unknown column").alias("unknown_column")).write.mode("overwrite").parquet(f"{self.quarantine}/{part}/_kind=message")
+            lost = watched.get
+            good = values.filter(F.size("lost") == 0)
+        else:
+            lost = {"uncastable": values.filter(F.size("lost") > 0).count(), "unknown_column": messages.filter(F.col("disposition").isin(*EMITTED) & strange).count() if unknown else 0}
+            good = values
+        self.sink.batch(good, present, part)
+        return lost
+
     def _write(self, messages: DataFrame, s: StreamSpec, part: str) -> int:
-        """Writes a stream's rows; how many had a value that their types can't hold."""
-        rows = rows_of(emitted(messages, s), s, self.now, carry_lost=True)
+        """Writes a stream's rows as a typed table; how many had a value that their types can't hold."""
+        rows = rows_of(emitted(messages, s), s, self.now, carry_lost=True, carry_order=True)
         bad = rows.filter(F.size("_lost") > 0)
         lost = bad.count()
         if lost and self.quarantine:
             bad.select(F.col(LSN).alias("lsn"), "payload", F.concat(F.lit("uncastable: "), F.array_join("_lost", ", ")).alias("reason")).write.mode("overwrite").parquet(f"{self.quarantine}/{part}/_kind={s.name}")
             rows = rows.filter(F.size("_lost") == 0)
-        shaped = self._shaped(rows.drop("payload", "_lost").sortWithinPartitions(LSN))
-        self.sink.rows(s, shaped, part) if getattr(self.sink, "concurrent", False) else self.sink.rows(s, shaped)
+        ordered = rows.sortWithinPartitions(F.coalesce("_commit", LSN), "_seq", LSN).drop("payload", "_lost", "_commit", "_seq")
+        self.sink.rows(s, self._shaped(ordered))
         return lost
 
+    def _shape(self, value: Column, kind: T.DataType) -> Column:
+        """A value as the settings want it, for rows that are JSON text."""
+        s = self.settings
+        if s and s.dates_as_string and isinstance(kind, T.DateType):
+            return value.cast("string")
+        if s and s.dates_as_string and isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            return iso_timestamp(value)
+        return F.to_json(value) if s and s.flattening_enabled and isinstance(kind, (T.MapType, T.VariantType)) else value
+
     def _shaped(self, rows: DataFrame) -> DataFrame:
         s = self.settings
         rows = dates_as_text(rows) if s and s.dates_as_string else rows
@@ -135,65 +195,69 @@ class LogRun:
         s = self.settings
         most = s.replication_max_run_seconds if s else 600
         idle = s.replication_idle_exit_seconds if s else 0
-        wal.register(self.spark)
         client = wal.client_of(self.options)
         if not getattr(client, "replayable", True) and not self.landing:
             raise ValueError("this log can't be read twice: a landing folder is needed")
         self.sink.schemas(self.streams)
+        self._folder = self._folder or scratch_folder(self.spark, "landing")
+        landing = Landing(self._folder)
+        confirm = bool(self.landing) and self.options.get("feedback", "true") == "true"
         begun = quiet = self.clock()
-        while True:
-            before = self.report.batches
-            drained = self._drain(max(0.1, most - (self.clock() - begun)))
-            if not drained:
-                break
-            if self.report.batches != before:
+        left = lambda: most - (self.clock() - begun)
+        # What an earlier run has landed comes first.
+        all_done = self._decode(landing, left)
+        while all_done:
+            got = land_in_task(self.spark, self.options, self._folder, self.routes.global_start, max(LEAST_SECONDS, left()), float(self.options.get("idle_seconds", max(1.0, idle))), confirm=confirm)
+            self._wal_end = got.wal_end
+            all_done = self._decode(landing, left)
+            if got.rows:
                 quiet = self.clock()
-            if self.clock() - quiet >= idle:
-                self.report.caught_up = True
+            if not all_done or left() <= 0 and not (got.drained and idle == 0):
                 break
-            if self.clock() - begun > most:
+            if got.drained and self.clock() - quiet >= idle:
+                self.report.caught_up = True
                 break
-            time.sleep(min(1.0, idle))
+            if not got.drained and not got.rows:
+                break  # silent, and not at its end: the next run goes on
+            if got.drained:
+                time.sleep(min(1.0, idle))
         self._advance(client)
         self.done = True
         return self.report
 
+    def _decode(self, landing: Landing, left) -> bool:
+        """Decodes what is landed, some segments at a time; whether all was done within the time."""
+        most = int(self.options.get("segments_per_batch", SEGMENTS_PER_BATCH))
+        if self.landing:
+            self._at = max(self._at, self.state.landed(self.landing))
+        while pending := landing.segments(self._at):
+            some = pending[:most]
+            self.batch(landing.frame(self.spark, some), some[0].number, some[-1].number)
+            self._at = some[-1].number
+            # A commit's position counts as seen even where none of its messages is wanted.
+            self.report.max_seen = max(self.report.max_seen, *(s.last for s in some))
+            if self.landing:
+                self.state.decoded(self.landing, self._at)
+                self.state.save()
+            if left() <= 0:
+                return len(pending) == len(some)
+        return True
+
     def replay(self, landed: str, checkpoint: str, files_per_batch: int = 64) -> LogReport:
-        """Decodes a log that was landed as Parquet, in micro-batches; what the checkpoint has seen isn't read again."""
+        """Decodes a log that was landed as Parquet by others, in micro-batches; what the checkpoint has seen isn't read again."""
         self.sink.schemas(self.streams)
+        self.run_id = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
         stream = self.spark.readStream.schema(wal.SCHEMA).option("maxFilesPerTrigger", files_per_batch).option("recursiveFileLookup", "true").parquet(landed)
         query = stream.writeStream.foreachBatch(self.batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
         query.awaitTermination()
         self.report.caught_up = True
         return self.report
 
-    def _drain(self, seconds: float) -> bool:
-        """Reads what there is now; whether all was read within the time.
-
-        Without a checkpoint of the caller's, each drain goes on behind what the
-        run has seen, so nothing is read twice.
-        """
-        if not self.checkpoint and self.report.batches:
-            self.options["start_lsn"] = str(max(self.routes.global_start, self.report.max_seen + 1))
-        first = self.report.batches
-        stream = self.spark.readStream.format(wal.FORMAT).options(**self.options).load()
-        # A run's parts are named by its batches, which each drain without a checkpoint counts from 0.
-        body = self.batch if self.checkpoint else lambda log, number: self.batch(log, first + number)
-        writer = stream.writeStream.foreachBatch(body).trigger(availableNow=True)
-        if self.checkpoint:
-            writer = writer.option("checkpointLocation", self.checkpoint)
-        query = writer.start()
-        finished = query.awaitTermination(seconds)
-        if not finished:
-            query.stop()
-        elif query.exception() is not None:
-            raise query.exception()
-        return bool(finished)
-
     def _advance(self, client: wal.WalClient) -> None:
         """Final feedback, then bookmarks; if the feedback fails they stay where the rows have put them."""
         start = self.routes.global_start
-        tip = current_tip(getattr(client, "wal_end", None), start, client.tip)
+        # Not what the server would say now: changes that came since were not read.
+        tip = current_tip(self._wal_end, start, lambda: None)
         target = advance_to(start, self.report.max_seen, tip, self.report.caught_up)
         if target is not None and self.options.get("acknowledge", "true") == "true":
             try:
@@ -272,7 +336,7 @@ class Engine:
         """All schemas, then snapshots if wanted, then the log.
 
         With ``log_based_single_connection`` off, each stream reads the log for
-        itself, with a checkpoint and a landing of its own; the server hears of it
+        itself, with a landing folder of its own; the server hears of it
         once, when all have read, for a slot forgets what it is told was read.
         """
         specs = [s for s in self.catalog.selected if s.method == LOG_BASED]
@@ -288,7 +352,7 @@ class Engine:
             return LogRun(self.spark, specs, self.state, sink, options, self.settings, **more).run()
         total, reached = LogReport(caught_up=True), []
         for s in specs:
-            own = {k: f"{v}/{s.name}" if k in ("checkpoint", "landing", "quarantine") and v else v for k, v in more.items()}
+            own = {k: f"{v}/{s.name}" if k in ("landing", "quarantine") and v else v for k, v in more.items()}
             one = LogRun(self.spark, [s], self.state, sink, options | {"feedback": "false", "acknowledge": "false"}, self.settings, **own).run()
             total.add(one)
             reached.append(self.state.bookmark(s.name) or 0)

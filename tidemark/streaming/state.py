@@ -81,7 +81,7 @@ class State:
         self.path = path
         self.value: dict[str, Any] = {"bookmarks": {}}
         if value is not None:
-            self.value = {"bookmarks": {k: dict(v) for k, v in value.get("bookmarks", {}).items()}}
+            self.value = {**value, "bookmarks": {k: dict(v) for k, v in value.get("bookmarks", {}).items()}}
         elif path and os.path.exists(path):
             with open(path) as f:
                 self.value = json.load(f)
@@ -105,6 +105,32 @@ class State:
             entry.update(replication_key=key, replication_key_value=stored(new))
         return new != old
 
+    def commit(self, stream: str) -> int | None:
+        """The last commit that a stream has done: nothing of it is wanted again."""
+        return self.value["bookmarks"].get(stream, {}).get("commit")
+
+    def done(self, stream: str, commit: int | None) -> None:
+        if commit is not None:
+            entry = self.value["bookmarks"].setdefault(stream, {})
+            entry["commit"] = forward(entry.get("commit"), commit)
+
+    def landed(self, folder: str) -> int:
+        """The last segment of a landing folder that has been decoded, -1 for none."""
+        return self.value.get("landed", {}).get(folder, -1)
+
+    def decoded(self, folder: str, number: int) -> None:
+        self.value.setdefault("landed", {})[folder] = max(number, self.landed(folder))
+
+    def merge(self, other: Mapping[str, Any]) -> None:
+        """Takes over what another state has further on."""
+        for stream, entry in other.get("bookmarks", {}).items():
+            if "replication_key_value" in entry:
+                self.advance(stream, entry.get("replication_key"), entry["replication_key_value"])
+            self.done(stream, entry.get("commit"))
+        for stream, versions in other.get("schemas", {}).items():
+            have = self.value.setdefault("schemas", {})
+            have[stream] = max(have.get(stream, []), versions, key=len)
+
     def save(self) -> None:
         if not self.path:
             return
