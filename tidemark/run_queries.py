@@ -18,6 +18,7 @@ from tidemark.functions.types import from_json_schema
 from tidemark.functions.values import array_items, typed, utc_second
 from tidemark.operators import messages
 from tidemark.operators.dispatch import Routes
+from tidemark.operators.images import filled, latest
 from tidemark.plans.catalog import Catalog, Catalogs, StreamSpec, of_frame
 from tidemark.sources import tunnel, wal
 from tidemark.sources.connection import Connection, pem_file
@@ -85,6 +86,107 @@ def wal_run_ends(spark, sf_dir):
     return spark.createDataFrame(rows, "run string, caught_up boolean, advanced_to long, confirmed long, bookmark long")
 
 
+def _change(action, *cells):
+    """A message of the events' stream, of the cells that aren't null."""
+    return F.to_json(F.struct(action.alias("action"), F.lit("public").alias("schema"), F.lit("events").alias("table"), F.filter(F.array(*cells), lambda c: c.isNotNull()).alias("columns")))
+
+
+def transaction_log(spark, sf_dir: str) -> DataFrame:
+    """The events' log in transactions that overlap: ``lsn, payload`` with frames, and the commit that each line belongs to.
+
+    Seven transactions are open at a time, each of ten events in a row of every seventh; the one that began first commits last.
+    """
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    group, place = F.floor(F.col("event_id") / 70), F.col("event_id") % 7
+    commit = ((group + 1) * 70 * 10 + 7 - place).cast("long")
+    change = base.event_log(spark, sf_dir).select((F.col("lsn") * 10).alias("lsn"), "payload", F.col("lsn").alias("event_id")).withColumn("commit", ((F.floor(F.col("event_id") / 70) + 1) * 70 * 10 + 7 - F.col("event_id") % 7).cast("long"))
+    commits = e.select(commit.alias("commit"), (F.col("event_id") * 10).alias("lsn")).groupBy("commit").agg(F.min("lsn").alias("first"))
+    begin = commits.select(F.col("first").alias("lsn"), F.lit('{"action":"B"}').alias("payload"), "commit", F.lit(0).alias("kind"))
+    end = commits.select(F.col("commit").alias("lsn"), F.lit('{"action":"C"}').alias("payload"), "commit", F.lit(2).alias("kind"))
+    return begin.unionByName(end).unionByName(change.select("lsn", "payload", "commit", F.lit(1).alias("kind")))
+
+
+def _as_folder(spark, log: DataFrame) -> str:
+    path = f"{scratch_folder(spark, 'log')}/log"
+    log.repartitionByRange("commit", "kind", "lsn").sortWithinPartitions("commit", "kind", "lsn").select("lsn", "payload").write.json(path)
+    return path
+
+
+def wal_interleaved_transactions(spark, sf_dir):
+    """Overlapping transactions over several batches and two runs, the second of which finds a longer log: each row once, in the order of commits."""
+    log, state = transaction_log(spark, sf_dir), State()
+    half = log.agg(F.max("commit")).first()[0] // 1400 * 700
+    sink = messages.FileSink(scratch_folder(spark, "wal-transactions"), "parquet", None)
+    for some in (log.filter(F.col("commit") <= half), log):
+        options = {"path": _as_folder(spark, some), "segment_rows": str(half // 100 + 7), "segments_per_batch": "2", "file_chars": "4000"}
+        LogRun(spark, [base.event_stream()], state, sink, options, now=F.lit(base.NOW)).run()
+        state = _again(state)
+    return sink.frame(base.event_stream())
+
+
+def wal_time_budget(spark, sf_dir):
+    """Runs without time, one after the other: each decodes a batch of what the first has landed, and the last is at the log's end. Rows, positions, and whether it took several runs."""
+    n = spark.read.parquet(f"{sf_dir}/events.parquet").count()
+    folder, state, runs = scratch_folder(spark, "wal-budget"), State(), 0
+    sink = messages.FileSink(f"{folder}/out", "parquet", None)
+    options = {"path": _log_folder(spark, sf_dir), "segment_rows": str(n // 3 + 1), "segments_per_batch": "1"}
+    caught_up = False
+    while not caught_up and runs < 100:
+        report = LogRun(spark, [base.event_stream()], state, sink, options, Settings(url=_URL, replication_max_run_seconds=0, replication_idle_exit_seconds=0), landing=f"{folder}/landing").run()
+        caught_up, runs, state = report.caught_up, runs + 1, _again(state)
+    rows = sink.frame(base.event_stream())
+    return rows.agg(F.count("*").alias("n"), F.countDistinct("_sdc_lsn").alias("positions")).withColumns({"several": F.lit(runs >= 3), "caught_up": F.lit(caught_up), "bookmark": F.lit(state.bookmark("public-events")).cast("long")})
+
+
+def _updates(spark, sf_dir) -> DataFrame:
+    """A log of users' rows: each event of a user changes it. Every third leaves ``value`` out, every fifth sets it to null."""
+    e, eid = spark.read.parquet(f"{sf_dir}/events.parquet"), F.col("event_id")
+    value = F.when(eid % 3 != 0, base._cell("value", "double precision", F.when(eid % 5 != 0, F.col("value"))))
+    cells = (base._cell("event_id", "bigint", eid), base._cell("user_id", "bigint", F.col("user_id")), value, base._cell("event_type", "text", F.col("event_type")))
+    # Nulls of a cell must be in the message, so the JSON keeps them; what isn't there is no cell.
+    payload = F.to_json(F.struct(F.lit("U").alias("action"), F.lit("public").alias("schema"), F.lit("events").alias("table"), F.filter(F.array(*cells), lambda c: c.isNotNull()).alias("columns")), {"ignoreNullFields": "false"})
+    return e.select(eid.alias("lsn"), payload.alias("payload"))
+
+
+def wal_set_null(spark, sf_dir):
+    """Lines of the file: a column that was set to null is null there, one that the message lacks isn't there."""
+    sink = messages.FileSink(scratch_folder(spark, "wal-null"))
+    LogRun(spark, [base.event_stream()], State(), sink, {}, now=F.lit(base.NOW)).batch(_updates(spark, sf_dir))
+    lines = spark.read.text(f"{sink.folder}/_log/{sink.committed()[0]['part']}").select("value", F.get_json_object("value", "$.event_id").cast("long").alias("event_id"))
+    there = F.array_contains(F.json_object_keys("value"), "value")
+    return lines.select("event_id", there.alias("there"), (there & F.col("value").contains('"value":null')).alias("null"))
+
+
+def wal_unchanged_columns(spark, sf_dir):
+    """A user's value after each of its events: one that the message lacks is as before, one that was set to null is null."""
+    sink = messages.FileSink(scratch_folder(spark, "wal-unchanged"), "parquet", None)
+    LogRun(spark, [base.event_stream()], State(), sink, {}, now=F.lit(base.NOW)).batch(_updates(spark, sf_dir))
+    rows = filled(sink.frame(base.event_stream(), presence=True), ["user_id"], ["value", "event_type"], scratch_folder(spark, "images"))
+    return rows.select("event_id", "user_id", "value", "event_type")
+
+
+def wal_latest_rows(spark, sf_dir):
+    """Users' rows as they stand behind all events."""
+    sink = messages.FileSink(scratch_folder(spark, "wal-latest"), "parquet", None)
+    LogRun(spark, [base.event_stream()], State(), sink, {}, now=F.lit(base.NOW)).batch(_updates(spark, sf_dir))
+    return latest(sink.frame(base.event_stream(), presence=True), ["user_id"], ["event_id", "value", "event_type"])
+
+
+def wal_added_column(spark, sf_dir):
+    """A column that appears in the middle of the log: rows have it from there on, and the schema is announced again."""
+    middle, eid = _middle(spark, sf_dir), F.col("event_id")
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    cells = (base._cell("event_id", "bigint", eid), base._cell("user_id", "bigint", F.col("user_id")), F.when(eid > middle, base._cell("score", "integer", F.col("user_id") * 2)))
+    log = e.select(eid.alias("lsn"), _change(F.lit("I"), *cells).alias("payload"))
+    path = f"{scratch_folder(spark, 'log')}/log"
+    log.repartitionByRange("lsn").sortWithinPartitions("lsn").write.json(path)
+    sink, state = messages.FileSink(scratch_folder(spark, "wal-added"), "parquet", None), State()
+    run = LogRun(spark, [base.event_stream()], state, sink, {"path": path, "segment_rows": str(middle // 2 + 1), "segments_per_batch": "1"})
+    run.run()
+    rows = sink.frame(run.streams[0]).select("event_id", "user_id", "score", F.lit("score" in sink.announced["public-events"]["schema"]["properties"]).alias("announced"))
+    return rows.withColumn("since", F.lit(state.value["schemas"]["public-events"][0]["from"]).cast("long"))
+
+
 def wal_message_order(spark, sf_dir):
     """All schemas once and before any row, quiet streams too; the second call of a run adds nothing."""
     sink, specs = messages.FrameSink(), [base.event_stream(t) for t in ("events", "clicks", "quiet")]
@@ -328,7 +430,7 @@ def registration_checks(spark, sf_dir):
 
 
 _FOUND = [
-    wal_source_run, wal_idle_run, wal_retried_batch, wal_run_ends, wal_message_order, wal_lsn_order, wal_state_messages, wal_separate_readers, wal_timestamptz, wal_uncastable_quarantined, wal_nested_array, wal_numeric_exact, record_timestamps, incremental_two_runs,
+    wal_source_run, wal_idle_run, wal_retried_batch, wal_run_ends, wal_message_order, wal_lsn_order, wal_state_messages, wal_separate_readers, wal_interleaved_transactions, wal_time_budget, wal_set_null, wal_unchanged_columns, wal_latest_rows, wal_added_column, wal_timestamptz, wal_uncastable_quarantined, wal_nested_array, wal_numeric_exact, record_timestamps, incremental_two_runs,
     now_utc, replication_options, connection_forms, tls_options, pem_files, ssh_key_types, tunnel_hosts, settings_checks, settings_listed, catalog_precedence, database_query, registration_checks,
 ]
 
@@ -364,6 +466,12 @@ def oracle_sql() -> dict[str, str]:
         "wal_lsn_order": f"SELECT count(*) AS n, 0::BIGINT AS out_of_order, true AS several FROM events WHERE {data}",
         "wal_state_messages": f"SELECT i::INTEGER AS batch, max(event_id) AS bookmark FROM range(4) r(i), events WHERE {data} AND event_id % 4 <= i GROUP BY i",
         "wal_separate_readers": f"SELECT shared, {base._STREAM} AS stream, count(*) AS n, (SELECT max(event_id) FROM events) AS advanced_to FROM events, (VALUES (true), (false)) m(shared) WHERE {data} GROUP BY 1, 2",
+        "wal_interleaved_transactions": f"SELECT * REPLACE (_sdc_lsn * 10 AS _sdc_lsn) FROM {rows}",
+        "wal_time_budget": f"SELECT count(*) FILTER (WHERE {data}) AS n, count(*) FILTER (WHERE {data}) AS positions, true AS several, true AS caught_up, max(event_id) AS bookmark FROM events",
+        "wal_set_null": 'SELECT event_id, event_id % 3 <> 0 AS there, event_id % 3 <> 0 AND (event_id % 5 = 0 OR value IS NULL) AS "null" FROM events',
+        "wal_unchanged_columns": """SELECT event_id, user_id, last_value(CASE WHEN event_id % 3 <> 0 THEN struct_pack(v := CASE WHEN event_id % 5 <> 0 THEN value END) END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id).v AS value, event_type FROM events""",
+        "wal_latest_rows": """SELECT user_id, max(event_id) AS event_id, arg_max(CASE WHEN event_id % 3 <> 0 THEN struct_pack(v := CASE WHEN event_id % 5 <> 0 THEN value END) END, event_id).v AS value, arg_max(event_type, event_id) AS event_type FROM events GROUP BY user_id""",
+        "wal_added_column": f"SELECT event_id, user_id, CASE WHEN event_id > {middle} THEN (user_id * 2)::INTEGER END AS score, true AS announced, (SELECT min(event_id) FROM events WHERE event_id > {middle}) AS since FROM events",
         "wal_timestamptz": "SELECT event_id, epoch_us(TIMESTAMP '2024-03-01' + to_hours(event_id) - to_hours(2)) AS micros, strftime(TIMESTAMP '2024-03-01' + to_hours(event_id), '%Y-%m-%d %H:%M:%S.%f') || '+02' AS text FROM events",
         "wal_uncastable_quarantined": "SELECT event_id AS lsn, CASE WHEN event_id % 5 = 0 THEN 'uncastable: n' END AS reason, CASE WHEN event_id % 5 = 0 THEN '99999999999999999999' ELSE user_id::VARCHAR END AS value FROM events",
         "wal_nested_array": """SELECT event_id, '{' || event_type || ',"a,}"}|{NULL,{' || user_id || '}}|x' AS items FROM events""",
