@@ -66,6 +66,10 @@ class Settings:
     flattening_max_depth: int = 1
     #: Whether columns that appear in a log are taken up; else they are left out, and their messages go to the quarantine too.
     evolve_schemas: bool = True
+    #: What streams become, see ``plans.maps``.
+    stream_maps: dict[str, Any] = field(default_factory=dict)
+    #: Parts in which a snapshot of a stream is read, so that one that is broken off goes on where it was; 1 for a snapshot at once.
+    bootstrap_chunks: int = 1
 
     def __post_init__(self) -> None:
         if self.url is None:

@@ -20,7 +20,7 @@ from tidemark.operators import messages
 from tidemark.operators.dispatch import Routes
 from tidemark.operators.images import filled, latest
 from tidemark.plans.catalog import Catalog, Catalogs, StreamSpec, of_frame
-from tidemark.sources import tunnel, wal
+from tidemark.sources import splits, tunnel, wal
 from tidemark.sources.connection import Connection, pem_file
 from tidemark.sources.tables import JdbcTables
 from tidemark.streaming.run import Engine, LogRun, scratch_folder
@@ -187,6 +187,59 @@ def wal_added_column(spark, sf_dir):
     return rows.withColumn("since", F.lit(state.value["schemas"]["public-events"][0]["from"]).cast("long"))
 
 
+def jdbc_splits(spark, sf_dir):
+    """Line items by a key of which a quarter is one value and a seventh null, cut into twenty parts by its statistics: how many rows each part has of all, each row in one."""
+    key = F.when(F.col("l_linenumber") == 1, 7).when(F.col("l_linenumber") != 3, F.col("l_orderkey"))
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(key.alias("k"), "l_orderkey", "l_linenumber")
+    found = splits.predicates("k", splits.statistics(rows, "k"), 20, "l_orderkey * 7 + l_linenumber")
+    inside = rows.select(F.array(*(F.coalesce(F.expr(p), F.lit(False)).cast("int") for p in found)).alias("parts"))
+    sums = inside.agg(F.count("*").alias("n"), F.min(F.aggregate("parts", F.lit(0), lambda a, x: a + x)).alias("least"), F.max(F.aggregate("parts", F.lit(0), lambda a, x: a + x)).alias("most"), *(F.sum(F.col("parts")[i]).alias(f"p{i}") for i in range(len(found))))
+    return sums.select("n", ((F.col("least") == 1) & (F.col("most") == 1)).alias("once"), (F.greatest(*(f"p{i}" for i in range(len(found)))) <= F.col("n") * 2 / 20).alias("even"))
+
+
+def bootstrap_resumed(spark, sf_dir):
+    """A snapshot of line items in parts that is broken off after the third and goes on: the rows of one snapshot."""
+    tables = base._tables(spark, sf_dir)
+    spec = replace(of_frame("public", "orders", tables._read("orders"), None, ("o_orderkey",)), method=LOG_BASED)
+    folder, state = scratch_folder(spark, "chunks"), State()
+    settings = Settings(url=_URL, auto_bootstrap_log_based=True, bootstrap_chunks=8, replication_idle_exit_seconds=0)
+    sink = messages.FileSink(folder, "parquet", None)
+    options = {"path": _log_folder(spark, sf_dir)}
+
+    class Broken(Exception):
+        pass
+
+    def until_third(value):
+        if value["bootstrap"].get("public-orders", {}).get("done") == 3:
+            raise Broken
+
+    first = Engine(spark, settings, tables, state, Catalog([spec]).to_dict())
+    state.save = lambda: until_third(state.value)
+    try:
+        first.sync_log(sink, options)
+    except Broken:
+        state = _again(state)
+    Engine(spark, settings, tables, state, Catalog([spec]).to_dict()).sync_log(sink, options)
+    rows = spark.read.parquet(f"{folder}/public-orders")
+    return rows.drop("_chunk", "_sdc_deleted_at", "_sdc_lsn").withColumn("bookmark", F.lit(state.bookmark("public-orders")).cast("long"))
+
+
+_MAPS = {
+    "public-events": {"user_id": "user_id + 1", "label": "upper(event_type)", "event_type": None, "__filter__": "value > 50 OR _sdc_deleted_at IS NOT NULL"},
+    "public-users": {"__source__": "public-events", "user_id": "user_id", "n": "length(event_type)", "__key_properties__": ["user_id"], "__else__": None, "__filter__": "user_id IS NOT NULL"},
+}
+
+
+def wal_stream_maps(spark, sf_dir):
+    """The log's rows as the settings' maps make them: one stream filtered and changed, and another made of it."""
+    sink = messages.FileSink(scratch_folder(spark, "wal-maps"), "parquet", None)
+    run = LogRun(spark, [base.event_stream()], State(), sink, {"path": _log_folder(spark, sf_dir)}, Settings(url=_URL, stream_maps=_MAPS, replication_idle_exit_seconds=0), now=F.lit(base.NOW))
+    run.run()
+    events, users = (sink.frame(s) for s in run.maps.specs(spark, run.streams))
+    first = events.select(F.lit("events").alias("stream"), "event_id", "user_id", "label", F.lit(None).cast("int").alias("n"), "_sdc_deleted_at", "_sdc_lsn")
+    return first.unionByName(users.select(F.lit("users").alias("stream"), F.lit(None).cast("long").alias("event_id"), "user_id", F.lit(None).cast("string").alias("label"), "n", "_sdc_deleted_at", "_sdc_lsn"))
+
+
 def wal_message_order(spark, sf_dir):
     """All schemas once and before any row, quiet streams too; the second call of a run adds nothing."""
     sink, specs = messages.FrameSink(), [base.event_stream(t) for t in ("events", "clicks", "quiet")]
@@ -430,7 +483,7 @@ def registration_checks(spark, sf_dir):
 
 
 _FOUND = [
-    wal_source_run, wal_idle_run, wal_retried_batch, wal_run_ends, wal_message_order, wal_lsn_order, wal_state_messages, wal_separate_readers, wal_interleaved_transactions, wal_time_budget, wal_set_null, wal_unchanged_columns, wal_latest_rows, wal_added_column, wal_timestamptz, wal_uncastable_quarantined, wal_nested_array, wal_numeric_exact, record_timestamps, incremental_two_runs,
+    wal_source_run, wal_idle_run, wal_retried_batch, wal_run_ends, wal_message_order, wal_lsn_order, wal_state_messages, wal_separate_readers, wal_interleaved_transactions, wal_time_budget, wal_set_null, wal_unchanged_columns, wal_latest_rows, wal_added_column, jdbc_splits, bootstrap_resumed, wal_stream_maps, wal_timestamptz, wal_uncastable_quarantined, wal_nested_array, wal_numeric_exact, record_timestamps, incremental_two_runs,
     now_utc, replication_options, connection_forms, tls_options, pem_files, ssh_key_types, tunnel_hosts, settings_checks, settings_listed, catalog_precedence, database_query, registration_checks,
 ]
 
@@ -443,7 +496,7 @@ _SETTINGS = [
     ("host", "string,null", None), ("port", "integer", "5432"), ("user", "string,null", None), ("password", "string,null", None), ("database", "string,null", None), ("url", "string,null", None), ("replication_slot_name", "string", "tidemark"), ("replication_max_run_seconds", "number", "600"), ("replication_idle_exit_seconds", "number", "60"),
     ("max_record_count", "integer,null", None), ("filter_schemas", "array", None), ("dates_as_string", "boolean", "False"), ("json_as_object", "boolean", "False"), ("stream_options", "object", None), ("ssh_tunnel", "object", None), ("ssl_enable", "boolean", "False"), ("ssl_client_certificate_enable", "boolean", "False"), ("ssl_mode", "string", "verify-full"),
     ("ssl_certificate_authority", "string", "~/.postgresql/root.crt"), ("ssl_client_certificate", "string", "~/.postgresql/postgresql.crt"), ("ssl_client_private_key", "string", "~/.postgresql/postgresql.key"), ("ssl_storage_directory", "string", ".secrets"), ("default_replication_method", "string", "FULL_TABLE"), ("log_based_single_connection", "boolean", "True"),
-    ("auto_bootstrap_log_based", "boolean", "False"), ("start_date", "string,null", None), ("flattening_enabled", "boolean", "False"), ("flattening_max_depth", "integer", "1"),
+    ("auto_bootstrap_log_based", "boolean", "False"), ("start_date", "string,null", None), ("flattening_enabled", "boolean", "False"), ("flattening_max_depth", "integer", "1"), ("evolve_schemas", "boolean", "True"), ("stream_maps", "object", None), ("bootstrap_chunks", "integer", "1"),
 ]
 _CONNECTIONS = [
     ("url", "postgresql+x://us%40er:p%2Fw@db1:5432/d%20b?application_name=mine&x=it%27s"), ("dsn", "host='db1' port='5432' dbname='d b' user='us@er' password='p/w' application_name='mine' x='it\\'s'"), ("jdbc", "jdbc:postgresql://db1:5432/d%20b"), ("jdbc name", "mine"),
@@ -472,6 +525,10 @@ def oracle_sql() -> dict[str, str]:
         "wal_unchanged_columns": """SELECT event_id, user_id, last_value(CASE WHEN event_id % 3 <> 0 THEN struct_pack(v := CASE WHEN event_id % 5 <> 0 THEN value END) END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id).v AS value, event_type FROM events""",
         "wal_latest_rows": """SELECT user_id, max(event_id) AS event_id, arg_max(CASE WHEN event_id % 3 <> 0 THEN struct_pack(v := CASE WHEN event_id % 5 <> 0 THEN value END) END, event_id).v AS value, arg_max(event_type, event_id) AS event_type FROM events GROUP BY user_id""",
         "wal_added_column": f"SELECT event_id, user_id, CASE WHEN event_id > {middle} THEN (user_id * 2)::INTEGER END AS score, true AS announced, (SELECT min(event_id) FROM events WHERE event_id > {middle}) AS since FROM events",
+        "jdbc_splits": "SELECT count(*) AS n, true AS once, true AS even FROM lineitem",
+        "bootstrap_resumed": "SELECT *, (SELECT max(event_id) FROM events) AS bookmark FROM orders",
+        "wal_stream_maps": f"""SELECT 'events' AS stream, event_id, user_id + 1 AS user_id, upper(event_type) AS label, NULL::INTEGER AS n, _sdc_deleted_at, _sdc_lsn FROM {rows} WHERE value > 50 OR _sdc_deleted_at IS NOT NULL
+            UNION ALL SELECT 'users', NULL, user_id, NULL, length(event_type)::INTEGER, _sdc_deleted_at, _sdc_lsn FROM {rows} WHERE user_id IS NOT NULL""",
         "wal_timestamptz": "SELECT event_id, epoch_us(TIMESTAMP '2024-03-01' + to_hours(event_id) - to_hours(2)) AS micros, strftime(TIMESTAMP '2024-03-01' + to_hours(event_id), '%Y-%m-%d %H:%M:%S.%f') || '+02' AS text FROM events",
         "wal_uncastable_quarantined": "SELECT event_id AS lsn, CASE WHEN event_id % 5 = 0 THEN 'uncastable: n' END AS reason, CASE WHEN event_id % 5 = 0 THEN '99999999999999999999' ELSE user_id::VARCHAR END AS value FROM events",
         "wal_nested_array": """SELECT event_id, '{' || event_type || ',"a,}"}|{NULL,{' || user_id || '}}|x' AS items FROM events""",

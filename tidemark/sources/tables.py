@@ -7,20 +7,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 from typing import Protocol
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.config import Settings
 from tidemark.functions.types import json_schema, nullable, spark_type
 from tidemark.plans.catalog import Catalog, StreamSpec, of_frame, schema_names
+from tidemark.sources import splits
 from tidemark.sources.connection import Connection
 
 
 class Tables(Protocol):
     def discover(self, settings: Settings) -> Catalog: ...
+    def splits(self, stream: StreamSpec, parts: int) -> list[str]: ...
     def scan(self, stream: StreamSpec, where: Sequence[str] = ()) -> DataFrame: ...
 
 
@@ -41,6 +44,13 @@ class ParquetTables:
     def _read(self, table: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{table}.parquet")
 
+    def splits(self, stream: StreamSpec, parts: int) -> list[str]:
+        """Predicates of parts with about as many rows each, by the first key column."""
+        if not stream.keys:
+            return []
+        found = splits.statistics(self._read(stream.table), stream.keys[0])
+        return splits.predicates("`" + stream.keys[0].replace("`", "``") + "`", found, parts, f"xxhash64({', '.join(stream.keys)})" if len(stream.keys) > 1 else None)
+
     def scan(self, stream: StreamSpec, where: Sequence[str] = ()) -> DataFrame:
         """The table with its predicates; each is one condition, whatever it is made of."""
         df = self._read(stream.table)
@@ -59,12 +69,16 @@ WHERE c.table_schema NOT IN ('pg_catalog', 'information_schema')"""
 
 @dataclass
 class JdbcTables:
-    """Tables of a database. ``partition`` names a numeric column and its bounds for parallel reads."""
+    """Tables of a database, read in ``parts`` by as many tasks: by ranges of the replication key or of the first key column,
+    as the database's statistics cut it, or without those by ranges of pages; views without either are one part.
+    ``partition`` names a numeric column and its bounds for a stream that is to be cut by hand.
+    """
 
     spark: SparkSession
     connection: Connection
     fetch_size: int = 10_000
     partition: dict[str, tuple[str, int, int, int]] | None = None
+    parts: int = 1
 
     def _reader(self, query: str, stream: str = ""):
         options = self.connection.jdbc() | {"dbtable": f"({query}) AS t", "fetchsize": str(self.fetch_size)}
@@ -79,8 +93,31 @@ class JdbcTables:
         kept = " AND ".join(f"({c})" for c in where)
         return f"SELECT {', '.join(map(name, stream.real_columns))} FROM {name(stream.schema)}.{name(stream.table)}" + (f" WHERE {kept}" if kept else "")
 
+    def _ask(self, query: str) -> list[Row]:
+        return self._reader(query).load().collect()
+
+    def splits(self, stream: StreamSpec, parts: int) -> list[str]:
+        """Predicates of a table's parts, by what the database knows of it; none for one part."""
+        key = stream.replication_key if stream.replication_key in stream.real_columns else stream.keys[0] if stream.keys else None
+        text = lambda x: x.replace("'", "''")
+        if key:
+            kind = {T.LongType(): "bigint", T.IntegerType(): "integer", T.ShortType(): "smallint", T.DateType(): "date", T.TimestampType(): "timestamptz", T.TimestampNTZType(): "timestamp"}.get(stream.type_of(key), "numeric" if isinstance(stream.type_of(key), T.DecimalType) else "text")
+            rows = self._ask(splits.STATISTICS.format(schema=text(stream.schema), table=text(stream.table), column=text(key), kind=kind))
+            if rows:
+                points = tuple(splits.Point(r["value"], float(r["weight"]), r["common"]) for r in rows)
+                column = '"' + key.replace('"', '""') + '"'
+                return splits.predicates(column, splits.Statistics(points, float(rows[0]["nulls"])), parts)
+        rows = self._ask(splits.PAGES.format(schema=text(stream.schema), table=text(stream.table)))
+        return splits.page_predicates(int(rows[0]["relpages"]), parts) if rows else []
+
     def scan(self, stream: StreamSpec, where: Sequence[str] = ()) -> DataFrame:
-        return self._reader(self.query(stream, where), stream.name).load()
+        found = self.splits(stream, self.parts) if self.parts > 1 and stream.name not in (self.partition or {}) else []
+        if not found:
+            return self._reader(self.query(stream, where), stream.name).load()
+        # Each part is a query of its own, so its condition stands beside the others and may name what isn't selected.
+        options = {k: v for k, v in self.connection.jdbc().items() if k != "url"} | {"fetchsize": str(self.fetch_size)}
+        parts = [self.spark.read.jdbc(self.connection.jdbc()["url"], f"({self.query(stream, [*where, p])}) AS t", properties=options) for p in found]
+        return reduce(DataFrame.unionByName, parts)
 
     def discover(self, settings: Settings) -> Catalog:
         rows = self._reader(_COLUMNS).load().collect()

@@ -7,8 +7,9 @@ import os
 import tempfile
 import time
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -16,11 +17,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.config import INCREMENTAL, LOG_BASED, Settings
+from tidemark.functions.identifiers import quoted, table_filter
 from tidemark.functions.values import iso_timestamp
-from tidemark.operators.decode import EMITTED, cells, record_values, rows_of
+from tidemark.operators.decode import EMITTED, JSON_TIMES, cells, record_values, rows_of
 from tidemark.operators.dispatch import Routes, dispatched, emitted, position, quarantined
 from tidemark.operators.table_stream import bootstrap, dates_as_text, flattened, in_order, new_bookmark, read_stream
-from tidemark.plans.catalog import LSN, Catalog, StreamSpec
+from tidemark.plans.catalog import DELETED, LSN, Catalog, StreamSpec
+from tidemark.plans.maps import Maps
 from tidemark.sources import wal
 from tidemark.sources.segments import Landing, land_in_task
 from tidemark.sources.tables import Tables
@@ -33,6 +36,10 @@ SEGMENTS_PER_BATCH = 32
 LEAST_SECONDS = 1.0
 
 
+#: From a stream and two positions to the keys that changes between them replace.
+Changed = Callable[[StreamSpec, int, int], DataFrame]
+
+
 @dataclass
 class LogReport:
     """What a log run did."""
@@ -82,6 +89,7 @@ class LogRun:
         self.schemas = Schemas(streams, state)
         self.routes = Routes(self.streams, {s.name: state.start(s.name) for s in self.streams}, {s.name: state.commit(s.name) for s in self.streams if state.commit(s.name) is not None})
         self.options = dict(options) | {"start_lsn": str(self.routes.global_start), "add_tables": self.routes.add_tables}
+        self.maps = Maps(settings.stream_maps if settings else None)
         self.quarantine = quarantine or getattr(sink, "quarantine", None)
         self.clock = clock or time.monotonic
         self.report = LogReport(max_seen=0, by_stream={s.name: 0 for s in self.streams})
@@ -125,7 +133,7 @@ class LogRun:
             self.report.max_seen = max(self.report.max_seen, *(r["top"] or 0 for r in stats))
             self.report.batches += 1
             if hasattr(self.sink, "commit"):
-                entry = {"run": self.run_id, "segments": [number, number if upto is None else upto], "streams": {name: sum(r["n"] for r in found) for name, found in seen.items()}}
+                entry = {"run": self.run_id, "segments": [number, number if upto is None else upto], "streams": {t.name: sum(r["n"] for r in found) for name, found in seen.items() for t in self._targets([self.schemas.streams[name]])}}
                 self.sink.commit(part, entry | {k: self.state.value[k] for k in ("bookmarks", "schemas") if k in self.state.value})
             self.state.save()
             self.sink.state(self.state.value)
@@ -139,7 +147,7 @@ class LogRun:
         """
         if not hasattr(self.sink, "batch"):
             return {"uncastable": sum(self._write(messages, s, part) for s in present)}
-        values = record_values(messages, present, self.now, self._shape)
+        values = self._values(messages, present)
         names = {s: F.array(*map(F.lit, columns)) for s, columns in unknown.items()}
         strange = F.lit(False)
         if unknown:
@@ -159,9 +167,25 @@ class LogRun:
         else:
             lost = {"uncastable": values.filter(F.size("lost") > 0).count(), "unknown_column": messages.filter(F.col("disposition").isin(*EMITTED) & strange).count() if unknown else 0}
             good = values
-        self.sink.batch(good, present, part)
+        self.sink.batch(good, self._targets(present), part)
         return lost
 
+    def _targets(self, streams: list[StreamSpec]) -> list[StreamSpec]:
+        return self.maps.specs(self.spark, streams)
+
+    def _values(self, messages: DataFrame, present: list[StreamSpec]) -> DataFrame:
+        """Rows of all streams as JSON text: those of streams without a map have their messages' columns, those of a map have its."""
+        plain = [s for s in present if self.maps.plain(s.name)]
+        made = [record_values(messages.filter(F.col("stream").isin([s.name for s in plain])), plain, self.now, self._shape)] if plain else []
+        kept = ["payload", "_lost", "_commit", "_seq"]
+        for s in present:
+            for m in self.maps.of(s.name) if s not in plain else ():
+                rows = rows_of(emitted(messages, s), s, self.now, carry_lost=True, carry_order=True).withColumn("_at", F.col(LSN))
+                shaped = self._shaped(m.frame(rows, [*kept, "_at"]))
+                record = F.struct(*(quoted(c).alias(c) for c in shaped.columns if c not in (*kept, "_at")))
+                made.append(shaped.select(F.lit(m.spec(self.spark, s).name).alias("_stream"), F.coalesce("_commit", "_at").alias("position"), F.coalesce("_seq", F.lit(0).cast("bigint")).alias("seq"), F.col("_at").alias("lsn"), "payload", F.to_json(record, {"ignoreNullFields": "false", **JSON_TIMES}).alias("value"), F.col("_lost").alias("lost")))
+        return reduce(DataFrame.unionByName, made)
+
     def _write(self, messages: DataFrame, s: StreamSpec, part: str) -> int:
         """Writes a stream's rows as a typed table; how many had a value that their types can't hold."""
         rows = rows_of(emitted(messages, s), s, self.now, carry_lost=True, carry_order=True)
@@ -171,7 +195,8 @@ class LogRun:
             bad.select(F.col(LSN).alias("lsn"), "payload", F.concat(F.lit("uncastable: "), F.array_join("_lost", ", ")).alias("reason")).write.mode("overwrite").parquet(f"{self.quarantine}/{part}/_kind={s.name}")
             rows = rows.filter(F.size("_lost") == 0)
         ordered = rows.sortWithinPartitions(F.coalesce("_commit", LSN), "_seq", LSN).drop("payload", "_lost", "_commit", "_seq")
-        self.sink.rows(s, self._shaped(ordered))
+        for m in self.maps.of(s.name):
+            self.sink.rows(s if self.maps.plain(s.name) else m.spec(self.spark, s), self._shaped(m.frame(ordered)))
         return lost
 
     def _shape(self, value: Column, kind: T.DataType) -> Column:
@@ -198,7 +223,7 @@ class LogRun:
         client = wal.client_of(self.options)
         if not getattr(client, "replayable", True) and not self.landing:
             raise ValueError("this log can't be read twice: a landing folder is needed")
-        self.sink.schemas(self.streams)
+        self.sink.schemas(self._targets(self.streams))
         self._folder = self._folder or scratch_folder(self.spark, "landing")
         landing = Landing(self._folder)
         confirm = bool(self.landing) and self.options.get("feedback", "true") == "true"
@@ -245,7 +270,7 @@ class LogRun:
 
     def replay(self, landed: str, checkpoint: str, files_per_batch: int = 64) -> LogReport:
         """Decodes a log that was landed as Parquet by others, in micro-batches; what the checkpoint has seen isn't read again."""
-        self.sink.schemas(self.streams)
+        self.sink.schemas(self._targets(self.streams))
         self.run_id = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
         stream = self.spark.readStream.schema(wal.SCHEMA).option("maxFilesPerTrigger", files_per_batch).option("recursiveFileLookup", "true").parquet(landed)
         query = stream.writeStream.foreachBatch(self.batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -282,17 +307,23 @@ class Engine:
         self.spark, self.settings, self.tables = spark, settings, tables
         self.state = state or State()
         self._catalogs = Catalogs(lambda: tables.discover(settings), catalog)
+        self.maps = Maps(settings.stream_maps)
 
     @property
     def catalog(self) -> Catalog:
         return self._catalogs.get()
 
     def frame(self, spec: StreamSpec) -> DataFrame:
-        """A table stream as a DataFrame."""
+        """A table stream as a DataFrame, before its maps."""
         where = self.settings.where(spec.name)
         df = read_stream(self.tables.scan(spec, where), spec, self.settings, self.state.start(spec.name), where=())
         return flattened(df, self.settings.flattening_max_depth) if self.settings.flattening_enabled else df
 
+    def _rows(self, sink, spec: StreamSpec, df: DataFrame, *part: str) -> None:
+        """Rows of a stream as what its maps make of them."""
+        for m in self.maps.of(spec.name):
+            sink.rows(spec if self.maps.plain(spec.name) else m.spec(self.spark, spec), m.frame(df), *part)
+
     def sync_tables(self, sink) -> None:
         """Full and incremental streams; a bookmark moves after its rows are written.
 
@@ -304,34 +335,80 @@ class Engine:
             df = self.frame(spec)
             key = spec.replication_key
             if spec.method != INCREMENTAL or not key:
-                sink.rows(spec, df)
+                self._rows(sink, spec, df)
                 continue
             # Rows and bookmark come from one read of the table: what is committed meanwhile is left to the next run.
             landed = scratch_folder(self.spark, "increment")
             df.write.parquet(landed)
             kept = self.spark.read.schema(df.schema).parquet(landed)
-            sink.rows(spec, in_order(kept, key, *spec.keys))
+            self._rows(sink, spec, in_order(kept, key, *spec.keys))
             top = new_bookmark(kept, key, self.state.bookmark(spec.name)).first()[0]
             self.state.advance(spec.name, key, instant(top, kept.schema[key].dataType))
             self.state.save()
             sink.state(self.state.value)
 
-    def bootstrap(self, specs: Iterable[StreamSpec], sink, client: wal.WalClient) -> None:
+    def bootstrap(self, specs: Iterable[StreamSpec], sink, client: wal.WalClient, changed: Changed | None = None) -> None:
         """A snapshot of streams that have no bookmark; the position is taken before, so changes overlap it but none is missed.
 
-        Where the position can't be had, nothing is read.
+        Where the position can't be had, nothing is read.  With ``bootstrap_chunks`` a table is read in parts of its key, and
+        the state says which are done: a snapshot that is broken off goes on where it was, from the position at which it began.
         """
         for spec in specs:
             if self.state.bookmark(spec.name) is not None:
                 continue
+            if self.settings.bootstrap_chunks > 1 or spec.name in self.state.value.get("bootstrap", {}):
+                self._by_chunks(spec, sink, client, changed)
+                continue
             tip = client.tip()
             if tip is None:
                 continue
             where = self.settings.where(spec.name)
-            sink.rows(spec, bootstrap(self.tables.scan(spec, where), spec))
+            self._rows(sink, spec, bootstrap(self.tables.scan(spec, where), spec))
             self.state.advance(spec.name, LSN, tip)
             self.state.save()
 
+    def _by_chunks(self, spec: StreamSpec, sink, client: wal.WalClient, changed: Changed | None) -> None:
+        """Chunks one after the other; rows that the log replaces as a whole while their chunk is read are left to the log."""
+        kept = self.state.value.setdefault("bootstrap", {})
+        if spec.name not in kept:
+            tip = client.tip()
+            if tip is None:
+                return
+            kept[spec.name] = {"low": tip, "chunks": self.tables.splits(spec, self.settings.bootstrap_chunks) or ["true"], "done": 0}
+            self.state.save()
+        progress = kept[spec.name]
+        for i in range(progress["done"], len(progress["chunks"])):
+            low = client.tip()
+            landed = scratch_folder(self.spark, "chunk")
+            rows = bootstrap(self.tables.scan(spec, [*self.settings.where(spec.name), progress["chunks"][i]]), spec)
+            rows.write.parquet(landed)
+            rows = self.spark.read.schema(rows.schema).parquet(landed)
+            high = client.tip()
+            if changed and spec.keys and low is not None and high is not None and high > low:
+                rows = rows.join(changed(spec, low, high), list(spec.keys), "left_anti").select(*map(quoted, rows.columns))
+            self._rows(sink, spec, rows, f"_chunk={i}")
+            progress["done"] = i + 1
+            self.state.save()
+        self.state.advance(spec.name, LSN, progress["low"])
+        del kept[spec.name]
+        self.state.save()
+
+    def _changes(self, options: Mapping[str, str], landing: str | None) -> Changed | None:
+        """The keys of a stream that the log replaces or deletes as a whole between two positions. It lands the log for that, so a slot needs a landing that stays."""
+        if not landing and not getattr(wal.client_of(options), "replayable", True):
+            return None
+
+        def changed(spec: StreamSpec, low: int, high: int) -> DataFrame:
+            folder = landing or scratch_folder(self.spark, "changes")
+            routes = Routes([spec])
+            land_in_task(self.spark, dict(options) | {"add_tables": table_filter((s.schema, s.table) for s in self.catalog.selected if s.method == LOG_BASED)}, folder, low, 600, 1.0, confirm=False)
+            found = Landing(folder)
+            log = found.frame(self.spark, [s for s in found.segments() if s.last > low and s.first <= high])
+            rows = rows_of(emitted(dispatched(log, routes).filter((position() > low) & (position() <= high)), spec), spec, carry_present=True)
+            return rows.filter(F.col(DELETED).isNotNull() | (F.size(F.array_distinct("_present_cols")) >= len(spec.real_columns))).select(*map(quoted, spec.keys)).distinct()
+
+        return changed
+
     def sync_log(self, sink, options: Mapping[str, str], **more) -> LogReport | None:
         """All schemas, then snapshots if wanted, then the log.
 
@@ -342,9 +419,9 @@ class Engine:
         specs = [s for s in self.catalog.selected if s.method == LOG_BASED]
         if not specs:
             return None
-        sink.schemas(specs)
+        sink.schemas(self.maps.specs(self.spark, specs))
         if self.settings.auto_bootstrap_log_based:
-            self.bootstrap(specs, sink, wal.client_of(options))
+            self.bootstrap(specs, sink, wal.client_of(options), self._changes(options, more.get("landing")))
         for s in specs:
             self.state.mark_start(s.name, LSN, self.state.bookmark(s.name))
         options = {"slot": self.settings.replication_slot_name, "idle_seconds": str(max(1.0, self.settings.replication_idle_exit_seconds)), **options}
