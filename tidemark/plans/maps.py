@@ -53,7 +53,7 @@ class StreamMap:
         """The mapped rows. The log's own columns stay, whatever else is dropped, and those to ``carry``."""
         rules = dict(self.rules)
         if self.otherwise_drop:
-            rules = {c: f"`{c}`" for c in df.columns if c in (DELETED, LSN, *carry) and c not in rules} | rules
+            rules |= {c: f"`{c}`" for c in df.columns if c in (DELETED, LSN, *carry) and c not in rules}
         return mapped(df, rules, self.keep, self.otherwise_drop)
 
     def spec(self, spark: SparkSession, spec: StreamSpec) -> StreamSpec:

@@ -10,6 +10,7 @@ pages do.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
@@ -68,7 +69,7 @@ def _cuts(points: Sequence[Point], share: float) -> tuple[list[Any], list[tuple[
     held = 0.0
     for i, p in enumerate(points):
         if p.common and p.weight > share:
-            heavy.append((p.value, -int(-p.weight // share)))
+            heavy.append((p.value, math.ceil(round(p.weight / share, 9))))
             continue
         held += p.weight
         # Behind a bound begins a new range, so one that is full ends at the next value.
@@ -98,7 +99,7 @@ def predicates(column: str, found: Statistics, parts: int, spread: str | None =
         out.append((" AND ".join(ends) or f"{column} IS NOT NULL") + without)
     for v, n in heavy:
         out += [f"{column} = {literal(v)} AND mod(abs({spread}), {n}) = {i}" for i in range(n)]
-    n = max(1, -int(-found.nulls // share)) if spread else 1
+    n = max(1, math.ceil(round(found.nulls / share, 9))) if spread else 1
     out += [f"{column} IS NULL" + (f" AND mod(abs({spread}), {n}) = {i}" if n > 1 else "") for i in range(n)]
     return out
 
