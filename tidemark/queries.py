@@ -132,8 +132,9 @@ def replication_order_all(spark, sf_dir):
 
 
 def replication_order_nulls_first(spark, sf_dir):
-    """The first of them, as its SQL has it."""
-    return replication_order_all(spark, sf_dir).filter("pos <= 200")
+    """All orders with their place in the order of a key that some lack."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", F.when(F.col("o_orderkey") % 11 != 0, F.col("o_custkey")).alias("k"))
+    return ranked(o, f"{scratch_folder(spark, 'order')}/ranges", "k", "o_orderkey")
 
 
 def wal_decode_all(spark, sf_dir):
@@ -240,21 +241,22 @@ def wal_max_lsn_seen(spark, sf_dir):
 
 
 def wal_min_start(spark, sf_dir):
-    routes = Routes([event_stream(), event_stream("clicks")], {"public-events": 200, "public-clicks": 50})
-    return spark.range(1).select(F.lit(routes.global_start).cast("long").alias("global_start"), F.lit(routes.add_tables).alias("add_tables"))
-
-
-_RUNS = "(1, 10L, 0L, 20L, true), (2, 10L, 15L, 12L, true), (3, 10L, 0L, 777L, false), (4, 10L, 40L, 777L, false), (5, 10L, 0L, CAST(NULL AS BIGINT), true), (6, 100L, 50L, 60L, true), (7, 0L, 0L, 999L, true)"
+    """Streams that start where their kind of event is first seen: the log is read from the least of them."""
+    firsts = spark.read.parquet(f"{sf_dir}/events.parquet").groupBy("event_type").agg(F.min("event_id").alias("first")).orderBy("event_type").collect()
+    routes = Routes([event_stream(r["event_type"]) for r in firsts], {f"public-{r['event_type']}": r["first"] for r in firsts})
+    return spark.createDataFrame([(routes.global_start, routes.add_tables)], "global_start long, add_tables string")
 
 
 def wal_safe_advance(spark, sf_dir):
-    runs = spark.sql(f"SELECT * FROM VALUES {_RUNS} AS t(run, start, max_seen, tip, caught_up)")
-    return runs.select("run", advance_column(F.col("start"), F.col("max_seen"), F.col("tip"), F.col("caught_up")).alias("target"))
+    """Each event as the end of a run that has seen something, with a tip or without, at the log's end or not."""
+    e, eid = spark.read.parquet(f"{sf_dir}/events.parquet"), F.col("event_id")
+    runs = e.select("event_id", F.col("user_id").alias("start"), (eid % 500).alias("max_seen"), F.when(eid % 5 != 0, eid % 700).alias("tip"), (eid % 2 == 0).alias("caught_up"))
+    return runs.select("event_id", advance_column(F.col("start"), F.col("max_seen"), F.col("tip"), F.col("caught_up")).alias("target"))
 
 
 def forward_only_bookmark(spark, sf_dir):
-    rows = spark.sql("SELECT * FROM VALUES (1, 1000L, 500L), (2, 1000L, 2000L), (3, 1000L, 1000L), (4, 1000L, CAST(NULL AS BIGINT)), (5, CAST(NULL AS BIGINT), 7L) AS t(id, old, new)")
-    return rows.select("id", forward_column(F.col("old"), F.col("new")).alias("bookmark"))
+    e, eid = spark.read.parquet(f"{sf_dir}/events.parquet"), F.col("event_id")
+    return e.select("event_id", forward_column(F.when(eid % 3 != 0, F.col("user_id")), F.when(eid % 4 != 0, eid % 100)).alias("bookmark"))
 
 
 def bootstrap_snapshot(spark, sf_dir):
@@ -268,21 +270,26 @@ def bootstrap_then_wal(spark, sf_dir):
 
 
 def lsn_text_to_int(spark, sf_dir):
-    rows = spark.sql("SELECT * FROM VALUES ('0/0'), ('0/1'), ('6/4A3B2C10'), ('1/0'), ('FFFFFFF/FFFFFFFF'), ('nonsense') AS t(lsn)")
-    return rows.select("lsn", lsn_number(F.col("lsn")).alias("number"), F.when(lsn_number(F.col("lsn")).isNotNull(), lsn_text(lsn_number(F.col("lsn")))).alias("again"))
-
-
-_NAMES = [("a,b", "t"), ("a.b", "c"), ("a", "b.c"), ("a\\b", "t,u"), ("a\\,b", "My Table"), ("public", "users")]
+    """Positions as text, made of each event's id, as numbers and as text again; every seventh is no position."""
+    eid = F.col("event_id")
+    text = F.when(eid % 7 == 0, F.concat(F.col("event_type"), F.lit("/x"))).otherwise(F.concat(F.hex(eid), F.lit("/"), F.hex(eid * 7919)))
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", text.alias("lsn"))
+    return rows.select("event_id", lsn_number(F.col("lsn")).alias("number"), F.when(lsn_number(F.col("lsn")).isNotNull(), lsn_text(lsn_number(F.col("lsn")))).alias("again"))
 
 
 def add_tables_escape(spark, sf_dir):
-    rows = spark.createDataFrame(_NAMES, "s string, t string")
+    """Names with commas, dots and backslashes, made of customers, in the log's table filter, as shown and as routed."""
+    key = F.col("c_custkey")
+    schema = F.when(key % 3 == 0, F.concat(F.col("c_mktsegment"), F.lit(","))).when(key % 3 == 1, F.concat(F.lit("a\\"), F.col("c_mktsegment"), F.lit("."))).otherwise(F.lit("public"))
+    rows = spark.read.parquet(f"{sf_dir}/customer.parquet").select(schema.alias("s"), F.concat(F.col("c_name"), F.lit(".x,"), key % 10).alias("t"))
     return rows.select("s", "t", F.concat(escaped(F.col("s")), F.lit("."), escaped(F.col("t"))).alias("escaped"), shown_name(F.col("s"), F.col("t")).alias("shown"), route_key(F.col("s"), F.col("t")).alias("route"))
 
 
 def slot_name_valid(spark, sf_dir):
-    rows = spark.sql("SELECT * FROM VALUES ('slot_1'), ('pg_slot'), ('invalid slot name!'), (''), ('A'), (repeat('x', 63)), (repeat('x', 64)), ('apg_') AS t(name)")
-    return rows.select("name", is_slot_name(F.col("name")).alias("valid"))
+    """Customers' names as they are, with underscores, behind pg_, and repeated to lengths about the limit."""
+    key, name = F.col("c_custkey"), F.regexp_replace("c_name", "[^A-Za-z0-9]", "_")
+    made = F.when(key % 5 == 0, F.col("c_name")).when(key % 5 == 1, F.concat(F.lit("pg_"), name)).when(key % 5 == 2, F.rpad(name, 63, "x")).when(key % 5 == 3, F.rpad(name, 64, "x")).otherwise(name)
+    return spark.read.parquet(f"{sf_dir}/customer.parquet").select(made.alias("name")).select("name", is_slot_name(F.col("name")).alias("valid"))
 
 
 def timestamps_iso(spark, sf_dir):
@@ -335,17 +342,25 @@ def log_based_schema(spark, sf_dir):
     return spark.createDataFrame([(c, ",".join(p["type"]), c in spec.required) for c, p in spec.properties.items()], "col string, kinds string, required boolean")
 
 
-_TYPES = ["integer", "bigint", "text", "numeric(10,2)", "real", "double precision", "boolean", "date", "timestamp", "jsonb", "jsonb[]", "text[]", "hstore", "uuid", "interval"]
+#: What a database calls the types of the given tables.
+_PG = {"LongType()": "bigint", "IntegerType()": "integer", "DoubleType()": "double precision", "StringType()": "text", "TimestampNTZType()": "timestamp without time zone", "DateType()": "date"}
+
+
+def _typed_columns(spark, sf_dir):
+    return [(s.name, c, _PG[str(s.type_of(c))]) for s in _catalog(spark, sf_dir).streams for c in s.properties]
 
 
 def type_mapping(spark, sf_dir):
-    rows = [(n, json.dumps(json_schema(spark_type(n), json_as_object=o), sort_keys=True), o) for n in _TYPES for o in (False, True)]
-    return spark.createDataFrame(rows, "pg string, schema string, as_object boolean")
+    """Columns of the given tables and arrays of them, by the database's names of their types, as JSON Schema."""
+    rows = [(stream, c, many, json.dumps(json_schema(spark_type(kind + many)), sort_keys=True)) for stream, c, kind in _typed_columns(spark, sf_dir) for many in ("", "[]")]
+    return spark.createDataFrame(rows, "stream string, col string, many string, schema string")
 
 
 def promoted_types(spark, sf_dir):
-    rows = [(json.dumps(p, sort_keys=True), json.dumps(nullable(p)["type"])) for p in ({"type": "string"}, {"type": ["integer"]}, {"type": ["null", "string"]})]
-    return spark.createDataFrame(rows, "before string, after string")
+    """The types of all columns with null allowed, given as a text or as a list."""
+    kinds = [(stream, c, json_schema(spark_type(kind))["type"]) for stream, c, kind in _typed_columns(spark, sf_dir)]
+    rows = [(stream, c, plain, ",".join(nullable({"type": kind if plain else [kind]})["type"])) for stream, c, kind in kinds for plain in (True, False)]
+    return spark.createDataFrame(rows, "stream string, col string, plain boolean, kinds string")
 
 
 def filter_schemas(spark, sf_dir):
@@ -384,20 +399,9 @@ def _values(rows: list[tuple]) -> str:
     return ", ".join("(" + ", ".join(map(lit, r)) + ")" for r in rows)
 
 
-_ANY = '["string", "number", "integer", "array", "object", "boolean"]'
-_SHAPES = {
-    "integer": '{"type": "integer"}', "bigint": '{"type": "integer"}', "text": '{"type": "string"}', "numeric(10,2)": '{"type": "number"}', "real": '{"type": "number"}', "double precision": '{"type": "number"}', "boolean": '{"type": "boolean"}',
-    "date": '{"format": "date", "type": "string"}', "timestamp": '{"format": "date-time", "type": "string"}', "text[]": '{"items": {"type": "string"}, "type": "array"}', "hstore": '{"additionalProperties": true, "type": ["object", "null"]}', "uuid": '{"type": "string"}', "interval": '{"type": "string"}',
-}
-
-
-def _type_rows() -> list[tuple]:
-    rows: list[tuple] = []
-    for n in _TYPES:
-        for o in (False, True):
-            one = f'{{"additionalProperties": true, "type": {chr(91) + chr(34) + "object" + chr(34) + ", " + chr(34) + "null" + chr(34) + chr(93) if o else _ANY}}}'
-            rows.append((n, {"jsonb": one, "jsonb[]": f'{{"items": {one}, "type": "array"}}'}.get(n) or _SHAPES[n], o))
-    return rows
+_COLUMNS = "information_schema.columns WHERE table_name IN ('region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem', 'events')"
+_KIND = "CASE WHEN data_type IN ('BIGINT', 'INTEGER') THEN 'integer' WHEN data_type = 'DOUBLE' THEN 'number' ELSE 'string' END"
+_SHAPE = f"""'{{' || CASE WHEN starts_with(data_type, 'TIMESTAMP') THEN '"format": "date-time", ' WHEN data_type = 'DATE' THEN '"format": "date", ' ELSE '' END || '"type": "' || {_KIND} || '"}}'"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -415,7 +419,7 @@ def oracle_sql() -> dict[str, str]:
         "incremental_null_key_included": f"SELECT * FROM {_NULLKEY}",
         "incremental_new_bookmark": "SELECT max(ts) AS bookmark FROM events",
         "replication_order_all": f"SELECT event_id, k, row_number() OVER (ORDER BY k NULLS FIRST, event_id) AS pos FROM {_NULLKEY}",
-        "replication_order_nulls_first": f"SELECT * FROM (SELECT event_id, k, row_number() OVER (ORDER BY k NULLS FIRST, event_id) AS pos FROM {_NULLKEY}) WHERE pos <= 200",
+        "replication_order_nulls_first": "SELECT o_orderkey, k, row_number() OVER (ORDER BY k NULLS FIRST, o_orderkey) AS pos FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 11 <> 0 THEN o_custkey END AS k FROM orders)",
         "wal_decode_all": f"SELECT * FROM {_ROWS}",
         "wal_stream_run": f"SELECT * FROM {_ROWS}",
         "wal_upserts": f"SELECT event_id, user_id, value, event_type, _sdc_lsn FROM {_ROWS} WHERE _sdc_deleted_at IS NULL",
@@ -434,14 +438,17 @@ def oracle_sql() -> dict[str, str]:
             WHEN event_type = 'error' THEN 'truncate' ELSE 'emitted' END AS disposition, count(*) AS n FROM events GROUP BY 1""",
         "wal_counts_zero_filled": f"SELECT s.stream, count(e.event_id) AS emitted FROM (VALUES ('public-events'), ('public-clicks'), ('public-quiet')) s(stream) LEFT JOIN (SELECT * FROM events WHERE {_DATA}) e ON s.stream = {_STREAM.replace('event_id', 'e.event_id')} GROUP BY 1",
         "wal_max_lsn_seen": "SELECT max(event_id) AS max_lsn FROM events",
-        "wal_min_start": "SELECT 50::BIGINT AS global_start, 'public.events,public.clicks' AS add_tables",
-        "wal_safe_advance": "SELECT * FROM (VALUES (1, 20::BIGINT), (2, 15), (3, NULL), (4, 40), (5, NULL), (6, NULL), (7, 999)) t(run, target)",
-        "forward_only_bookmark": "SELECT * FROM (VALUES (1, 1000::BIGINT), (2, 2000), (3, 1000), (4, 1000), (5, 7)) t(id, bookmark)",
+        "wal_min_start": "SELECT min(first) AS global_start, string_agg('public.' || event_type, ',' ORDER BY event_type) AS add_tables FROM (SELECT event_type, min(event_id) AS first FROM events GROUP BY 1)",
+        "wal_safe_advance": """SELECT event_id, CASE WHEN target > user_id THEN target END AS target FROM (SELECT event_id, user_id,
+            CASE WHEN event_id % 2 = 0 THEN greatest(CASE WHEN event_id % 5 <> 0 THEN event_id % 700 ELSE 0 END, event_id % 500) ELSE event_id % 500 END AS target FROM events)""",
+        "forward_only_bookmark": "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN CASE WHEN event_id % 4 <> 0 THEN event_id % 100 END WHEN event_id % 4 = 0 THEN user_id WHEN user_id > event_id % 100 THEN user_id ELSE event_id % 100 END AS bookmark FROM events",
         "bootstrap_snapshot": "SELECT event_id, user_id, value, event_type, NULL::VARCHAR AS _sdc_deleted_at, NULL::BIGINT AS _sdc_lsn FROM events WHERE event_id % 2 = 0",
         "bootstrap_then_wal": f"SELECT event_id, user_id, value, event_type, NULL::VARCHAR AS _sdc_deleted_at, NULL::BIGINT AS _sdc_lsn FROM events UNION ALL SELECT * FROM {_ROWS}",
-        "lsn_text_to_int": "SELECT * FROM (VALUES ('0/0', 0::BIGINT, '0/0'), ('0/1', 1, '0/1'), ('6/4A3B2C10', 27015195664, '6/4A3B2C10'), ('1/0', 4294967296, '1/0'), ('FFFFFFF/FFFFFFFF', 1152921504606846975, 'FFFFFFF/FFFFFFFF'), ('nonsense', NULL, NULL)) t(lsn, number, again)",
-        "add_tables_escape": rf"""SELECT s, t, replace(replace(replace(s, '\', '\\'), ',', '\,'), '.', '\.') || '.' || replace(replace(replace(t, '\', '\\'), ',', '\,'), '.', '\.') AS escaped, s || '.' || t AS shown, length(s) || ':' || s || '.' || t AS route FROM (VALUES {_values(_NAMES)}) v(s, t)""",
-        "slot_name_valid": "SELECT name, NOT starts_with(name, 'pg_') AND regexp_full_match(name, '[A-Za-z0-9_]{1,63}') AS valid FROM (VALUES ('slot_1'), ('pg_slot'), ('invalid slot name!'), (''), ('A'), (repeat('x', 63)), (repeat('x', 64)), ('apg_')) t(name)",
+        "lsn_text_to_int": "SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN event_id * 4294967296 + event_id * 7919 END AS number, CASE WHEN event_id % 7 <> 0 THEN format('{:X}/{:X}', event_id, event_id * 7919) END AS again FROM events",
+        "add_tables_escape": r"""SELECT s, t, replace(replace(replace(s, '\', '\\'), ',', '\,'), '.', '\.') || '.' || replace(replace(replace(t, '\', '\\'), ',', '\,'), '.', '\.') AS escaped, s || '.' || t AS shown, length(s) || ':' || s || '.' || t AS route
+            FROM (SELECT CASE c_custkey % 3 WHEN 0 THEN c_mktsegment || ',' WHEN 1 THEN 'a\' || c_mktsegment || '.' ELSE 'public' END AS s, c_name || '.x,' || (c_custkey % 10) AS t FROM customer)""",
+        "slot_name_valid": """SELECT name, NOT starts_with(name, 'pg_') AND regexp_full_match(name, '[A-Za-z0-9_]{1,63}') AS valid FROM (SELECT CASE c_custkey % 5 WHEN 0 THEN c_name WHEN 1 THEN 'pg_' || n WHEN 2 THEN rpad(n, 63, 'x') WHEN 3 THEN rpad(n, 64, 'x') ELSE n END AS name
+            FROM (SELECT c_custkey, c_name, regexp_replace(c_name, '[^A-Za-z0-9]', '_', 'g') AS n FROM customer))""",
         "timestamps_iso": "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f+00:00') AS ts FROM events",
         "dates_as_string": "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f+00:00') AS o_orderdate FROM orders",
         "json_props_variant": "SELECT event_id, json_extract(props, '$.k')::BIGINT AS k, 'OBJECT<k: BIGINT>' AS shape FROM events",
@@ -451,7 +458,7 @@ def oracle_sql() -> dict[str, str]:
         "record_messages": "SELECT 'RECORD' AS type, 'public-region' AS stream, r_regionkey, r_name FROM region",
         "discover_columns": "SELECT 'public-' || table_name AS stream, column_name AS col, CASE WHEN data_type IN ('BIGINT', 'INTEGER') THEN 'integer' WHEN data_type = 'DOUBLE' THEN 'number' ELSE 'string' END AS kind, CASE WHEN starts_with(data_type, 'TIMESTAMP') THEN 'date-time' ELSE '' END AS format FROM information_schema.columns WHERE table_name IN ('region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem', 'events')",
         "log_based_schema": "SELECT * FROM (VALUES ('n_nationkey', 'integer,null', false), ('n_name', 'string,null', false), ('n_regionkey', 'integer,null', false), ('_sdc_deleted_at', 'string,null', false), ('_sdc_lsn', 'integer,null', false)) t(col, kinds, required)",
-        "type_mapping": f"SELECT * FROM (VALUES {_values(_type_rows())}) t(pg, schema, as_object)",
-        "promoted_types": """SELECT * FROM (VALUES ('{"type": "string"}', '["string", "null"]'), ('{"type": ["integer"]}', '["integer", "null"]'), ('{"type": ["null", "string"]}', '["null", "string"]')) t(before, after)""",
+        "type_mapping": f"""SELECT 'public-' || table_name AS stream, column_name AS col, many, CASE WHEN many = '' THEN {_SHAPE} ELSE '{{"items": ' || {_SHAPE} || ', "type": "array"}}' END AS schema FROM (VALUES (''), ('[]')) m(many), {_COLUMNS}""",
+        "promoted_types": f"SELECT 'public-' || table_name AS stream, column_name AS col, plain, {_KIND} || ',null' AS kinds FROM (VALUES (true), (false)) m(plain), {_COLUMNS}",
         "filter_schemas": "SELECT 'public' AS wanted, 'public-' || table_name AS stream FROM information_schema.tables WHERE table_name IN ('region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem', 'events')",
     }
