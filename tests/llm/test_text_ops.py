@@ -300,3 +300,61 @@ def test_url_lists_as_tables(spark, monkeypatch):
     monkeypatch.setattr(common.small_enough, "__defaults__", (16, 0))
     monkeypatch.setattr(common, "KEY_ROWS", 9)
     assert looked_up(spark, urls, entries) == local and any(r["n_active"] == 3 for r in local.values())
+
+
+SIDE = "<div class='sidebar'><p>Side, bar, text of it, about other things, here and there.</p></div>"
+REPLIES = "<div id=comments><p>Nice, article, thanks, a lot, really great to read, I say.</p></div>"
+BAR = "<div class='cookie-notice'>We use cookies, as all do, and so on, for very long.</div>"
+
+
+@pytest.mark.parametrize("inner", ["{}", "<div class=main>{}</div>", "<div><div>{}</div></div>"])
+@pytest.mark.parametrize("box", ['<div class="content-sidebar-wrap">', '<div id="page" class="right-sidebar">', '<form id="aspnetForm">', '<div class="post comments-open">', '<div class="content login-required">', '<div class="popup-history entry">', "<section class='layout_no-pagination_x nav-collapsed'>"])
+def test_wrappers_with_names_of_other_parts(box, inner):
+    end = f"</{re.match('<([a-z]+)', box)[1]}>"
+    text = "<h1>Title of it</h1>" + "".join(f"<p>{p}</p>" for p in article(8))
+    want = "Title of it " + " ".join(article(8))
+    assert extract(f"<html><body>{box}{inner.format(text)}{SIDE}{REPLIES}{BAR}{end}</body></html>") == want
+    assert extract(f"<html><body>{box}{inner.format(text)}{end}{SIDE}{REPLIES}{BAR}</body></html>") == want
+    assert extract(f"<html><body>{inner.format(text)}{BAR}<form><p>{PARA}</p><input></form>{SIDE}</body></html>") == want
+
+
+def test_long_comments_are_no_article_and_short_articles_are():
+    text = "".join(f"<p>{p}</p>" for p in article(2))
+    replies = "".join(f"<p>{PARA.format(i)} And more, I think, of my own, as a reply.</p>" for i in range(30))
+    for name in ("comments", "comment-list", "disqus-comments", "newsletter-popup"):
+        assert extract(f"<body><div class=story>{text}</div><div class='{name}'>{replies}</div></body>") == " ".join(article(2))
+    assert extract("<body><div class='ad'>Buy, now, what is, very, cheap, today.</div><article><h1>Short.</h1><p>Short.</p></article></body>") == "Short. Short."
+    assert extract(f"<body><div class='sidebar'>{text * 4}</div></body>") == " ".join(article(2) * 4)
+
+
+def test_what_leads_into_an_article_stays_and_ties_go_to_the_first():
+    body = "".join(f"<p>{p}</p>" for p in article(4))
+    assert extract(f"<body><div><h1>Head</h1><p>Short lede.</p><div class=text>{body}</div><p>Next.</p></div></body>") == "Head Short lede. " + " ".join(article(4))
+    one, two = (f"<div><div><div><p>{w} {PARA}</p></div></div></div>" for w in ("One", "Two"))
+    assert extract(f"<body><div>{one}</div><table><tr><td></td></tr></table><div>{two}</div></body>").startswith("One")
+
+
+#: Pages as layouts in the wild have them, with the article's words marked by what they begin with: a stands for the article, z for the rest.
+_LAYOUTS = [
+    "<div id='wrapper' class='two-sidebars'><div id='masthead-wrap'><h2>{z6}</h2></div><div id='primary' class='content-area'><main>{a}</main></div><div id='secondary' class='widget-area'><ul><li>{z20}</li></ul></div></div>",
+    "<form method='post' action='./Default.aspx' id='aspnetForm'><div class='s4-workspace'><div class='ms-rtestate-field'>{a}</div></div><div class='footer'>{z9}</div></form>",
+    "<div class='site has-sidebar-right sidebar-sticky'><div class='entry-wrap'><h1>{a5}</h1><div class='entry-meta-comments-2'></div>{a}</div><section class='comments'><p>{z30}</p><p>{z30}</p></section></div>",
+    "<table class='layout nav-left'><tr><td class='nav'>{z12}</td><td class='text'>{a}</td><td class='ads'>{z15}</td></tr></table>",
+    "<div class='paywall subscription-content article-body'>{a}</div><div class='newsletter-signup'><p>{z25}</p></div>",
+    "<div class='t-post comment-enabled'>{a}<div class='comment-respond'><form><p>{z14}</p></form></div></div>",
+    "<div id='content' class='widget-less'><h1>{a4}</h1><p>{a3}</p><div class='body'>{a}</div></div><div class='cookie-consent-banner'>{z22}</div>",
+]
+
+
+def test_precision_and_recall_on_layouts_of_other_names():
+    rng = random.Random(21)
+    words = lambda kind, n: " ".join(f"{kind}{rng.randrange(10**6):x}{rng.choice(['', '', '', ','])}" for _ in range(n))
+    found = hit = want = 0
+    for _ in range(25):
+        for layout in _LAYOUTS:
+            body = "".join(f"<p>{words('a', rng.randrange(12, 70))}</p>" for _ in range(rng.randrange(2, 9)))
+            made = re.sub(r"\{([az])(\d*)\}", lambda m: words(m[1], int(m[2])) if m[2] else body, layout)
+            got = extract(f"<html><body>{made}</body></html>").split()
+            truth = re.findall(r"\ba[0-9a-f]+\b", re.sub(r"<[^>]*>", " ", made))
+            found, hit, want = found + len(got), hit + sum(w.startswith("a") for w in got), want + len(truth)
+    assert hit >= 0.97 * found and hit >= 0.97 * want

@@ -7,11 +7,17 @@ are kept with it.  Inside the chosen containers everything is kept but what is
 never article text: menus, forms, scripts, asides, comments and so on.  Of an
 article's own header its headings are kept.
 
-A class or id that names such a part says so for certain (``comments``,
-``cookie-notice``) or only perhaps (``related``, ``social-history``).  What is
-perhaps one hands on no points, and is kept inside an article if it reads like
+A class or id that names such a part says so plainly (``comments``,
+``cookie-notice``), among other words (``content-sidebar-wrap``), or only perhaps
+(``related``, ``social-history``).  Names alone decide nothing.  A part that is
+named plainly goes if the page has text without it.  One that is named among
+other words, or is a form, goes unless most of the page's text is in it, of
+which little is in links: then it is what holds the article.  What is perhaps
+such a part hands on no points, and is kept inside an article if it reads like
 the article: long enough and with few links.
 
+Of containers that score alike the first in the page is taken.
+
 A page is read once, in time linear in its length, however its tags are nested.
 """
 
@@ -30,11 +36,11 @@ from tidemark.llm import common
 #: What HTML defines or what pages call such parts.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style noscript template iframe svg math canvas object textarea select title xmp noembed noframes".split())
-_SKIP = frozenset("head nav header footer aside form button fieldset dialog menu audio video map label".split())
+_SKIP = frozenset("head nav header footer aside button fieldset dialog menu audio video map label".split())
 _BLOCK = frozenset(
     "address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option optgroup p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
-_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
+_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar".split())
 _NEVER = "ads? adverts? advertisement advertising adsense sponsor sponsored sponsors sidebar side-?bar comments? disqus replies respond nav navbar navigation breadcrumbs? footer masthead cookies? consent gdpr notice popup modal newsletter subscribe subscription signup outbrain taboola pagination pager login".split()
 _PERHAPS = "banner promo promoted menu header overlay share sharing social related recommended toolbar disclaimer copyright skip form search tags".split()
 
@@ -43,6 +49,10 @@ def _names(words: list[str], more: str = "") -> re.Pattern:
     return re.compile(rf"(?:^|[\s_-])(?<!has-)(?<!with-)(?<!no-)(?:{'|'.join(words)})(?:$|[\s_-]){more}", re.I)
 
 
+#: Words that a plain name may have beside those: where a part is, or what holds it.
+_BESIDE = re.compile(r"left|right|top|bottom|site|global|primary|secondary|main|list|area|box|section|block|container|inner|widget|bar|form|banner|item|items|text|policy|the|[0-9]+", re.I)
+#: A part named among other words is kept with so large a share of the page's text, one that is named as content too with less; a plainly named one only if it is long and no more text than this is elsewhere.
+MOST, SOME, ELSEWHERE, LONG = 0.5, 0.25, 120, 400
 _BAD, _DOUBTFUL = _names(_NEVER, r"|(?:^|\s)widget(?:$|\s|-area|_)"), _names(_PERHAPS)
 #: What is perhaps no article text is kept from so many characters on, if no more than this share of them are in links.
 DOUBT_CHARS, DOUBT_LINKS = 200, 0.25
@@ -58,10 +68,10 @@ _SELF = {"li": ("li", frozenset({"ul", "ol", "menu"})), "dt": ("dt dd", frozense
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "kids", "skip", "good", "doubt", "score", "size", "links")
+    __slots__ = ("tag", "parent", "kids", "skip", "good", "doubt", "named", "score", "size", "links")
 
-    def __init__(self, tag: str, parent: _Node | None, skip: bool = False, good: bool = False, doubt: bool = False):
-        self.tag, self.parent, self.skip, self.good, self.doubt = tag, parent, skip, good, doubt
+    def __init__(self, tag: str, parent: _Node | None, skip: bool = False, good: bool = False, doubt: bool = False, named: float = 0):
+        self.tag, self.parent, self.skip, self.good, self.doubt, self.named = tag, parent, skip, good, doubt, named
         self.kids: list = []
         self.score, self.size, self.links = 0.0, 0, 0
 
@@ -70,22 +80,31 @@ def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): m[2] if m[2] is not None else m[3] if m[3] is not None else m[4] or "" for m in _ATTR.finditer(raw)} if raw.strip(" /\t\r\n") else {}
 
 
-def _looks_bad(tag: str, attrs: dict[str, str]) -> tuple[bool, bool, bool]:
-    """Whether an element is never article text, whether it names an article, whether it is perhaps no article text."""
+def _plain(name: str) -> bool:
+    """Whether a class or id is the name of such a part and no more."""
+    return any(_BAD.search(token) and all(_BAD.search(w) or _BESIDE.fullmatch(w) for w in re.split("[-_]", token) if w) for token in name.split())
+
+
+def _looks_bad(tag: str, attrs: dict[str, str]) -> tuple[bool, bool, bool, float]:
+    """Whether an element is never article text, whether it names an article, whether it is perhaps no article text; and if its name is that of
+    such a part the share of the page's text with which it is kept all the same (2: plainly named)."""
     if tag in _SKIP:
-        return True, False, False
+        return True, False, False, 0
+    form = MOST if tag == "form" else 0
     if not attrs:
-        return False, tag in ("article", "main"), False
+        return False, tag in ("article", "main"), False, form
     if "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in attrs.get("style", "").replace(" ", "").lower():
-        return True, False, False
+        return True, False, False, 0
     if attrs.get("role", "").lower() in _ROLES:
-        return True, False, False
+        return True, False, False, 0
     name = f"{attrs.get('class', '')} {attrs.get('id', '')}"
     good = tag in ("article", "main") or attrs.get("role") in ("main", "article") or bool(_GOOD.search(name))
     if tag in ("body", "html", "article", "main", "a", "b", "i", "em", "strong", "p", "span") or (tag in ("h1", "h2", "h3") and not attrs.get("id")):
-        return False, good, False
-    bad, doubt = bool(_BAD.search(name)), bool(_DOUBTFUL.search(name))
-    return bad, good and not bad and not doubt, doubt and not bad
+        return False, good, False, 0
+    doubt = bool(_DOUBTFUL.search(name))
+    if _BAD.search(name):
+        return False, good, False, 2 if _plain(name) and not form else SOME if good and not form else MOST
+    return False, good and not doubt, doubt and not form, form
 
 
 class _Open:
@@ -224,14 +243,49 @@ def _blocks(top: _Node, into: list[str], article: bool = False) -> None:
     end()
 
 
-def _measure(root: _Node) -> list[_Node]:
-    """Adds sizes and link sizes up the tree and hands points of paragraphs to their ancestors; returns the containers."""
+def _order(root: _Node) -> list[_Node]:
+    """All nodes that aren't left out, in page order."""
     order: list[_Node] = []
     stack = [root]
     while stack:
         n = stack.pop()
         order.append(n)
-        stack += [k for k in n.kids if isinstance(k, _Node) and not k.skip]
+        stack += [k for k in reversed(n.kids) if isinstance(k, _Node) and not k.skip]
+    return order
+
+
+def _leave_out(root: _Node) -> None:
+    """Leaves out what is named like a part that is no article text and reads like one."""
+    order = _order(root)
+    if not any(n.named for n in order):
+        return
+    size: dict[int, int] = {}
+    links: dict[int, int] = {}
+    inside: dict[int, int] = {}
+    for n in reversed(order):
+        kids = [k for k in n.kids if isinstance(k, _Node) and not k.skip]
+        size[id(n)] = sum(len(k.strip()) for k in n.kids if isinstance(k, str)) + sum(size[id(k)] for k in kids)
+        links[id(n)] = size[id(n)] if n.tag == "a" else sum(links[id(k)] for k in kids)
+        # Text that stays in any case: what isn't in a part with such a name, nor in links.
+        inside[id(n)] = 0 if n.named == 2 or n.tag == "a" else sum(len(k.strip()) for k in n.kids if isinstance(k, str)) + sum(inside[id(k)] for k in kids)
+    total, sure = size[id(root)] - links[id(root)], inside[id(root)]
+    left: set[int] = set()
+    for n in order:
+        if n.parent is not None and id(n.parent) in left:
+            left.add(id(n))
+            continue
+        if not n.named:
+            continue
+        own = size[id(n)] - links[id(n)]
+        few = links[id(n)] <= DOUBT_LINKS * size[id(n)]
+        if not (few and (sure <= ELSEWHERE and own >= max(LONG, MOST * total) if n.named == 2 else own >= max(DOUBT_CHARS, n.named * total))):
+            n.skip = True
+            left.add(id(n))
+
+
+def _measure(root: _Node) -> list[_Node]:
+    """Adds sizes and link sizes up the tree and hands points of paragraphs to their ancestors; returns the containers in page order."""
+    order = _order(root)
     own: dict[int, list[int]] = {}
     for n in reversed(order):
         flat = "".join(k if isinstance(k, str) else " " for k in n.kids)
@@ -267,6 +321,7 @@ def extract(page: str | None) -> str:
     if not page:
         return ""
     root = parse(page)
+    _leave_out(root)
     containers = _measure(root)
     rank = {id(n): n.score * (1 - min(1.0, n.links / max(1, n.size))) * (2.0 if n.good else 1.0) for n in containers}
     best = max(containers, key=lambda n: rank[id(n)], default=None)
@@ -280,11 +335,14 @@ def extract(page: str | None) -> str:
         _blocks(best, found)
         return " ".join(found)
     least = 0.2 * max(rank.get(id(best), 0.0), 1.0)
+    # Between a headline and the article stands what leads into it, however short.
+    before, headed = True, False
     for kid in best.parent.kids:
         if isinstance(kid, str) or kid.skip:
             continue
+        before, headed = before and kid is not best, headed or kid.tag in ("h1", "h2")
         dense = kid.links / max(1, kid.size)
-        alike = kid is best or (best.tag not in ("article", "main", "body") and ((rank.get(id(kid), 0.0) >= least and dense < 0.3) or (kid.tag == "p" and kid.size > 80 and dense < 0.25) or kid.tag == "h1"))
+        alike = kid is best or (best.tag not in ("article", "main", "body") and ((rank.get(id(kid), 0.0) >= least and dense < 0.3) or (kid.tag == "p" and (kid.size > 80 or (before and headed)) and dense < 0.25) or kid.tag == "h1"))
         if alike and (kid is best or not kid.doubt or _reads_like_text(kid)):
             _blocks(kid, found, article)
     return " ".join(found)
