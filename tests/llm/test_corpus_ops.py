@@ -713,3 +713,53 @@ def test_training_rows_start_no_other_workers(spark):
     labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, toxic int")
     rows, _ = toxicity.sample(spark.createDataFrame(docs.toArrow()), spark.createDataFrame(labels.toArrow()), 5, 5, 1 << 20)
     assert "LogicalRDD" not in rows._jdf.queryExecution().optimizedPlan().toString() and 4 <= rows.count() <= 10
+
+
+def _edits(rng, words, kind):
+    new = lambda: np.uint64(rng.getrandbits(60))
+    if kind.startswith("random"):
+        return [w if rng.random() > int(kind[7:]) / 100 else new() for w in words]
+    if kind == "every third":
+        at = rng.randrange(3)
+        return [new() if i % 3 == at else w for i, w in enumerate(words)]
+    if kind == "deleted":
+        at = rng.randrange(3)
+        return [w for i, w in enumerate(words) if i % 3 != at]
+    if kind == "inserted":
+        at = rng.randrange(3)
+        return [x for i, w in enumerate(words) for x in ([w, new()] if i % 3 == at else [w])]
+    return [x for w in words for x in rng.choice([[w], [w], [w], [new()], [], [w, new()]])]
+
+
+@pytest.mark.parametrize("kind", ["random 20", "random 30", "random 40", "every third", "deleted", "inserted", "mixed"])
+def test_recall_of_edited_items(kind):
+    """Edited copies of items of 3 to 200 words in documents of sf0.01, against alignment of all of them with all items: an item is aligned wherever it shares as many words as the bar asks for at all."""
+    docs, given_items = (pq.read_table(f"/root/testdata/sf0.01/{t}.parquet", columns=["text"]) for t in ("documents", "benchmark"))
+    h, at = decontaminate.words_of(docs["text"].combine_chunks())
+    rng = random.Random(kind)
+    hi, ai = decontaminate.words_of(given_items["text"].combine_chunks())
+    mine = [hi[ai[i] : ai[i + 1]] for i in range(len(given_items)) if ai[i + 1] - ai[i] >= 3][:100]
+    vocabulary = np.unique(h)
+    mine += [np.array(rng.choices(h.tolist() if n % 2 else vocabulary.tolist(), k=n), np.uint64) for n in [*range(3, 30), *range(30, 201, 5)]]
+    words, counts = np.unique(h, return_counts=True)
+    share = dict(zip(words.tolist(), (counts / len(h)).tolist(), strict=True))
+    found = []
+    for i, w in enumerate(mine):
+        k, seeds, places = decontaminate.seeds_of(w, np.array([share.get(x, 0.0) for x in w.tolist()]))
+        assert k == 3
+        found += [(s, i, p) for s, p in zip(seeds.tolist(), places.tolist(), strict=True)]
+    none = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+    block = decontaminate.Items(list(range(len(mine))), mine, {1: none, 2: none, 3: tuple(np.array(x, t) for x, t in zip(zip(*sorted(found), strict=True), (np.uint64, np.int64, np.int64), strict=True))})
+    texts = []
+    for w in mine:
+        d = rng.randrange(len(docs))
+        body = h[at[d] : at[d + 1]][:80]
+        texts.append(np.array([*body, *_edits(rng, w, kind), *body[::-1]], np.uint64))
+    by_seeds = {(d, i) for d, t in enumerate(texts) for i, *_ in decontaminate.matches(t, block, decontaminate.LEAST)}
+    all_pairs = set()
+    for d, t in enumerate(texts):
+        for i, w in enumerate(mine):
+            least = decontaminate.bar(len(w), decontaminate.LEAST)
+            if np.isin(w, t).sum() >= least * len(w) and decontaminate.align(w, t)[0] / (2 * len(w)) >= least:
+                all_pairs.add((d, i))
+    assert len(all_pairs) > 50 and len(by_seeds & all_pairs) >= 0.9 * len(all_pairs), (len(by_seeds & all_pairs), len(all_pairs))

@@ -1,7 +1,10 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-A seed is a run of three words of a test item that ordinary text would rarely
-have: the product of its words' shares of all corpus words is small.  Rareness
+A seed is three words of a test item, in a row or with one left out between, that
+ordinary text would rarely have: the product of its words' shares of all corpus
+words is small.  Documents are read for the same three forms, any of which may
+meet any, so seeds survive words that were replaced, left out or put in, up to
+every third.  Rareness
 is judged by the words, not by the run's own count, so an item that was copied
 into thousands of documents keeps its seeds.  However common its words, an item
 has a seed in each WINDOW words, so no part of that length goes unseen; items of
@@ -31,6 +34,8 @@ from tidemark.llm import common
 from tidemark.llm.common import row_key
 
 SEED, MATCH = 3, 2
+#: The places of a seed's words: in a row, or with one word between that doesn't matter.
+FORMS = ((0, 1, 2), (0, 1, 3), (0, 2, 3))
 #: An item is met if its best alignment reaches this share of a full match, or the score of so many words in a row.
 LEAST, WORDS = 0.4, 13
 #: Short items need more than that share: as many aligned words as they have, but no more than this.
@@ -58,6 +63,22 @@ def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return common.word_hashes(raw, starts, ends, lower=False), at
 
 
+def runs(words: np.ndarray, k: int) -> list[tuple[int, np.ndarray]]:
+    """Hashes of all runs of k words, and of SEED words in each of the forms, by their first words: (span, hashes). Forms with the same words have the same hash."""
+    if k < SEED:
+        return [(k, common.shingle_hashes(words, k))] if len(words) >= k else []
+    found = []
+    for form in FORMS:
+        span, n = form[-1] + 1, len(words) - form[-1]
+        if n > 0:
+            h = np.full(n, SEED, dtype=np.uint64)
+            for j in form:
+                h = (h * np.uint64(0x9FB21C651E98DF25)) + words[j : j + n]
+                h ^= h >> np.uint64(32)
+            found.append((span, common.mix(h)))
+    return found
+
+
 @dataclass
 class Items:
     """Items that every task has: ids and words of each, and by run length (1, 2: whole short items, SEED) the seeds, sorted by hash, with their (item, place)."""
@@ -66,14 +87,14 @@ class Items:
     words: list[np.ndarray]
     seeds: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
 
-    def hits(self, words: np.ndarray, k: int) -> np.ndarray:
-        """Places of a text where a seed of k words begins."""
-        seeds = self.seeds[k][0]
-        if not len(seeds) or len(words) < k:
-            return np.zeros(0, np.int64)
-        s = common.shingle_hashes(words, k)
-        at = np.minimum(np.searchsorted(seeds, s), len(seeds) - 1)
-        return np.flatnonzero(seeds[at] == s)
+    def hits(self, words: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places of a text where a seed of k words begins, and its hash."""
+        seeds, found = self.seeds[k][0], [(np.zeros(0, np.int64), np.zeros(0, np.uint64))]
+        for _, s in runs(words, k) if len(seeds) else ():
+            at = np.minimum(np.searchsorted(seeds, s), len(seeds) - 1)
+            hit = np.flatnonzero(seeds[at] == s)
+            found.append((hit, s[hit]))
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
     def filter_bits(self) -> np.ndarray:
         return _bits_of(np.concatenate([self.seeds[k][0] for k in self.seeds]))
@@ -98,12 +119,12 @@ def _marked(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) != 0
 
 
-def kept_seeds(rate: np.ndarray) -> np.ndarray:
-    """Places of an item's seeds, given how often ordinary text has each of its runs: KEPT ones, rare ones, and the rarest of each WINDOW words."""
+def kept_seeds(rate: np.ndarray, span: int = SEED) -> np.ndarray:
+    """Places of an item's seeds of one form, given how often ordinary text has each: KEPT ones, rare ones, and the rarest of each WINDOW words."""
     order = np.argsort(rate, kind="stable")
     keep = rate <= RARE
     keep[order[:KEPT]] = True
-    size = WINDOW - SEED + 1
+    size = WINDOW - span + 1
     if len(rate) > size:
         keep[np.lib.stride_tricks.sliding_window_view(rate, size).argmin(axis=1) + np.arange(len(rate) - size + 1)] = True
     return np.flatnonzero(keep)
@@ -114,8 +135,12 @@ def seeds_of(words: np.ndarray, share: np.ndarray) -> tuple[int, np.ndarray, np.
     k = min(SEED, len(words))
     if k < SEED:
         return k, common.shingle_hashes(words, max(1, k)), np.zeros(min(1, k), np.int64)
-    keep = kept_seeds(np.prod([share[j : len(share) - SEED + 1 + j] for j in range(SEED)], axis=0))
-    return k, common.shingle_hashes(words, SEED)[keep], keep
+    seeds, places = [], []
+    for form, (span, h) in zip(FORMS, runs(words, SEED)):
+        keep = kept_seeds(np.prod([share[j : j + len(h)] for j in form], axis=0), span)
+        seeds.append(h[keep])
+        places.append(keep)
+    return k, np.concatenate(seeds), np.concatenate(places)
 
 
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
@@ -154,6 +179,9 @@ def aligned(words: np.ndarray, mine: np.ndarray, diagonals: np.ndarray, least: f
     best = (0.0, 0, 0)
     for part in np.split(d, cuts):
         a, b = max(0, int(part[0]) - slack), min(len(words), int(part[-1]) + len(mine) + slack)
+        # An alignment has no more matches than the item has words that are there at all.
+        if np.isin(mine, words[a:b]).sum() < bar(len(mine), least) * len(mine):
+            continue
         score, x, y = align(mine, words[a:b])
         best = max(best, (score / (MATCH * len(mine)), a + x, a + y), key=lambda t: t[0])
     return best if best[0] >= bar(len(mine), least) else None
@@ -163,26 +191,26 @@ def matches(words: np.ndarray, items: Items, least: float) -> list[tuple[int, fl
     """Items met in a text: (number of the item, share of a full match, first word, end word), best place of each."""
     found = []
     for k, (seeds, item, place) in items.seeds.items():
-        hit = items.hits(words, k)
+        hit, s = items.hits(words, k)
         if not len(hit):
             continue
-        s = common.shingle_hashes(words, k)
-        near: set[tuple[int, int]] = set()
-        for at in np.split(hit, range(LOOKED_UP, len(hit), LOOKED_UP)):
-            lo, hi = np.searchsorted(seeds, s[at], side="left"), np.searchsorted(seeds, s[at], side="right")
+        near = [np.zeros((2, 0), np.int64)]
+        for cut in range(0, len(hit), LOOKED_UP):
+            at, h = hit[cut : cut + LOOKED_UP], s[cut : cut + LOOKED_UP]
+            lo, hi = np.searchsorted(seeds, h, side="left"), np.searchsorted(seeds, h, side="right")
             # The n-th entry of each seed in turn: a repetitive text meets no more pairs at once than it has places.
             for n in range(int((hi - lo).max())):
                 more = lo + n < hi
                 entry = lo[more] + n
-                pairs = np.unique(np.stack((item[entry], at[more] - place[entry])), axis=1)
-                near.update(zip(*pairs.tolist(), strict=True))
-        by: dict[int, list[int]] = {}
-        for i, d in near:
-            by.setdefault(i, []).append(d)
-        for i in sorted(by):
+                near.append(np.unique(np.stack((item[entry], at[more] - place[entry])), axis=1))
+            if len(near) > 64:
+                near = [np.unique(np.concatenate(near, axis=1), axis=1)]
+        pairs = np.unique(np.concatenate(near, axis=1), axis=1)
+        ids, first = np.unique(pairs[0], return_index=True)
+        for i, diagonals in zip(ids.tolist(), np.split(pairs[1], first[1:]), strict=True):
             if k < SEED:
-                found.append((i, 1.0, min(by[i]), min(by[i]) + k))
-            elif met := aligned(words, items.words[i], np.array(by[i]), least):
+                found.append((i, 1.0, int(diagonals.min()), int(diagonals.min()) + k))
+            elif met := aligned(words, items.words[i], diagonals, least):
                 found.append((i, *met))
     return found
 
@@ -256,7 +284,7 @@ def _find(batches: Iterator[pa.RecordBatch], items: Items, least: float) -> Iter
 
 def _near_docs(h: np.ndarray, at: np.ndarray, bits: np.ndarray, lengths: list[int]) -> np.ndarray:
     """Numbers of the texts in which a run of some length may be a seed."""
-    near = [np.flatnonzero(_marked(bits, common.shingle_hashes(h, k))) for k in lengths if len(h) >= k]
+    near = [np.flatnonzero(_marked(bits, s)) for k in lengths for _, s in runs(h, k)]
     return np.unique(np.searchsorted(at, np.concatenate(near), side="right") - 1) if near else np.zeros(0, np.int64)
 
 
@@ -265,11 +293,10 @@ def _probe(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa.R
     for batch in batches:
         for lo, hi in common.text_slices(batch.column(2)):
             h, at = words_of(batch.column(2).slice(lo, hi - lo))
-            for k in range(1, SEED + 1):
-                s = common.shingle_hashes(h, k) if len(h) >= k else np.zeros(0, np.uint64)
+            for k, span, s in ((k, span, s) for k in range(1, SEED + 1) for span, s in runs(h, k)):
                 hit = np.flatnonzero(_marked(bits, s))
                 doc = np.searchsorted(at, hit, side="right") - 1
-                inside = hit + k <= at[doc + 1]
+                inside = hit + span <= at[doc + 1]
                 hit, doc = hit[inside], doc[inside]
                 if len(hit):
                     rows = pa.array(doc, pa.int64())
@@ -350,17 +377,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) ->
         return spark.createDataFrame([], _ROW)
     if size > LOCAL_BYTES:
         return _by_tables(texts, items, seeds, least)
-    rows = items.orderBy("item").collect()
-    number = {r["item"]: i for i, r in enumerate(rows)}
-    found: dict[int, list[tuple[int, int, int]]] = {k: [] for k in range(1, SEED + 1)}
-    for r in seeds.orderBy("k", "item", "place").collect():
-        found[r["k"]].append((r["seed"], number[r["item"]], r["place"]))
+    rows = items.select("item", "item_id", "words").orderBy("item").toArrow().combine_chunks()
+    lists = rows["words"].combine_chunks() if isinstance(rows["words"], pa.ChunkedArray) else rows["words"]
+    words = [np.asarray(lists[i].values).astype(np.int64).view(np.uint64) for i in range(len(lists))]
+    taken = seeds.select("k", "seed", "item", "place").toArrow()
+    k, seed, item, place = (np.asarray(taken[c]).astype(np.int64) for c in ("k", "seed", "item", "place"))
+    # Monotonic ids become numbers of rows.
+    item = np.searchsorted(np.asarray(rows["item"]).astype(np.int64), item)
     sorted_seeds = {}
-    for k, part in found.items():
-        seed, item, place = (np.array(x, np.int64) for x in (zip(*part, strict=True) if part else ((), (), ())))
-        by = np.argsort(seed.view(np.uint64), kind="stable")
-        sorted_seeds[k] = (seed.view(np.uint64)[by], item[by], place[by])
-    block = spark.sparkContext.broadcast(Items([r["item_id"] for r in rows], [np.array(r["words"], np.int64).view(np.uint64) for r in rows], sorted_seeds))
+    for n in range(1, SEED + 1):
+        by = np.flatnonzero(k == n)
+        by = by[np.lexsort((place[by], item[by], seed[by].view(np.uint64)))]
+        sorted_seeds[n] = (seed[by].view(np.uint64), item[by], place[by])
+    block = spark.sparkContext.broadcast(Items(rows["item_id"].to_pylist(), words, sorted_seeds))
     return texts.mapInArrow(common.lean(lambda it: _find(it, block.value, least)), _ROW)
 
 
