@@ -9,8 +9,9 @@ different values different ones, and whoever has the key can invert it
 sees it.
 
 Ways to write a date have fewer dates than the calendar: a month of one digit, or
-a month before a day that only then can be told.  There the permutation is
-walked on until it comes to a date of that way again, which keeps it a bijection.
+a month before a day that only then can be told.  And not all digits make a phone
+number of each layout.  There the permutation is walked on until it comes to a
+value of that way again, which keeps it a bijection.
 
 A value is split in two halves; each of ROUNDS rounds adds a keyed hash of one
 half to the other, modulo that half's range.  So every round is a bijection of
@@ -41,6 +42,8 @@ _OTHER = rf"{_DATE}|\d{{3}}-\d{{2}}-\d{{4}}|\d{{3}}[ -]\d{{3}}-\d{{4}}|\d{{1,3}}
 #: kind -> pattern; the first that fits a place is taken.
 KINDS = {
     "iso_date": r"\d{4}-\d{2}-\d{2}",
+    "ymd_date": r"\d{4}/\d{1,2}/\d{1,2}",
+    "iban": r"[A-Z]{2}\d{2} ?[A-Z0-9]{4}(?: ?\d[0-9A-Z]{3}){1,6}(?: ?\d[0-9A-Z]{0,2})?",
     "day_date": r"\d{1,2}[./]\d{1,2}[./]\d{4}",
     "ssn": r"\d{3}-\d{2}-\d{4}",
     "phone": "|".join(
@@ -56,7 +59,8 @@ KINDS = {
     "ip": r"(?<!\d\.)\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.\d)",
     "card": rf"(?=\d(?:[ -]?\d){{12}})\d++(?![A-Za-z])(?:[ -](?!(?:{_OTHER}){_END})\d++(?![A-Za-z]))*+",
 }
-ANY = f"{_SIDE}(?:" + "|".join([KINDS["iso_date"], KINDS["day_date"], KINDS["ssn"], KINDS["ip"], f"(?<!\\+)(?:{KINDS['phone']})", KINDS["card"]]) + f"){_END}"
+#: A date before a time of day ends there; one in a path is none.
+ANY = f"{_SIDE}(?:{KINDS['iso_date']}(?=T\\d\\d:?\\d\\d)|(?:" + "|".join([KINDS["iban"], KINDS["iso_date"], f"(?<!/){KINDS['ymd_date']}(?!/)", KINDS["day_date"], KINDS["ssn"], KINDS["ip"], f"(?<!\\+)(?:{KINDS['phone']})", KINDS["card"]]) + f"){_END})"
 
 
 def _let(value: Column, body) -> Column:
@@ -83,7 +87,7 @@ def feistel(left: Column, right: Column, a: Column, b: Column, key: str, kind: C
 
 
 def _digits(text: Column, key: str, kind: Column) -> Column:
-    """A run of 2 to 18 digits, permuted among those of its length."""
+    """A run of 2 to 30 digits, permuted among those of its length."""
 
     def halves(n: Column) -> Column:
         u = F.floor(n / 2).cast("int")
@@ -237,25 +241,84 @@ def _ssn(token: Column, key: str) -> Column:
     return _let(F.split(token, "-"), parts)
 
 
+#: What is kept of a phone number: its country code, with a zero in brackets behind it, or the zero before an area.
+_KEPT = (
+    rf"^(?:(?:\+|00)(?:\d{{1,3}}(?=[ ./(-])|{_CODE})(?:[ .-]?\(0\))?|1(?=[ .-]?(?:\(\d{{3}}\)[ .-]?|\d{{3}}[ .-])\d{{3}}[ .-]\d{{4}}$)"
+    r"|(?!(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}$)\(?0(?=[1-9]))"
+)
+
+
+def _walk(start: Column, step, fits) -> Column:
+    """The first value that fits, from ``step(start)`` on. Few walks are long: the rest of the steps is looked at for those alone."""
+    steps = lambda value, n: F.aggregate(F.sequence(F.lit(1), F.lit(n)), value, lambda acc, _: F.when(fits(acc), acc).otherwise(step(acc)))
+    return _let(step(start), lambda one: F.when(fits(one), one).otherwise(_let(steps(one, 8), lambda d: F.when(fits(d), d).otherwise(steps(d, WALK)))))
+
+
 def _phone(token: Column, key: str) -> Column:
-    """Country code and layout kept; all other digits permuted together."""
-    code = F.regexp_extract(token, rf"^(?:(?:\+|00)(?:\d{{1,3}}(?=[ ./(-])|{_CODE})|1(?=[ .-]?(?:\(\d{{3}}\)[ .-]?|\d{{3}}[ .-])\d{{3}}[ .-]\d{{4}}$))", 0)
+    """Country code and layout kept; all other digits permuted together, among those with which the number is read the same way."""
+    others = "|".join(KINDS[k] for k in ("iso_date", "day_date", "ssn", "ip"))
+
+    def made(x: Column) -> Column:
+        whole = lambda digits: F.concat(x["kept"], _fill(x["rest"], digits))
+        same = lambda t: t.rlike(f"^(?:{KINDS['phone']})$") & ~t.rlike(f"^(?:{others})$") & (F.regexp_extract(t, _KEPT, 0) == x["kept"])
+        digits = F.regexp_replace(x["rest"], "[^0-9]", "")
+        return whole(_walk(digits, lambda d: _digits(d, key, F.lit("phone")), lambda d: _let(whole(d), same)))
+
+    return _let(F.regexp_extract(token, _KEPT, 0), lambda kept: _let(F.struct(kept.alias("kept"), F.substring(token, F.length(kept) + 1, F.length(token)).alias("rest")), made))
+
+
+def _ymd_date(token: Column, key: str) -> Column:
+    """Year first; the padding of month and day stays."""
+
+    def parts(p: Column) -> Column:
+        wide = lambda i: F.length(p[i]) == 2
+        fits = lambda d: (wide(1) | (F.month(d) < 10)) & (wide(2) | (F.day(d) < 10))
+        text = lambda v, is_wide: F.when(is_wide, F.lpad(v.cast("string"), 2, "0")).otherwise(v.cast("string"))
+        like = lambda d: F.concat_ws("/", F.lpad(F.year(d).cast("string"), 4, "0"), text(F.month(d), wide(1)), text(F.day(d), wide(2)))
+        return _let(_day(p[0], p[1], p[2]), lambda date: F.when(date.isNotNull(), _let(_walk(date, lambda d: _moved(d, key), fits), like)))
+
+    return _let(F.split(token, "/"), parts)
+
+
+def _mod97(text: Column) -> Column:
+    """The remainder by 97 of letters and digits, a letter counting as two digits from 10 on."""
+    value = lambda ch: F.when(ch.rlike("[0-9]"), F.try_to_number(ch, F.lit("9")).cast("int")).otherwise(F.ascii(ch) - 55)
+    return F.aggregate(F.split(text, ""), F.lit(0), lambda acc, ch: (acc * F.when(ch.rlike("[0-9]"), 10).otherwise(100) + value(ch)) % 97)
+
+
+def _mod97_ok(token: Column) -> Column:
+    plain = F.replace(token, F.lit(" "), F.lit(""))
+    return _let(plain, lambda x: _mod97(F.concat(F.substring(x, F.lit(5), F.length(x)), F.substring(x, 1, 4))) == 1)
+
+
+def _iban(token: Column, key: str) -> Column:
+    """(number of values, token with an account number replaced): country, letters and blanks are kept, digits permuted, check digits made anew.
+
+    What isn't one may hold a card behind its first four characters.
+    """
 
-    def made(rest: Column) -> Column:
-        return _let(_digits(F.regexp_replace(rest, "[^0-9]", ""), key, F.lit("phone")), lambda x: _fill(rest, x))
+    def made(x: Column) -> Column:
+        body = F.substring(x["plain"], F.lit(5), F.length(x["plain"]))
+        check = lambda b: F.lpad((98 - _mod97(F.concat(b, F.substring(x["plain"], 1, 2), F.lit("00")))).cast("string"), 2, "0")
+        fresh = _let(_fill(body, _digits(F.regexp_replace(body, "[^0-9]", ""), key, F.lit("iban"))), lambda b: F.concat(F.substring(x["plain"], 1, 2), check(b), b))
+        spaced = lambda new: F.aggregate(F.split(token, ""), F.struct(F.lit(1).alias("i"), F.lit("").alias("out")), lambda acc, ch: F.struct((acc["i"] + (ch != " ").cast("int")).alias("i"), F.concat(acc["out"], F.when(ch == " ", ch).otherwise(F.substring(new, acc["i"], F.lit(1)))).alias("out")), lambda acc: acc["out"])
+        valid = (F.length(x["plain"]) >= 15) & (F.length(x["plain"]) <= 34) & (_mod97(F.concat(body, F.substring(x["plain"], 1, 4))) == 1)
+        inside = _let(_card(x["rest"], key), lambda c: F.struct(c["n"].alias("n"), F.concat(F.substring(token, 1, 5), c["value"]).alias("value")))
+        return F.when(valid, F.struct(F.lit(1).alias("n"), _let(fresh, spaced).alias("value"))).when(x["rest"].rlike(f"^(?:{KINDS['card']})$"), inside).otherwise(F.struct(F.lit(0).alias("n"), F.lit(None).cast("string").alias("value")))
 
-    return F.concat(code, _let(F.substring(token, F.length(code) + 1, F.length(token)), made))
+    return _let(F.struct(F.replace(token, F.lit(" "), F.lit("")).alias("plain"), F.substring(token, F.lit(6), F.length(token)).alias("rest")), made)
 
 
 def pseudonym(token: Column, key: str) -> Column:
     """(kind, number of values, pseudonym) of a token that ANY finds; the pseudonym is null if nothing validates."""
     is_ = lambda kind: token.rlike(f"^(?:{KINDS[kind]})$")
     iso = _let(F.split(token, "-"), lambda p: F.date_format(_moved(_day(p[0], p[1], p[2]), key), "yyyy-MM-dd"))
-    made = [("iso_date", iso), ("day_date", _day_date(token, key)), ("ssn", _ssn(token, key)), ("phone", _phone(token, key)), ("ip", _ip(token, key)), ("card", None)]
-    made = [(name, F.struct(F.lit(1).alias("n"), x.alias("value")) if x is not None else _card(token, key)) for name, x in made]
+    made = [("iban", None), ("iso_date", iso), ("ymd_date", _ymd_date(token, key)), ("day_date", _day_date(token, key)), ("ssn", _ssn(token, key)), ("phone", _phone(token, key)), ("ip", _ip(token, key)), ("card", None)]
+    made = [(name, F.struct(F.lit(1).alias("n"), x.alias("value")) if x is not None else _iban(token, key) if name == "iban" else _card(token, key)) for name, x in made]
     kind, value = F.lit(None).cast("string"), F.lit(None).cast("struct<n: int, value: string>")
     for name, column in reversed(made):
-        kind = F.when(is_(name), name.split("_")[-1]).otherwise(kind)
+        # What looks like an account number and isn't one holds a card, if anything.
+        kind = F.when(is_(name), F.when(_mod97_ok(token), "iban").otherwise("card") if name == "iban" else F.lit(name.split("_")[-1])).otherwise(kind)
         value = F.when(is_(name), column).otherwise(value)
     return _let(value, lambda x: F.struct(kind.alias("kind"), token.alias("token"), x["n"].alias("n"), x["value"].alias("value")))
 
@@ -263,14 +326,15 @@ def pseudonym(token: Column, key: str) -> Column:
 def pseudonyms(docs: DataFrame, key: str, text_col: str = "text", undo: bool = False) -> DataFrame:
     """``docs`` with the text's validated numbers and dates replaced, and counts of what was replaced by kind.
 
-    Cards (13 to 19 digits that pass Luhn), social security numbers, phone
-    numbers, IPv4 addresses and dates from 1900 to 2099.  Phone numbers have a
+    Cards (13 to 19 digits that pass Luhn), account numbers with country and
+    check digits (IBAN), social security numbers, phone numbers, IPv4 addresses
+    and dates from 1900 to 2099, before a time of day too.  Phone numbers have a
     country code (+ or 00; 7 to 15 digits, 11 with +1), the layout 3-3-4, an
     area in brackets or one that begins with 0; separators and brackets are
     free.  Bare runs of digits aren't phone numbers.  What doesn't validate
     stays as it is, and so does a text without any; a null text stays null and
     has counts of 0.  Added columns: n_replaced, n_card, n_ssn, n_phone, n_ip,
-    n_date; where the table has a column of such a name, the added one gets
+    n_date, n_iban; where the table has a column of such a name, the added one gets
     underscores behind its own.  Repeated rows give repeated results, an empty
     table an empty one, and ids aren't read.  With ``undo``, pseudonyms become
     the values they stand for.
@@ -289,6 +353,6 @@ def pseudonyms(docs: DataFrame, key: str, text_col: str = "text", undo: bool = F
     helper = common.free_name(docs, "pseudonyms_made")
     made = docs.withColumn(helper, F.when(text.rlike("[0-9]"), F.when(marked.isNotNull(), _let(marked, whole))))
     kinds = F.coalesce(F.col(helper)["kinds"], F.array().cast("array<string>"))
-    counts = {f"n_{k}": (F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long") for k in ("card", "ssn", "phone", "ip", "date")}
+    counts = {f"n_{k}": (F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long") for k in ("card", "ssn", "phone", "ip", "date", "iban")}
     added = {common.free_name(docs, name): column for name, column in ({"n_replaced": F.size(kinds).cast("long")} | counts).items()}
     return made.withColumns({text_col: F.coalesce(F.col(helper)["text"], text)} | added).drop(helper)
