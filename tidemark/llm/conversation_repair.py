@@ -383,18 +383,20 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         out = []
-        for i in range(batch.num_rows):
-            row = {name: batch.column(j)[i].as_py() for j, name in enumerate(batch.schema.names)}
-            if row["conv"] != conv:
+        names = batch.schema.names
+        convs, kinds, ids, roles, texts, dropped = (batch.column(names.index(c)).to_pylist() for c in ("conv", "kind", "conv_id", "role", "text", "dropped"))
+        for i, this in enumerate(convs):
+            if this != conv:
                 if conv is not None:
                     out.append(done())
-                conv, conv_id, head, repaired = row["conv"], None, None, None
-            if row["kind"] == 0:
-                head, repaired = row, Repaired(row["audit"])
+                conv, conv_id, head, repaired = this, None, None, None
+            if kinds[i] == 0:
+                head = {c: batch.column(names.index(c))[i].as_py() for c in (*_COUNTS, "audit")}
+                repaired = Repaired(head["audit"])
                 continue
-            conv_id = row["conv_id"]
-            if not row["dropped"]:
-                repaired.row(row["role"], row["text"])
+            conv_id = ids[i]
+            if not dropped[i]:
+                repaired.row(roles[i], texts[i])
         if out:
             yield _emit(out, _OUT_ARROW)
     if conv is not None:
