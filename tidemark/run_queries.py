@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import base64
 import json
-import tempfile
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -13,15 +11,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import queries as base
-from tidemark.config import INCREMENTAL, LOG_BASED, SSL_MODES, Settings, Tunnel, settings_schema
+from tidemark.config import INCREMENTAL, LOG_BASED, Settings
 from tidemark.functions.types import from_json_schema
 from tidemark.functions.values import array_items, typed, utc_second
 from tidemark.operators import messages
 from tidemark.operators.dispatch import Routes
 from tidemark.operators.images import filled, latest
 from tidemark.plans.catalog import Catalog, Catalogs, StreamSpec, of_frame
-from tidemark.sources import splits, tunnel, wal
-from tidemark.sources.connection import Connection, pem_file
+from tidemark.sources import splits, wal
+from tidemark.sources.connection import Connection
 from tidemark.sources.tables import JdbcTables
 from tidemark.streaming.run import Engine, LogRun, scratch_folder
 from tidemark.streaming.state import State
