@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, free_name, lean, salted, scratch_path, shuffles_go, written
+from tidemark.llm.common import WORD, lean, salted, scratch_path, shuffles_go, written
 
 KEEP, REROLE, DELETE, INSERT = "K", "R", "D", "I"
 #: What edits cost, and what a truncated row adds where it isn't deleted.
