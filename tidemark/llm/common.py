@@ -25,6 +25,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 BROADCAST_BYTES = 32 << 20
 #: Text bytes hashed at once: bounds the arrays a Python worker holds.
 SLICE_BYTES = 1 << 20
+#: Words, or hashes, that are worked on at once.
+SLICE_WORDS = 1 << 17
 #: Rows and bytes that Spark hands a Python worker at once where the session has its defaults: texts are long.
 BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 #: A key of more rows than this is dealt to several tasks by ``salted``, unless very many keys are that large.
@@ -275,9 +277,12 @@ def _power(which: str, n: int) -> np.ndarray:
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective finaliser of 64-bit values."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def word_spans(raw: np.ndarray, offsets: np.ndarray, apart: np.ndarray = _WS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -306,14 +311,64 @@ def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bo
     return mix(h + (ends - starts).astype(np.uint64))
 
 
+def _long_word(raw: np.ndarray, lower: bool, limit: int) -> np.uint64:
+    """``word_hashes`` of bytes that are one word, whatever its length."""
+    table, mask = _TABLE[_LOWER] if lower else _TABLE, (1 << 64) - 1
+    total, scale = 0, 1
+    for lo in range(0, len(raw), limit):
+        part = raw[lo : lo + limit]
+        total += int(np.sum(table[part] * _power("up", len(part)), dtype=np.uint64)) * scale
+        scale = scale * pow(int(_B), len(part), 1 << 64) & mask
+    return mix(np.array([(total + len(raw)) & mask], dtype=np.uint64))[0]
+
+
+def hashed_words(raw: np.ndarray, offsets: np.ndarray, apart: np.ndarray = _WS, lower: bool = True, limit: int = SLICE_BYTES) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words in the bytes, and for n texts n+1 positions in them.
+
+    The bytes are taken in slices that end between words, a word that is longer
+    than a slice by itself: beside the hashes, memory doesn't grow with a text.
+    """
+    n, lo = len(raw), 0
+    parts, at = [np.zeros(0, np.uint64)], np.zeros(len(offsets), dtype=np.int64)
+    while lo < n:
+        hi = min(n, lo + limit)
+        if hi < n:
+            gaps = np.flatnonzero(apart[raw[lo:hi]])
+            edge = int(offsets[np.searchsorted(offsets, hi, side="right") - 1])
+            cut = max(lo + int(gaps[-1]) + 1 if len(gaps) else lo, edge)
+            if cut <= lo:
+                stop = int(offsets[np.searchsorted(offsets, lo, side="right")])
+                while hi < stop and not apart[raw[hi : min(hi + limit, stop)]].any():
+                    hi = min(hi + limit, stop)
+                if hi < stop:
+                    hi += int(np.argmax(apart[raw[hi : min(hi + limit, stop)]]))
+                parts.append(np.array([_long_word(raw[lo:hi], lower, limit)], dtype=np.uint64))
+                at += offsets > lo
+                lo = hi
+                continue
+            hi = cut
+        inside = offsets[np.searchsorted(offsets, lo) : np.searchsorted(offsets, hi, side="right")] - lo
+        starts, ends, _ = word_spans(raw[lo:hi], inside, apart)
+        parts.append(word_hashes(raw[lo:hi], starts, ends, lower))
+        at += np.searchsorted(starts + lo, offsets)
+        lo = hi
+    return np.concatenate(parts), at
+
+
+def run_hashes(words: np.ndarray, form: Sequence[int], factor: int) -> np.ndarray:
+    """Hashes of the words at the places of a form, counted from each word on at which it fits; in slices, as ``hashed_words``."""
+    out = np.empty(max(0, len(words) - form[-1]), dtype=np.uint64)
+    for lo in range(0, len(out), SLICE_WORDS):
+        hi = min(len(out), lo + SLICE_WORDS)
+        h = np.full(hi - lo, len(form), dtype=np.uint64)
+        for j in form:
+            h *= np.uint64(factor)
+            h += words[lo + j : hi + j]
+            h ^= h >> np.uint64(32)
+        out[lo:hi] = mix(h)
+    return out
+
+
 def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
     """Hashes of the k-word shingles in order; fewer than k words make one; no words make none."""
-    n = len(words)
-    if not n:
-        return words
-    size = min(k, n)
-    h = np.full(n - size + 1, size, dtype=np.uint64)
-    for j in range(size):
-        h = (h * np.uint64(0xD6E8FEB86659FD93)) + words[j : n - size + 1 + j]
-        h ^= h >> np.uint64(32)
-    return mix(h)
+    return run_hashes(words, range(min(k, len(words))), 0xD6E8FEB86659FD93) if len(words) else words

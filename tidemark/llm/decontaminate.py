@@ -57,26 +57,19 @@ _APART[[*range(0x21), *range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61)
 
 def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words, lowered and cut at ASCII punctuation and white space; for n texts n+1 positions."""
-    lowered = pa.compute.utf8_lower(pa.compute.fill_null(texts.cast(pa.large_string()), ""))
-    raw, offsets = common.string_bytes(lowered)
-    starts, ends, at = common.word_spans(raw, offsets, _APART)
-    return common.word_hashes(raw, starts, ends, lower=False), at
+    raw, offsets = common.string_bytes(pa.compute.utf8_lower(texts.cast(pa.large_string())))
+    return common.hashed_words(raw, offsets, _APART, lower=False)
 
 
-def runs(words: np.ndarray, k: int) -> list[tuple[int, np.ndarray]]:
+def runs(words: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray]]:
     """Hashes of all runs of k words, and of SEED words in each of the forms, by their first words: (span, hashes). Forms with the same words have the same hash."""
     if k < SEED:
-        return [(k, common.shingle_hashes(words, k))] if len(words) >= k else []
-    found = []
+        if len(words) >= k:
+            yield k, common.shingle_hashes(words, k)
+        return
     for form in FORMS:
-        span, n = form[-1] + 1, len(words) - form[-1]
-        if n > 0:
-            h = np.full(n, SEED, dtype=np.uint64)
-            for j in form:
-                h = (h * np.uint64(0x9FB21C651E98DF25)) + words[j : j + n]
-                h ^= h >> np.uint64(32)
-            found.append((span, common.mix(h)))
-    return found
+        if len(words) > form[-1]:
+            yield form[-1] + 1, common.run_hashes(words, form, 0x9FB21C651E98DF25)
 
 
 @dataclass
@@ -91,9 +84,11 @@ class Items:
         """Places of a text where a seed of k words begins, and its hash."""
         seeds, found = self.seeds[k][0], [(np.zeros(0, np.int64), np.zeros(0, np.uint64))]
         for _, s in runs(words, k) if len(seeds) else ():
-            at = np.minimum(np.searchsorted(seeds, s), len(seeds) - 1)
-            hit = np.flatnonzero(seeds[at] == s)
-            found.append((hit, s[hit]))
+            for lo in range(0, len(s), common.SLICE_WORDS):
+                part = s[lo : lo + common.SLICE_WORDS]
+                at = np.minimum(np.searchsorted(seeds, part), len(seeds) - 1)
+                hit = np.flatnonzero(seeds[at] == part)
+                found.append((hit + lo, part[hit]))
         return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
     def filter_bits(self) -> np.ndarray:
@@ -115,8 +110,12 @@ def _bits_of(hashes: np.ndarray) -> np.ndarray:
 
 def _marked(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Which hashes are in a bitmap, and a few others."""
-    place = hashes >> np.uint64(64 - (len(bits) * 64 - 1).bit_length())
-    return (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) != 0
+    shift = np.uint64(64 - (len(bits) * 64 - 1).bit_length())
+    found = np.empty(len(hashes), dtype=bool)
+    for lo in range(0, len(hashes), common.SLICE_WORDS):
+        place = hashes[lo : lo + common.SLICE_WORDS] >> shift
+        found[lo : lo + len(place)] = (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) != 0
+    return found
 
 
 def kept_seeds(rate: np.ndarray, span: int = SEED) -> np.ndarray:

@@ -77,21 +77,29 @@ def block_count(band_end: int, percent: int) -> tuple[int, int]:
 
 
 def shingle_set(words: np.ndarray, k: int) -> np.ndarray:
-    return np.unique(common.shingle_hashes(words, k))
+    h = common.shingle_hashes(words, k)
+    h.sort()
+    return h[np.concatenate(([True], h[1:] != h[:-1]))] if len(h) else h
 
 
 def _band_keys(h: np.ndarray, band: int, end: int, percent: int) -> tuple[np.ndarray, int]:
     """Keys of the blocks of a sorted set in one band, and the slack that is left: below 0 if some empty blocks have keys."""
     most, slack = block_count(end, percent)
     p = most + 1 + slack
-    block = ((h >> np.uint64(32)) * np.uint64(p)) >> np.uint64(32)
-    first = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
+    sums, seen = np.zeros(p, dtype=np.uint64), np.zeros(p, dtype=bool)
+    for lo in range(0, len(h), common.SLICE_WORDS):
+        part = h[lo : lo + common.SLICE_WORDS]
+        block = ((part >> np.uint64(32)) * np.uint64(p)) >> np.uint64(32)
+        first = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
+        bits = common.mix((part & np.uint64(0xFFFFFFFFFF)) * np.uint64(0xA24BAED4963EE407) + np.uint64(1))
+        sums[block[first]] ^= np.bitwise_xor.reduceat(bits, first)
+        seen[block[first]] = True
     label = np.uint64(band) << np.uint64(40)
-    bits = common.mix((h & np.uint64(0xFFFFFFFFFF)) * np.uint64(0xA24BAED4963EE407) + np.uint64(1))
-    keys = common.mix(np.bitwise_xor.reduceat(bits, first) ^ common.mix(label + block[first]))
-    empty = p - len(first)
+    full = np.flatnonzero(seen)
+    keys = common.mix(sums[full] ^ common.mix(label + full.astype(np.uint64)))
+    empty = p - len(full)
     if empty > slack:
-        free = np.setdiff1d(np.arange(p, dtype=np.uint64), block[first])[slack:]
+        free = np.flatnonzero(~seen)[slack:].astype(np.uint64)
         keys = np.concatenate((keys, common.mix(common.mix(label + free) + np.uint64(7))))
         return keys, -1
     return keys, slack - empty
@@ -99,14 +107,24 @@ def _band_keys(h: np.ndarray, band: int, end: int, percent: int) -> tuple[np.nda
 
 def _signature(h: np.ndarray) -> tuple[int, int]:
     """128 bits that tell a set of shingle hashes from others."""
-    return int(np.bitwise_xor.reduce(common.mix(h + np.uint64(11))).view(np.int64)), int(np.add.reduce(common.mix(h + np.uint64(23)), dtype=np.uint64).view(np.int64))
+    one, two = np.uint64(0), 0
+    for lo in range(0, len(h), common.SLICE_WORDS):
+        part = h[lo : lo + common.SLICE_WORDS]
+        one ^= np.bitwise_xor.reduce(common.mix(part + np.uint64(11)))
+        two += int(np.add.reduce(common.mix(part + np.uint64(23)), dtype=np.uint64))
+    return int(one.view(np.int64)), int(np.uint64(two & (1 << 64) - 1).view(np.int64))
 
 
 def _bits(h: np.ndarray) -> bytes:
-    """The dense parity sketch of a set: a power of two bits, at least two a shingle and 64 in all."""
+    """The dense parity sketch of a set: a power of two bits, at least two a shingle and 64 in all. A long one is made by parts."""
     width = max(64, 1 << (2 * max(1, len(h)) - 1).bit_length())
-    odd = np.bincount((h & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
-    return np.packbits(odd.astype(np.uint8)).tobytes()
+    size = min(width, common.SLICE_WORDS)
+    places = h & np.uint64(width - 1)
+    if width > size:
+        places.sort()
+    cuts = np.searchsorted(places, np.arange(size, width, size, dtype=np.uint64))
+    odd = (np.bincount((part & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1 for part in np.split(places, cuts))
+    return b"".join(np.packbits(x.astype(np.uint8)).tobytes() for x in odd)
 
 
 _SKETCHED = "doc_id long, th long, t2 int, n long, c long, s2 long, spare int, bits binary, keys array<long>"
@@ -118,8 +136,7 @@ def _sketch(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterator
         texts = batch.column(3)
         for lo, hi in common.text_slices(texts):
             raw, offsets = common.string_bytes(texts.slice(lo, hi - lo))
-            starts, ends, at = common.word_spans(raw, offsets)
-            words = common.word_hashes(raw, starts, ends)
+            words, at = common.hashed_words(raw, offsets)
             rows: list[tuple] = []
             for i in range(hi - lo):
                 h = shingle_set(words[at[i] : at[i + 1]], k)
@@ -153,8 +170,7 @@ def _verify(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterator
 
     def as_set(text: str) -> np.ndarray:
         raw = np.frombuffer(text.encode(), dtype=np.uint8)
-        starts, ends, _ = common.word_spans(raw, np.array([0, len(raw)]))
-        return shingle_set(common.word_hashes(raw, starts, ends), k)
+        return shingle_set(common.hashed_words(raw, np.array([0, len(raw)]))[0], k)
 
     for batch in batches:
         a, b, ta, tb = (batch.column(i) for i in range(4))

@@ -232,6 +232,28 @@ class Encoder:
         done = np.concatenate(([0], upto))[np.searchsorted(starts, ends)]
         return ids, np.diff(done, prepend=0)
 
+    def long(self, text: str, size: int = ENCODE_BYTES) -> Iterator[np.ndarray]:
+        """Ids of a text of any length in turn, in parts of about ``size`` signs that end before a blank between two other signs, where a piece begins.
+
+        A text with special tokens, one of a tokenizer that splits otherwise, and a part without such a blank are encoded whole.
+        """
+        if self.plain or any(s in text for s in self.specials):
+            yield self([text])[0]
+            return
+        lo, far = 0, size
+        while lo < len(text):
+            part = text[lo : lo + far]
+            if lo + far < len(text):
+                cps = np.frombuffer(part.encode("utf-32-le"), dtype=np.uint32)
+                solid = _CLASS[np.minimum(cps, 0xFFFF)] < _SPACE
+                cuts = np.flatnonzero((cps[1:-1] == 0x20) & solid[:-2] & solid[2:])
+                if not len(cuts):
+                    far *= 2
+                    continue
+                part = part[: int(cuts[-1]) + 1]
+            yield self([part])[0]
+            lo, far = lo + len(part), size
+
     def _patched(self, texts: list[str], odd: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """Some texts by the library alone, the others as usual."""
         alone = set(odd)
@@ -360,7 +382,11 @@ class Writer:
         self.stream.write(packed)
 
     def add(self, keys: np.ndarray, known: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
+        """Documents with the rest of their ids; the ids of a long one may have come by ``more`` before."""
         self.docs.append(np.column_stack((keys, known, sizes)).astype("<i8"))
+        self.more(ids)
+
+    def more(self, ids: np.ndarray) -> None:
         self.ids += len(ids)
         ids = np.concatenate((self.left, ids))
         whole = len(ids) // BLOCK * BLOCK
@@ -397,9 +423,11 @@ def read_file(source, step: int = 8192) -> Iterator[tuple[np.ndarray, np.ndarray
         lo, hi = int(begin[d]), int(begin[last - 1] + rows[last - 1, 2])
         first, stop = lo // BLOCK, -(-hi // BLOCK)
         source.seek(int(bounds[first]))
-        raw = source.read(int(bounds[stop] - bounds[first]))
-        part = unpack_blocks(raw, starts[first:stop] - bounds[first])[lo - first * BLOCK : hi - first * BLOCK]
-        yield rows[d:last], begin[d:last], part
+        part = np.empty((stop - first) * BLOCK, dtype=np.uint32)
+        for a in range(first, stop, step):
+            b = min(a + step, stop)
+            part[(a - first) * BLOCK : (b - first) * BLOCK] = unpack_blocks(source.read(int(bounds[b] - bounds[a])), starts[a:b] - bounds[a])
+        yield rows[d:last], begin[d:last], part[lo - first * BLOCK : hi - first * BLOCK]
         d = last
 
 
@@ -429,8 +457,15 @@ def _write(batches: Iterator[pa.RecordBatch], root: str, path: str) -> Iterator[
     while batch is not None:
         keys, texts = batch.column(0), batch.column(1)
         for lo, hi in common.text_slices(texts, ENCODE_BYTES):
-            ids, sizes = encode([t or "" for t in texts.slice(lo, hi - lo).to_pylist()])
-            with_end = np.insert(ids, np.cumsum(sizes), END_ID)
+            given = [t or "" for t in texts.slice(lo, hi - lo).to_pylist()]
+            if len(given) == 1 and len(given[0]) > ENCODE_BYTES:
+                before = out.ids
+                for ids in encode.long(given[0]):
+                    out.more(ids)
+                sizes, with_end = np.array([out.ids - before], dtype=np.int64), np.array([END_ID], dtype=np.uint32)
+            else:
+                ids, sizes = encode(given)
+                with_end = np.insert(ids, np.cumsum(sizes), END_ID)
             part = keys.slice(lo, hi - lo)
             out.add(np.asarray(pa.compute.fill_null(part, 0), dtype=np.int64), np.asarray(part.is_valid(), dtype=np.int64), sizes + 1, with_end)
             docs += hi - lo
@@ -445,7 +480,7 @@ def _read(batches: Iterator[pa.RecordBatch], root: str) -> Iterator[pa.RecordBat
         for name, base in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             with fs.open_input_file(f"{folder}/{name}") as source:
                 for rows, begin, ids in read_file(source):
-                    raw = memoryview(ids.astype("<u4").tobytes())
+                    raw = memoryview(ids.astype("<u4", copy=False)).cast("B")
                     at = (begin - begin[0]) * 4
                     crcs = [zlib.crc32(raw[a : a + 4 * n]) for a, n in zip(at.tolist(), rows[:, 2].tolist(), strict=True)]
                     yield pa.RecordBatch.from_arrays(
