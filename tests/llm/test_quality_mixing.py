@@ -69,6 +69,48 @@ def test_cutoffs_hold_back_without_proof_and_reject_junk(spark):
     assert len(kept & set(range(900))) >= 890 and not kept & set(range(1000, 1060)) and set(range(2000, 2020)) <= kept
 
 
+def _labelled(copies):
+    """Two languages of good prose and of junk; ``copies`` documents a text."""
+    rng = random.Random(8)
+    docs, labels = [], []
+    for lang, n in (("en", 700), ("de", 400), (None, 60)):
+        for i in range(n):
+            junk = i % 5 == 0
+            text = " ".join(f"w{rng.randrange(5000)}" + ("##" if junk and rng.random() < 0.8 else "!" * (rng.random() < 0.1)) for _ in range(80))
+            for _ in range(copies):
+                docs.append((len(docs), text, lang, "s", 0))
+                labels.append((len(labels), 0 if junk else 1, 0))
+    labels.append((7 * copies, 0, 0))
+    return docs, labels
+
+
+def test_sql_agrees_where_cutoffs_are_proved(spark):
+    import duckdb
+
+    docs, labels = _labelled(1)
+    d, n = spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS)
+    got = quality_rules.quality_rules(d, n)
+    con = duckdb.connect()
+    con.register("documents", d.toArrow())
+    con.register("labels", n.toArrow())
+    want = con.sql(quality_rules.oracle()).fetchall()
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    assert got.filter("not base_failed and not kept").count() > 100
+
+
+def test_copies_are_one_trial(spark):
+    """A text that fifty documents have proves no more than one: the same cutoffs, and none from few texts."""
+
+    def cutoffs(copies, most=None):
+        docs, labels = _labelled(copies)
+        counted = quality_rules.text_features(spark.createDataFrame(docs[:most], DOCS).withColumn("stratum", F.coalesce("lang", F.lit(""))).withColumn("text_hash", F.xxhash64("text"))).withColumn("base_failed", F.lit(False))
+        return sorted(map(tuple, quality_rules.choose_cutoffs(counted, spark.createDataFrame(labels, LABELS)).collect()), key=str)
+
+    once = cutoffs(1)
+    assert cutoffs(3) == once and {r[0] for r in once} == {"en", "de"} and any(x for r in once for x in r[1:])
+    assert cutoffs(50, 50 * 20) == []
+
+
 def waterfill(sizes):
     names = sorted((s for s in sizes if s is not None)) + ([None] if None in sizes else [])
     weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}

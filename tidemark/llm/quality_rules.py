@@ -5,6 +5,8 @@ exclamation marks) reaches a cutoff.  The cutoffs are chosen for each stratum
 (language) on labelled texts, so that with confidence ``1 - DELTA`` no stratum
 loses more than ``ALPHA`` of its good texts:
 
+* a trial is a distinct good text, however many documents have it, as copies
+  tell no more than one of them does;
 * a cutoff is safe if ``P(Bin(n, ALPHA / rules) <= k)`` is at most the level,
   for k rejected of n good labelled texts (the exact binomial bound);
 * the level is ``DELTA`` over all strata and rules (Bonferroni); within a rule
@@ -116,11 +118,14 @@ def _reaches(what: str, per: str, cutoff) -> Column:
 def choose_cutoffs(counted: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
     """``stratum`` and a cutoff for each rule, null where none is proved safe.
 
-    A document labelled more than once is good if all its labels say so; null
-    labels are left out.  Documents that fail the base rules don't count.
+    A text is good if all labels of all its documents in the stratum say so;
+    null labels are left out.  Texts that fail the base rules don't count.
+    Those whose ``text_hash`` agree are one text.
     """
-    good = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality")).filter("quality = 1").select("doc_id")
-    seen = counted.filter("not base_failed").join(good, "doc_id", "left_semi")
+    good = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    counts = sorted({c for what, per, _ in RULES.values() for c in (what, per)})
+    judged = counted.filter("not base_failed").select("doc_id", "stratum", "text_hash", *counts).join(good, "doc_id")
+    seen = judged.groupBy("stratum", "text_hash").agg(F.min("quality").alias("quality"), *(F.first(c).alias(c) for c in counts)).filter("quality = 1")
     tests = [(r, i, c) for r, (_, _, grid) in RULES.items() for i, c in enumerate(grid)]
     sums = [F.sum(_reaches(*RULES[r][:2], F.lit(c)).cast("long")).alias(f"{r}_{i}") for r, i, c in tests]
     by = seen.groupBy("stratum").agg(F.count("*").alias("n"), *sums)
@@ -142,7 +147,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delt
     repeated results, an empty table an empty one; without labels no cutoff is
     proved.  Columns but doc_id, text and lang are ignored, whatever their names.
     """
-    slim = docs.select("doc_id", F.coalesce(F.concat(F.lit("l:"), "lang"), F.lit("")).alias("stratum"), "text")
+    slim = docs.select("doc_id", F.coalesce(F.concat(F.lit("l:"), "lang"), F.lit("")).alias("stratum"), "text", F.struct(F.xxhash64("text").alias("a"), F.hash("text").alias("b")).alias("text_hash"))
     counted = text_features(slim).drop("text").withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
     counted = common.written(counted, "counted")
     cutoffs = common.written(choose_cutoffs(counted, labels, alpha, delta), "cutoffs")
@@ -158,6 +163,7 @@ def oracle() -> str:
     tests = [(r, i, c) for r, (_, _, grid) in RULES.items() for i, c in enumerate(grid)]
     per = {r: (a, b) for r, (a, b, _) in RULES.items()}
     sums = ", ".join(f"sum(CASE WHEN 1000 * {per[r][0]} >= {c} * {per[r][1]} THEN 1 ELSE 0 END)::BIGINT AS {r}_{i}" for r, i, c in tests)
+    firsts = ", ".join(f"any_value({c}) AS {c}" for c in sorted({c for what, p, _ in RULES.values() for c in (what, p)}))
     rows = " UNION ALL ".join(f"SELECT stratum, n, '{r}' AS rule, {i} AS i, {c} AS cutoff, {r}_{i} AS k FROM sums" for r, i, c in tests)
     a = ALPHA / len(RULES)
     bad = " OR ".join(f"coalesce(1000 * {what} >= {r} * {p}, false)" for r, (what, p, _) in RULES.items())
@@ -169,13 +175,14 @@ w AS (SELECT rid, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), l
 tri AS (SELECT rid, i, (words[i], words[i + 1], words[i + 2]) AS t FROM (SELECT rid, words, unnest(range(1, len(words) - 1)) AS i FROM w)),
 twice AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, t) AS c FROM tri) WHERE c > 1),
 rep AS (SELECT rid, count(DISTINCT i + j) AS r FROM twice, (VALUES (0), (1), (2)) AS v(j) GROUP BY rid),
-c AS (SELECT d.doc_id, d.stratum, len(words)::BIGINT AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+c AS (SELECT d.doc_id, d.stratum, d.text, len(words)::BIGINT AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
       (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
       coalesce(r, 0)::BIGINT AS n_repeat_words, len(lines)::BIGINT AS n_lines, (length(text) - length(replace(text, '!', '')))::BIGINT AS n_bangs
       FROM d JOIN w USING (rid) LEFT JOIN rep USING (rid)),
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM c),
-good AS (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1),
-sums AS (SELECT stratum, count(*) AS n, {sums} FROM b WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM good) GROUP BY stratum),
+good AS (SELECT doc_id, min(quality) AS quality FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
+trials AS (SELECT stratum, text, {firsts} FROM b JOIN good USING (doc_id) WHERE NOT base_failed GROUP BY stratum, text HAVING min(quality) = 1),
+sums AS (SELECT stratum, count(*) AS n, {sums} FROM trials GROUP BY stratum),
 rows_ AS ({rows}),
 p AS (SELECT *, CASE WHEN k >= n * {a} THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1), lambda j:
       exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({a}) + (n - j) * ln(1 - {a})))) END AS tail FROM rows_),
