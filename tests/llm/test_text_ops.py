@@ -343,6 +343,14 @@ def test_url_intervals(spark):
     assert got[25, D[4]]["since"] == D[2]
 
 
+def test_url_hosts_in_any_case_paths_in_their_own_and_addresses(spark):
+    entries = [("l", "BAD.com/Docs", "add", D[0]), ("l", "0.0.1", "add", D[0]), ("l", "0.1", "add", D[0]), ("l", "10.0.0.2/a", "add", D[0]), ("l", "[2001:DB8::1]", "add", D[0]), ("l", "1.example.org", "add", D[0])]
+    urls = ["http://bad.COM/Docs/x", "http://bad.com/docs/x", "http://10.0.0.1/", "http://10.0.0.2:80/a", "http://[2001:db8::1]:8080/x", "http://u@[2001:db8::2]/", "http://10.0.0.1.example.org/"]
+    got = looked_up(spark, [(i, u, D[1]) for i, u in enumerate(urls)], entries)
+    assert [got[i, D[1]]["pattern"] for i in range(7)] == ["bad.com/Docs", None, None, "10.0.0.2/a", "[2001:db8::1]", None, "1.example.org"]
+    assert [got[i, D[1]]["host"] for i in (4, 5)] == ["[2001:db8::1]", "[2001:db8::2]"]
+
+
 def test_url_odd_tables(spark):
     urls = [(1, "http://a.b.com/", D[1])] * 3
     assert len(looked_up(spark, urls, [])) == 1

@@ -69,8 +69,8 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _URL_ORACLE = rf"""
-WITH p AS (SELECT page_id, url, (DATE '2024-01-01' + ((page_id * 7919) % 366)::INTEGER)::DATE AS fetched, rtrim(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1), '.') AS host,
-      list_filter(string_split(lower(regexp_extract(url, '^[^:/?#]+://[^/?#]*([^?#]*)', 1)), '/'), lambda s: s <> '') AS parts FROM pages),
+WITH p AS (SELECT page_id, url, (DATE '2024-01-01' + ((page_id * 7919) % 366)::INTEGER)::DATE AS fetched, rtrim(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?(\[[0-9a-f:.]+\]|[^/?#:\[]+)', 1), '.') AS host,
+      list_filter(string_split(regexp_extract(url, '^[^:/?#]+://[^/?#]*([^?#]*)', 1), '/'), lambda s: s <> '') AS parts FROM pages),
 h AS (SELECT DISTINCT host, ('0x' || substr(md5(host), 1, 7))::INTEGER AS n FROM p WHERE host <> ''),
 e AS (SELECT * FROM (VALUES {LISTS}) t(list, pattern, action, date)
       UNION ALL SELECT 'hosts', host, 'add', (DATE '2024-01-01' + (n % 200)::INTEGER)::DATE FROM h WHERE n % 8 = 0
@@ -80,7 +80,7 @@ m AS (SELECT p.*, d.list, d.pattern, arg_max(d.action, d.date) AS action,
       (SELECT max(x.date) FROM d x WHERE x.list = d.list AND x.pattern = d.pattern AND x.action = 'add' AND x.date <= p.fetched
         AND NOT EXISTS (SELECT 1 FROM d y WHERE y.list = x.list AND y.pattern = x.pattern AND y.action = 'add' AND y.date < x.date
           AND NOT EXISTS (SELECT 1 FROM d z WHERE z.list = x.list AND z.pattern = x.pattern AND z.action = 'remove' AND z.date > y.date AND z.date < x.date))) AS since
-      FROM p JOIN d ON d.date <= p.fetched AND (p.host = d.pattern OR (ends_with(p.host, '.' || d.pattern) AND contains(d.pattern, '.'))
+      FROM p JOIN d ON d.date <= p.fetched AND (p.host = d.pattern OR (ends_with(p.host, '.' || d.pattern) AND contains(d.pattern, '.') AND NOT regexp_matches(p.host, '^[0-9]{{1,3}}(\.[0-9]{{1,3}}){{3}}$'))
         OR (contains(d.pattern, '/') AND starts_with(p.host || '/' || array_to_string(p.parts, '/') || '/', d.pattern || '/')))
       GROUP BY p.page_id, p.url, p.fetched, p.host, p.parts, d.list, d.pattern),
 a AS (SELECT page_id, url, fetched, count(*) AS n_active, first(struct_pack(list := list, pattern := pattern, since := since) ORDER BY -length(pattern), list, pattern) AS r FROM m WHERE action = 'add' GROUP BY page_id, url, fetched)

@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import common
 
-_HOST = r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
+_HOST = r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?(\[[0-9a-f:.]+\]|[^/?#:\[]+)"
+#: Hosts that are addresses: their labels are no domains.
+_ADDRESS = r"^([0-9]{1,3}(\.[0-9]{1,3}){3}|\[.*\])$"
 _PATH = r"^[^:/?#]+://[^/?#]*([^?#]*)"
 
 
@@ -30,8 +32,11 @@ def intervals(entries: DataFrame) -> DataFrame:
     Entries are (list, pattern, action, date).  Of several on one date a remove
     comes last.  A repeated add changes nothing, nor does a remove of what isn't
     on the list.  Entries with a null pattern, action or date are left out.
+    Hosts are the same in any case, paths only in their own.
     """
-    kept = entries.filter("pattern is not null and date is not null and action in ('add', 'remove')").select(F.coalesce("list", F.lit("")).alias("list"), F.lower("pattern").alias("pattern"), "action", "date")
+    host = F.substring_index("pattern", "/", 1)
+    same = F.concat(F.lower(host), F.col("pattern").substr(F.length(host) + 1, F.length("pattern")))
+    kept = entries.filter("pattern is not null and date is not null and action in ('add', 'remove')").select(F.coalesce("list", F.lit("")).alias("list"), same.alias("pattern"), "action", "date")
     days = kept.groupBy("list", "pattern", "date").agg(F.max("action").alias("action"))
     w = Window.partitionBy("list", "pattern").orderBy("date")
     turns = days.withColumn("was", F.lag("action").over(w)).filter("was is null or was != action")
@@ -39,10 +44,11 @@ def intervals(entries: DataFrame) -> DataFrame:
 
 
 def lookup_keys(host: Column, path: Column, depth: Column) -> Column:
-    """Patterns that may match: the host, its parent domains down to two labels, and path prefixes to a depth."""
+    """Patterns that may match: the host, its parent domains down to two labels (an address has none), and path prefixes to a depth."""
     labels = F.split(host, "\\.")
-    domains = F.transform(F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1))), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    parts = F.filter(F.split(F.lower(path), "/"), lambda s: s != "")
+    last = F.when(host.rlike(_ADDRESS), 1).otherwise(F.greatest(F.size(labels) - 1, F.lit(1)))
+    domains = F.transform(F.sequence(F.lit(1), last), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    parts = F.filter(F.split(path, "/"), lambda s: s != "")
     deep = F.least(F.size(parts), depth)
     paths = F.when(deep > 0, F.transform(F.sequence(F.lit(1), F.greatest(deep, F.lit(1))), lambda i: F.concat(host, F.lit("/"), F.array_join(F.slice(parts, 1, i), "/"))))
     return F.array_distinct(F.concat(domains, F.coalesce(paths, F.array().cast("array<string>"))))
