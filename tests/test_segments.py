@@ -137,6 +137,35 @@ def test_time_and_silence(tmp_path):
     assert land(Log([], None), writer(tmp_path), None, 60, 0).drained
 
 
+def test_calls_with_little_time_get_behind_what_is_landed(tmp_path):
+    lines = [(n, change(id=n)) for n in range(200)]
+    for calls in range(1, 100):
+        ticks = iter(range(0, 10_000, 1))
+        got = land(Log(lines, 199), writer(tmp_path), 199, 20, 60, clock=lambda: next(ticks))
+        assert got.rows or got.drained
+        if got.drained:
+            break
+    assert 3 < calls < 99 and [r[0] for r in landed(tmp_path)] == list(range(200))
+
+
+@pytest.mark.parametrize("framed", [False, True])
+def test_blocks_of_a_log_are_its_messages(tmp_path, monkeypatch, framed):
+    """Landed by blocks and read on from marks, by processes that only know what a file says of the log."""
+    monkeypatch.setattr(wal.DirectoryLog, "BLOCK_BYTES", 700)
+    lines = transactions(*((10 * i + 9, [10 * i + k for k in (1, 3, 2)]) for i in range(40))) if framed else [(n // 3, change(id=n, t="\u00e9\n")) for n in range(120)]
+    put(tmp_path / "log", "a", lines[:77])
+    put(tmp_path / "log", "b", lines[77:])
+    for most in range(1, 100):
+        monkeypatch.setattr(wal.DirectoryLog, "_ends", {})
+        client = wal.DirectoryLog({"path": str(tmp_path / "log"), "known": str(tmp_path / "known" / "k.json")})
+        if land(client, writer(tmp_path / "landing", most_rows=7), client.tip(), 60, 0, most=1).drained:
+            break
+    want = [(n, None, None) for n, _ in lines] if not framed else [(n, c, i % 3) for i, (n, c) in enumerate((10 * i + k, 10 * i + 9) for i in range(40) for k in (1, 3, 2))]
+    assert landed(tmp_path / "landing") == want and most > 5
+    start = lines[-1][0]
+    assert 0 < sum(b.num_rows for b in client.blocks(start) if b is not None) < 40
+
+
 def test_a_refused_confirmation_is_no_failure(tmp_path):
     class Deaf(Log):
         def feedback(self, lsn):

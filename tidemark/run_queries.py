@@ -122,15 +122,18 @@ def wal_interleaved_transactions(spark, sf_dir):
 
 
 def wal_time_budget(spark, sf_dir):
-    """Runs without time, one after the other: each decodes a batch of what the first has landed, and the last is at the log's end. Rows, positions, and whether it took several runs."""
+    """Runs without time, one after the other, until one is at the log's end: each lands a little and decodes a batch. Rows, positions, and whether it took several runs."""
     n = spark.read.parquet(f"{sf_dir}/events.parquet").count()
     folder, state, runs = scratch_folder(spark, "wal-budget"), State(), 0
     sink = messages.FileSink(f"{folder}/out", "parquet", None)
     options = {"path": _log_folder(spark, sf_dir), "segment_rows": str(n // 3 + 1), "segments_per_batch": "1"}
     caught_up = False
-    while not caught_up and runs < 100:
+    while not caught_up:
+        before = state.landed(f"{folder}/landing")
         report = LogRun(spark, [base.event_stream()], state, sink, options, Settings(url=_URL, replication_max_run_seconds=0, replication_idle_exit_seconds=0), landing=f"{folder}/landing").run()
         caught_up, runs, state = report.caught_up, runs + 1, _again(state)
+        if not caught_up and state.landed(f"{folder}/landing") == before:
+            raise RuntimeError(f"run {runs} decoded nothing, and the log isn't at its end")
     rows = sink.frame(base.event_stream())
     return rows.agg(F.count("*").alias("n"), F.countDistinct("_sdc_lsn").alias("positions")).withColumns({"several": F.lit(runs >= 3), "caught_up": F.lit(caught_up), "bookmark": F.lit(state.bookmark("public-events")).cast("long")})
 

@@ -17,15 +17,18 @@ been told that they were processed, so a run lands messages first; see
 from __future__ import annotations
 
 import importlib
-import io
 import json
 import re
 import select
 import time
+import uuid
 from collections.abc import Iterable, Iterator, Mapping
 from typing import NamedTuple, Protocol
 
+import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
+import pyarrow.json as pajson
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
@@ -37,10 +40,17 @@ FORMAT = "tidemark_wal"
 SCHEMA = "lsn bigint, payload string, commit bigint, seq bigint"
 
 _FRAME = re.compile(r'\s*\{\s*"action"\s*:\s*"([BC])"')
+#: For Arrow, which knows less white space: matches all of those, and seldom more.
+_FRAMED = r'^[^"]*"action"[^"]*"[BC]"'
+#: A message as clients give it.
+MESSAGE = pa.schema([("lsn", pa.int64()), ("payload", pa.string())])
 
 
 class WalClient(Protocol):
-    """A client is made from the source's options, on the driver and in tasks."""
+    """A client is made from the source's options, on the driver and in tasks.
+
+    One that reads much at a time may have ``blocks`` too, which gives the messages of ``follow`` as Arrow tables.
+    """
 
     #: How far the log had been sent when it was last silent; None if that isn't known.
     wal_end: int | None
@@ -61,6 +71,14 @@ def frame_of(payload: str | None) -> str | None:
     return found[1] if found else None
 
 
+def has_frames(block: pa.Table) -> bool:
+    return bool(pc.any(pc.match_substring_regex(block["payload"], _FRAMED)).as_py())
+
+
+def messages_of(block: pa.Table) -> Iterator[tuple[int, str | None]]:
+    return zip(block["lsn"].to_pylist(), block["payload"].to_pylist())
+
+
 class Message(NamedTuple):
     lsn: int
     payload: str | None
@@ -96,66 +114,135 @@ class DirectoryLog:
     """A log in a folder of JSON lines ``{"lsn": n, "payload": "..."}``, on any file system that Arrow knows; feedback goes to a file beside them.
 
     Files are in the order of their names.  Of each file is remembered where its last commit is and whether it ends
-    within a transaction, so that one that is read again starts at the file where news can be.
+    within a transaction, and every ``BLOCK_BYTES`` what it has up to there, so that one that is read again starts where
+    news can be.  The option ``known`` names a file, on the same file system, that keeps this from process to process.
     """
 
     #: Whether messages can still be read after feedback.
     replayable = True
-    _ends: dict[tuple, tuple[int | None, bool, int | None]] = {}
+    #: What is read and parsed at a time.
+    BLOCK_BYTES = 4 << 20
+    _ends: dict[str, tuple[int | None, bool, int | None, list[list[int]]]] = {}
 
     def __init__(self, options: Mapping[str, str]):
         path = options["path"]
         if path.startswith("file:"):
             path = "/" + path[5:].lstrip("/")
         self.fs, self.folder = pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
+        self.options, self._scanned = options, False
         self.wal_end: int | None = None
 
     def _files(self) -> list[pafs.FileInfo]:
         found = self.fs.get_file_info(pafs.FileSelector(self.folder))
         return sorted((f for f in found if f.path.endswith((".json", ".jsonl"))), key=lambda f: f.path)
 
-    def _lines(self, path: str) -> Iterator[tuple[int, str]]:
-        with self.fs.open_input_stream(path) as f:
-            for line in io.TextIOWrapper(f, "utf-8", newline="\n"):
-                row = json.loads(line)
-                yield row["lsn"], row.get("payload")
-
-    def _end(self, f: pafs.FileInfo, inside: bool) -> tuple[int | None, bool, int | None]:
-        """A file's last commit, whether it ends within a transaction (as it begins with ``inside``), and its greatest position."""
-        key = (f.path, f.size, f.mtime_ns, inside)
+    def _blocks(self, path: str, at: int = 0) -> Iterator[tuple[pa.Table, int]]:
+        """A file's messages from the line that begins at a byte, in blocks of whole lines, each with the byte behind it."""
+        rest = b""
+        with self.fs.open_input_file(path) as f:
+            f.seek(at)
+            while some := f.read(self.BLOCK_BYTES):
+                end = some.rfind(b"\n") + 1
+                if not end:
+                    rest += some
+                    continue
+                text, rest = rest + some[:end], some[end:]
+                at += len(text)
+                yield self._parsed(text), at
+            if rest.strip():
+                yield self._parsed(rest), at + len(rest)
+
+    @staticmethod
+    def _parsed(text: bytes) -> pa.Table:
+        try:
+            how = pajson.ParseOptions(explicit_schema=MESSAGE, unexpected_field_behavior="ignore")
+            return pajson.read_json(pa.BufferReader(text), pajson.ReadOptions(use_threads=False, block_size=len(text) + 1), how).combine_chunks()
+        except pa.ArrowInvalid:  # what only the other parser reads, and else raises with its own words
+            rows = [json.loads(line) for line in text.decode().split("\n") if line]
+            return pa.table([[r["lsn"] for r in rows], [r.get("payload") for r in rows]], schema=MESSAGE)
+
+    def _end(self, f: pafs.FileInfo, inside: bool) -> tuple[int | None, bool, int | None, list[list[int]]]:
+        """A file's last commit, whether it ends within a transaction (as it begins with ``inside``), its greatest position, and marks.
+
+        A mark is a byte behind which a transaction or a message without one begins, and the last commit before it.
+        """
+        key = f"{f.path} {f.size} {f.mtime_ns} {inside}"
+        if key not in self._ends:
+            self._ends.update(self._known())
         if key not in self._ends:
             last = top = None
-            for lsn, payload in self._lines(f.path):
-                frame = frame_of(payload)
-                inside = frame == "B" or (inside and frame != "C")
-                if not inside:
-                    last = lsn if last is None else max(last, lsn)
-                top = lsn if top is None else max(top, lsn)
-            self._ends[key] = (last, inside, top)
+            marks: list[list[int]] = []
+            for block, at in self._blocks(f.path):
+                most = pc.max(block["lsn"]).as_py()
+                top = most if top is None else max(top, most)
+                if has_frames(block):
+                    for lsn, payload in messages_of(block):
+                        frame = frame_of(payload)
+                        inside = frame == "B" or (inside and frame != "C")
+                        if not inside:
+                            last = lsn if last is None else max(last, lsn)
+                elif not inside:
+                    last = most if last is None else max(last, most)
+                if not inside and last is not None:
+                    marks.append([at, last])
+            self._ends[key] = (last, inside, top, marks)
+            self._scanned = True
         return self._ends[key]
 
+    def _known(self) -> dict[str, tuple]:
+        """What the file of the option ``known`` has of the log's files, for processes that have not read them."""
+        path = self.options.get("known")
+        if not path or self.fs.get_file_info(path).type == pafs.FileType.NotFound:
+            return {}
+        with self.fs.open_input_stream(path) as f:
+            return {k: tuple(v) for k, v in json.loads(f.read()).items()}
+
+    def _remember(self, files: list[pafs.FileInfo]) -> None:
+        path = self.options.get("known")
+        if path and self._scanned:
+            here = {f"{f.path} {f.size} {f.mtime_ns} {i}" for f in files for i in (True, False)}
+            self.fs.create_dir(path.rpartition("/")[0], recursive=True)
+            made = f"{path}.{uuid.uuid4().hex}"
+            with self.fs.open_output_stream(made) as f:
+                f.write(json.dumps({k: v for k, v in self._ends.items() if k in here}).encode())
+            self.fs.move(made, path)
+            self._scanned = False
+
     def tip(self) -> int | None:
         return self._top(self._files())
 
     def _top(self, files: list[pafs.FileInfo]) -> int | None:
         top, inside = None, False
         for f in files:
-            _, inside, most = self._end(f, inside)
+            _, inside, most, _ = self._end(f, inside)
             top = most if top is None else top if most is None else max(top, most)
+        self._remember(files)
         return top
 
     def follow(self, start: int) -> Iterator[tuple[int, str] | None]:
-        """From the first file that can have a commit at the start or behind it, once to the end."""
-        files, first, inside = self._files(), 0, False
+        for block in self.blocks(start):
+            if block is None:
+                yield None
+            else:
+                yield from messages_of(block)
+
+    def blocks(self, start: int) -> Iterator[pa.Table | None]:
+        """From the last mark before which all commits are before the start, or the file that has none such, once to the end."""
+        files, first, inside, at = self._files(), 0, False, 0
         for i, f in enumerate(files):
-            last, ends_inside, _ = self._end(f, inside)
+            last, ends_inside, _, marks = self._end(f, inside)
             if last is not None and last >= start:
+                before = [byte for byte, commit in marks if commit < start]
+                if before:
+                    first, at = i, before[-1]
                 break
             inside = ends_inside
             if not inside:
                 first = i + 1
         for f in files[first:]:
-            yield from self._lines(f.path)
+            for block, _ in self._blocks(f.path, at):
+                yield block
+            at = 0
         self.wal_end = self._top(files)
         yield None
 
