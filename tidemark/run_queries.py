@@ -25,6 +25,8 @@ from tidemark.streaming.run import Engine, LogRun, scratch_folder
 from tidemark.streaming.state import State
 
 _URL = "postgresql://u:p@localhost/db"
+#: For runs that are to end at the log's end, however long it is, and not by the clock.
+_UNTIL_DRAINED = Settings(url=_URL, replication_max_run_seconds=float("inf"), replication_idle_exit_seconds=0)
 
 
 def _again(state: State) -> State:
@@ -71,13 +73,38 @@ def wal_retried_batch(spark, sf_dir):
     return sink.frame(base.event_stream())
 
 
+class Mute(wal.DirectoryLog):
+    """A log that can't be told anything."""
+
+    def feedback(self, lsn: int) -> None:
+        raise OSError("no one listens")
+
+
+def _halves(spark, sf_dir: str) -> str:
+    """The events' log in two transactions, the first of the events up to the middle; a folder."""
+    behind = F.col("lsn") > _middle(spark, sf_dir)
+    log = base.event_log(spark, sf_dir).select("lsn", "payload")
+    first, last = log.agg(F.max(F.when(~behind, F.col("lsn"))), F.max("lsn") + 1).first()
+    commit = F.when(behind, last).otherwise(first)
+    frames = spark.createDataFrame([(at, f'{{"action":"{kind}"}}', at, place) for at in (first, last) for kind, place in (("B", 0), ("C", 2))], "lsn long, payload string, commit long, kind int")
+    return _as_folder(spark, frames.unionByName(log.select("lsn", "payload", commit.alias("commit"), F.lit(1).alias("kind"))))
+
+
 def wal_run_ends(spark, sf_dir):
-    """Runs that drain the log, whose time is up after their first segment, and that find nothing for their stream."""
+    """Runs that drain the log, whose time is up behind its first half, whose feedback fails, and that find nothing for their stream.
+
+    Time is looked at between transactions, so a run without any does the first, which is half of the log.
+    """
     rows, quiet = [], replace(base.event_stream(), table="quiet")
     no_time = Settings(url=_URL, replication_max_run_seconds=0, replication_idle_exit_seconds=0)
-    cases = [("drained", base.event_stream(), None, {}), ("out of time", base.event_stream(), no_time, {"segment_rows": "100", "segments_per_batch": "1"}), ("quiet", quiet, None, {})]
-    for name, spec, settings, more in cases:
-        path, state = _log_folder(spark, sf_dir), State()
+    cases = [
+        ("drained", base.event_stream(), _UNTIL_DRAINED, _log_folder, {}),
+        ("out of time", base.event_stream(), no_time, _halves, {"segment_rows": "1", "segments_per_batch": "1"}),
+        ("unheard", base.event_stream(), _UNTIL_DRAINED, _log_folder, {"client": "tidemark.run_queries:Mute", "feedback": "false"}),
+        ("quiet", quiet, _UNTIL_DRAINED, _log_folder, {}),
+    ]
+    for name, spec, settings, folder, more in cases:
+        path, state = folder(spark, sf_dir), State()
         report = LogRun(spark, [spec], state, messages.FrameSink(), {"path": path, **more}, settings).run()
         rows.append((name, report.caught_up, report.advanced_to, wal.DirectoryLog({"path": path}).acknowledged(), state.bookmark(spec.name)))
     return spark.createDataFrame(rows, "run string, caught_up boolean, advanced_to long, confirmed long, bookmark long")
@@ -398,8 +425,8 @@ def oracle_sql() -> dict[str, str]:
         "wal_idle_run": f"SELECT count(*) FILTER (WHERE {data}) AS n, count(*) FILTER (WHERE {data}) AS positions, count(*) FILTER (WHERE {data}) AS emitted, true AS caught_up, max(event_id) AS advanced_to FROM events",
         "wal_retried_batch": f"SELECT * FROM {rows}",
         "wal_run_ends": f"""SELECT 'drained' AS run, true AS caught_up, max(event_id) AS advanced_to, max(event_id) AS confirmed, max(event_id) AS bookmark FROM events
-            UNION ALL SELECT 'out of time', false, max(event_id), max(event_id), max(event_id) FROM (SELECT event_id FROM events ORDER BY event_id LIMIT 100)
-            UNION ALL SELECT 'quiet', true, max(event_id), max(event_id), max(event_id) FROM events""",
+            UNION ALL SELECT 'out of time', false, max(event_id), max(event_id), max(event_id) FROM events WHERE event_id <= {middle}
+            UNION ALL SELECT 'unheard', true, NULL, NULL, max(event_id) FROM events WHERE {data} UNION ALL SELECT 'quiet', true, max(event_id), max(event_id), max(event_id) FROM events""",
         "wal_message_order": "SELECT * FROM (VALUES (0, 'SCHEMA', 'public-events'), (1, 'SCHEMA', 'public-clicks'), (2, 'SCHEMA', 'public-quiet'), (3, 'RECORD', 'public-events'), (4, 'RECORD', 'public-clicks')) t(pos, kind, stream)",
         "wal_lsn_order": f"SELECT count(*) AS n, 0::BIGINT AS out_of_order, true AS several FROM events WHERE {data}",
         "wal_state_messages": f"SELECT i::INTEGER AS batch, max(event_id) AS bookmark FROM range(4) r(i), events WHERE {data} AND event_id % 4 <= i GROUP BY i",
