@@ -208,7 +208,7 @@ def wal_added_column(spark, sf_dir):
     path = f"{scratch_folder(spark, 'log')}/log"
     log.repartitionByRange("lsn").sortWithinPartitions("lsn").write.json(path)
     sink, state = messages.FileSink(scratch_folder(spark, "wal-added"), "parquet", None), State()
-    run = LogRun(spark, [base.event_stream()], state, sink, {"path": path, "segment_rows": str(middle // 2 + 1), "segments_per_batch": "1"})
+    run = LogRun(spark, [base.event_stream()], state, sink, {"path": path, "segment_rows": str(middle // 2 + 1), "segments_per_batch": "1"}, _UNTIL_DRAINED)
     run.run()
     rows = sink.frame(run.streams[0]).select("event_id", "user_id", "score", F.lit("score" in sink.announced["public-events"]["schema"]["properties"]).alias("announced"))
     return rows.withColumn("since", F.lit(state.value["schemas"]["public-events"][0]["from"]).cast("long"))
